@@ -1,3 +1,405 @@
-"""Registered queries beyond the flagship (imported by the registry)."""
+"""Registered queries beyond the flagship (imported by the registry).
+
+Each query runs one operator of the pipeline over the whole provided tables:
+the trips fixture built from ``lineitem``, zones from ``nation``/``region``,
+file names from ``orders``. Scenario states that an incremental operator
+needs (files loaded by an earlier run, a re-delivered file) are derived from
+the same rows by fixed rules on the file's month, and spelled out identically
+in the oracle SQL.
+"""
 
 from __future__ import annotations
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from lakeline.config import DEDUP_KEYS
+from lakeline.operators import checks, incremental, sinks
+from lakeline.operators.quality import flag_repeats
+from lakeline.plans.models import TripModels
+from lakeline.plans.oracle import with_ctes
+from lakeline.plans.pipeline import model_tests
+from lakeline.plans.registry import register
+from lakeline.session import checkpoint_root, scratch_path
+from lakeline.sources import landing
+from lakeline.sources.fixture import read_table
+
+FILE = "_source_file"
+
+
+def _month(col: str = "_source_period"):
+    return F.month(F.col(col))
+
+
+# --- silver ------------------------------------------------------------------
+
+@register("silver_typed", with_ctes("SELECT * FROM typed", "typed"))
+def q_silver_typed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return TripModels(spark, sf_dir).typed
+
+
+@register("dedup_keep_first", with_ctes("SELECT * EXCLUDE (dup_rank) FROM ranked WHERE dup_rank = 1", "ranked"))
+def q_dedup_keep_first(spark: SparkSession, sf_dir: str) -> DataFrame:
+    typed = TripModels(spark, sf_dir).typed
+    flagged = flag_repeats(typed, DEDUP_KEYS, "_source_row_number", FILE, "_repeat")
+    return flagged.where(~F.col("_repeat")).drop("_repeat")
+
+
+@register("silver_valid", with_ctes("SELECT * FROM silver", "silver"))
+def q_silver_valid(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return TripModels(spark, sf_dir).silver
+
+
+@register("silver_rejected", with_ctes("SELECT * FROM rejected", "rejected"))
+def q_silver_rejected(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return TripModels(spark, sf_dir).rejected
+
+
+def _layer_counts(parts: list[tuple[DataFrame, int]], names: list[str], keys: list[str]) -> DataFrame:
+    """Rows per key in several layers with one shuffle (union, then sum)."""
+    tagged = None
+    for df, idx in parts:
+        cols = [F.col(k) for k in keys] + [F.lit(1 if i == idx else 0).alias(n) for i, n in enumerate(names)]
+        t = df.select(*cols)
+        tagged = t if tagged is None else tagged.unionByName(t)
+    return tagged.groupBy(*keys).agg(*[F.sum(n).cast("long").alias(n) for n in names])
+
+
+@register("split_conservation", with_ctes("""
+SELECT _source_file, bronze_rows, valid_rows, rejected_rows,
+       bronze_rows = valid_rows + rejected_rows AS balanced
+FROM (
+    SELECT b._source_file, b.n AS bronze_rows, coalesce(v.n, 0) AS valid_rows, coalesce(r.n, 0) AS rejected_rows
+    FROM (SELECT _source_file, count(*) AS n FROM bronze GROUP BY 1) b
+    LEFT JOIN (SELECT _source_file, count(*) AS n FROM silver GROUP BY 1) v USING (_source_file)
+    LEFT JOIN (SELECT _source_file, count(*) AS n FROM rejected GROUP BY 1) r USING (_source_file)
+)""", "bronze", "silver", "rejected"))
+def q_split_conservation(spark: SparkSession, sf_dir: str) -> DataFrame:
+    m = TripModels(spark, sf_dir)
+    names = ["bronze_rows", "valid_rows", "rejected_rows"]
+    counts = _layer_counts([(m.bronze, 0), (m.silver, 1), (m.rejected, 2)], names, [FILE])
+    return counts.withColumn("balanced", F.col("bronze_rows") == F.col("valid_rows") + F.col("rejected_rows"))
+
+
+@register("trip_id", with_ctes("""
+SELECT _source_file, _source_period, count(*) AS trips, min(trip_id) AS first_trip_id,
+       max(trip_id) AS last_trip_id, count(DISTINCT trip_id) AS distinct_trip_ids
+FROM typed GROUP BY 1, 2""", "typed"))
+def q_trip_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    typed = TripModels(spark, sf_dir).typed
+    return typed.groupBy(FILE, "_source_period").agg(
+        F.count(F.lit(1)).alias("trips"), F.min("trip_id").alias("first_trip_id"),
+        F.max("trip_id").alias("last_trip_id"), F.count_distinct("trip_id").alias("distinct_trip_ids"))
+
+
+# --- gold --------------------------------------------------------------------
+
+@register("fact_trips", with_ctes("SELECT * FROM fact", "fact"))
+def q_fact_trips(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return TripModels(spark, sf_dir).fact
+
+
+@register("fact_daily_zone_summary", with_ctes("SELECT * FROM daily_zone_summary", "daily_zone_summary"))
+def q_fact_daily_zone_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return TripModels(spark, sf_dir).daily_zone_summary
+
+
+@register("dim_date", with_ctes("SELECT * FROM dim_date", "dim_date"))
+def q_dim_date(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return TripModels(spark, sf_dir).dim_date
+
+
+@register("dim_location", with_ctes("SELECT * FROM dim_location", "dim_location"))
+def q_dim_location(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return TripModels(spark, sf_dir).dim_location
+
+
+@register("dim_vendor", with_ctes("SELECT * FROM dim_vendor", "dim_vendor"))
+def q_dim_vendor(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return TripModels(spark, sf_dir).dim_vendor
+
+
+@register("dim_rate_code", with_ctes("SELECT * FROM dim_rate_code", "dim_rate_code"))
+def q_dim_rate_code(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return TripModels(spark, sf_dir).dim_rate_code
+
+
+@register("dim_payment_type", with_ctes("SELECT * FROM dim_payment_type", "dim_payment_type"))
+def q_dim_payment_type(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return TripModels(spark, sf_dir).dim_payment_type
+
+
+# --- file names, lineage -------------------------------------------------------
+
+_NAME_SQL = """
+    CASE o_orderkey % 5
+        WHEN 0 THEN 'landing/yellow_tripdata_' || strftime(o_orderdate::DATE, '%Y_%m') || '.parquet'
+        WHEN 1 THEN 'landing/yellow_tripdata_' || strftime(o_orderdate::DATE, '%Y-%m') || '.parquet'
+        WHEN 2 THEN 'landing/yellow_tripdata_' || strftime(o_orderdate::DATE, '%Y') || '_13.parquet'
+        WHEN 3 THEN 'landing/yellow_tripdata_' || strftime(o_orderdate::DATE, '%Y%m') || '.parquet'
+        ELSE 'landing/yellow_tripdata_' || strftime(o_orderdate::DATE, '%Y_%m') || '.parquet.bak'
+    END"""
+_PERIOD_SQL = """
+    CASE WHEN try_cast(regexp_extract(name, '{p}', 2) AS INTEGER) BETWEEN 1 AND 12
+         THEN make_date(try_cast(regexp_extract(name, '{p}', 1) AS INTEGER),
+                        try_cast(regexp_extract(name, '{p}', 2) AS INTEGER), 1) END"""
+
+
+@register("source_period", f"""
+SELECT name, {_PERIOD_SQL.format(p=landing.SOURCE_PERIOD_PATTERN)} AS _source_period, count(*) AS files_named
+FROM (SELECT {_NAME_SQL} AS name FROM orders) GROUP BY name""")
+def q_source_period(spark: SparkSession, sf_dir: str) -> DataFrame:
+    o = read_table(spark, sf_dir, "orders")
+    d = F.to_date("o_orderdate")
+    prefix = F.lit("landing/yellow_tripdata_")
+    k = F.col("o_orderkey") % 5
+    name = (
+        F.when(k == 0, F.concat(prefix, F.date_format(d, "yyyy_MM"), F.lit(".parquet")))
+        .when(k == 1, F.concat(prefix, F.date_format(d, "yyyy-MM"), F.lit(".parquet")))
+        .when(k == 2, F.concat(prefix, F.date_format(d, "yyyy"), F.lit("_13.parquet")))
+        .when(k == 3, F.concat(prefix, F.date_format(d, "yyyyMM"), F.lit(".parquet")))
+        .otherwise(F.concat(prefix, F.date_format(d, "yyyy_MM"), F.lit(".parquet.bak")))
+    )
+    return (o.select(name.alias("name")).groupBy("name").agg(F.count(F.lit(1)).alias("files_named"))
+            .withColumn("_source_period", landing.source_period("name")))
+
+
+@register("lineage_columns", with_ctes("""
+SELECT _source_file, _batch_id, sum(b)::BIGINT AS bronze_rows, sum(s)::BIGINT AS silver_rows,
+       sum(f)::BIGINT AS fact_rows
+FROM (SELECT _source_file, _batch_id, 1 AS b, 0 AS s, 0 AS f FROM bronze
+      UNION ALL SELECT _source_file, _batch_id, 0, 1, 0 FROM silver
+      UNION ALL SELECT _source_file, _batch_id, 0, 0, 1 FROM fact)
+GROUP BY 1, 2""", "bronze", "silver", "fact"))
+def q_lineage_columns(spark: SparkSession, sf_dir: str) -> DataFrame:
+    m = TripModels(spark, sf_dir)
+    return _layer_counts([(m.bronze, 0), (m.silver, 1), (m.fact, 2)],
+                         ["bronze_rows", "silver_rows", "fact_rows"], [FILE, "_batch_id"])
+
+
+# --- schema conforming -----------------------------------------------------------
+
+def _drifted_frames(bronze: DataFrame) -> list[DataFrame]:
+    """The bronze rows as three deliveries with drifted schemas.
+
+    Even months: mixed-case names, 32-bit ids. Odd months: 64-bit passenger
+    count, no airport fee. No month (misc file): an extra column.
+    """
+    m = _month()
+    contract = [c for c in bronze.columns if not c.startswith("_") or c in ("_source_file", "_source_row_number")]
+    base = bronze.select(*contract, "_source_period")
+    even = base.where(m % 2 == 0).select(
+        *[F.col(c).cast("int").alias("VendorID") if c == "vendorid" else
+          F.col(c).cast("int").alias("PULocationID") if c == "pulocationid" else
+          F.col(c).alias("Airport_fee") if c == "airport_fee" else F.col(c) for c in contract])
+    odd = base.where(m % 2 == 1).select(
+        *[F.col(c).cast("long") if c == "passenger_count" else F.col(c) for c in contract if c != "airport_fee"])
+    none = base.where(m.isNull()).select(*contract, F.lit("x").alias("unexpected_column"))
+    return [even, odd, none]
+
+
+@register("conform_union", with_ctes(
+    "SELECT * EXCLUDE (_source_modified_at, _source_period, _batch_id) FROM bronze", "bronze"))
+def q_conform_union(spark: SparkSession, sf_dir: str) -> DataFrame:
+    frames = _drifted_frames(TripModels(spark, sf_dir).bronze)
+    return landing.conform_union(spark, frames)
+
+
+# --- incremental selection ---------------------------------------------------------
+
+def _listing(bronze: DataFrame) -> DataFrame:
+    """Landing listing today: files of months 4, 8, 12 were re-delivered a day later."""
+    mtime = F.col("_source_modified_at")
+    bumped = F.when(_month() % 4 == 0, mtime + F.expr("INTERVAL 1 DAY")).otherwise(mtime)
+    return bronze.select(FILE, bumped.alias("_source_modified_at"), "_source_period").distinct()
+
+
+def _loaded_landing(bronze: DataFrame) -> DataFrame:
+    """Files a previous run loaded: everything but months 11 and 12."""
+    return bronze.where(~(_month() >= 11) | F.col("_source_period").isNull())
+
+
+_LISTING_SQL = """
+    SELECT DISTINCT _source_file,
+        CASE WHEN month(_source_period) % 4 = 0 THEN _source_modified_at + INTERVAL 1 DAY
+             ELSE _source_modified_at END AS _source_modified_at
+    FROM bronze"""
+_LOADED_SQL = """
+    SELECT DISTINCT _source_file, _source_modified_at FROM bronze
+    WHERE NOT (month(_source_period) >= 11) OR _source_period IS NULL"""
+
+
+@register("pending_landing_files", with_ctes("""
+SELECT DISTINCT l._source_file FROM listing l
+ANTI JOIN loaded d ON l._source_file = d._source_file AND l._source_modified_at = d._source_modified_at
+ORDER BY 1""", "bronze", extra=[("listing", _LISTING_SQL), ("loaded", _LOADED_SQL)]))
+def q_pending_landing_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    bronze = TripModels(spark, sf_dir).bronze
+    return incremental.pending_landing_files(_listing(bronze), _loaded_landing(bronze)).orderBy(FILE)
+
+
+def _own_state(silver: DataFrame) -> DataFrame:
+    """Silver after an earlier run: months 7-9 came from an older batch,
+    months 10-12 were not loaded yet."""
+    m = _month()
+    return silver.where(m <= 9).select(
+        FILE, F.when(m >= 7, F.lit("batch-old")).otherwise(F.col("_batch_id")).alias("_batch_id"))
+
+
+_OWN_SQL = """
+    SELECT _source_file, CASE WHEN month(_source_period) >= 7 THEN 'batch-old' ELSE _batch_id END AS _batch_id
+    FROM silver WHERE month(_source_period) <= 9"""
+_PENDING_SQL = """
+    SELECT DISTINCT u._source_file
+    FROM (SELECT DISTINCT _source_file, _batch_id FROM bronze) u
+    ANTI JOIN (SELECT DISTINCT _source_file, _batch_id FROM own) o
+        ON u._source_file = o._source_file AND u._batch_id = o._batch_id"""
+
+
+@register("pending_source_files", with_ctes("SELECT * FROM pending ORDER BY 1", "bronze", "silver",
+                                            extra=[("own", _OWN_SQL), ("pending", _PENDING_SQL)]))
+def q_pending_source_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    m = TripModels(spark, sf_dir)
+    return incremental.pending_source_files(m.bronze, _own_state(m.silver)).orderBy(FILE)
+
+
+@register("incremental_slice", with_ctes(
+    "SELECT * FROM bronze WHERE _source_file IN (SELECT _source_file FROM pending)", "bronze", "silver",
+    extra=[("own", _OWN_SQL), ("pending", _PENDING_SQL)]))
+def q_incremental_slice(spark: SparkSession, sf_dir: str) -> DataFrame:
+    m = TripModels(spark, sf_dir)
+    pending = incremental.pending_source_files(m.bronze, _own_state(m.silver))
+    return incremental.source_file_filter(m.bronze, pending)
+
+
+@register("enrich_with_listing", with_ctes("""
+SELECT b._source_file, b._source_row_number, b.vendorid, b.tpep_pickup_datetime, l._source_modified_at
+FROM bronze b JOIN listing l ON b._source_file = l._source_file""",
+                                           "bronze", extra=[("listing", _LISTING_SQL)]))
+def q_enrich_with_listing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    bronze = TripModels(spark, sf_dir).bronze
+    rows = bronze.select(FILE, "_source_row_number", "vendorid", "tpep_pickup_datetime")
+    return landing.enrich_with_listing(rows, _listing(bronze).drop("_source_period"))
+
+
+# --- data tests -------------------------------------------------------------------
+
+def _test_tables(m: TripModels) -> dict[str, DataFrame]:
+    return {
+        "zones": m.zones,
+        "vendors": m.known_codes("vendor"),
+        "rate_codes": m.known_codes("rate_code"),
+        "payment_types": m.known_codes("payment_type"),
+        "bronze_yellow_tripdata": m.bronze,
+        "silver_yellow_trips": m.silver,
+        "silver_yellow_trips_rejected": m.rejected,
+        "fact_trips": m.fact,
+        "fact_daily_zone_summary": m.daily_zone_summary,
+        "dim_date": m.dim_date,
+        "dim_time_of_day": m.dim_time_of_day,
+        "dim_location": m.dim_location,
+        "dim_vendor": m.dim_vendor,
+        "dim_rate_code": m.dim_rate_code,
+        "dim_payment_type": m.dim_payment_type,
+    }
+
+
+_TEST_CTE = {
+    "zones": "zones", "vendors": "known_vendor", "rate_codes": "known_rate_code",
+    "payment_types": "known_payment_type", "bronze_yellow_tripdata": "bronze",
+    "silver_yellow_trips": "silver", "silver_yellow_trips_rejected": "rejected", "fact_trips": "fact",
+    "fact_daily_zone_summary": "daily_zone_summary", "dim_date": "dim_date",
+    "dim_time_of_day": "dim_time_of_day", "dim_location": "dim_location", "dim_vendor": "dim_vendor",
+    "dim_rate_code": "dim_rate_code", "dim_payment_type": "dim_payment_type",
+}
+
+
+def _all_tests(kind: str) -> list[checks.DataTest]:
+    return [t for layer in model_tests().values() for t in layer if t.kind == kind]
+
+
+def _test_sql(kind: str) -> str:
+    selects, ctes = [], set()
+    for t in _all_tests(kind):
+        src = _TEST_CTE[t.model]
+        ctes.add(src)
+        if kind == "not_null":
+            col, failures = t.column, f"(SELECT count(*) FROM {src} WHERE {t.column} IS NULL)"
+        elif kind == "unique":
+            col = t.column
+            failures = (f"(SELECT count(*) FROM (SELECT {t.column} FROM {src} WHERE {t.column} IS NOT NULL "
+                        f"GROUP BY 1 HAVING count(*) > 1))")
+        elif kind == "relationships":
+            parent = _TEST_CTE[t.to_model]
+            ctes.add(parent)
+            col = f"{t.column}->{t.to_model}.{t.to_field}"
+            failures = (f"(SELECT count(*) FROM {src} c WHERE c.{t.column} IS NOT NULL AND NOT EXISTS "
+                        f"(SELECT 1 FROM {parent} p WHERE p.{t.to_field} = c.{t.column}))")
+        else:
+            vals = ", ".join(f"'{v}'" for v in t.values)
+            col = t.column
+            failures = (f"(SELECT count(DISTINCT {t.column}) FROM {src} WHERE {t.column} IS NOT NULL "
+                        f"AND {t.column} NOT IN ({vals}))")
+        selects.append(f"SELECT '{kind}' AS test, '{t.model}' AS model, '{col}' AS column_name, "
+                       f"{failures}::BIGINT AS failures")
+    return with_ctes("\nUNION ALL\n".join(selects), *sorted(ctes))
+
+
+def _test_query(kind: str):
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        return checks.run_tests(_test_tables(TripModels(spark, sf_dir)), _all_tests(kind))
+    return run
+
+
+for _kind in ["not_null", "unique", "relationships", "accepted_values"]:
+    register(f"test_{_kind}", _test_sql(_kind))(_test_query(_kind))
+
+
+# --- sinks (write under the shared checkpoint folder, read back) ----------------------
+
+_BRONZE_COLS = "* EXCLUDE (_source_modified_at)"
+
+
+@register("replace_by_key", with_ctes(f"""
+SELECT {_BRONZE_COLS} FROM bronze WHERE NOT coalesce(month(_source_period) % 4 = 0, false)
+UNION ALL BY NAME
+SELECT * EXCLUDE (_source_modified_at, fare_amount, _batch_id), fare_amount * 2 AS fare_amount,
+       'batch-redelivered' AS _batch_id
+FROM bronze
+WHERE month(_source_period) IN (4, 8) AND _source_row_number % 10 <> 0""", "bronze"))
+def q_replace_by_key(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Load every file, then re-deliver months 4/8 (corrected, fewer rows)
+    and month 12 (now empty); read the table back."""
+    bronze = TripModels(spark, sf_dir).bronze.drop("_source_modified_at")
+    root = checkpoint_root(spark)
+    path = scratch_path(spark, "replace_by_key")
+    sinks.overwrite_table(bronze, path, root, ["_source_period", FILE])
+    redelivered = [r[0] for r in bronze.where(_month() % 4 == 0).select(FILE).distinct().collect()]
+    v2 = (bronze.where(_month().isin(4, 8) & (F.col("_source_row_number") % 10 != 0))
+          .withColumn("fare_amount", F.col("fare_amount") * 2)
+          .withColumn("_batch_id", F.lit("batch-redelivered")))
+    sinks.replace_by_key(v2, path, root, FILE, ["_source_period"], replace_keys=redelivered)
+    out = sinks.read_table(spark, path)
+    return out.withColumn("_source_period", F.col("_source_period").cast("date"))
+
+
+@register("append_load", with_ctes(f"SELECT {_BRONZE_COLS} FROM bronze", "bronze"))
+def q_append_load(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """First the odd months, then an append of the rest; read back."""
+    bronze = TripModels(spark, sf_dir).bronze.drop("_source_modified_at")
+    root, path = checkpoint_root(spark), scratch_path(spark, "append_load")
+    odd = F.coalesce(_month() % 2 == 1, F.lit(False))
+    sinks.overwrite_table(bronze.where(odd), path, root, ["_source_period"])
+    sinks.append_table(bronze.where(~odd), path, root, ["_source_period"])
+    return sinks.read_table(spark, path).withColumn("_source_period", F.col("_source_period").cast("date"))
+
+
+@register("overwrite_table", with_ctes("SELECT * FROM daily_zone_summary", "daily_zone_summary"))
+def q_overwrite_table(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Build the summary from the first half of the year, then rebuild it in full."""
+    m = TripModels(spark, sf_dir)
+    root, path = checkpoint_root(spark), scratch_path(spark, "overwrite_table")
+    first_half = m.daily_zone_summary.where(F.col("date_key") % 10000 <= 630)
+    sinks.overwrite_table(first_half, path, root)
+    sinks.overwrite_table(m.daily_zone_summary, path, root)
+    return sinks.read_table(spark, path)
