@@ -100,10 +100,41 @@ def _partition_dirs(spark: SparkSession, root: str, depth: int) -> list[tuple[st
     return out
 
 
+# --- table schema file ----------------------------------------------------------
+# Every table folder keeps its schema in ``_schema.json`` (ignored by Parquet
+# readers, like ``_SUCCESS``). Reads use it, so an emptied table stays
+# readable and partition columns keep their declared types.
+
+SCHEMA_FILE = "_schema.json"
+
+
+def _write_schema(spark: SparkSession, path: str, schema: T.StructType) -> None:
+    fs, p = _fs(spark, f"{path.rstrip('/')}/{SCHEMA_FILE}")
+    out = fs.create(p, True)
+    try:
+        out.write(bytearray(schema.json().encode("utf-8")))
+    finally:
+        out.close()
+
+
+def _read_schema(spark: SparkSession, path: str) -> T.StructType | None:
+    fs, p = _fs(spark, f"{path.rstrip('/')}/{SCHEMA_FILE}")
+    if not fs.exists(p):
+        return None
+    jvm = spark.sparkContext._jvm
+    stream = fs.open(p)
+    try:
+        text = jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8")
+    finally:
+        stream.close()
+    return T.StructType.fromJson(__import__("json").loads(text))
+
+
 # --- reads --------------------------------------------------------------------
 
 def read_table(spark: SparkSession, path: str, schema: T.StructType | None = None) -> DataFrame:
-    """Read a table folder; pass ``schema`` to pin partition column types."""
+    """Read a table folder with its recorded schema (or ``schema``)."""
+    schema = schema or _read_schema(spark, path)
     reader = spark.read
     if schema is not None:
         reader = reader.schema(schema)
@@ -151,6 +182,7 @@ def overwrite_table(df: DataFrame, path: str, root: str, partition_by: list[str]
     obs = Observation("overwrite")
     _writer(df.observe(obs, F.count(F.lit(1)).alias("rows")), partition_by, max_records) \
         .mode("errorifexists").parquet(staging)
+    _write_schema(spark, staging, df.schema)
     if exists(spark, path):
         delete(spark, path, root)
     rename(spark, staging, path)
@@ -171,6 +203,8 @@ def append_table(df: DataFrame, path: str, root: str, partition_by: list[str] |
     obs = Observation("append")
     _writer(df.observe(obs, F.count(F.lit(1)).alias("rows")), partition_by, max_records) \
         .mode("append").parquet(path)
+    if _read_schema(spark, path) is None:
+        _write_schema(spark, path, df.schema)
     return int(obs.get["rows"])
 
 
@@ -207,6 +241,8 @@ def replace_by_key(df: DataFrame, path: str, root: str, key: str, partition_by:
                           F.collect_set(F.struct(*[F.col(c).cast("string").alias(c) for c in cols])).alias("parts"))
     _writer(observed, cols, max_records).mode("overwrite") \
         .option("partitionOverwriteMode", "dynamic").parquet(path)
+    if _read_schema(spark, path) is None:
+        _write_schema(spark, path, df.schema)
     metrics = obs.get
     written = {tuple(r[c] for c in cols) for r in metrics["parts"]}
     keys_written = {p[-1] for p in written}

@@ -42,7 +42,6 @@ from lakeline.operators.incremental import file_names, pending_landing_files, pe
 from lakeline.sources import landing, lookups
 
 FILE = "_source_file"
-PARTITION_TYPES = {"_source_period": "date", "pickup_month": "date", FILE: "string"}
 
 BRONZE = "bronze/bronze_yellow_tripdata"
 SILVER = "silver/silver_yellow_trips"
@@ -131,11 +130,7 @@ class Pipeline:
         return sinks.table_exists(self.spark, self.path(name))
 
     def table(self, name: str) -> DataFrame:
-        df = sinks.read_table(self.spark, self.path(name))
-        for c, t in PARTITION_TYPES.items():
-            if c in df.columns:
-                df = df.withColumn(c, F.col(c).cast(t))
-        return df
+        return sinks.read_table(self.spark, self.path(name))
 
     def load_log(self, name: str) -> DataFrame | None:
         p = self.log_path(name)

@@ -40,12 +40,28 @@ def source_period(path: str | Column) -> Column:
     return F.when(month.between(1, 12), F.make_date(year, month, F.lit(1)))
 
 
+LISTING_SCHEMA = T.StructType([
+    T.StructField("_source_file", T.StringType()),
+    T.StructField("_source_modified_at", T.TimestampType()),
+])
+
+
+def _glob_matches(spark: SparkSession, glob: str) -> bool:
+    jvm = spark.sparkContext._jvm
+    path = jvm.org.apache.hadoop.fs.Path(glob)
+    fs = path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    found = fs.globStatus(path)
+    return found is not None and len(found) > 0
+
+
 def list_landing(spark: SparkSession, glob: str) -> DataFrame:
     """``(_source_file, _source_modified_at)`` of every file matching ``glob``.
 
     ``binaryFile`` with only path and mtime selected never reads file bodies
-    (the content column is pruned from the scan).
+    (the content column is pruned from the scan). No match gives no rows.
     """
+    if not _glob_matches(spark, glob):
+        return spark.createDataFrame([], LISTING_SCHEMA)
     return (
         spark.read.format("binaryFile")
         .load(glob)
