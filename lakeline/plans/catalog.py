@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 from lakeline.config import DEDUP_KEYS
 from lakeline.operators import checks, incremental, sinks
 from lakeline.operators.quality import flag_repeats
-from lakeline.plans.models import TripModels
+from lakeline.plans.models import TripModels, stored_models
 from lakeline.plans.oracle import with_ctes
 from lakeline.plans.pipeline import model_tests
 from lakeline.plans.registry import register
@@ -75,7 +75,7 @@ FROM (
     LEFT JOIN (SELECT _source_file, count(*) AS n FROM rejected GROUP BY 1) r USING (_source_file)
 )""", "bronze", "silver", "rejected"))
 def q_split_conservation(spark: SparkSession, sf_dir: str) -> DataFrame:
-    m = TripModels(spark, sf_dir)
+    m = stored_models(spark, sf_dir)
     names = ["bronze_rows", "valid_rows", "rejected_rows"]
     counts = _layer_counts([(m.bronze, 0), (m.silver, 1), (m.rejected, 2)], names, [FILE])
     return counts.withColumn("balanced", F.col("bronze_rows") == F.col("valid_rows") + F.col("rejected_rows"))
@@ -96,17 +96,18 @@ def q_trip_id(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @register("fact_trips", with_ctes("SELECT * FROM fact", "fact"))
 def q_fact_trips(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return TripModels(spark, sf_dir).fact
+    stored = stored_models(spark, sf_dir)
+    return TripModels(spark, sf_dir, silver=stored.silver).fact
 
 
 @register("fact_daily_zone_summary", with_ctes("SELECT * FROM daily_zone_summary", "daily_zone_summary"))
 def q_fact_daily_zone_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return TripModels(spark, sf_dir).daily_zone_summary
+    return stored_models(spark, sf_dir).daily_zone_summary
 
 
 @register("dim_date", with_ctes("SELECT * FROM dim_date", "dim_date"))
 def q_dim_date(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return TripModels(spark, sf_dir).dim_date
+    return stored_models(spark, sf_dir).dim_date
 
 
 @register("dim_location", with_ctes("SELECT * FROM dim_location", "dim_location"))
@@ -116,17 +117,17 @@ def q_dim_location(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @register("dim_vendor", with_ctes("SELECT * FROM dim_vendor", "dim_vendor"))
 def q_dim_vendor(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return TripModels(spark, sf_dir).dim_vendor
+    return stored_models(spark, sf_dir).dim_vendor
 
 
 @register("dim_rate_code", with_ctes("SELECT * FROM dim_rate_code", "dim_rate_code"))
 def q_dim_rate_code(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return TripModels(spark, sf_dir).dim_rate_code
+    return stored_models(spark, sf_dir).dim_rate_code
 
 
 @register("dim_payment_type", with_ctes("SELECT * FROM dim_payment_type", "dim_payment_type"))
 def q_dim_payment_type(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return TripModels(spark, sf_dir).dim_payment_type
+    return stored_models(spark, sf_dir).dim_payment_type
 
 
 # --- file names, lineage -------------------------------------------------------
@@ -172,7 +173,7 @@ FROM (SELECT _source_file, _batch_id, 1 AS b, 0 AS s, 0 AS f FROM bronze
       UNION ALL SELECT _source_file, _batch_id, 0, 0, 1 FROM fact)
 GROUP BY 1, 2""", "bronze", "silver", "fact"))
 def q_lineage_columns(spark: SparkSession, sf_dir: str) -> DataFrame:
-    m = TripModels(spark, sf_dir)
+    m = stored_models(spark, sf_dir)
     return _layer_counts([(m.bronze, 0), (m.silver, 1), (m.fact, 2)],
                          ["bronze_rows", "silver_rows", "fact_rows"], [FILE, "_batch_id"])
 
@@ -259,7 +260,7 @@ _PENDING_SQL = """
 @register("pending_source_files", with_ctes("SELECT * FROM pending ORDER BY 1", "bronze", "silver",
                                             extra=[("own", _OWN_SQL), ("pending", _PENDING_SQL)]))
 def q_pending_source_files(spark: SparkSession, sf_dir: str) -> DataFrame:
-    m = TripModels(spark, sf_dir)
+    m = stored_models(spark, sf_dir)
     return incremental.pending_source_files(m.bronze, _own_state(m.silver)).orderBy(FILE)
 
 
@@ -267,7 +268,7 @@ def q_pending_source_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     "SELECT * FROM bronze WHERE _source_file IN (SELECT _source_file FROM pending)", "bronze", "silver",
     extra=[("own", _OWN_SQL), ("pending", _PENDING_SQL)]))
 def q_incremental_slice(spark: SparkSession, sf_dir: str) -> DataFrame:
-    m = TripModels(spark, sf_dir)
+    m = stored_models(spark, sf_dir)
     pending = incremental.pending_source_files(m.bronze, _own_state(m.silver))
     return incremental.source_file_filter(m.bronze, pending)
 
@@ -347,7 +348,7 @@ def _test_sql(kind: str) -> str:
 
 def _test_query(kind: str):
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-        return checks.run_tests(_test_tables(TripModels(spark, sf_dir)), _all_tests(kind))
+        return checks.run_tests(_test_tables(stored_models(spark, sf_dir)), _all_tests(kind))
     return run
 
 
@@ -396,7 +397,7 @@ def q_append_load(spark: SparkSession, sf_dir: str) -> DataFrame:
 @register("overwrite_table", with_ctes("SELECT * FROM daily_zone_summary", "daily_zone_summary"))
 def q_overwrite_table(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Build the summary from the first half of the year, then rebuild it in full."""
-    m = TripModels(spark, sf_dir)
+    m = stored_models(spark, sf_dir)
     root, path = checkpoint_root(spark), scratch_path(spark, "overwrite_table")
     first_half = m.daily_zone_summary.where(F.col("date_key") % 10000 <= 630)
     sinks.overwrite_table(first_half, path, root)

@@ -25,7 +25,11 @@ from lakeline.config import (
     Thresholds,
 )
 from lakeline.operators import dims, facts, quality
-from lakeline.sources.fixture import read_table, trips_bronze
+from lakeline.session import scratch_path
+from lakeline.sources.fixture import _input_version, read_table, trips_bronze_table
+
+# (application id, sf_dir, lineitem version, thresholds) -> stored layer folders
+_STORED: dict[tuple, dict[str, str]] = {}
 
 
 def zones_from_tables(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -53,16 +57,20 @@ class TripModels:
     """Lazily built layers of the trip star schema."""
 
     def __init__(self, spark: SparkSession, sf_dir: str, thresholds: Thresholds = DEFAULT_THRESHOLDS,
-                 bronze: DataFrame | None = None, zones: DataFrame | None = None):
+                 **tables: DataFrame):
+        """``tables`` replaces layers by already built ones (e.g. written
+        tables read back: ``bronze=..., silver=..., fact=...``)."""
         self.spark = spark
         self.sf_dir = sf_dir
         self.thresholds = thresholds
-        self._bronze = bronze
-        self._zones = zones
+        for name, df in tables.items():
+            if not isinstance(getattr(type(self), name, None), cached_property):
+                raise ValueError(f"unknown layer {name!r}")
+            self.__dict__[name] = df
 
     @cached_property
     def bronze(self) -> DataFrame:
-        return self._bronze if self._bronze is not None else trips_bronze(self.spark, self.sf_dir)
+        return trips_bronze_table(self.spark, self.sf_dir)
 
     @cached_property
     def typed(self) -> DataFrame:
@@ -98,7 +106,7 @@ class TripModels:
 
     @cached_property
     def zones(self) -> DataFrame:
-        return self._zones if self._zones is not None else zones_from_tables(self.spark, self.sf_dir)
+        return zones_from_tables(self.spark, self.sf_dir)
 
     @cached_property
     def dim_location(self) -> DataFrame:
@@ -126,3 +134,27 @@ class TripModels:
     def dim_payment_type(self) -> DataFrame:
         return dims.complete_code_dim(self.known_codes("payment_type"), self.silver,
                                       "payment_type_id", "payment_type_name", "Unknown payment type ")
+
+
+def stored_models(spark: SparkSession, sf_dir: str, thresholds: Thresholds = DEFAULT_THRESHOLDS) -> TripModels:
+    """Models whose bronze, silver, rejected and fact layers are stored tables.
+
+    Gold models and data tests read stored upstream tables, as they do in the
+    pipeline. The layers are written once per session below the shared
+    checkpoint folder: one classification feeds both silver halves (persisted
+    while they are written), and fact is projected from the stored silver.
+    """
+    key = (spark.sparkContext.applicationId, sf_dir.rstrip("/"), _input_version(spark, sf_dir), thresholds)
+    paths = _STORED.get(key)
+    if paths is None:
+        base = scratch_path(spark, "trips-layers")
+        paths = {n: f"{base}/{n}" for n in ("silver", "rejected", "fact")}
+        m = TripModels(spark, sf_dir, thresholds)
+        classified = m.classified.persist()
+        quality.silver_valid(classified).write.parquet(paths["silver"])
+        quality.silver_rejected(classified).write.parquet(paths["rejected"])
+        classified.unpersist()
+        facts.fact_trips(spark.read.parquet(paths["silver"])).write.parquet(paths["fact"])
+        _STORED[key] = paths
+    return TripModels(spark, sf_dir, thresholds, bronze=trips_bronze_table(spark, sf_dir),
+                      **{n: spark.read.parquet(p) for n, p in paths.items()})

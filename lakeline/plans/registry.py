@@ -10,7 +10,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from lakeline.plans.models import TripModels
+from lakeline.plans.models import TripModels, stored_models
 from lakeline.plans.oracle import with_ctes
 from lakeline.plans.star import star_month_borough
 from lakeline.operators import quality
@@ -60,7 +60,7 @@ ORDER BY revenue DESC""",
 
 @register("star_month_borough", STAR_SQL)
 def q_star_month_borough(spark: SparkSession, sf_dir: str) -> DataFrame:
-    m = TripModels(spark, sf_dir)
+    m = stored_models(spark, sf_dir)
     return star_month_borough(m.fact, m.dim_date, m.dim_location)
 
 
