@@ -21,8 +21,8 @@ from lakeline.plans.oracle import with_ctes
 from lakeline.plans.pipeline import model_tests
 from lakeline.plans.registry import register
 from lakeline.session import checkpoint_root, scratch_path
-from lakeline.sources import landing
-from lakeline.sources.fixture import read_table
+from lakeline.sources import landing, lookups
+from lakeline.sources.fixture import drifted_deliveries, read_table, write_landing
 
 FILE = "_source_file"
 
@@ -180,29 +180,10 @@ def q_lineage_columns(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 # --- schema conforming -----------------------------------------------------------
 
-def _drifted_frames(bronze: DataFrame) -> list[DataFrame]:
-    """The bronze rows as three deliveries with drifted schemas.
-
-    Even months: mixed-case names, 32-bit ids. Odd months: 64-bit passenger
-    count, no airport fee. No month (misc file): an extra column.
-    """
-    m = _month()
-    contract = [c for c in bronze.columns if not c.startswith("_") or c in ("_source_file", "_source_row_number")]
-    base = bronze.select(*contract, "_source_period")
-    even = base.where(m % 2 == 0).select(
-        *[F.col(c).cast("int").alias("VendorID") if c == "vendorid" else
-          F.col(c).cast("int").alias("PULocationID") if c == "pulocationid" else
-          F.col(c).alias("Airport_fee") if c == "airport_fee" else F.col(c) for c in contract])
-    odd = base.where(m % 2 == 1).select(
-        *[F.col(c).cast("long") if c == "passenger_count" else F.col(c) for c in contract if c != "airport_fee"])
-    none = base.where(m.isNull()).select(*contract, F.lit("x").alias("unexpected_column"))
-    return [even, odd, none]
-
-
 @register("conform_union", with_ctes(
     "SELECT * EXCLUDE (_source_modified_at, _source_period, _batch_id) FROM bronze", "bronze"))
 def q_conform_union(spark: SparkSession, sf_dir: str) -> DataFrame:
-    frames = _drifted_frames(TripModels(spark, sf_dir).bronze)
+    frames = drifted_deliveries(TripModels(spark, sf_dir).bronze)
     return landing.conform_union(spark, frames)
 
 
@@ -403,3 +384,62 @@ def q_overwrite_table(spark: SparkSession, sf_dir: str) -> DataFrame:
     sinks.overwrite_table(first_half, path, root)
     sinks.overwrite_table(m.daily_zone_summary, path, root)
     return sinks.read_table(spark, path)
+
+
+
+# --- real files: landing listing, ingest, lookup CSV ----------------------------------
+
+_CONTRACT = ", ".join(n for n, _ in landing.BRONZE_CONTRACT)
+_LANDING: dict[tuple, str] = {}
+
+
+def _landing_glob(spark: SparkSession, sf_dir: str) -> str:
+    """Landing files written from the trips (once per session)."""
+    key = (spark.sparkContext.applicationId, sf_dir.rstrip("/"))
+    if key not in _LANDING:
+        _LANDING[key] = write_landing(spark, TripModels(spark, sf_dir).bronze, scratch_path(spark, "landing"))
+    return _LANDING[key]
+
+
+@register("landing_listing")
+def q_landing_listing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Path and mtime of every landing file (bodies are never read)."""
+    return landing.list_landing(spark, _landing_glob(spark, sf_dir))
+
+
+def _ingested(spark: SparkSession, sf_dir: str) -> DataFrame:
+    glob = _landing_glob(spark, sf_dir)
+    files = [r[0] for r in landing.list_landing(spark, glob).select(FILE).collect()]
+    return landing.read_landing(spark, files)
+
+
+@register("ingest_conform", with_ctes(f"SELECT {_CONTRACT}, _source_period FROM bronze", "bronze"))
+def q_ingest_conform(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Drifted landing files read into the contract (values, types, period)."""
+    return _ingested(spark, sf_dir).select(*[n for n, _ in landing.BRONZE_CONTRACT], "_source_period")
+
+
+@register("ingest_lineage", with_ctes(
+    "SELECT _source_period, count(*) AS rows_read, true AS row_index_ok FROM bronze GROUP BY 1", "bronze"))
+def q_ingest_lineage(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rows per period, and whether every file's row numbers are exactly 0..n-1."""
+    per_file = _ingested(spark, sf_dir).groupBy(FILE, "_source_period").agg(
+        F.count(F.lit(1)).alias("n"), F.min("_source_row_number").alias("lo"),
+        F.max("_source_row_number").alias("hi"), F.count_distinct("_source_row_number").alias("k"))
+    ok = (F.col("lo") == 0) & (F.col("hi") == F.col("n") - 1) & (F.col("k") == F.col("n"))
+    return per_file.groupBy("_source_period").agg(
+        F.sum("n").alias("rows_read"), F.bool_and(ok).alias("row_index_ok"))
+
+
+_ZONES_CSV_SQL = """
+    SELECT location_id, borough, zone_name || ', ' || borough AS zone_name, service_zone FROM zones"""
+
+
+@register("lookup_csv", with_ctes("SELECT * FROM zones_csv", "zones", extra=[("zones_csv", _ZONES_CSV_SQL)]))
+def q_lookup_csv(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Zones written as a quoted CSV (names contain commas) and read back typed."""
+    zones = TripModels(spark, sf_dir).zones.withColumn(
+        "zone_name", F.concat(F.col("zone_name"), F.lit(", "), F.col("borough")))
+    path = scratch_path(spark, "zones-csv")
+    zones.write.option("header", True).option("quoteAll", True).csv(path)
+    return lookups.read_zones(spark, path)

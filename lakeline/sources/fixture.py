@@ -116,3 +116,51 @@ def trips_bronze_table(spark: SparkSession, sf_dir: str) -> DataFrame:
         trips_bronze(spark, sf_dir).write.parquet(path)
         _MATERIALIZED[key] = path
     return spark.read.parquet(path)
+
+
+def drifted_deliveries(bronze: DataFrame, lineage: bool = True) -> list[DataFrame]:
+    """The bronze rows as three deliveries with drifted schemas.
+
+    Even months: mixed-case names, 32-bit ids. Odd months: 64-bit passenger
+    count, no airport fee. No month (misc file): an extra column. With
+    ``lineage`` the file name and row number are kept.
+    """
+    month = F.month("_source_period")
+    raw = [c for c in bronze.columns if not c.startswith("_")]
+    keep = raw + (["_source_file", "_source_row_number"] if lineage else ["_source_file"])
+    base = bronze.select(*keep, "_source_period")
+    renamed = {"vendorid": "VendorID", "pulocationid": "PULocationID", "airport_fee": "Airport_fee"}
+    even = base.where(month % 2 == 0).select(*[
+        (F.col(c).cast("int") if c in ("vendorid", "pulocationid") else F.col(c)).alias(renamed.get(c, c))
+        for c in keep])
+    odd = base.where(month % 2 == 1).select(*[
+        F.col(c).cast("long") if c == "passenger_count" else F.col(c) for c in keep if c != "airport_fee"])
+    none = base.where(month.isNull()).select(*keep, F.lit("x").alias("unexpected_column"))
+    return [even, odd, none]
+
+
+def write_landing(spark: SparkSession, bronze: DataFrame, folder: str) -> str:
+    """Write ``bronze`` back out as landing files; return their glob.
+
+    Each delivery is written by Spark, partitioned by the landing name; every
+    part file is then renamed to ``<folder>/<delivery>-<part>/<landing name>``
+    so file names carry the period as real landing files do. A month is
+    spread over several files (one per writing task), never one task.
+    """
+    jvm = spark.sparkContext._jvm
+    conf = spark.sparkContext._jsc.hadoopConfiguration()
+    for i, frame in enumerate(drifted_deliveries(bronze, lineage=False)):
+        tmp = f"{folder}/_write{i}"
+        name = F.regexp_extract("_source_file", r"([^/]+)$", 1)
+        frame.withColumn("_landing", name).drop("_source_file").write.partitionBy("_landing").parquet(tmp)
+        root = jvm.org.apache.hadoop.fs.Path(tmp)
+        fs = root.getFileSystem(conf)
+        for st in fs.globStatus(jvm.org.apache.hadoop.fs.Path(f"{tmp}/_landing=*/part-*.parquet")) or []:
+            src = st.getPath()
+            landing_name = src.getParent().getName().split("=", 1)[1]
+            part = src.getName().split("-")[1]
+            dst = jvm.org.apache.hadoop.fs.Path(f"{folder}/d{i}-{part}/{landing_name}")
+            fs.mkdirs(dst.getParent())
+            fs.rename(src, dst)
+        fs.delete(root, True)
+    return f"{folder}/*/*.parquet"
