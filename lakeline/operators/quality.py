@@ -69,29 +69,69 @@ def typed_trips(bronze: DataFrame) -> DataFrame:
     )
 
 
-def flag_repeats(df: DataFrame, keys: list[str], order: str, unit: str, out: str) -> DataFrame:
-    """``out`` = row is not the first of its ``keys`` group (by ``order``).
+def repeat_groups(df: DataFrame, keys: list[str], order: str) -> DataFrame:
+    """Groups of ``keys`` that occur more than once, with their first ``order``.
 
-    Same result as ``row_number() over (partition by keys order by order) > 1``
-    but without sending a group to one task: the first ``order`` value per
-    group is found by an aggregate that pre-combines on the map side, so a
-    group of copies holding a third of all rows is reduced to one row per map
-    task before the shuffle. Rows are then matched to the group firsts on
-    ``(unit, order)``, which is unique per row (``unit`` must be one of the
-    keys, ``order`` unique inside ``unit``), so that join has no hot key.
+    The aggregate combines on the map side, so a group of copies that holds a
+    third of all rows leaves each map task as one row.
     """
-    if unit not in keys:
-        raise ValueError(f"{unit!r} must be one of the keys")
-    firsts = (
+    return (
         df.groupBy(*keys)
-        .agg(F.min(order).alias("_first_order"))
-        .select(F.col(unit).alias("_first_unit"), "_first_order", F.lit(True).alias("_is_first"))
+        .agg(F.min(order).alias("_first_order"), F.count(F.lit(1)).alias("_copies"))
+        .where(F.col("_copies") > 1)
+        .drop("_copies")
     )
-    cond = (F.col(unit) == F.col("_first_unit")) & (F.col(order) == F.col("_first_order"))
+
+
+def _broadcast_limit_bytes(df: DataFrame) -> int:
+    """``spark.sql.autoBroadcastJoinThreshold`` in bytes (-1 disables: 0)."""
+    raw = str(df.sparkSession.conf.get("spark.sql.autoBroadcastJoinThreshold", "10485760")).strip().lower()
+    units = {"b": 1, "k": 1 << 10, "kb": 1 << 10, "m": 1 << 20, "mb": 1 << 20, "g": 1 << 30, "gb": 1 << 30}
+    num = raw.rstrip("bkmg")
+    unit = raw[len(num):] or "b"
+    return max(int(float(num) * units.get(unit, 1)), 0)
+
+
+def _row_width(schema) -> int:
+    """Rough in-memory width of a row, for the broadcast size check."""
+    return 16 + sum(64 if f.dataType.typeName() in ("string", "binary") else 8 for f in schema.fields)
+
+
+def flag_repeats(df: DataFrame, keys: list[str], order: str, out: str,
+                 broadcast_bytes: int | None = None) -> DataFrame:
+    """``out`` = row is not the first of its ``keys`` group (by ``order``).
+
+    Same result as ``row_number() over (partition by keys order by order) > 1``
+    without a window: a window sends each group to one task, and a group of
+    copies may hold a third of the data. Instead the groups that have copies
+    are aggregated (map-side combined) and stored in the shared checkpoint
+    folder; their size is then known. When that set fits the broadcast limit
+    it is broadcast and the rows are never shuffled, so the output keeps the
+    input's file-aligned partitioning; otherwise it is a shuffle join where AQE
+    splits a hot group over several tasks. Keys match NULL to NULL, as
+    ``partition by`` does.
+    """
+    spark = df.sparkSession
+    groups = repeat_groups(df, keys, order)
+    from lakeline.session import scratch_path
+
+    path = scratch_path(spark, "repeat-groups")
+    groups.write.parquet(path)
+    groups = spark.read.parquet(path)
+    n = groups.count()
+    width = _row_width(groups.schema)
+    limit = _broadcast_limit_bytes(df) if broadcast_bytes is None else broadcast_bytes
+    right = groups.select(*[F.col(k).alias(f"_g_{k}") for k in keys], "_first_order")
+    if n * width <= limit:
+        right = F.broadcast(right)
+    cond = None
+    for k in keys:
+        c = F.col(k).eqNullSafe(F.col(f"_g_{k}"))
+        cond = c if cond is None else cond & c
     return (
-        df.join(firsts, cond, "left")
-        .withColumn(out, F.col("_is_first").isNull())
-        .drop("_first_unit", "_first_order", "_is_first")
+        df.join(right, cond, "left")
+        .withColumn(out, F.coalesce(F.col(order) > F.col("_first_order"), F.lit(False)))
+        .drop(*[f"_g_{k}" for k in keys], "_first_order")
     )
 
 
@@ -142,7 +182,7 @@ def first_broken(rules: list[Rule]) -> Column:
 def classify(bronze: DataFrame, th: Thresholds = DEFAULT_THRESHOLDS) -> DataFrame:
     """Typed rows + ``_reject_reason`` (first rule broken, NULL when valid)."""
     typed = typed_trips(bronze)
-    flagged = flag_repeats(typed, DEDUP_KEYS, "_source_row_number", "_source_file", "_is_duplicate")
+    flagged = flag_repeats(typed, DEDUP_KEYS, "_source_row_number", "_is_duplicate")
     return flagged.withColumn("_reject_reason", first_broken(trip_rules(th))).drop("_is_duplicate")
 
 

@@ -41,7 +41,7 @@ def q_silver_typed(spark: SparkSession, sf_dir: str) -> DataFrame:
 @register("dedup_keep_first", with_ctes("SELECT * EXCLUDE (dup_rank) FROM ranked WHERE dup_rank = 1", "ranked"))
 def q_dedup_keep_first(spark: SparkSession, sf_dir: str) -> DataFrame:
     typed = TripModels(spark, sf_dir).typed
-    flagged = flag_repeats(typed, DEDUP_KEYS, "_source_row_number", FILE, "_repeat")
+    flagged = flag_repeats(typed, DEDUP_KEYS, "_source_row_number", "_repeat")
     return flagged.where(~F.col("_repeat")).drop("_repeat")
 
 

@@ -139,20 +139,26 @@ def drifted_deliveries(bronze: DataFrame, lineage: bool = True) -> list[DataFram
     return [even, odd, none]
 
 
-def write_landing(spark: SparkSession, bronze: DataFrame, folder: str) -> str:
+def write_landing(spark: SparkSession, bronze: DataFrame, folder: str, one_file_per_name: bool = False) -> str:
     """Write ``bronze`` back out as landing files; return their glob.
 
     Each delivery is written by Spark, partitioned by the landing name; every
     part file is then renamed to ``<folder>/<delivery>-<part>/<landing name>``
     so file names carry the period as real landing files do. A month is
-    spread over several files (one per writing task), never one task.
+    spread over several files (one per writing task). ``one_file_per_name``
+    writes exactly one file per month, as a provider delivers them; it routes
+    a whole month through one task and is meant for preparing small
+    benchmark inputs only.
     """
     jvm = spark.sparkContext._jvm
     conf = spark.sparkContext._jsc.hadoopConfiguration()
     for i, frame in enumerate(drifted_deliveries(bronze, lineage=False)):
         tmp = f"{folder}/_write{i}"
         name = F.regexp_extract("_source_file", r"([^/]+)$", 1)
-        frame.withColumn("_landing", name).drop("_source_file").write.partitionBy("_landing").parquet(tmp)
+        out = frame.withColumn("_landing", name).drop("_source_file")
+        if one_file_per_name:
+            out = out.repartition("_landing")
+        out.write.partitionBy("_landing").parquet(tmp)
         root = jvm.org.apache.hadoop.fs.Path(tmp)
         fs = root.getFileSystem(conf)
         for st in fs.globStatus(jvm.org.apache.hadoop.fs.Path(f"{tmp}/_landing=*/part-*.parquet")) or []:

@@ -34,18 +34,25 @@ def test_position_within_spreads_a_hot_group(spark):
     assert max(r["count"] for r in per_task) < 0.25 * df.count()
 
 
-def test_flag_repeats_matches_window(spark):
-    df = skewed(spark).withColumn("unit", F.col("g"))
-    keys = ["unit", "k1", "k2"]
-    got = flag_repeats(df, keys, "row", "unit", "rep")
+import pytest
+
+
+@pytest.mark.parametrize("broadcast_bytes", [None, 0])
+def test_flag_repeats_matches_window(spark, broadcast_bytes):
+    df = skewed(spark)
+    keys = ["g", "k1", "k2"]
+    got = flag_repeats(df, keys, "row", "rep", broadcast_bytes=broadcast_bytes)
     w = Window.partitionBy(*keys).orderBy("row")
     want = df.withColumn("rep", F.row_number().over(w) > 1)
     assert got.select("row", "rep").exceptAll(want.select("row", "rep")).count() == 0
-    assert got.where("rep").count() == want.where("rep").count()
+    assert got.where("rep").count() == want.where("rep").count() > 0
 
 
-def test_flag_repeats_plan_has_no_window(spark):
-    df = skewed(spark).withColumn("unit", F.col("g"))
-    plan = flag_repeats(df, ["unit", "k1", "k2"], "row", "unit", "rep")._jdf.queryExecution().executedPlan().toString()
+def test_flag_repeats_plan_has_no_window_and_keeps_rows_in_place(spark):
+    df = skewed(spark)
+    plan = flag_repeats(df, ["g", "k1", "k2"], "row", "rep")._jdf.queryExecution().executedPlan().toString()
     assert "Window" not in plan
-    assert "partial_min" in plan  # map-side combine before the shuffle
+    assert "BroadcastHashJoin" in plan and "Exchange hashpartitioning" not in plan
+    groups_plan = __import__("lakeline.operators.quality", fromlist=["x"]).repeat_groups(
+        df, ["g", "k1", "k2"], "row")._jdf.queryExecution().executedPlan().toString()
+    assert "partial_min" in groups_plan  # map-side combine before the shuffle
