@@ -33,9 +33,23 @@ def to_int(col: str | Column) -> Column:
     return F.rint(_c(col)).cast("int")
 
 
+def round_half_away(col: str | Column) -> Column:
+    """Round a double to an integral double, ties away from zero.
+
+    ``rint`` rounds ties to even; a tie is exactly ``|y - rint(y)| = 0.5``
+    (that difference is exact), and where ``rint`` went toward zero the
+    result moves one step away. Pure double arithmetic: no BigDecimal per
+    value, unlike ``round``; NaN and infinities pass through.
+    """
+    y = _c(col)
+    r = F.rint(y)
+    toward_zero_tie = (F.abs(y - r) == F.lit(0.5)) & (F.abs(r) < F.abs(y))
+    return F.when(toward_zero_tie, r + F.signum(y)).otherwise(r)
+
+
 def round2(col: str | Column) -> Column:
     """``round(double, 2)`` with binary scaling and half-away-from-zero ties."""
-    return F.round(_c(col) * F.lit(100.0), 0) / F.lit(100.0)
+    return round_half_away(_c(col) * F.lit(100.0)) / F.lit(100.0)
 
 
 def to_money(col: str | Column) -> Column:

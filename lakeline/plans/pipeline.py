@@ -21,6 +21,7 @@ from __future__ import annotations
 import json
 import time
 import uuid
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
 
 from pyspark import StorageLevel
@@ -49,6 +50,7 @@ REJECTED = "silver/silver_yellow_trips_rejected"
 FACT = "gold/fact_trips"
 SUMMARY = "gold/fact_daily_zone_summary"
 GOLD_DIMS = ["dim_date", "dim_time_of_day", "dim_location", "dim_vendor", "dim_rate_code", "dim_payment_type"]
+LOOKUP_DIMS = {"dim_time_of_day", "dim_location"}
 
 
 class NoLandingFiles(RuntimeError):
@@ -110,7 +112,7 @@ class Pipeline:
 
     def __init__(self, spark: SparkSession, landing_glob: str, root: str, zones: DataFrame | str,
                  thresholds: Thresholds = DEFAULT_THRESHOLDS, run_tests: bool = True,
-                 strict_reference: bool = False):
+                 strict_reference: bool = False, gold_threads: int = 4):
         self.spark = spark
         self.glob = landing_glob
         self.root = root.rstrip("/")
@@ -118,6 +120,7 @@ class Pipeline:
         self.thresholds = thresholds
         self.run_tests = run_tests
         self.strict_reference = strict_reference
+        self.gold_threads = gold_threads
 
     # -- locations and reads -------------------------------------------------
     def path(self, name: str) -> str:
@@ -249,16 +252,27 @@ class Pipeline:
                 "payment_type_id", "payment_type_name", "Unknown payment type "),
         }
 
-    def gold(self, summary: RunSummary) -> dict:
-        out = {}
-        for name, df in self.gold_tables().items():
-            out[name] = sinks.overwrite_table(df, self.path(f"gold/{name}"), self.root)
-        return out
+    def gold(self, summary: RunSummary, silver_changed: bool) -> dict:
+        """Rebuild gold tables; independent tables are built concurrently.
+
+        Tables computed from silver / fact are skipped when neither changed
+        in this run (their inputs, hence their rows, are the same); the
+        lookup-based dimensions are always rebuilt (a lookup may change).
+        """
+        tables = self.gold_tables()
+        if not silver_changed:
+            tables = {n: df for n, df in tables.items() if n in LOOKUP_DIMS}
+
+        def build(item):
+            name, df = item
+            return name, sinks.overwrite_table(df, self.path(f"gold/{name}"), self.root)
+
+        with ThreadPoolExecutor(max_workers=self.gold_threads) as pool:
+            return dict(pool.map(build, tables.items()))
 
     # -- the run --------------------------------------------------------------
     def run(self, full_refresh: bool = False) -> RunSummary:
         summary = RunSummary(batch_id=uuid.uuid4().hex)
-        spark = self.spark
         if self.run_tests:
             self._test(summary, "sources", {
                 "zones": self.zones,
@@ -266,15 +280,23 @@ class Pipeline:
                 "rate_codes": self.known(RATE_CODES, "rate_code_id", "rate_code_name"),
                 "payment_types": self.known(PAYMENT_TYPES, "payment_type_id", "payment_type_name"),
             })
-        self._timed(summary, "bronze", lambda: self.bronze(summary, full_refresh))
-        self._test(summary, "bronze", {"bronze_yellow_tripdata": self.table(BRONZE)})
-        self._timed(summary, "silver", lambda: self.silver(summary, full_refresh))
-        self._test(summary, "silver", {"silver_yellow_trips": self.table(SILVER),
-                                       "silver_yellow_trips_rejected": self.table(REJECTED)})
-        self._timed(summary, "fact", lambda: self.fact(summary, full_refresh))
-        self._timed(summary, "gold", lambda: self.gold(summary))
+        bronze = self._timed(summary, "bronze", lambda: self.bronze(summary, full_refresh))
+        if bronze.get("files"):
+            self._test(summary, "bronze", {"bronze_yellow_tripdata": self.table(BRONZE)})
+        silver = self._timed(summary, "silver", lambda: self.silver(summary, full_refresh))
+        if silver.get("files") != 0:
+            self._test(summary, "silver", {"silver_yellow_trips": self.table(SILVER),
+                                           "silver_yellow_trips_rejected": self.table(REJECTED)})
+        fact = self._timed(summary, "fact", lambda: self.fact(summary, full_refresh))
+        changed = (full_refresh or silver.get("files") != 0 or fact.get("files") != 0
+                   or not all(self.exists(f"gold/{n}") for n in ["fact_daily_zone_summary", *GOLD_DIMS]))
+        self._timed(summary, "gold", lambda: self.gold(summary, changed))
         gold = {n: self.table(f"gold/{n}") for n in ["fact_daily_zone_summary", *GOLD_DIMS]}
         gold["fact_trips"] = self.table(FACT)
-        self._test(summary, "gold", gold)
-        del spark
+        if changed:
+            self._test(summary, "gold", gold)
+        else:
+            lookup = [t for t in model_tests()["gold"] if t.model in LOOKUP_DIMS
+                      or (t.kind == "relationships" and t.to_model in LOOKUP_DIMS)]
+            summary.tests += checks.gate(checks.run_tests(gold, lookup)) if self.run_tests else []
         return summary

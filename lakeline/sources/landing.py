@@ -84,8 +84,39 @@ def _schema_signature(schema: T.StructType) -> tuple:
     return tuple((f.name.lower(), f.dataType.simpleString()) for f in schema.fields)
 
 
+def _local_footer_signature(path: str) -> tuple | None:
+    """Footer schema of a local file read with pyarrow (metadata only)."""
+    if not (path.startswith("file:") or path.startswith("/")):
+        return None
+    import pyarrow.parquet as pq
+
+    local = path[len("file:"):] if path.startswith("file:") else path
+    while local.startswith("//"):
+        local = local[1:]
+    schema = pq.read_schema(local)
+    return tuple((f.name.lower(), str(f.type)) for f in schema)
+
+
+def footer_signatures(spark: SparkSession, files: list[str], threads: int = 16) -> dict[str, tuple]:
+    """A schema signature per file, from the Parquet footers only.
+
+    Local files are read with pyarrow (about a millisecond each); other file
+    systems go through Spark's schema inference, one file at a time, from a
+    thread pool. Either way no row data is read.
+    """
+
+    def one(path: str) -> tuple[str, tuple]:
+        sig = _local_footer_signature(path)
+        if sig is None:
+            sig = _schema_signature(spark.read.parquet(path).schema)
+        return path, sig
+
+    with ThreadPoolExecutor(max_workers=max(1, min(threads, len(files)))) as pool:
+        return dict(pool.map(one, files))
+
+
 def footer_schemas(spark: SparkSession, files: list[str], threads: int = 16) -> dict[str, T.StructType]:
-    """Read each file's footer schema (metadata only, no row data)."""
+    """Spark schema of each file (reads footers only)."""
 
     def one(path: str) -> tuple[str, T.StructType]:
         return path, spark.read.parquet(path).schema
@@ -119,8 +150,8 @@ def read_landing(spark: SparkSession, files: list[str],
     if not files:
         raise ValueError("read_landing needs at least one file")
     groups: dict[tuple, list[str]] = defaultdict(list)
-    for path, schema in footer_schemas(spark, files).items():
-        groups[_schema_signature(schema)].append(path)
+    for path, signature in footer_signatures(spark, files).items():
+        groups[signature].append(path)
 
     parts = []
     for paths in groups.values():

@@ -76,3 +76,25 @@ def test_calendar_names_and_iso_fields(spark):
     want = [con.execute("SELECT monthname(?::DATE), dayname(?::DATE), isodow(?::DATE), weekofyear(?::DATE), "
                         "strftime(?::DATE, '%Y%m%d')::INTEGER", [d] * 5).fetchone() for d in days]
     assert got == [tuple(w) for w in want]
+
+
+def test_rounding_matches_sql_engine_on_random_doubles(spark):
+    from hypothesis import given, settings
+    from hypothesis import strategies as st
+
+    ties = st.integers(-10**9, 10**9).map(lambda k: k / 8)          # exact .125/.5/... ties
+    cents = st.integers(-10**9, 10**9).map(lambda k: k / 1000 + 0.005)  # near cent boundaries
+    anyd = st.floats(-1e7, 1e7, allow_nan=False, allow_infinity=False)
+    con = duckdb.connect()
+
+    @settings(max_examples=5, deadline=None)
+    @given(st.lists(st.one_of(ties, cents, anyd), min_size=50, max_size=200))
+    def check(xs):
+        df = spark.createDataFrame([(i, x) for i, x in enumerate(xs)], "i long, x double").coalesce(1)
+        got = [tuple(r) for r in df.orderBy("i").select(compat.round2("x"), compat.to_money("x")).collect()]
+        con.execute("CREATE OR REPLACE TABLE v(i BIGINT, x DOUBLE)")
+        con.executemany("INSERT INTO v VALUES (?, ?)", list(enumerate(xs)))
+        want = con.execute("SELECT round(x, 2), x::DECIMAL(10, 2) FROM v ORDER BY i").fetchall()
+        assert got == [tuple(w) for w in want]
+
+    check()
