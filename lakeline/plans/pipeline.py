@@ -162,8 +162,10 @@ class Pipeline:
         tests = model_tests()[layer]
         summary.tests += checks.gate(checks.run_tests(tables, tests))
 
-    def bronze(self, summary: RunSummary, full_refresh: bool) -> dict:
-        listing = landing.list_landing(self.spark, self.glob).persist(StorageLevel.MEMORY_AND_DISK)
+    def bronze(self, summary: RunSummary, full_refresh: bool, listing: DataFrame | None = None) -> dict:
+        if listing is None:
+            listing = landing.list_landing(self.spark, self.glob)
+        listing = listing.select(FILE, "_source_modified_at").persist(StorageLevel.MEMORY_AND_DISK)
         first = full_refresh or not self.exists(BRONZE)
         loaded = None if first else self.latest(self.load_log(BRONZE))
         pending = file_names(pending_landing_files(listing, loaded))
@@ -271,7 +273,9 @@ class Pipeline:
             return dict(pool.map(build, tables.items()))
 
     # -- the run --------------------------------------------------------------
-    def run(self, full_refresh: bool = False) -> RunSummary:
+    def run(self, full_refresh: bool = False, listing: DataFrame | None = None) -> RunSummary:
+        """One run. ``listing`` (``_source_file, _source_modified_at``) replaces
+        the landing listing, e.g. the new files of a streaming micro-batch."""
         summary = RunSummary(batch_id=uuid.uuid4().hex)
         if self.run_tests:
             self._test(summary, "sources", {
@@ -280,7 +284,7 @@ class Pipeline:
                 "rate_codes": self.known(RATE_CODES, "rate_code_id", "rate_code_name"),
                 "payment_types": self.known(PAYMENT_TYPES, "payment_type_id", "payment_type_name"),
             })
-        bronze = self._timed(summary, "bronze", lambda: self.bronze(summary, full_refresh))
+        bronze = self._timed(summary, "bronze", lambda: self.bronze(summary, full_refresh, listing))
         if bronze.get("files"):
             self._test(summary, "bronze", {"bronze_yellow_tripdata": self.table(BRONZE)})
         silver = self._timed(summary, "silver", lambda: self.silver(summary, full_refresh))
