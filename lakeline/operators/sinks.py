@@ -169,7 +169,7 @@ def _writer(df: DataFrame, partition_by: list[str] | None, max_records: int | No
 
 
 def overwrite_table(df: DataFrame, path: str, root: str, partition_by: list[str] | None = None,
-                    max_records: int | None = 5_000_000) -> int:
+                    max_records: int | None = 5_000_000, metrics: dict | None = None) -> int:
     """Rebuild a table; the old one survives if computing the new one fails.
 
     The rows are first written to a staging folder next to the table; only
@@ -180,9 +180,13 @@ def overwrite_table(df: DataFrame, path: str, root: str, partition_by: list[str]
     _check_below(path, root)
     staging = f"{path.rstrip('/')}__staging-{uuid.uuid4().hex[:8]}"
     obs = Observation("overwrite")
-    _writer(df.observe(obs, F.count(F.lit(1)).alias("rows")), partition_by, max_records) \
+    extra = [c.alias(n) for n, c in (metrics or {}).items()]
+    _writer(df.observe(obs, F.count(F.lit(1)).alias("rows"), *extra), partition_by, max_records) \
         .mode("errorifexists").parquet(staging)
     _write_schema(spark, staging, df.schema)
+    if metrics is not None:
+        metrics.clear()
+        metrics.update({k: v for k, v in obs.get.items() if k != "rows"})
     if exists(spark, path):
         delete(spark, path, root)
     rename(spark, staging, path)
@@ -210,7 +214,7 @@ def append_table(df: DataFrame, path: str, root: str, partition_by: list[str] |
 
 def replace_by_key(df: DataFrame, path: str, root: str, key: str, partition_by: list[str] | None = None,
                    replace_keys: list[str] | None = None, strict_reference: bool = False,
-                   max_records: int | None = 5_000_000) -> dict:
+                   max_records: int | None = 5_000_000, metrics: dict | None = None) -> dict:
     """Delete the rows of every replaced key, then insert ``df``.
 
     The table is partitioned by ``(*partition_by, key)``. A dynamic partition
@@ -237,27 +241,34 @@ def replace_by_key(df: DataFrame, path: str, root: str, key: str, partition_by:
 
     # Written partitions and row count are gathered while writing (no second pass).
     obs = Observation("replace_by_key")
+    extra = [c.alias(n) for n, c in (metrics or {}).items()]
     observed = df.observe(obs, F.count(F.lit(1)).alias("rows"),
-                          F.collect_set(F.struct(*[F.col(c).cast("string").alias(c) for c in cols])).alias("parts"))
+                          F.collect_set(F.struct(*[F.col(c).cast("string").alias(c) for c in cols])).alias("parts"),
+                          *extra)
     _writer(observed, cols, max_records).mode("overwrite") \
         .option("partitionOverwriteMode", "dynamic").parquet(path)
     if _read_schema(spark, path) is None:
         _write_schema(spark, path, df.schema)
-    metrics = obs.get
-    written = {tuple(r[c] for c in cols) for r in metrics["parts"]}
+    observed_metrics = obs.get
+    written = {tuple(r[c] for c in cols) for r in observed_metrics["parts"]}
     keys_written = {p[-1] for p in written}
     to_replace = set(keys_written)
     if replace_keys is not None and not strict_reference:
         to_replace |= set(replace_keys)
 
-    removed = 0
+    removed: set[tuple] = set()
     if to_replace:
         for dir_path, values in _partition_dirs(spark, path, len(cols)):
             part = tuple(values.get(c) for c in cols)
             if values.get(key) in to_replace and part not in written:
                 delete(spark, dir_path, root)
-                removed += 1
-    return {"rows": int(metrics["rows"]), "partitions_written": len(written), "stale_removed": removed}
+                removed.add(part)
+    if metrics is not None:
+        extra_values = {k: v for k, v in observed_metrics.items() if k not in ("rows", "parts")}
+        metrics.clear()
+        metrics.update(extra_values)
+    return {"rows": int(observed_metrics["rows"]), "partitions_written": len(written),
+            "stale_removed": len(removed), "touched": sorted(written | removed, key=str)}
 
 
 # --- catalog tables (DataFrameWriterV2, e.g. Iceberg) ------------------------------

@@ -51,12 +51,18 @@ FACT = "gold/fact_trips"
 SUMMARY = "gold/fact_daily_zone_summary"
 GOLD_DIMS = ["dim_date", "dim_time_of_day", "dim_location", "dim_vendor", "dim_rate_code", "dim_payment_type"]
 LOOKUP_DIMS = {"dim_time_of_day", "dim_location"}
+PROFILE_DIMS = {"dim_date", "dim_vendor", "dim_rate_code", "dim_payment_type"}
+PROFILE = "silver_file_profile"
 
 
 class NoLandingFiles(RuntimeError):
     pass
 
 
+class TripIdOverflow(RuntimeError):
+    pass
+
+
 @dataclass
 class RunSummary:
     batch_id: str
@@ -153,14 +159,16 @@ class Pipeline:
         t0 = time.time()
         out = fn() or {}
         out["seconds"] = round(time.time() - t0, 3)
-        summary.stages[stage] = out
+        summary.stages[stage] = {k: v for k, v in out.items() if not k.startswith("_")}
         return out
 
-    def _test(self, summary: RunSummary, layer: str, tables: dict[str, DataFrame]) -> None:
+    def _test(self, summary: RunSummary, layer: str, tables: dict[str, DataFrame],
+              only: list[DataTest] | None = None) -> None:
         if not self.run_tests:
             return
-        tests = model_tests()[layer]
-        summary.tests += checks.gate(checks.run_tests(tables, tests))
+        tests = model_tests()[layer] if only is None else only
+        if tests:
+            summary.tests += checks.gate(checks.run_tests(tables, tests))
 
     def bronze(self, summary: RunSummary, full_refresh: bool, listing: DataFrame | None = None) -> dict:
         if listing is None:
@@ -173,18 +181,25 @@ class Pipeline:
             listing.unpersist()
             if first:
                 raise NoLandingFiles(f"No landing files match {self.glob}")
-            return {"files": 0, "rows": 0}
+            return {"files": 0, "rows": 0, "_pending": []}
         rows = landing.bronze_rows(landing.read_landing(self.spark, pending), summary.batch_id)
+        metrics = {"max_row": F.max("_source_row_number")}
         if first:
-            n = sinks.overwrite_table(rows, self.path(BRONZE), self.root, ["_source_period", FILE])
+            n = sinks.overwrite_table(rows, self.path(BRONZE), self.root, ["_source_period", FILE], metrics=metrics)
             stats = {"rows": n}
         else:
             stats = sinks.replace_by_key(rows, self.path(BRONZE), self.root, FILE, ["_source_period"],
-                                         replace_keys=pending, strict_reference=self.strict_reference)
+                                         replace_keys=pending, strict_reference=self.strict_reference,
+                                         metrics=metrics)
+            stats.pop("touched")
         self._log(BRONZE, listing.where(F.col(FILE).isin(pending))
                   .select(FILE, "_source_modified_at", F.lit(summary.batch_id).alias("_batch_id")))
         listing.unpersist()
-        return {"files": len(pending), **stats}
+        max_row = metrics.get("max_row")
+        if max_row is not None and max_row >= quality.TRIP_ID_ROW_LIMIT:
+            raise TripIdOverflow(f"a landing file has {max_row + 1} rows; trip_id allows "
+                                 f"{quality.TRIP_ID_ROW_LIMIT} per file")
+        return {"files": len(pending), **stats, "_pending": None if first else pending}
 
     def _pending(self, upstream: str, own: str, full_refresh: bool) -> list[str] | None:
         if full_refresh or not self.exists(own) or self.load_log(own) is None:
@@ -195,87 +210,138 @@ class Pipeline:
     def _upstream_batches(self, upstream: str, pending: list[str] | None) -> DataFrame:
         return source_file_filter(self.latest(self.load_log(upstream)), pending).select(FILE, "_batch_id")
 
+    def _write_by_file(self, df: DataFrame, name: str, partition: str, pending: list[str] | None) -> dict:
+        """Overwrite (all files) or replace the pending files' partitions."""
+        path = self.path(name) if "/" in name else self.log_path(name)
+        if pending is None:
+            return {"rows": sinks.overwrite_table(df, path, self.root, [partition, FILE]), "touched": None}
+        out = sinks.replace_by_key(df, path, self.root, FILE, [partition], replace_keys=pending,
+                                   strict_reference=self.strict_reference)
+        return {"rows": out["rows"], "touched": out["touched"]}
+
     def silver(self, summary: RunSummary, full_refresh: bool) -> dict:
         pending = self._pending(BRONZE, SILVER, full_refresh)
         if pending == []:
-            return {"files": 0}
+            return {"files": 0, "_periods": []}
         bronze = source_file_filter(self.table(BRONZE), pending)
         classified = quality.classify(bronze, self.thresholds).persist(StorageLevel.MEMORY_AND_DISK)
         now = F.current_timestamp()
         valid = quality.silver_valid(classified).withColumn("_processed_at", now)
         rejected = quality.silver_rejected(classified).withColumn("_processed_at", now)
-        out = {"files": None if pending is None else len(pending)}
-        parts = ["_source_period", FILE]
-        if pending is None:
-            out["valid"] = sinks.overwrite_table(valid, self.path(SILVER), self.root, parts)
-            out["rejected"] = sinks.overwrite_table(rejected, self.path(REJECTED), self.root, parts)
-        else:
-            kw = dict(replace_keys=pending, strict_reference=self.strict_reference)
-            out["valid"] = sinks.replace_by_key(valid, self.path(SILVER), self.root, FILE, ["_source_period"], **kw)["rows"]
-            out["rejected"] = sinks.replace_by_key(rejected, self.path(REJECTED), self.root, FILE,
-                                                   ["_source_period"], **kw)["rows"]
+        v = self._write_by_file(valid, SILVER, "_source_period", pending)
+        r = self._write_by_file(rejected, REJECTED, "_source_period", pending)
+        # Per-file profile of the valid rows: code combinations and time bounds.
+        # Gold's calendar and code dimensions are rebuilt from it, a few rows per file.
+        profile = (self.table(SILVER) if pending is None else source_file_filter(self.table(SILVER), pending)) \
+            .groupBy(FILE, "_source_period", "vendor_id", "rate_code_id", "payment_type_id") \
+            .agg(F.min("pickup_at").alias("pickup_at"), F.max("dropoff_at").alias("dropoff_at"))
+        self._write_by_file(profile, PROFILE, "_source_period", pending)
         classified.unpersist()
         self._log(SILVER, self._upstream_batches(BRONZE, pending))
-        return out
+        periods = None
+        if pending is not None:
+            periods = sorted({t[0] for t in (v["touched"] or []) + (r["touched"] or [])}, key=str)
+        return {"files": None if pending is None else len(pending), "valid": v["rows"],
+                "rejected": r["rows"], "_pending": pending, "_periods": periods}
 
     def fact(self, summary: RunSummary, full_refresh: bool) -> dict:
         pending = self._pending(SILVER, FACT, full_refresh)
         if pending == []:
-            return {"files": 0}
+            return {"files": 0, "_months": []}
         silver = source_file_filter(self.table(SILVER), pending)
         rows = (facts.fact_trips(silver).withColumn("_processed_at", F.current_timestamp())
                 .withColumn("pickup_month", month_start("pickup_at")))
-        parts = ["pickup_month", FILE]
-        if pending is None:
-            n = sinks.overwrite_table(rows, self.path(FACT), self.root, parts)
-        else:
-            n = sinks.replace_by_key(rows, self.path(FACT), self.root, FILE, ["pickup_month"],
-                                     replace_keys=pending, strict_reference=self.strict_reference)["rows"]
+        out = self._write_by_file(rows, FACT, "pickup_month", pending)
         self._log(FACT, self._upstream_batches(SILVER, pending))
-        return {"files": None if pending is None else len(pending), "rows": n}
+        months = None if out["touched"] is None else sorted({t[0] for t in out["touched"]}, key=str)
+        return {"files": None if pending is None else len(pending), "rows": out["rows"], "_months": months}
 
     def known(self, rows, id_col, name_col) -> DataFrame:
         return dims.code_list(self.spark, rows, id_col, name_col)
 
-    def gold_tables(self) -> dict[str, DataFrame]:
-        """Gold tables rebuilt on every run, as plans over silver / fact."""
-        silver = self.table(SILVER)
+    def lookup_dims(self) -> dict[str, DataFrame]:
+        return {"dim_time_of_day": dims.dim_time_of_day(self.spark), "dim_location": dims.dim_location(self.zones)}
+
+    def profile_dims(self) -> dict[str, DataFrame]:
+        """Calendar and code dimensions from the per-file profile of silver."""
+        profile = self.table(f"_loads/{PROFILE}") if sinks.table_exists(self.spark, self.log_path(PROFILE)) \
+            else self.table(SILVER)
         return {
-            "fact_daily_zone_summary": facts.fact_daily_zone_summary(self.table(FACT)),
-            "dim_date": dims.dim_date(silver),
-            "dim_time_of_day": dims.dim_time_of_day(self.spark),
-            "dim_location": dims.dim_location(self.zones),
-            "dim_vendor": dims.complete_code_dim(self.known(VENDORS, "vendor_id", "vendor_name"), silver,
+            "dim_date": dims.dim_date(profile),
+            "dim_vendor": dims.complete_code_dim(self.known(VENDORS, "vendor_id", "vendor_name"), profile,
                                                  "vendor_id", "vendor_name", "Unknown vendor "),
             "dim_rate_code": dims.complete_code_dim(self.known(RATE_CODES, "rate_code_id", "rate_code_name"),
-                                                    silver, "rate_code_id", "rate_code_name", "Unknown rate code "),
+                                                    profile, "rate_code_id", "rate_code_name", "Unknown rate code "),
             "dim_payment_type": dims.complete_code_dim(
-                self.known(PAYMENT_TYPES, "payment_type_id", "payment_type_name"), silver,
+                self.known(PAYMENT_TYPES, "payment_type_id", "payment_type_name"), profile,
                 "payment_type_id", "payment_type_name", "Unknown payment type "),
         }
 
-    def gold(self, summary: RunSummary, silver_changed: bool) -> dict:
-        """Rebuild gold tables; independent tables are built concurrently.
-
-        Tables computed from silver / fact are skipped when neither changed
-        in this run (their inputs, hence their rows, are the same); the
-        lookup-based dimensions are always rebuilt (a lookup may change).
-        """
-        tables = self.gold_tables()
-        if not silver_changed:
-            tables = {n: df for n, df in tables.items() if n in LOOKUP_DIMS}
+    def gold_tables(self) -> dict[str, DataFrame]:
+        """All gold tables as plans (full rebuild)."""
+        return {"fact_daily_zone_summary": facts.fact_daily_zone_summary(self.table(FACT)),
+                **self.profile_dims(), **self.lookup_dims()}
 
+    def _overwrite_all(self, tables: dict[str, DataFrame]) -> dict:
         def build(item):
             name, df = item
-            return name, sinks.overwrite_table(df, self.path(f"gold/{name}"), self.root)
+            parts = ["date_key"] if name == "fact_daily_zone_summary" else None
+            return name, sinks.overwrite_table(df, self.path(f"gold/{name}"), self.root, parts)
 
         with ThreadPoolExecutor(max_workers=self.gold_threads) as pool:
             return dict(pool.map(build, tables.items()))
 
+    def gold(self, summary: RunSummary, months: list | None, silver_changed: bool) -> dict:
+        """Rebuild gold for what changed.
+
+        ``months`` = pickup months whose fact rows changed (``None`` = all).
+        A summary row of day d only depends on fact rows of month(d) (a valid
+        trip starts in its file's month), so only those months' days are
+        recomputed, from fact partitions of those months, and their day
+        partitions replaced. Calendar and code dimensions come from the
+        per-file silver profile; lookup dimensions are always rebuilt and
+        reported as changed only when their rows differ.
+        """
+        out: dict = {}
+        full = months is None or not self.exists(SUMMARY)
+        tables: dict[str, DataFrame] = {}
+        if full:
+            tables.update(self.gold_tables())
+        else:
+            if silver_changed:
+                tables.update(self.profile_dims())
+            if months:
+                fact = self.table(FACT).where(F.col("pickup_month").isin(list(months)))
+                days = [d.strftime("%Y%m%d") for m in months for d in _days_of_month(m)]
+                rows = facts.fact_daily_zone_summary(fact)
+                out["fact_daily_zone_summary"] = sinks.replace_by_key(
+                    rows, self.path(SUMMARY), self.root, "date_key", [], replace_keys=days)["rows"]
+        changed_lookups = []
+        for name, df in self.lookup_dims().items():
+            path = self.path(f"gold/{name}")
+            if full or not sinks.table_exists(self.spark, path):
+                tables[name] = df
+                changed_lookups.append(name)
+                continue
+            old = sinks.read_table(self.spark, path)
+            if not (df.exceptAll(old).isEmpty() and old.exceptAll(df).isEmpty()):
+                tables[name] = df
+                changed_lookups.append(name)
+        out.update(self._overwrite_all(tables))
+        out["_changed_lookups"] = changed_lookups
+        return out
+
     # -- the run --------------------------------------------------------------
     def run(self, full_refresh: bool = False, listing: DataFrame | None = None) -> RunSummary:
         """One run. ``listing`` (``_source_file, _source_modified_at``) replaces
-        the landing listing, e.g. the new files of a streaming micro-batch."""
+        the landing listing, e.g. the new files of a streaming micro-batch.
+
+        Tests run on what the run changed: bronze/silver on the periods of
+        re-loaded files (trip ids can only clash inside one period), fact and
+        summary on the changed pickup months, dimensions in full, and the
+        relationships to a lookup dimension in full when that lookup changed.
+        First loads and full refreshes test whole tables.
+        """
         summary = RunSummary(batch_id=uuid.uuid4().hex)
         if self.run_tests:
             self._test(summary, "sources", {
@@ -284,23 +350,54 @@ class Pipeline:
                 "rate_codes": self.known(RATE_CODES, "rate_code_id", "rate_code_name"),
                 "payment_types": self.known(PAYMENT_TYPES, "payment_type_id", "payment_type_name"),
             })
-        bronze = self._timed(summary, "bronze", lambda: self.bronze(summary, full_refresh, listing))
-        if bronze.get("files"):
-            self._test(summary, "bronze", {"bronze_yellow_tripdata": self.table(BRONZE)})
-        silver = self._timed(summary, "silver", lambda: self.silver(summary, full_refresh))
-        if silver.get("files") != 0:
-            self._test(summary, "silver", {"silver_yellow_trips": self.table(SILVER),
-                                           "silver_yellow_trips_rejected": self.table(REJECTED)})
-        fact = self._timed(summary, "fact", lambda: self.fact(summary, full_refresh))
-        changed = (full_refresh or silver.get("files") != 0 or fact.get("files") != 0
-                   or not all(self.exists(f"gold/{n}") for n in ["fact_daily_zone_summary", *GOLD_DIMS]))
-        self._timed(summary, "gold", lambda: self.gold(summary, changed))
-        gold = {n: self.table(f"gold/{n}") for n in ["fact_daily_zone_summary", *GOLD_DIMS]}
-        gold["fact_trips"] = self.table(FACT)
-        if changed:
-            self._test(summary, "gold", gold)
-        else:
-            lookup = [t for t in model_tests()["gold"] if t.model in LOOKUP_DIMS
-                      or (t.kind == "relationships" and t.to_model in LOOKUP_DIMS)]
-            summary.tests += checks.gate(checks.run_tests(gold, lookup)) if self.run_tests else []
+        b = self._timed(summary, "bronze", lambda: self.bronze(summary, full_refresh, listing))
+        if b["files"]:
+            bronze = self.table(BRONZE)
+            if b["_pending"] is not None:
+                bronze = source_file_filter(bronze, b["_pending"])
+            self._test(summary, "bronze", {"bronze_yellow_tripdata": bronze})
+
+        s = self._timed(summary, "silver", lambda: self.silver(summary, full_refresh))
+        if s["files"] != 0:
+            silver, rejected = self.table(SILVER), self.table(REJECTED)
+            if s["_periods"] is not None:
+                in_periods = F.col("_source_period").isin(list(s["_periods"]))
+                silver, rejected = silver.where(in_periods), rejected.where(in_periods)
+            self._test(summary, "silver", {"silver_yellow_trips": silver, "silver_yellow_trips_rejected": rejected})
+
+        f = self._timed(summary, "fact", lambda: self.fact(summary, full_refresh))
+        months = f["_months"]
+        silver_changed = s["files"] != 0
+        g = self._timed(summary, "gold", lambda: self.gold(summary, months, silver_changed))
+
+        gold = {n: self.table(f"gold/{n}") for n in GOLD_DIMS}
+        full = {"fact_trips": self.table(FACT), "fact_daily_zone_summary": self.table(SUMMARY), **gold}
+        tests = model_tests()["gold"]
+        if months is None:  # first load or full refresh: whole tables
+            self._test(summary, "gold", full, only=tests)
+            return summary
+        facts_models = ("fact_trips", "fact_daily_zone_summary")
+        changed = set(g["_changed_lookups"])
+        # relationships to a lookup that changed: every fact row is re-checked
+        whole = [t for t in tests if t.kind == "relationships" and t.to_model in changed]
+        scoped = [t for t in tests if t not in whole and (
+            (t.model in facts_models and months)
+            or (t.model in LOOKUP_DIMS and t.model in changed)
+            or (t.model in PROFILE_DIMS and silver_changed))]
+        self._test(summary, "gold", full, only=whole)
+        days = [int(d.strftime("%Y%m%d")) for m in months for d in _days_of_month(m)]
+        self._test(summary, "gold", {
+            **full,
+            "fact_trips": full["fact_trips"].where(F.col("pickup_month").isin(list(months))),
+            "fact_daily_zone_summary": full["fact_daily_zone_summary"].where(F.col("date_key").isin(days)),
+        }, only=scoped)
         return summary
+
+
+def _days_of_month(month) -> list:
+    import calendar
+    import datetime as dt
+
+    first = month if isinstance(month, dt.date) else dt.date.fromisoformat(str(month))
+    n = calendar.monthrange(first.year, first.month)[1]
+    return [first.replace(day=i) for i in range(1, n + 1)]
