@@ -230,12 +230,17 @@ class Pipeline:
         rejected = quality.silver_rejected(classified).withColumn("_processed_at", now)
         v = self._write_by_file(valid, SILVER, "_source_period", pending)
         r = self._write_by_file(rejected, REJECTED, "_source_period", pending)
-        # Per-file profile of the valid rows: code combinations and time bounds.
-        # Gold's calendar and code dimensions are rebuilt from it, a few rows per file.
-        profile = (self.table(SILVER) if pending is None else source_file_filter(self.table(SILVER), pending)) \
-            .groupBy(FILE, "_source_period", "vendor_id", "rate_code_id", "payment_type_id") \
-            .agg(F.min("pickup_at").alias("pickup_at"), F.max("dropoff_at").alias("dropoff_at"))
-        self._write_by_file(profile, PROFILE, "_source_period", pending)
+        # Per-file profile of the valid rows: code combinations and time bounds
+        # (a few rows per file, from the persisted classification). Gold's
+        # calendar and code dimensions are rebuilt from it.
+        profile = quality.silver_valid(classified).groupBy(
+            FILE, "_source_period", "vendor_id", "rate_code_id", "payment_type_id").agg(
+            F.min("pickup_at").alias("pickup_at"), F.max("dropoff_at").alias("dropoff_at"))
+        profile_path = self.log_path(PROFILE)
+        if pending is not None and sinks.table_exists(self.spark, profile_path):
+            kept = sinks.read_table(self.spark, profile_path).where(~F.col(FILE).isin(pending))
+            profile = kept.unionByName(profile)
+        sinks.overwrite_table(profile, profile_path, self.root)
         classified.unpersist()
         self._log(SILVER, self._upstream_batches(BRONZE, pending))
         periods = None
@@ -285,8 +290,7 @@ class Pipeline:
     def _overwrite_all(self, tables: dict[str, DataFrame]) -> dict:
         def build(item):
             name, df = item
-            parts = ["date_key"] if name == "fact_daily_zone_summary" else None
-            return name, sinks.overwrite_table(df, self.path(f"gold/{name}"), self.root, parts)
+            return name, sinks.overwrite_table(df, self.path(f"gold/{name}"), self.root)
 
         with ThreadPoolExecutor(max_workers=self.gold_threads) as pool:
             return dict(pool.map(build, tables.items()))
@@ -296,11 +300,12 @@ class Pipeline:
 
         ``months`` = pickup months whose fact rows changed (``None`` = all).
         A summary row of day d only depends on fact rows of month(d) (a valid
-        trip starts in its file's month), so only those months' days are
-        recomputed, from fact partitions of those months, and their day
-        partitions replaced. Calendar and code dimensions come from the
-        per-file silver profile; lookup dimensions are always rebuilt and
-        reported as changed only when their rows differ.
+        trip starts in its file's month), so only those months are recomputed,
+        from the fact partitions of those months, and the other months' rows
+        are kept from the current summary (one row per day and zone, so it
+        stays small however large the facts grow); the result replaces the
+        table. Calendar and code dimensions come from the per-file silver
+        profile; lookup dimensions are rebuilt when their rows differ.
         """
         out: dict = {}
         full = months is None or not self.exists(SUMMARY)
@@ -312,10 +317,9 @@ class Pipeline:
                 tables.update(self.profile_dims())
             if months:
                 fact = self.table(FACT).where(F.col("pickup_month").isin(list(months)))
-                days = [d.strftime("%Y%m%d") for m in months for d in _days_of_month(m)]
-                rows = facts.fact_daily_zone_summary(fact)
-                out["fact_daily_zone_summary"] = sinks.replace_by_key(
-                    rows, self.path(SUMMARY), self.root, "date_key", [], replace_keys=days)["rows"]
+                days = [int(d.strftime("%Y%m%d")) for m in months for d in _days_of_month(m)]
+                kept = self.table(SUMMARY).where(~F.col("date_key").isin(days))
+                tables["fact_daily_zone_summary"] = kept.unionByName(facts.fact_daily_zone_summary(fact))
         changed_lookups = []
         for name, df in self.lookup_dims().items():
             path = self.path(f"gold/{name}")
