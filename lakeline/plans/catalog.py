@@ -14,9 +14,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lakeline.config import DEDUP_KEYS
-from lakeline.operators import checks, incremental, sinks
+from lakeline.operators import checks, dims, incremental, sinks
 from lakeline.operators.quality import flag_repeats
-from lakeline.plans.models import TripModels, stored_models
+from lakeline.plans.models import TripModels, stored_models, zones_from_customers
 from lakeline.plans.oracle import with_ctes
 from lakeline.plans.pipeline import model_tests
 from lakeline.plans.registry import register
@@ -110,9 +110,11 @@ def q_dim_date(spark: SparkSession, sf_dir: str) -> DataFrame:
     return stored_models(spark, sf_dir).dim_date
 
 
-@register("dim_location", with_ctes("SELECT * FROM dim_location", "dim_location"))
+@register("dim_location", with_ctes("SELECT * FROM customer_dim_location", "customer_dim_location"))
 def q_dim_location(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return TripModels(spark, sf_dir).dim_location
+    """The location dimension over a zone lookup that grows with the data
+    (one zone per customer); the star query uses the 265-zone lookup."""
+    return dims.dim_location(zones_from_customers(spark, sf_dir))
 
 
 @register("dim_vendor", with_ctes("SELECT * FROM dim_vendor", "dim_vendor"))
@@ -432,13 +434,14 @@ def q_ingest_lineage(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 _ZONES_CSV_SQL = """
-    SELECT location_id, borough, zone_name || ', ' || borough AS zone_name, service_zone FROM zones"""
+    SELECT location_id, borough, zone_name || ', ' || borough AS zone_name, service_zone FROM customer_zones"""
 
 
-@register("lookup_csv", with_ctes("SELECT * FROM zones_csv", "zones", extra=[("zones_csv", _ZONES_CSV_SQL)]))
+@register("lookup_csv", with_ctes("SELECT * FROM zones_csv", "customer_zones",
+                                  extra=[("zones_csv", _ZONES_CSV_SQL)]))
 def q_lookup_csv(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Zones written as a quoted CSV (names contain commas) and read back typed."""
-    zones = TripModels(spark, sf_dir).zones.withColumn(
+    """A zone lookup written as a quoted CSV (names contain commas) and read back typed."""
+    zones = zones_from_customers(spark, sf_dir).withColumn(
         "zone_name", F.concat(F.col("zone_name"), F.lit(", "), F.col("borough")))
     path = scratch_path(spark, "zones-csv")
     zones.write.option("header", True).option("quoteAll", True).csv(path)

@@ -53,6 +53,24 @@ def zones_from_tables(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def zones_from_customers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A zone lookup with one zone per customer (it grows with the data).
+
+    Zone ``c_custkey`` is named after the customer, lies in the borough of the
+    customer's region and in the customer's market segment as service zone.
+    """
+    customer = read_table(spark, sf_dir, "customer").select("c_custkey", "c_name", "c_nationkey", "c_mktsegment")
+    nation = read_table(spark, sf_dir, "nation").select("n_nationkey", "n_regionkey")
+    region = read_table(spark, sf_dir, "region").select("r_regionkey", "r_name")
+    # nation (25 rows) and region (5 rows) are fixed-size tables
+    return (
+        customer.join(F.broadcast(nation), F.col("c_nationkey") == F.col("n_nationkey"))
+        .join(F.broadcast(region), F.col("n_regionkey") == F.col("r_regionkey"))
+        .select(F.col("c_custkey").cast("int").alias("location_id"), F.col("r_name").alias("borough"),
+                F.col("c_name").alias("zone_name"), F.col("c_mktsegment").alias("service_zone"))
+    )
+
+
 class TripModels:
     """Lazily built layers of the trip star schema."""
 
