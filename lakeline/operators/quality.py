@@ -98,7 +98,7 @@ def _row_width(schema) -> int:
 
 
 def flag_repeats(df: DataFrame, keys: list[str], order: str, out: str,
-                 broadcast_bytes: int | None = None) -> DataFrame:
+                 broadcast_bytes: int | None = None, scratch: str | None = None) -> DataFrame:
     """``out`` = row is not the first of its ``keys`` group (by ``order``).
 
     Same result as ``row_number() over (partition by keys order by order) > 1``
@@ -115,7 +115,7 @@ def flag_repeats(df: DataFrame, keys: list[str], order: str, out: str,
     groups = repeat_groups(df, keys, order)
     from lakeline.session import scratch_path
 
-    path = scratch_path(spark, "repeat-groups")
+    path = scratch_path(spark, "repeat-groups") if scratch is None else f"{scratch}/repeat-groups-{id(df):x}"
     groups.write.parquet(path)
     groups = spark.read.parquet(path)
     n = groups.count()
@@ -179,10 +179,14 @@ def first_broken(rules: list[Rule]) -> Column:
     return expr
 
 
-def classify(bronze: DataFrame, th: Thresholds = DEFAULT_THRESHOLDS) -> DataFrame:
-    """Typed rows + ``_reject_reason`` (first rule broken, NULL when valid)."""
+def classify(bronze: DataFrame, th: Thresholds = DEFAULT_THRESHOLDS, scratch: str | None = None) -> DataFrame:
+    """Typed rows + ``_reject_reason`` (first rule broken, NULL when valid).
+
+    ``scratch``: a shared folder for the intermediate repeat groups (default:
+    below ``spark.checkpoint.dir``).
+    """
     typed = typed_trips(bronze)
-    flagged = flag_repeats(typed, DEDUP_KEYS, "_source_row_number", "_is_duplicate")
+    flagged = flag_repeats(typed, DEDUP_KEYS, "_source_row_number", "_is_duplicate", scratch=scratch)
     return flagged.withColumn("_reject_reason", first_broken(trip_rules(th))).drop("_is_duplicate")
 
 

@@ -224,7 +224,8 @@ class Pipeline:
         if pending == []:
             return {"files": 0, "_periods": []}
         bronze = source_file_filter(self.table(BRONZE), pending)
-        classified = quality.classify(bronze, self.thresholds).persist(StorageLevel.MEMORY_AND_DISK)
+        scratch = f"{self.root}/_scratch/{summary.batch_id}"
+        classified = quality.classify(bronze, self.thresholds, scratch=scratch).persist(StorageLevel.MEMORY_AND_DISK)
         now = F.current_timestamp()
         valid = quality.silver_valid(classified).withColumn("_processed_at", now)
         rejected = quality.silver_rejected(classified).withColumn("_processed_at", now)
@@ -242,6 +243,8 @@ class Pipeline:
             profile = kept.unionByName(profile)
         sinks.overwrite_table(profile, profile_path, self.root)
         classified.unpersist()
+        if sinks.exists(self.spark, scratch):
+            sinks.delete(self.spark, scratch, self.root)
         self._log(SILVER, self._upstream_batches(BRONZE, pending))
         periods = None
         if pending is not None:

@@ -63,3 +63,10 @@ def test_source_period_edge_cases(spark):
     df = spark.createDataFrame([(n,) for n in names], "p string")
     got = [None if r[0] is None else str(r[0]) for r in df.coalesce(1).select(landing.source_period("p")).collect()]
     assert got == ["2023-01-01", "2023-12-01", None, None, None, None, None]
+
+
+def test_glob_classes_narrow_a_run(spark, workdir):
+    for m in ("01", "02", "03"):
+        write(f"{workdir}/g/trips_2023_{m}.parquet", month_rows(f"2023-{m}", n=2, bad=False))
+    df = landing.list_landing(spark, f"{workdir}/g/trips_2023_0[12].parquet")
+    assert sorted(os.path.basename(r[0]) for r in df.collect()) == ["trips_2023_01.parquet", "trips_2023_02.parquet"]
