@@ -98,3 +98,11 @@ def test_rounding_matches_sql_engine_on_random_doubles(spark):
         assert got == [tuple(w) for w in want]
 
     check()
+
+
+def test_money_overflow_raises_like_the_sql_engine(spark):
+    df = spark.createDataFrame([(1e9,)], "x double")
+    with pytest.raises(Exception, match="cannot be represented as Decimal"):
+        df.select(compat.to_money("x")).collect()
+    with pytest.raises(duckdb.Error):
+        duckdb.sql("SELECT 1e9::DOUBLE::DECIMAL(10, 2)").fetchall()

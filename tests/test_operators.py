@@ -56,3 +56,17 @@ def test_flag_repeats_plan_has_no_window_and_keeps_rows_in_place(spark):
     groups_plan = __import__("lakeline.operators.quality", fromlist=["x"]).repeat_groups(
         df, ["g", "k1", "k2"], "row")._jdf.queryExecution().executedPlan().toString()
     assert "partial_min" in groups_plan  # map-side combine before the shuffle
+
+
+def test_source_file_filter_none_empty_list_frame(spark):
+    from lakeline.operators.incremental import pending_source_files, source_file_filter
+
+    df = spark.createDataFrame([("a", "b1"), ("b", "b1"), ("c", "b2")], "_source_file string, _batch_id string")
+    assert source_file_filter(df, None).count() == 3          # first load: everything
+    assert source_file_filter(df, []).count() == 0            # nothing pending: nothing
+    assert source_file_filter(df, ["a", "c"]).count() == 2
+    own = spark.createDataFrame([("a", "b1"), ("c", "b0")], "_source_file string, _batch_id string")
+    pending = pending_source_files(df, own)                    # b new, c re-batched
+    assert sorted(r[0] for r in pending.collect()) == ["b", "c"]
+    assert sorted(r[0] for r in source_file_filter(df, pending).select("_source_file").collect()) == ["b", "c"]
+    assert pending_source_files(df, None) is None

@@ -80,3 +80,12 @@ def test_paths_outside_the_root_are_refused(spark, workdir):
     with pytest.raises(ValueError):
         sinks.delete(spark, f"{workdir}/../x", workdir)
     assert os.path.isdir(workdir)
+
+
+def test_partition_values_keep_their_declared_types(spark, workdir):
+    path = f"{workdir}/t"
+    df = spark.createDataFrame([("001", "2023-01-01", 1)], "k string, p string, v long")
+    sinks.replace_by_key(df.withColumn("p", F.col("p").cast("date")), path, workdir, "k", ["p"])
+    back = sinks.read_table(spark, path)
+    assert dict(back.dtypes) == {"k": "string", "p": "date", "v": "bigint"}
+    assert back.first()["k"] == "001"  # a numeric-looking key stays a string
