@@ -117,6 +117,11 @@ def _write_schema(spark: SparkSession, path: str, schema: T.StructType) -> None:
         out.close()
 
 
+def read_schema(spark: SparkSession, path: str) -> T.StructType | None:
+    """The schema recorded for a table folder (``None`` if there is none)."""
+    return _read_schema(spark, path)
+
+
 def _read_schema(spark: SparkSession, path: str) -> T.StructType | None:
     fs, p = _fs(spark, f"{path.rstrip('/')}/{SCHEMA_FILE}")
     if not fs.exists(p):

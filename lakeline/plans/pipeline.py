@@ -53,6 +53,15 @@ GOLD_DIMS = ["dim_date", "dim_time_of_day", "dim_location", "dim_vendor", "dim_r
 LOOKUP_DIMS = {"dim_time_of_day", "dim_location"}
 PROFILE_DIMS = {"dim_date", "dim_vendor", "dim_rate_code", "dim_payment_type"}
 PROFILE = "silver_file_profile"
+TABLE_PARTITIONS = {
+    BRONZE: ["_source_period", FILE],
+    SILVER: ["_source_period", FILE],
+    REJECTED: ["_source_period", FILE],
+    FACT: ["pickup_month", FILE],
+    SUMMARY: [],
+    **{f"gold/{d}": [] for d in ["dim_date", "dim_time_of_day", "dim_location", "dim_vendor", "dim_rate_code",
+                                 "dim_payment_type"]},
+}
 
 
 class NoLandingFiles(RuntimeError):
@@ -118,7 +127,7 @@ class Pipeline:
 
     def __init__(self, spark: SparkSession, landing_glob: str, root: str, zones: DataFrame | str,
                  thresholds: Thresholds = DEFAULT_THRESHOLDS, run_tests: bool = True,
-                 strict_reference: bool = False, gold_threads: int = 4):
+                 strict_reference: bool = False, gold_threads: int = 4, publish_prefix: str | None = None):
         self.spark = spark
         self.glob = landing_glob
         self.root = root.rstrip("/")
@@ -127,6 +136,7 @@ class Pipeline:
         self.run_tests = run_tests
         self.strict_reference = strict_reference
         self.gold_threads = gold_threads
+        self.publish_prefix = publish_prefix
 
     # -- locations and reads -------------------------------------------------
     def path(self, name: str) -> str:
@@ -338,6 +348,40 @@ class Pipeline:
         out["_changed_lookups"] = changed_lookups
         return out
 
+    # -- catalog ------------------------------------------------------------------
+    def publish(self, prefix: str = "lake") -> list[str]:
+        """Register every table as an external Parquet table ``<prefix>_<layer>.<name>``.
+
+        Declared columns come from the table's recorded schema and the
+        partition columns from its layout, so SQL such as the consumer star
+        query runs by table name. Only catalog metadata is written; dropping a
+        published table leaves its files alone.
+        """
+        out = []
+        for name, parts in TABLE_PARTITIONS.items():
+            path = self.path(name)
+            schema = sinks.read_schema(self.spark, path)
+            if schema is None:
+                continue
+            layer, table = name.split("/")
+            db, full = f"{prefix}_{layer}", f"{prefix}_{layer}.{table}"
+            self.spark.sql(f"CREATE DATABASE IF NOT EXISTS {db}")
+            self.spark.sql(f"DROP TABLE IF EXISTS {full}")
+            data = [f for f in schema.fields if f.name not in parts]
+            by_name = {f.name: f for f in schema.fields}
+            cols = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in [*data, *[by_name[p] for p in parts]])
+            part_sql = f" PARTITIONED BY ({', '.join(parts)})" if parts else ""
+            self.spark.sql(f"CREATE TABLE {full} ({cols}) USING parquet{part_sql} LOCATION '{path}'")
+            if parts:  # folder listing only: registers the partitions present now
+                self.spark.sql(f"ALTER TABLE {full} RECOVER PARTITIONS")
+            out.append(full)
+        return out
+
+    def _published(self, summary: RunSummary) -> RunSummary:
+        if self.publish_prefix:
+            self.publish(self.publish_prefix)
+        return summary
+
     # -- the run --------------------------------------------------------------
     def run(self, full_refresh: bool = False, listing: DataFrame | None = None) -> RunSummary:
         """One run. ``listing`` (``_source_file, _source_modified_at``) replaces
@@ -382,7 +426,7 @@ class Pipeline:
         tests = model_tests()["gold"]
         if months is None:  # first load or full refresh: whole tables
             self._test(summary, "gold", full, only=tests)
-            return summary
+            return self._published(summary)
         facts_models = ("fact_trips", "fact_daily_zone_summary")
         changed = set(g["_changed_lookups"])
         # relationships to a lookup that changed: every fact row is re-checked
@@ -398,7 +442,7 @@ class Pipeline:
             "fact_trips": full["fact_trips"].where(F.col("pickup_month").isin(list(months))),
             "fact_daily_zone_summary": full["fact_daily_zone_summary"].where(F.col("date_key").isin(days)),
         }, only=scoped)
-        return summary
+        return self._published(summary)
 
 
 def _days_of_month(month) -> list:
