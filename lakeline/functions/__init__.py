@@ -3,14 +3,12 @@
 from lakeline.functions.compat import (  # noqa: F401
     MONEY,
     MONEY_SUM,
-    concat_nonnull,
     date_key,
     epoch_seconds,
     iso_day_of_week,
     month_start,
     round2,
     round2_decimal,
-    safe_ratio,
     seconds_between,
     sum_money,
     to_int,

@@ -102,16 +102,6 @@ def iso_day_of_week(col: str | Column) -> Column:
     return (F.weekday(_c(col)) + 1).cast("int")
 
 
-def safe_ratio(num: Column, den: Column) -> Column:
-    """Division that yields NULL instead of raising on a zero denominator."""
-    return F.try_divide(num, den)
-
-
 def sum_money(col: str | Column) -> Column:
     """``sum(decimal(10,2))`` typed as the SQL engine types it: decimal(38,2)."""
     return F.sum(_c(col)).cast(MONEY_SUM)
-
-
-def concat_nonnull(*cols: Column) -> Column:
-    """``concat`` that skips NULL arguments (the SQL engine's behaviour)."""
-    return F.concat_ws("", *cols)

@@ -115,16 +115,6 @@ def footer_signatures(spark: SparkSession, files: list[str], threads: int = 16)
         return dict(pool.map(one, files))
 
 
-def footer_schemas(spark: SparkSession, files: list[str], threads: int = 16) -> dict[str, T.StructType]:
-    """Spark schema of each file (reads footers only)."""
-
-    def one(path: str) -> tuple[str, T.StructType]:
-        return path, spark.read.parquet(path).schema
-
-    with ThreadPoolExecutor(max_workers=max(1, min(threads, len(files)))) as pool:
-        return dict(pool.map(one, files))
-
-
 def conform(df: DataFrame, contract: list[tuple[str, T.DataType]] = BRONZE_CONTRACT) -> DataFrame:
     """Project ``df`` onto the contract: case-insensitive names, casts, NULL fill.
 
