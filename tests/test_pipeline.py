@@ -185,3 +185,19 @@ def test_published_tables_answer_the_consumer_sql(spark, workdir):
     assert sorted(map(tuple, got.collect())) == sorted(map(tuple, want.collect()))
     assert spark.table("t1_silver.silver_yellow_trips").count() == 35
     assert dict(spark.table("t1_silver.silver_yellow_trips").dtypes)["_source_period"] == "date"
+
+
+def test_command_line_run(spark, workdir, capsys):
+    import json
+
+    from lakeline.__main__ import main
+
+    landing = os.path.join(workdir, "landing")
+    write(f"{landing}/trips_2023_01.parquet", month_rows("2023-01"))
+    zones_csv = os.path.join(workdir, "zones")
+    zones_from_tables(spark, SF).write.option("header", True).csv(zones_csv)
+    code = main(["--landing", f"{landing}/*.parquet", "--root", os.path.join(workdir, "lake"),
+                 "--zones", zones_csv, "--var", "max_fare_amount=20"])
+    assert code == 0
+    out = json.loads(capsys.readouterr().out.strip().splitlines()[-1])
+    assert out["stages"]["silver"]["valid"] < 15  # the lower fare cap rejects more rows
