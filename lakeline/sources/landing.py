@@ -46,30 +46,26 @@ LISTING_SCHEMA = T.StructType([
 ])
 
 
-def _glob_matches(spark: SparkSession, glob: str) -> bool:
-    jvm = spark.sparkContext._jvm
-    path = jvm.org.apache.hadoop.fs.Path(glob)
-    fs = path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    found = fs.globStatus(path)
-    return found is not None and len(found) > 0
-
-
 def list_landing(spark: SparkSession, glob: str) -> DataFrame:
     """``(_source_file, _source_modified_at)`` of every file matching ``glob``.
 
-    ``binaryFile`` with only path and mtime selected never reads file bodies
-    (the content column is pruned from the scan). No match gives no rows.
+    A glob is expanded by the file system's ``globStatus`` on the driver, as
+    Spark's own file index does for a single glob path; only names and
+    modification times are read (one row per file, no file bodies). Paths are
+    fully qualified, like ``_metadata.file_path``. No match gives no rows.
     """
-    if not _glob_matches(spark, glob):
-        return spark.createDataFrame([], LISTING_SCHEMA)
-    return (
-        spark.read.format("binaryFile")
-        .load(glob)
-        .select(
-            F.col("path").alias("_source_file"),
-            F.col("modificationTime").cast("timestamp").alias("_source_modified_at"),
-        )
-    )
+    import datetime as dt
+
+    jvm = spark.sparkContext._jvm
+    path = jvm.org.apache.hadoop.fs.Path(glob)
+    fs = path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    found = fs.globStatus(path) or []
+    rows = [
+        (st.getPath().toString(),
+         dt.datetime.fromtimestamp(st.getModificationTime() / 1000, tz=dt.timezone.utc))
+        for st in found if st.isFile()
+    ]
+    return spark.createDataFrame(rows, LISTING_SCHEMA)
 
 
 def enrich_with_listing(rows: DataFrame, listing: DataFrame) -> DataFrame:

@@ -9,12 +9,12 @@ from landing_files import month_rows, write
 from lakeline.sources import landing
 
 
-def test_listing_reads_no_file_bodies(spark, workdir):
-    write(f"{workdir}/l/trips_2023_01.parquet", month_rows("2023-01"))
-    df = landing.list_landing(spark, f"{workdir}/l/*.parquet")
-    plan = df._jdf.queryExecution().executedPlan().toString()
-    assert "content" not in plan.split("ReadSchema:")[1].split("\n")[0]
-    assert df.count() == 1
+def test_listing_matches_reader_paths_and_mtimes(spark, workdir):
+    path = write(f"{workdir}/l/trips_2023_01.parquet", month_rows("2023-01"), mtime=1_700_000_000)
+    listed = landing.list_landing(spark, f"{workdir}/l/*.parquet").collect()
+    read = landing.read_landing(spark, [listed[0][0]]).select("_source_file", "_source_modified_at").first()
+    assert len(listed) == 1 and listed[0][0].endswith(path) and listed[0][0].startswith("file:")
+    assert tuple(listed[0]) == tuple(read)
 
 
 def test_listing_of_empty_glob_is_empty(spark, workdir):
