@@ -184,8 +184,9 @@ class Pipeline:
         if listing is None:
             listing = landing.list_landing(self.spark, self.glob)
         listing = listing.select(FILE, "_source_modified_at").persist(StorageLevel.MEMORY_AND_DISK)
-        first = full_refresh or not self.exists(BRONZE)
-        loaded = None if first else self.latest(self.load_log(BRONZE))
+        log = self.load_log(BRONZE)
+        first = full_refresh or not self.exists(BRONZE) or log is None
+        loaded = None if first else self.latest(log)
         pending = file_names(pending_landing_files(listing, loaded))
         if not pending:
             listing.unpersist()
@@ -270,9 +271,17 @@ class Pipeline:
         rows = (facts.fact_trips(silver).withColumn("_processed_at", F.current_timestamp())
                 .withColumn("pickup_month", month_start("pickup_at")))
         out = self._write_by_file(rows, FACT, "pickup_month", pending)
-        self._log(FACT, self._upstream_batches(SILVER, pending))
-        months = None if out["touched"] is None else sorted({t[0] for t in out["touched"]}, key=str)
-        return {"files": None if pending is None else len(pending), "rows": out["rows"], "_months": months}
+        # Which pickup months each re-loaded file touched (written or removed):
+        # gold recomputes those months, also after a failed run.
+        touched: dict[str, set] = {}
+        for month, file in out["touched"] or []:
+            touched.setdefault(file, set()).add(month)
+        months = self.spark.createDataFrame(
+            [(f, sorted(m)) for f, m in touched.items()], f"{FILE} string, _months array<string>")
+        batches = self._upstream_batches(SILVER, pending)
+        self._log(FACT, batches.join(F.broadcast(months), FILE, "left")
+                  .withColumn("_months", F.coalesce("_months", F.array().cast("array<string>"))))
+        return {"files": None if pending is None else len(pending), "rows": out["rows"]}
 
     def known(self, rows, id_col, name_col) -> DataFrame:
         return dims.code_list(self.spark, rows, id_col, name_col)
@@ -308,6 +317,23 @@ class Pipeline:
         with ThreadPoolExecutor(max_workers=self.gold_threads) as pool:
             return dict(pool.map(build, tables.items()))
 
+    def gold_pending_months(self, full_refresh: bool) -> tuple[list | None, list[str] | None]:
+        """Pickup months whose fact rows changed since gold was last built.
+
+        Gold keeps its own load log; the fact files gold has not seen yet
+        (by batch) bring the months they touched, as recorded in the fact
+        log. ``None`` = rebuild everything.
+        """
+        own = self.load_log(SUMMARY)
+        if full_refresh or own is None or not self.exists(SUMMARY):
+            return None, None
+        fact_log = self.latest(self.load_log(FACT))
+        pending = file_names(pending_source_files(fact_log, own))
+        if not pending:
+            return [], []
+        rows = source_file_filter(fact_log, pending).select(F.explode("_months")).distinct().collect()
+        return sorted(r[0] for r in rows), pending
+
     def gold(self, summary: RunSummary, months: list | None, silver_changed: bool) -> dict:
         """Rebuild gold for what changed.
 
@@ -329,7 +355,7 @@ class Pipeline:
             if silver_changed:
                 tables.update(self.profile_dims())
             if months:
-                fact = self.table(FACT).where(F.col("pickup_month").isin(list(months)))
+                fact = self.table(FACT).where(F.col("pickup_month").isin([str(m) for m in months]))
                 days = [int(d.strftime("%Y%m%d")) for m in months for d in _days_of_month(m)]
                 kept = self.table(SUMMARY).where(~F.col("date_key").isin(days))
                 tables["fact_daily_zone_summary"] = kept.unionByName(facts.fact_daily_zone_summary(fact))
@@ -416,10 +442,12 @@ class Pipeline:
                 silver, rejected = silver.where(in_periods), rejected.where(in_periods)
             self._test(summary, "silver", {"silver_yellow_trips": silver, "silver_yellow_trips_rejected": rejected})
 
-        f = self._timed(summary, "fact", lambda: self.fact(summary, full_refresh))
-        months = f["_months"]
-        silver_changed = s["files"] != 0
+        self._timed(summary, "fact", lambda: self.fact(summary, full_refresh))
+        months, gold_files = self.gold_pending_months(full_refresh)
+        silver_changed = s["files"] != 0 or bool(gold_files)
         g = self._timed(summary, "gold", lambda: self.gold(summary, months, silver_changed))
+        # gold has seen these fact batches (logged before its tests, like every layer)
+        self._log(SUMMARY, self._upstream_batches(FACT, gold_files))
 
         gold = {n: self.table(f"gold/{n}") for n in GOLD_DIMS}
         full = {"fact_trips": self.table(FACT), "fact_daily_zone_summary": self.table(SUMMARY), **gold}
@@ -439,7 +467,7 @@ class Pipeline:
         days = [int(d.strftime("%Y%m%d")) for m in months for d in _days_of_month(m)]
         self._test(summary, "gold", {
             **full,
-            "fact_trips": full["fact_trips"].where(F.col("pickup_month").isin(list(months))),
+            "fact_trips": full["fact_trips"].where(F.col("pickup_month").isin([str(m) for m in months])),
             "fact_daily_zone_summary": full["fact_daily_zone_summary"].where(F.col("date_key").isin(days)),
         }, only=scoped)
         return self._published(summary)

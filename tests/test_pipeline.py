@@ -201,3 +201,25 @@ def test_command_line_run(spark, workdir, capsys):
     assert code == 0
     out = json.loads(capsys.readouterr().out.strip().splitlines()[-1])
     assert out["stages"]["silver"]["valid"] < 15  # the lower fare cap rejects more rows
+
+
+def test_a_failed_gold_stage_is_completed_by_the_next_run(spark, workdir, monkeypatch):
+    p, landing = make(spark, workdir)
+    write(f"{landing}/trips_2023_01.parquet", month_rows("2023-01"))
+    p.run()
+    write(f"{landing}/trips_2023_02.parquet", month_rows("2023-02", bad=False))
+    real_gold = Pipeline.gold
+
+    def failing_gold(self, *a, **kw):
+        raise RuntimeError("executor lost")
+
+    monkeypatch.setattr(Pipeline, "gold", failing_gold)
+    with pytest.raises(RuntimeError):
+        p.run()
+    monkeypatch.setattr(Pipeline, "gold", real_gold)
+    s = p.run()  # bronze, silver, fact have nothing new; gold still owes February
+    assert s.stages["fact"]["files"] == 0 and "fact_daily_zone_summary" in s.stages["gold"]
+    fresh = Pipeline(spark, p.glob, os.path.join(workdir, "lake-full"), zones=zones_from_tables(spark, SF))
+    fresh.run()
+    for name in ["gold/fact_daily_zone_summary", "gold/dim_date", "gold/dim_vendor"]:
+        assert _rows(p.table(name)) == _rows(fresh.table(name)), name
