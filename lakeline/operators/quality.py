@@ -122,17 +122,26 @@ def flag_repeats(df: DataFrame, keys: list[str], order: str, out: str,
     width = _row_width(groups.schema)
     limit = _broadcast_limit_bytes(df) if broadcast_bytes is None else broadcast_bytes
     right = groups.select(*[F.col(k).alias(f"_g_{k}") for k in keys], "_first_order")
-    if n * width <= limit:
+    small = n * width <= limit
+    if small:
         right = F.broadcast(right)
     cond = None
     for k in keys:
         c = F.col(k).eqNullSafe(F.col(f"_g_{k}"))
         cond = c if cond is None else cond & c
-    return (
+    flagged = (
         df.join(right, cond, "left")
         .withColumn(out, F.coalesce(F.col(order) > F.col("_first_order"), F.lit(False)))
         .drop(*[f"_g_{k}" for k in keys], "_first_order")
     )
+    if not small:
+        # The shuffle join scattered each unit (the first key, e.g. a file)
+        # over all tasks; ranges of (first key, order) put contiguous slices of
+        # one or two units per task again, so partitioned writes stay few large
+        # files, and a hot unit still spans many tasks.
+        n_parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
+        flagged = flagged.repartitionByRange(n_parts, keys[0], order)
+    return flagged
 
 
 @dataclass(frozen=True)
