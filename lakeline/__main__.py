@@ -1,7 +1,7 @@
 """Command line: one pipeline run.
 
     python -m lakeline --landing 's3a://b/landing/*.parquet' --root s3a://b/lake \\
-        --zones s3a://b/reference/taxi_zone_lookup.csv [--full-refresh] [--publish nyc] \\
+        --zones s3a://b/reference/taxi_zone_lookup.csv [--full-refresh] [--publish trips] \\
         [--var max_fare_amount=2500] [--no-tests] [--strict-reference]
 
 Works the same under ``spark-submit lakeline/__main__.py ...``; the session
