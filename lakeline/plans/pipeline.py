@@ -367,7 +367,7 @@ class Pipeline:
                 changed_lookups.append(name)
                 continue
             old = sinks.read_table(self.spark, path)
-            if not (df.exceptAll(old).isEmpty() and old.exceptAll(df).isEmpty()):
+            if not df.exceptAll(old).unionByName(old.exceptAll(df)).isEmpty():
                 tables[name] = df
                 changed_lookups.append(name)
         out.update(self._overwrite_all(tables))
@@ -447,7 +447,8 @@ class Pipeline:
         silver_changed = s["files"] != 0 or bool(gold_files)
         g = self._timed(summary, "gold", lambda: self.gold(summary, months, silver_changed))
         # gold has seen these fact batches (logged before its tests, like every layer)
-        self._log(SUMMARY, self._upstream_batches(FACT, gold_files))
+        if gold_files != []:
+            self._log(SUMMARY, self._upstream_batches(FACT, gold_files))
 
         gold = {n: self.table(f"gold/{n}") for n in GOLD_DIMS}
         full = {"fact_trips": self.table(FACT), "fact_daily_zone_summary": self.table(SUMMARY), **gold}
