@@ -217,6 +217,23 @@ def append_table(df: DataFrame, path: str, root: str, partition_by: list[str] |
     return int(obs.get["rows"])
 
 
+def data_file_count(spark: SparkSession, path: str) -> int:
+    """Number of data files below an unpartitioned table folder."""
+    fs, p = _fs(spark, path)
+    if not fs.exists(p):
+        return 0
+    return sum(1 for st in fs.listStatus(p) if st.isFile() and not st.getPath().getName().startswith(("_", ".")))
+
+
+def compact(spark: SparkSession, path: str, root: str, max_files: int = 64, target_files: int = 1) -> bool:
+    """Rewrite a small, append-only table into ``target_files`` files once it
+    has more than ``max_files`` (load logs gain one file per run)."""
+    if data_file_count(spark, path) <= max_files:
+        return False
+    overwrite_table(read_table(spark, path).coalesce(target_files), path, root)
+    return True
+
+
 def replace_by_key(df: DataFrame, path: str, root: str, key: str, partition_by: list[str] | None = None,
                    replace_keys: list[str] | None = None, strict_reference: bool = False,
                    max_records: int | None = 5_000_000, metrics: dict | None = None) -> dict:

@@ -127,7 +127,8 @@ class Pipeline:
 
     def __init__(self, spark: SparkSession, landing_glob: str, root: str, zones: DataFrame | str,
                  thresholds: Thresholds = DEFAULT_THRESHOLDS, run_tests: bool = True,
-                 strict_reference: bool = False, gold_threads: int = 4, publish_prefix: str | None = None):
+                 strict_reference: bool = False, gold_threads: int = 4, publish_prefix: str | None = None,
+                 log_max_files: int = 64):
         self.spark = spark
         self.glob = landing_glob
         self.root = root.rstrip("/")
@@ -137,6 +138,7 @@ class Pipeline:
         self.strict_reference = strict_reference
         self.gold_threads = gold_threads
         self.publish_prefix = publish_prefix
+        self.log_max_files = log_max_files
 
     # -- locations and reads -------------------------------------------------
     def path(self, name: str) -> str:
@@ -162,7 +164,9 @@ class Pipeline:
         return log.withColumn("_r", F.row_number().over(w)).where("_r = 1").drop("_r")
 
     def _log(self, name: str, rows: DataFrame) -> None:
-        sinks.append_table(rows.withColumn("_loaded_at", F.current_timestamp()), self.log_path(name), self.root)
+        path = self.log_path(name)
+        sinks.append_table(rows.withColumn("_loaded_at", F.current_timestamp()), path, self.root)
+        sinks.compact(self.spark, path, self.root, max_files=self.log_max_files)
 
     # -- stages ---------------------------------------------------------------
     def _timed(self, summary: RunSummary, stage: str, fn):

@@ -90,7 +90,40 @@ def _local_footer_signature(path: str) -> tuple | None:
     while local.startswith("//"):
         local = local[1:]
     schema = pq.read_schema(local)
-    return tuple((f.name.lower(), str(f.type)) for f in schema)
+    return tuple(f"{f.name.lower()}:{f.type}" for f in schema)
+
+
+DISTRIBUTED_FOOTERS_FROM = 512  # files per run above which footers are read by executors
+
+
+def _footer_rows(batches):
+    """mapInPandas body: (path) -> (path, signature) with pyarrow, per task."""
+    import pandas as pd
+    import pyarrow.fs as pafs
+    import pyarrow.parquet as pq
+
+    for pdf in batches:
+        out = []
+        for path in pdf["path"]:
+            uri = path if "://" in path else "file://" + path.split(":", 1)[-1]
+            for hadoop, arrow in (("s3a://", "s3://"), ("s3n://", "s3://")):
+                uri = arrow + uri[len(hadoop):] if uri.startswith(hadoop) else uri
+            fs, inner = pafs.FileSystem.from_uri(uri)
+            schema = pq.read_schema(inner, filesystem=fs)
+            out.append((path, "|".join(f"{f.name.lower()}:{f.type}" for f in schema)))
+        yield pd.DataFrame(out, columns=["path", "signature"])
+
+
+def distributed_footer_signatures(spark: SparkSession, files: list[str]) -> dict[str, tuple]:
+    """Footer signatures read by executors (pyarrow), for many files per run.
+
+    The file list is spread over tasks; each task opens only the footers of
+    its files. The result has one short row per file.
+    """
+    n = max(1, min(len(files) // 64, int(spark.conf.get("spark.sql.shuffle.partitions"))))
+    df = spark.createDataFrame([(f,) for f in files], "path string").repartition(n)
+    rows = df.mapInPandas(_footer_rows, "path string, signature string").collect()
+    return {r["path"]: tuple(r["signature"].split("|")) for r in rows}
 
 
 def footer_signatures(spark: SparkSession, files: list[str], threads: int = 16) -> dict[str, tuple]:
@@ -98,8 +131,12 @@ def footer_signatures(spark: SparkSession, files: list[str], threads: int = 16)
 
     Local files are read with pyarrow (about a millisecond each); other file
     systems go through Spark's schema inference, one file at a time, from a
-    thread pool. Either way no row data is read.
+    thread pool. From ``DISTRIBUTED_FOOTERS_FROM`` files on, executors read
+    the footers in parallel (pyarrow file systems: local, S3, GCS, HDFS).
+    Either way no row data is read.
     """
+    if len(files) >= DISTRIBUTED_FOOTERS_FROM:
+        return distributed_footer_signatures(spark, files)
 
     def one(path: str) -> tuple[str, tuple]:
         sig = _local_footer_signature(path)

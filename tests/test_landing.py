@@ -70,3 +70,16 @@ def test_glob_classes_narrow_a_run(spark, workdir):
         write(f"{workdir}/g/trips_2023_{m}.parquet", month_rows(f"2023-{m}", n=2, bad=False))
     df = landing.list_landing(spark, f"{workdir}/g/trips_2023_0[12].parquet")
     assert sorted(os.path.basename(r[0]) for r in df.collect()) == ["trips_2023_01.parquet", "trips_2023_02.parquet"]
+
+
+def test_distributed_footer_reads_group_like_local_ones(spark, workdir):
+    a = write(f"{workdir}/f/trips_2023_01.parquet", month_rows("2023-01", n=3, bad=False))
+    b = write(f"{workdir}/f/trips_2023_02.parquet", month_rows("2023-02", n=3, bad=False),
+              overrides={"VendorID": pa.int32()})
+    c = write(f"{workdir}/f/trips_2023_03.parquet", month_rows("2023-03", n=3, bad=False))
+    files = [r[0] for r in landing.list_landing(spark, f"{workdir}/f/*.parquet").collect()]
+    local = landing.footer_signatures(spark, files)
+    dist = landing.distributed_footer_signatures(spark, files)
+    assert local == dist
+    assert len(set(dist.values())) == 2  # the int32 file forms its own group
+    assert {a, b, c} == {p.split(":", 1)[1] for p in files}

@@ -223,3 +223,16 @@ def test_a_failed_gold_stage_is_completed_by_the_next_run(spark, workdir, monkey
     fresh.run()
     for name in ["gold/fact_daily_zone_summary", "gold/dim_date", "gold/dim_vendor"]:
         assert _rows(p.table(name)) == _rows(fresh.table(name)), name
+
+
+def test_load_logs_are_compacted(spark, workdir):
+    from lakeline.operators import sinks
+
+    p, landing = make(spark, workdir, log_max_files=1, run_tests=False)
+    for m in ("01", "02", "03"):
+        write(f"{landing}/trips_2023_{m}.parquet", month_rows(f"2023-{m}", bad=False))
+        p.run()
+    log = p.log_path(BRONZE)
+    assert sinks.data_file_count(spark, log) == 1
+    assert sinks.read_table(spark, log).count() == 3
+    assert counts(p)["fact"] == 60

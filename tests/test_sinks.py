@@ -89,3 +89,16 @@ def test_partition_values_keep_their_declared_types(spark, workdir):
     back = sinks.read_table(spark, path)
     assert dict(back.dtypes) == {"k": "string", "p": "date", "v": "bigint"}
     assert back.first()["k"] == "001"  # a numeric-looking key stays a string
+
+
+def test_compaction_keeps_rows_and_schema(spark, workdir):
+    path = f"{workdir}/log"
+    for i in range(5):
+        sinks.append_table(frame(spark, [(f"f{i}", "1", i)]).coalesce(1), path, workdir)
+    assert sinks.data_file_count(spark, path) == 5
+    assert not sinks.compact(spark, path, workdir, max_files=8)
+    assert sinks.compact(spark, path, workdir, max_files=3)
+    assert sinks.data_file_count(spark, path) == 1
+    assert sorted(r.v for r in sinks.read_table(spark, path).collect()) == [0, 1, 2, 3, 4]
+    sinks.append_table(frame(spark, [("f9", "1", 9)]), path, workdir)  # appends still fit the schema
+    assert sinks.read_table(spark, path).count() == 6
