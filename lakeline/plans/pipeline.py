@@ -7,13 +7,18 @@ One ``Pipeline.run()``:
 2. reads only those files into the bronze contract and replaces their rows
    (replace-by-key on ``_source_file``);
 3. classifies the bronze rows of files whose latest batch silver has not
-   seen, once, and writes both halves (valid / rejected) from that one result;
-4. does the same for ``fact_trips``; rebuilds the summary and dimensions;
-5. runs the data tests after each layer; a failing test stops the layers
-   that depend on it.
-
-Each incremental table keeps a small load log (one row per file and batch),
-so change detection reads a few rows per file, never the data itself.
+   seen, once, and writes both halves (valid / rejected) and a small per-file
+   profile from that one result;
+4. does the same for ``fact_trips``; recomputes the summary only for the
+   pickup months those files touched, and the calendar and code dimensions
+   from the profile;
+5. runs the data tests after each layer on what changed (whole tables on a
+   first load or full refresh); a failing test stops the layers that depend
+   on it.
+
+Each layer keeps a small load log (one row per file and batch, written after
+its tables), so change detection reads a few rows per file, never the data,
+and a failed run is completed by the next one.
 """
 
 from __future__ import annotations
