@@ -26,7 +26,7 @@ from __future__ import annotations
 import json
 import time
 import uuid
-from concurrent.futures import ThreadPoolExecutor
+from concurrent.futures import ThreadPoolExecutor, wait
 from dataclasses import dataclass, field
 
 from pyspark import StorageLevel
@@ -429,13 +429,23 @@ class Pipeline:
         First loads and full refreshes test whole tables.
         """
         summary = RunSummary(batch_id=uuid.uuid4().hex)
-        if self.run_tests:
-            self._test(summary, "sources", {
-                "zones": self.zones,
-                "vendors": self.known(VENDORS, "vendor_id", "vendor_name"),
-                "rate_codes": self.known(RATE_CODES, "rate_code_id", "rate_code_name"),
-                "payment_types": self.known(PAYMENT_TYPES, "payment_type_id", "payment_type_name"),
-            })
+        # The lookup tests only gate the gold dimensions: they run alongside
+        # bronze / silver / fact and are awaited before gold.
+        lookups_pool = ThreadPoolExecutor(max_workers=1)
+        lookup_tests = lookups_pool.submit(self._test, summary, "sources", {
+            "zones": self.zones,
+            "vendors": self.known(VENDORS, "vendor_id", "vendor_name"),
+            "rate_codes": self.known(RATE_CODES, "rate_code_id", "rate_code_name"),
+            "payment_types": self.known(PAYMENT_TYPES, "payment_type_id", "payment_type_name"),
+        })
+        lookups_pool.shutdown(wait=False)
+        try:
+            return self._run_layers(summary, full_refresh, listing, lookup_tests)
+        finally:
+            wait([lookup_tests])  # never leave test jobs running after the run
+
+    def _run_layers(self, summary: RunSummary, full_refresh: bool, listing: DataFrame | None,
+                    lookup_tests) -> RunSummary:
         b = self._timed(summary, "bronze", lambda: self.bronze(summary, full_refresh, listing))
         if b["files"]:
             bronze = self.table(BRONZE)
@@ -452,6 +462,7 @@ class Pipeline:
             self._test(summary, "silver", {"silver_yellow_trips": silver, "silver_yellow_trips_rejected": rejected})
 
         self._timed(summary, "fact", lambda: self.fact(summary, full_refresh))
+        lookup_tests.result()  # raises if a lookup test failed: no gold is built
         months, gold_files = self.gold_pending_months(full_refresh)
         silver_changed = s["files"] != 0 or bool(gold_files)
         g = self._timed(summary, "gold", lambda: self.gold(summary, months, silver_changed))

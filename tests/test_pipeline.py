@@ -236,3 +236,13 @@ def test_load_logs_are_compacted(spark, workdir):
     assert sinks.data_file_count(spark, log) == 1
     assert sinks.read_table(spark, log).count() == 3
     assert counts(p)["fact"] == 60
+
+
+def test_failing_lookup_test_stops_gold_only(spark, workdir):
+    p, landing = make(spark, workdir)
+    write(f"{landing}/trips_2023_01.parquet", month_rows("2023-01", bad=False))
+    p.zones = zones_from_tables(spark, SF).unionByName(zones_from_tables(spark, SF).limit(1))  # duplicate id
+    with pytest.raises(DataTestFailure, match="unique"):
+        p.run()
+    assert p.table(FACT).count() == 20  # the layers that do not use lookups were built
+    assert not os.path.exists(os.path.join(p.root, "gold", "dim_location"))
