@@ -10,7 +10,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 from lakeline.config import (
@@ -116,9 +116,10 @@ def flag_repeats(df: DataFrame, keys: list[str], order: str, out: str,
     from lakeline.session import scratch_path
 
     path = scratch_path(spark, "repeat-groups") if scratch is None else f"{scratch}/repeat-groups-{id(df):x}"
-    groups.write.parquet(path)
+    written = Observation("repeat_groups")  # the size, counted while writing
+    groups.observe(written, F.count(F.lit(1)).alias("n")).write.parquet(path)
     groups = spark.read.parquet(path)
-    n = groups.count()
+    n = written.get["n"]
     width = _row_width(groups.schema)
     limit = _broadcast_limit_bytes(df) if broadcast_bytes is None else broadcast_bytes
     right = groups.select(*[F.col(k).alias(f"_g_{k}") for k in keys], "_first_order")
