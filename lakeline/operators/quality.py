@@ -92,6 +92,14 @@ def _broadcast_limit_bytes(df: DataFrame) -> int:
     return max(int(float(num) * units.get(unit, 1)), 0)
 
 
+def _hash_input(df: DataFrame, name: str) -> Column:
+    """A key column as hashed: -0.0 and NaN normalised as grouping does."""
+    c = F.col(name)
+    if df.schema[name].dataType.typeName() in ("double", "float"):
+        return F.when(F.isnan(c), F.lit(float("nan"))).when(c == 0, F.lit(0.0)).otherwise(c)
+    return c
+
+
 def _row_width(schema) -> int:
     """Rough in-memory width of a row, for the broadcast size check."""
     return 16 + sum(64 if f.dataType.typeName() in ("string", "binary") else 8 for f in schema.fields)
@@ -104,24 +112,40 @@ def flag_repeats(df: DataFrame, keys: list[str], order: str, out: str,
     Same result as ``row_number() over (partition by keys order by order) > 1``
     without a window: a window sends each group to one task, and a group of
     copies may hold a third of the data. Instead the groups that have copies
-    are aggregated (map-side combined) and stored in the shared checkpoint
-    folder; their size is then known. When that set fits the broadcast limit
+    are found in two map-side-combined aggregates (first on a 64-bit hash of
+    the keys, then exactly on the rows whose hash repeats) and stored in the
+    shared checkpoint folder; their size is then known. When that set fits the broadcast limit
     it is broadcast and the rows are never shuffled, so the output keeps the
     input's file-aligned partitioning; otherwise it is a shuffle join where AQE
     splits a hot group over several tasks. Keys match NULL to NULL, as
     ``partition by`` does.
     """
     spark = df.sparkSession
-    groups = repeat_groups(df, keys, order)
     from lakeline.session import scratch_path
 
-    path = scratch_path(spark, "repeat-groups") if scratch is None else f"{scratch}/repeat-groups-{id(df):x}"
-    written = Observation("repeat_groups")  # the size, counted while writing
-    groups.observe(written, F.count(F.lit(1)).alias("n")).write.parquet(path)
-    groups = spark.read.parquet(path)
-    n = written.get["n"]
-    width = _row_width(groups.schema)
+    def stored(frame: DataFrame, name: str) -> tuple[DataFrame, int]:
+        """Write ``frame`` to the shared scratch folder; return it and its row count."""
+        path = scratch_path(spark, name) if scratch is None else f"{scratch}/{name}-{id(frame):x}"
+        written = Observation(name)  # counted while writing: no second job
+        frame.observe(written, F.count(F.lit(1)).alias("n")).write.parquet(path)
+        return spark.read.parquet(path), int(written.get["n"])
+
     limit = _broadcast_limit_bytes(df) if broadcast_bytes is None else broadcast_bytes
+    # Phase 1: 64-bit hashes of the keys that occur more than once. Only the
+    # hash crosses the shuffle (8 bytes a row, combined map-side); a row whose
+    # hash is unique has unique keys, so it cannot repeat.
+    key_hash = F.xxhash64(*[_hash_input(df, k) for k in keys])
+    hashes, n_hashes = stored(
+        df.select(key_hash.alias("_rh")).groupBy("_rh").agg(F.count(F.lit(1)).alias("_c"))
+        .where(F.col("_c") > 1).select("_rh"), "repeat-hashes")
+    if n_hashes * 24 <= limit:
+        # Phase 2 on the candidates only (copies, plus rare hash collisions):
+        # exact groups, so collisions never flag a row.
+        candidates = df.join(F.broadcast(hashes), key_hash == F.col("_rh"), "left_semi")
+        groups, n = stored(repeat_groups(candidates, keys, order), "repeat-groups")
+    else:
+        groups, n = stored(repeat_groups(df, keys, order), "repeat-groups")
+    width = _row_width(groups.schema)
     right = groups.select(*[F.col(k).alias(f"_g_{k}") for k in keys], "_first_order")
     small = n * width <= limit
     if small:
