@@ -70,3 +70,16 @@ def test_source_file_filter_none_empty_list_frame(spark):
     assert sorted(r[0] for r in pending.collect()) == ["b", "c"]
     assert sorted(r[0] for r in source_file_filter(df, pending).select("_source_file").collect()) == ["b", "c"]
     assert pending_source_files(df, None) is None
+
+
+def test_flag_repeats_is_exact_under_hash_collisions(spark, monkeypatch):
+    from lakeline.operators import quality
+
+    # every row gets the same "hash": all rows become candidates, and the
+    # exact second phase alone must decide
+    monkeypatch.setattr(quality.F, "xxhash64", lambda *cols: F.lit(7).cast("long"))
+    df = skewed(spark, n=4000)
+    keys = ["g", "k1", "k2"]
+    got = quality.flag_repeats(df, keys, "row", "rep")
+    want = df.withColumn("rep", F.row_number().over(Window.partitionBy(*keys).orderBy("row")) > 1)
+    assert got.select("row", "rep").exceptAll(want.select("row", "rep")).count() == 0
