@@ -83,6 +83,22 @@ def repeat_groups(df: DataFrame, keys: list[str], order: str) -> DataFrame:
     )
 
 
+def _key_hash(df: DataFrame, keys: list[str]) -> Column:
+    return F.xxhash64(*[_hash_input(df, k) for k in keys])
+
+
+def repeat_hashes(df: DataFrame, keys: list[str]) -> DataFrame:
+    """64-bit hashes of ``keys`` that occur more than once (``_rh``).
+
+    Only the hash is shuffled, after a map-side combine.
+    """
+    return (
+        df.select(_key_hash(df, keys).alias("_rh"))
+        .groupBy("_rh").agg(F.count(F.lit(1)).alias("_c"))
+        .where(F.col("_c") > 1).select("_rh")
+    )
+
+
 def _broadcast_limit_bytes(df: DataFrame) -> int:
     """``spark.sql.autoBroadcastJoinThreshold`` in bytes (-1 disables: 0)."""
     raw = str(df.sparkSession.conf.get("spark.sql.autoBroadcastJoinThreshold", "10485760")).strip().lower()
@@ -134,10 +150,8 @@ def flag_repeats(df: DataFrame, keys: list[str], order: str, out: str,
     # Phase 1: 64-bit hashes of the keys that occur more than once. Only the
     # hash crosses the shuffle (8 bytes a row, combined map-side); a row whose
     # hash is unique has unique keys, so it cannot repeat.
-    key_hash = F.xxhash64(*[_hash_input(df, k) for k in keys])
-    hashes, n_hashes = stored(
-        df.select(key_hash.alias("_rh")).groupBy("_rh").agg(F.count(F.lit(1)).alias("_c"))
-        .where(F.col("_c") > 1).select("_rh"), "repeat-hashes")
+    key_hash = _key_hash(df, keys)
+    hashes, n_hashes = stored(repeat_hashes(df, keys), "repeat-hashes")
     if n_hashes * 24 <= limit:
         # Phase 2 on the candidates only (copies, plus rare hash collisions):
         # exact groups, so collisions never flag a row.

@@ -38,6 +38,7 @@ def main() -> None:
     sf = sys.argv[1] if len(sys.argv) > 1 else "/root/testdata/sf0.01"
     from pyspark.sql import functions as F
 
+    from lakeline.config import DEDUP_KEYS
     from lakeline.operators import checks, facts, quality
     from lakeline.operators.incremental import source_file_filter
     from lakeline.plans.models import stored_models
@@ -52,6 +53,8 @@ def main() -> None:
     files = [r[0] for r in bronze_table.select("_source_file").distinct().limit(2).collect()]
     plans = {
         "Star query (flagship)": star_month_borough(m.fact, m.dim_date, m.dim_location),
+        "Dedup phase 1: repeated 64-bit key hashes": quality.repeat_hashes(
+            quality.typed_trips(m.bronze), DEDUP_KEYS),
         "Silver classification (dedup + rules)": quality.classify(m.bronze),
         "Incremental slice of a bronze table partitioned by (period, file)":
             quality.classify(source_file_filter(bronze_table, files)),
