@@ -186,9 +186,14 @@ def overwrite_table(df: DataFrame, path: str, root: str, partition_by: list[str]
     staging = f"{path.rstrip('/')}__staging-{uuid.uuid4().hex[:8]}"
     obs = Observation("overwrite")
     extra = [c.alias(n) for n, c in (metrics or {}).items()]
-    _writer(df.observe(obs, F.count(F.lit(1)).alias("rows"), *extra), partition_by, max_records) \
-        .mode("errorifexists").parquet(staging)
-    _write_schema(spark, staging, df.schema)
+    try:
+        _writer(df.observe(obs, F.count(F.lit(1)).alias("rows"), *extra), partition_by, max_records) \
+            .mode("errorifexists").parquet(staging)
+        _write_schema(spark, staging, df.schema)
+    except Exception:
+        if exists(spark, staging):  # the old table is untouched; drop the partial copy
+            delete(spark, staging, root)
+        raise
     if metrics is not None:
         metrics.clear()
         metrics.update({k: v for k, v in obs.get.items() if k != "rows"})

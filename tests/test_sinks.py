@@ -63,6 +63,7 @@ def test_overwrite_keeps_old_table_when_the_query_fails(spark, workdir):
     with pytest.raises(Exception):
         sinks.overwrite_table(bad, path, workdir)
     assert [tuple(r) for r in sinks.read_table(spark, path).collect()] == [("a", "1", 1)]
+    assert not [d for d in os.listdir(workdir) if "__staging-" in d]  # no partial copy left
 
 
 def test_append_puts_columns_in_table_order(spark, workdir):
