@@ -83,3 +83,18 @@ def test_flag_repeats_is_exact_under_hash_collisions(spark, monkeypatch):
     got = quality.flag_repeats(df, keys, "row", "rep")
     want = df.withColumn("rep", F.row_number().over(Window.partitionBy(*keys).orderBy("row")) > 1)
     assert got.select("row", "rep").exceptAll(want.select("row", "rep")).count() == 0
+
+
+def test_flag_repeats_groups_signed_zero_nan_and_null_like_a_window(spark):
+    import itertools
+
+    values = [0.0, -0.0, float("nan"), 1.5, None]
+    rows = [(i, "f", d, k) for i, (d, k) in enumerate(itertools.product(values, [1, None])) for _ in range(1)]
+    rows += [(100 + i, "f", d, k) for i, (d, k) in enumerate(itertools.product(values, [1, None]))]
+    df = spark.createDataFrame(rows, "row long, unit string, d double, k int")
+    keys = ["unit", "d", "k"]
+    got = flag_repeats(df, keys, "row", "rep")
+    want = df.withColumn("rep", F.row_number().over(Window.partitionBy(*keys).orderBy("row")) > 1)
+    assert sorted(tuple(r) for r in got.select("row", "rep").collect()) == \
+        sorted(tuple(r) for r in want.select("row", "rep").collect())
+    assert got.where("rep").count() == want.where("rep").count() > 0
