@@ -98,3 +98,25 @@ def test_flag_repeats_groups_signed_zero_nan_and_null_like_a_window(spark):
     assert sorted(tuple(r) for r in got.select("row", "rep").collect()) == \
         sorted(tuple(r) for r in want.select("row", "rep").collect())
     assert got.where("rep").count() == want.where("rep").count() > 0
+
+
+def test_flag_repeats_matches_window_on_random_tables(spark):
+    from hypothesis import given, settings
+    from hypothesis import strategies as st
+
+    key = st.one_of(st.none(), st.integers(0, 2))
+    dist = st.sampled_from([None, 0.0, -0.0, 1.25, float("nan")])
+    rows = st.lists(st.tuples(st.sampled_from(["a", "b"]), key, dist), min_size=1, max_size=60)
+
+    @settings(max_examples=6, deadline=None)
+    @given(rows, st.sampled_from([None, 0]))
+    def check(data, broadcast_bytes):
+        df = spark.createDataFrame([(i, u, k, d) for i, (u, k, d) in enumerate(data)],
+                                   "row long, unit string, k int, d double")
+        keys = ["unit", "k", "d"]
+        got = flag_repeats(df, keys, "row", "rep", broadcast_bytes=broadcast_bytes)
+        want = df.withColumn("rep", F.row_number().over(Window.partitionBy(*keys).orderBy("row")) > 1)
+        assert sorted(tuple(r) for r in got.select("row", "rep").collect()) == \
+            sorted(tuple(r) for r in want.select("row", "rep").collect())
+
+    check()
