@@ -120,3 +120,22 @@ def test_flag_repeats_matches_window_on_random_tables(spark):
             sorted(tuple(r) for r in want.select("row", "rep").collect())
 
     check()
+
+
+def test_position_within_matches_row_number_on_random_tables(spark):
+    from hypothesis import given, settings
+    from hypothesis import strategies as st
+
+    rows = st.lists(st.tuples(st.sampled_from(["hot", "hot", "hot", "x", "y"]), st.integers(0, 5)),
+                    min_size=1, max_size=80)
+
+    @settings(max_examples=5, deadline=None)
+    @given(rows, st.sampled_from([2, 7]))
+    def check(data, parts):
+        df = spark.createDataFrame([(i, g, k) for i, (g, k) in enumerate(data)], "row long, g string, k int")
+        got = position_within(df, "g", ["k", "row"], "pos", num_partitions=parts)
+        want = df.withColumn("pos", F.row_number().over(Window.partitionBy("g").orderBy("k", "row")) - 1)
+        assert sorted(tuple(r) for r in got.select("row", "pos").collect()) == \
+            sorted(tuple(r) for r in want.select("row", "pos").collect())
+
+    check()
