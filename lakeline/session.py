@@ -56,6 +56,34 @@ def checkpoint_root(spark: SparkSession) -> str:
     return root.rstrip("/")
 
 
+_CREATED: dict[str, list[str]] = {}  # application id -> scratch folders handed out
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh, unique folder below the shared checkpoint root."""
-    return f"{checkpoint_root(spark)}/{name}-{uuid.uuid4().hex[:12]}"
+    path = f"{checkpoint_root(spark)}/{name}-{uuid.uuid4().hex[:12]}"
+    _CREATED.setdefault(spark.sparkContext.applicationId, []).append(path)
+    return path
+
+
+def clear_scratch(spark: SparkSession) -> int:
+    """Delete the scratch folders this application created; forget cached layers.
+
+    Only folders handed out by :func:`scratch_path` in this application are
+    removed, and only below the checkpoint root. Returns how many existed.
+    """
+    from lakeline.operators import sinks
+    from lakeline.plans import catalog, models
+    from lakeline.sources import fixture
+
+    app = spark.sparkContext.applicationId
+    root = checkpoint_root(spark)
+    removed = 0
+    for path in _CREATED.pop(app, []):
+        if sinks.exists(spark, path):
+            sinks.delete(spark, path, root)
+            removed += 1
+    for cache in (fixture._MATERIALIZED, models._STORED, catalog._LANDING):
+        for key in [k for k in cache if k[0] == app]:
+            del cache[key]
+    return removed

@@ -48,3 +48,17 @@ def test_reject_counts_match_published_fixture_counts(spark):
         "pickup_outside_file_month": 612, "invalid_duration": 2559, "invalid_distance": 3430,
         "implausible_speed": 2864, "invalid_amount": 5082, "unknown_location": 861,
     }
+
+
+def test_clear_scratch_removes_this_applications_folders(spark):
+    import os
+
+    from lakeline.session import _CREATED, clear_scratch
+
+    QUERIES["fact_trips"](spark, SF001).count()
+    app = spark.sparkContext.applicationId
+    paths = [p for p in _CREATED.get(app, []) if os.path.exists(p.replace("file:", ""))]
+    assert paths
+    assert clear_scratch(spark) >= len(paths)
+    assert not any(os.path.exists(p.replace("file:", "")) for p in paths)
+    assert QUERIES["fact_trips"](spark, SF001).count() > 0  # layers are rebuilt on demand
