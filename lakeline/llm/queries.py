@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 
 def vocabulary(name: str) -> str:
@@ -33,12 +34,65 @@ def op1_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack(_read(spark, sf_dir, "documents"), vocabulary("byte_bpe_50k.json"), 2048)
 
 
+def op2_order_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from lakeline.llm.order_minhash import near_classes
+
+    return near_classes(_read(spark, sf_dir, "documents"), 0.8)
+
+
+def op3_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from lakeline.llm.sentencepiece_scan import decode, encode
+
+    path = vocabulary("piece_bpe_32k.model")
+    docs = _read(spark, sf_dir, "documents")
+    ids = decode(encode(docs, path), path)
+    return ids.select(
+        "doc_id", (F.octet_length("ids") / 4).cast("long").alias("n_ids"), F.crc32("ids").alias("ids_crc32"), "score",
+        F.crc32(F.encode("decoded", "UTF-8")).alias("decoded_crc32"), F.octet_length("decoded").cast("long").alias("decoded_bytes"), "ids")
+
+
+def op4_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from lakeline.llm.token_files import count_tokens, flat_blocks
+
+    return count_tokens(flat_blocks(_read(spark, sf_dir, "documents"), vocabulary("byte_bpe_50k.json")))
+
+
+def op5_fm_substrings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from lakeline.llm.fm_substrings import remove_repeated_windows
+
+    return remove_repeated_windows(_read(spark, sf_dir, "documents"), 35).drop("kept_text")
+
+
+def op6_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from lakeline.llm.suffix_dedup import remove_later_copies
+
+    return remove_later_copies(_read(spark, sf_dir, "documents"), 50).drop("kept_text")
+
+
+def op7_importance(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from lakeline.llm.importance import resample
+
+    return resample(_read(spark, sf_dir, "documents"), _read(spark, sf_dir, "labels"))
+
+
+def op8_multi_index(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from lakeline.llm.multi_index import nearest
+
+    return nearest(_read(spark, sf_dir, "embeddings"), every=20, neighbours=20)
+
+
 def op9_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     from lakeline.llm.url_trie import judge_urls
 
     return judge_urls(_read(spark, sf_dir, "pages"), URL_RULES)
 
 
+def op10_pstable(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from lakeline.llm.pstable import near_vectors
+
+    return near_vectors(_read(spark, sf_dir, "embeddings"), 0.95)
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {k: f for k, f in globals().items() if k.startswith("op") and k[2].isdigit()}
 
