@@ -120,28 +120,17 @@ def _suffix_array(text: np.ndarray) -> np.ndarray:
         span *= 2
 
 
-def judge(width: int):
-    def run(stretches, times, least, most):
-        sequences = [np.frombuffer(s, np.uint64) for s in stretches]
-        index = FMIndex(sequences, times)
-        out: list[bytes | None] = [None] * len(sequences)
-        asked = []
-        for i, s in enumerate(sequences):
-            if times[i] > 1:  # every window of it repeats with it
-                out[i] = b"\1" * (len(s) - width + 1)
-            else:
-                asked.append(i)
-        if asked:
-            size = np.array([len(sequences[i]) for i in asked], np.int64)
-            count = size - width + 1
-            cuts = np.concatenate([[0], np.cumsum(count)])
-            starts = np.arange(cuts[-1]) + np.repeat(np.cumsum(size) - size - cuts[:-1], count)
-            again = index.counts(np.concatenate([sequences[i] for i in asked]), starts, width) > 1
-            for j, i in enumerate(asked):
-                part = again[cuts[j]:cuts[j + 1]]
-                if part.any():
-                    out[i] = part.astype(np.uint8).tobytes()
-        return out
+def judge(width: int) -> repeats.Judge:
+    def run(data, cuts, times, least, most):
+        flat = np.frombuffer(data.tobytes(), np.uint64)
+        index = FMIndex([flat[a:b] for a, b in zip(cuts[:-1].tolist(), cuts[1:].tolist())], times)
+        count = np.diff(cuts) - width + 1
+        edges = np.concatenate([[0], np.cumsum(count)])
+        starts = np.arange(edges[-1]) + np.repeat(cuts[:-1] - edges[:-1], count)
+        again = np.repeat(times > 1, count)  # every window of such a stretch repeats with it
+        asked = np.flatnonzero(~again)
+        again[asked] = index.counts(flat, starts[asked], width) > 1
+        return again.astype(np.uint8), np.add.reduceat(again.astype(np.int64), edges[:-1]) > 0
 
     return run
 
@@ -159,16 +148,16 @@ def _digest(width: int):
     def run(batches):
         for batch in batches:
             rows = []
-            for text, hits in zip(batch.column(1).to_pylist(), batch.column(2).to_pylist()):
+            windows, again, cuts = repeats.hit_windows(batch.column(2), np.uint8)
+            for i, text in enumerate(batch.column(1).to_pylist()):
                 data = text.encode()
                 _, starts, ends, _ = words.find([data], words.BLANKS)
+                own = slice(cuts[i], cuts[i + 1])
+                repeated = windows[own][again[own] > 0]
                 gone = np.zeros(len(starts), bool)
-                if hits:
-                    edge = np.zeros(len(starts) + 1, np.int32)
-                    for hit in hits:
-                        at = hit["start"] + np.flatnonzero(np.frombuffer(hit["verdict"], np.uint8))
-                        edge[at] += 1
-                        edge[at + width] -= 1
+                if len(repeated):
+                    edge = np.bincount(repeated, minlength=len(starts) + 1)
+                    edge[width:] -= edge[:-width].copy()
                     gone = np.cumsum(edge[:-1]) > 0
                 kept = b" ".join([data[a:b] for a, b in zip(starts[~gone].tolist(), ends[~gone].tolist())])
                 rows.append((len(starts), int(gone.sum()), hashlib.sha256(kept).hexdigest(), kept.decode()))
@@ -199,7 +188,7 @@ def remove_repeated_windows(docs: DataFrame, width: int = 35) -> DataFrame:
     gram = 16 if width >= 24 else 1 << max(0, (width // 2).bit_length() - 1)
     anchors = repeats.shared_anchors(rows, _units, width, gram, amount // 8)
     found = repeats.stretches(rows, anchors, _units, width, gram, _raw)
-    judged = repeats.verdicts(found, judge(width), width, 8, b"\0")
+    judged = repeats.verdicts(found, judge(width), width, 8, np.uint8(0))
     hits = repeats.marks(found, judged)
     return rows.join(hits, ["at", "same"], "left").select("doc_id", "text", "hits").mapInArrow(
         _digest(width), "doc_id long, n_words long, n_removed long, kept_sha256 string, kept_text string")

@@ -106,6 +106,20 @@ def _joined(column, dtype) -> tuple[np.ndarray, np.ndarray]:
     return np.frombuffer(b"".join(values), dtype), np.array([len(v) for v in values], np.int64) // np.dtype(dtype).itemsize
 
 
+def _spans(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """Bytes of a binary column without nulls and the cuts between its values."""
+    if isinstance(column, pa.ChunkedArray):
+        column = column.combine_chunks()
+        if isinstance(column, pa.ChunkedArray):  # no chunk at all
+            return np.zeros(0, np.uint8), np.zeros(1, np.int64)
+    if not len(column):
+        return np.zeros(0, np.uint8), np.zeros(1, np.int64)
+    _, offsets, data = column.buffers()
+    cuts = np.frombuffer(offsets, np.int32)[column.offset:column.offset + len(column) + 1].astype(np.int64)
+    raw = np.frombuffer(data, np.uint8)[cuts[0]:cuts[-1]] if data is not None and len(data) else np.zeros(0, np.uint8)
+    return raw, cuts - cuts[0]
+
+
 _ASKED = "bucket int, doc_id long, low binary, high binary, owners binary"
 _TOLD = "doc_id long, anchors binary"
 
@@ -179,7 +193,7 @@ def _tell(table: pa.Table) -> pa.Table:
         owner = np.concatenate(owners)
         told = high >> np.uint16(15) > 0
         anchor = (high & np.uint16(0x7FFF)).astype(np.uint64) << np.uint64(32) | low.astype(np.uint64)
-        order = np.argsort(anchor, kind="stable")
+        order = np.argsort(anchor)
         anchor, owner, told = anchor[order], owner[order], told[order]
         starts = np.flatnonzero(np.concatenate([[True], anchor[1:] != anchor[:-1]]))
         size = np.diff(np.append(starts, len(anchor)))
@@ -202,8 +216,8 @@ def _tell(table: pa.Table) -> pa.Table:
 
 def with_key(docs: DataFrame) -> DataFrame:
     """``at``: doc_id with a number for null; ``same``: tells rows of one doc_id apart by text."""
-    return docs.select("doc_id", "text", F.coalesce("doc_id", F.lit(NO_ID)).alias("at"),
-                       F.xxhash64("text").alias("same"))
+    key = F.coalesce("doc_id", F.lit(NO_ID)).alias("at"), F.xxhash64("text").alias("same")
+    return docs.select("doc_id", "text", *key, *docs.columns[2:])
 
 
 def shared_anchors(docs: DataFrame, units_of: Units, width: int, gram: int, amount: int) -> DataFrame:
@@ -279,15 +293,20 @@ def _windows_of(width: int, item: int):
     return run
 
 
-def verdicts(found: DataFrame, judge, width: int, item: int, none: bytes) -> DataFrame:
-    """anchor, mark, verdict of every stretch in which some window repeats.
+Judge = Callable[[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray], tuple]
+
+
+def verdicts(found: DataFrame, judge: Judge, width: int, item: int, none: np.generic) -> DataFrame:
+    """anchor, mark, value, verdict of every stretch in which some window repeats.
 
     ``mark`` is :func:`mark_of` a stretch. ``judge`` gets the merged stretches of
-    a group (bytes, times, least and most document) and returns for each the
-    verdicts on its windows one after another, or None where none repeats; a
-    window without one counts as ``none``. ``item``: bytes of a unit.
+    a group (their bytes one after another, the cuts between them in units, how
+    often each occurs, its least and its most document) and returns a verdict per
+    window, one stretch after another, and which stretches need one at all. ``value``
+    is the verdict of all windows, or null where they differ and ``verdict`` lists
+    them; a window without a verdict counts as ``none``. ``item``: bytes of a unit.
     """
-    entry = len(none)
+    kind = none.dtype
     merged = store(
         found.groupBy("anchor", "stretch").agg(F.count("*").alias("times"), F.min("at").alias("least"), F.max("at").alias("most")),
         "repeats-merged")
@@ -296,20 +315,24 @@ def verdicts(found: DataFrame, judge, width: int, item: int, none: bytes) -> Dat
     groups = groups_for(merged.sparkSession, size, STRETCH_BYTES_PER_GROUP)
 
     def judged(table: pa.Table) -> pa.Table:
-        kept, out = [], []
-        given = judge(table.column("stretch").to_pylist(), table.column("times").to_numpy(),
-                      table.column("least").to_numpy(), table.column("most").to_numpy())
-        for i, v in enumerate(given):
-            if v is not None:
-                kept.append(i)
-                out.append(v)
-        taken = table.select(["anchor", "mark"]).take(pa.array(kept, pa.int64()))
-        return taken.append_column("verdict", pa.array(out, pa.binary()))
+        raw, cuts = _spans(table.column("stretch"))
+        each, needed = judge(raw, cuts // item, *(table.column(c).to_numpy() for c in ("times", "least", "most")))
+        edges = np.concatenate([[0], np.cumsum(np.diff(cuts // item) - width + 1)])
+        return packed(table, each, edges, np.flatnonzero(needed))
+
+    def packed(table: pa.Table, each: np.ndarray, edges: np.ndarray, kept: np.ndarray) -> pa.Table:
+        low = np.minimum.reduceat(each, edges[:-1]) if len(each) else each
+        high = np.maximum.reduceat(each, edges[:-1]) if len(each) else each
+        varied = low[kept] != high[kept]
+        lists = [each[edges[i]:edges[i + 1]].tobytes() if v else None for i, v in zip(kept.tolist(), varied.tolist())]
+        return table.select(["anchor", "mark"]).take(pa.array(kept)) \
+            .append_column("value", pa.array(low[kept].astype(np.int64), mask=varied)) \
+            .append_column("verdict", pa.array(lists, pa.binary()))
 
     def by_group(df: DataFrame) -> DataFrame:
         return df.withColumn("shard", F.pmod(F.xxhash64("anchor"), F.lit(groups))).withColumn("mark", mark_of()) \
             .select("shard", "anchor", "mark", "stretch", "times", "least", "most") \
-            .groupBy("shard").applyInArrow(judged, "anchor long, mark long, verdict binary")
+            .groupBy("shard").applyInArrow(judged, "anchor long, mark long, value long, verdict binary")
 
     plain = by_group(merged.join(busy, "anchor", "left_anti"))
     if not busy.take(1):
@@ -324,20 +347,21 @@ def verdicts(found: DataFrame, judge, width: int, item: int, none: bytes) -> Dat
     seen = store(by_group(alone), "repeats-window-verdicts")
     again = each.withColumn("anchor", F.xxhash64("stretch")) \
         .select("whole_anchor", "whole", "window", "anchor", mark_of()).join(seen, ["anchor", "mark"]) \
-        .groupBy("whole_anchor", "whole").agg(F.collect_list(F.struct("window", "verdict")).alias("parts"))
+        .groupBy("whole_anchor", "whole").agg(F.collect_list(F.struct("window", "value")).alias("parts"))
 
     def assembled(batches):
         for batch in batches:
             out = []
             for parts in batch.column(2).to_pylist():
-                room = bytearray(none * (max(p["window"] for p in parts) + 1))
+                room = np.full(max(p["window"] for p in parts) + 1, none, kind)
                 for p in parts:
-                    room[p["window"] * entry:(p["window"] + 1) * entry] = p["verdict"]
-                out.append(bytes(room))
+                    room[p["window"]] = p["value"]
+                out.append(room.tobytes())
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0), batch.column(1), pa.array(out, pa.binary())], names=["anchor", "mark", "verdict"])
+                [batch.column(0), batch.column(1), pa.nulls(len(out), pa.int64()), pa.array(out, pa.binary())],
+                names=["anchor", "mark", "value", "verdict"])
 
-    judged_again = again.mapInArrow(assembled, "anchor long, mark long, verdict binary")
+    judged_again = again.mapInArrow(assembled, "anchor long, mark long, value long, verdict binary")
     return store(plain.unionByName(judged_again), "repeats-verdicts")
 
 
@@ -346,7 +370,31 @@ def mark_of():
     return F.xxhash64("stretch", "anchor").alias("mark")
 
 
-def marks(found: DataFrame, judged: DataFrame) -> DataFrame:
-    """at, same, hits: of each document the stretches with a verdict."""
-    hits = found.select("at", "same", "start", "anchor", mark_of()).join(judged, ["anchor", "mark"])
-    return hits.groupBy("at", "same").agg(F.collect_set(F.struct("start", "verdict")).alias("hits"))
+def marks(found: DataFrame, judged: DataFrame, matters=None) -> DataFrame:
+    """at, same, hits: of each document the stretches with a verdict.
+
+    ``matters``: condition on at and value; other verdicts for a whole stretch are dropped."""
+    hits = found.select("at", "same", "start", "windows", "anchor", mark_of()).join(judged, ["anchor", "mark"])
+    if matters is not None:
+        hits = hits.filter(F.col("value").isNull() | matters)
+    return hits.groupBy("at", "same").agg(F.collect_list(F.struct("start", "windows", "value", "verdict")).alias("hits"))
+
+
+def hit_windows(hits: pa.Array, kind) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """First window and verdict of all windows in the hits of a batch, and each row's range of them."""
+    counts = np.asarray(hits.value_lengths().fill_null(0))
+    flat = hits.flatten()
+    if not len(flat):
+        return np.zeros(0, np.int64), np.zeros(0, kind), np.zeros(len(hits) + 1, np.int64)
+    start, windows, value, verdict = flat.flatten()
+    start = start.to_numpy(zero_copy_only=False).astype(np.int64)
+    raw, cuts = _spans(verdict.fill_null(b""))
+    listed = np.diff(cuts) // np.dtype(kind).itemsize
+    same = np.asarray(value.is_valid())
+    n = np.where(same, windows.to_numpy(zero_copy_only=False), listed)
+    edges = np.concatenate([[0], np.cumsum(n)])
+    at = np.arange(edges[-1]) + np.repeat(start - edges[:-1], n)
+    each = np.repeat(value.fill_null(0).to_numpy(zero_copy_only=False).astype(kind), n)
+    each[np.repeat(~same, n)] = np.frombuffer(raw.tobytes(), kind)
+    rows = np.concatenate([[0], np.cumsum(counts)])
+    return at, each, edges[rows]

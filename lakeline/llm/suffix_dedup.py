@@ -15,6 +15,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from lakeline.llm import repeats
 from lakeline.llm.tables import texts
@@ -33,7 +34,7 @@ def _raw(docs: list[bytes], units: np.ndarray) -> np.ndarray:
 
 
 def _dense(key: np.ndarray) -> np.ndarray:
-    order = np.argsort(key, kind="stable")
+    order = np.argsort(key)
     s = key[order]
     rank = np.empty(len(key), np.int64)
     rank[order] = np.cumsum(np.concatenate([[False], s[1:] != s[:-1]]))
@@ -59,7 +60,7 @@ def suffix_order(data: np.ndarray, at: np.ndarray, width: int) -> tuple[np.ndarr
         rank = _dense(rank * n + follow)
         span *= 2
     key = rank[at] * n + rank[at + width - span]
-    order = np.argsort(key, kind="stable")
+    order = np.argsort(key)
     s = key[order]
     return order, np.concatenate([[False], s[1:] == s[:-1]])
 
@@ -96,56 +97,48 @@ def first_document(order: np.ndarray, same: np.ndarray, document: np.ndarray) ->
     return out
 
 
-def judge(width: int):
-    def run(stretches, times, least, most):
-        size = np.array([len(s) for s in stretches], np.int64)
-        data = np.frombuffer(b"".join(stretches), np.uint8)
-        count = size - width + 1
-        cuts = np.concatenate([[0], np.cumsum(count)])
-        at = np.arange(cuts[-1]) + np.repeat(np.cumsum(size) - size - cuts[:-1], count)
+def judge(width: int) -> repeats.Judge:
+    def run(data, cuts, times, least, most):
+        count = np.diff(cuts) - width + 1
+        edges = np.concatenate([[0], np.cumsum(count)])
+        at = np.arange(edges[-1]) + np.repeat(cuts[:-1] - edges[:-1], count)
         order, same = suffix_order(data, at, width)
         first = first_document(order, same, np.repeat(least, count))
-        grouped = np.concatenate([same[1:], [False]]) | same
         several = np.zeros(len(at), bool)
-        several[order] = grouped
-        needed = (least < most) | (np.add.reduceat(several.astype(np.int64), cuts[:-1]) > 0)
-        return [first[cuts[i]:cuts[i + 1]].tobytes() if needed[i] else None for i in range(len(size))]
+        several[order] = np.concatenate([same[1:], [False]]) | same
+        return first, (least < most) | (np.add.reduceat(several.astype(np.int64), edges[:-1]) > 0)
 
     return run
 
 
 def _digest(width: int):
-    def removed(size: int, at: int, hits) -> np.ndarray:
-        edge = np.zeros(size + 1, np.int32)
-        for hit in hits or ():
-            first = np.frombuffer(hit["verdict"], np.int64)
-            starts = hit["start"] + np.flatnonzero(first < at)
-            edge[starts] += 1
-            edge[starts + width] -= 1
-        return np.cumsum(edge[:-1]) > 0
-
     def run(batches):
         for batch in batches:
             rows = []
-            for at, text, hits in zip(batch.column(1).to_pylist(), batch.column(2).to_pylist(), batch.column(3).to_pylist()):
+            starts, first, cuts = repeats.hit_windows(batch.column(3), np.int64)
+            for i, (at, text) in enumerate(zip(batch.column(1).to_pylist(), batch.column(2).to_pylist())):
                 data = text.encode()
-                if not hits:
+                own = slice(cuts[i], cuts[i + 1])
+                later = starts[own][first[own] < at]
+                if not len(later):
                     rows.append((len(data), 0, 0, hashlib.sha256(data).hexdigest(), text))
                     continue
-                gone = removed(len(data), at, hits)
+                edge = np.bincount(later, minlength=len(data) + 1)
+                edge[width:] -= edge[:-width].copy()
+                gone = np.cumsum(edge[:-1]) > 0
                 kept = np.frombuffer(data, np.uint8)[~gone].tobytes()
-                spans = int(np.count_nonzero(gone[1:] & ~gone[:-1])) + int(gone[:1].sum())
+                spans = int(np.count_nonzero(gone[1:] & ~gone[:-1])) + int(gone[0])
                 rows.append((len(data), int(gone.sum()), spans, hashlib.sha256(kept).hexdigest(),
                              kept.decode("utf-8", "ignore")))
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0), *(pa.array([r[i] for r in rows], pa.int64()) for i in range(3)),
-                 *(pa.array([r[i] for r in rows], pa.string()) for i in (3, 4))],
-                names=["doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256", "kept_text"])
+                 *(pa.array([r[i] for r in rows], pa.string()) for i in (3, 4)), *batch.columns[4:]],
+                names=["doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256", "kept_text", *batch.schema.names[4:]])
 
     return run
 
 
-def remove_later_copies(docs: DataFrame, width: int = 50) -> DataFrame:
+def remove_later_copies(docs: DataFrame, width: int = 50, carry: bool = False) -> DataFrame:
     """Each document without the bytes that an earlier one already holds.
 
     ``docs``: doc_id, text; other columns are not read. A byte goes when it lies in
@@ -155,16 +148,19 @@ def remove_later_copies(docs: DataFrame, width: int = 50) -> DataFrame:
     repeat a doc_id never lose anything to each other. No rows give no rows.
 
     Returns doc_id, n_bytes, n_removed, n_spans, kept_sha256 and kept_text (what
-    is left; a character of which only a part is left is dropped from it).
+    is left; a character of which only a part is left is dropped from it), with
+    ``carry`` also ``row``, a struct of the row's other columns.
     """
+    others = [F.col(f"`{c}`") for c in docs.columns if c.lower() not in ("doc_id", "text")]
     rows = repeats.with_key(texts(docs))
+    full = repeats.with_key(texts(docs, F.struct(*others).alias("row"))) if carry and others else rows
     amount = rows.agg(F.sum(F.octet_length("text")).alias("n")).first()["n"] or 0
     gram = 32 if width >= 40 else 1 << max(0, (width // 2).bit_length() - 1)
     anchors = repeats.shared_anchors(rows, _units, width, gram, amount)
     found = repeats.stretches(rows, anchors, _units, width, gram, _raw)
-    none = np.array([_LATER], np.int64).tobytes()
-    judged = repeats.verdicts(found, judge(width), width, 1, none)
-    hits = repeats.marks(found, judged)
-    return rows.join(hits, ["at", "same"], "left").select("doc_id", "at", "text", "hits").mapInArrow(
-        _digest(width),
+    judged = repeats.verdicts(found, judge(width), width, 1, np.int64(_LATER))
+    hits = repeats.marks(found, judged, F.col("value") < F.col("at"))
+    joined = full.join(hits, ["at", "same"], "left").select("doc_id", "at", "text", "hits", *full.columns[4:])
+    schema = StructType.fromDDL(
         "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string, kept_text string")
+    return joined.mapInArrow(_digest(width), StructType(schema.fields + joined.schema.fields[4:]))

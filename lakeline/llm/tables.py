@@ -47,11 +47,12 @@ def groups_for(spark: SparkSession, amount: int, per_group: int) -> int:
     return max(4 * shuffle_partitions(spark), -(-int(amount) // per_group))
 
 
-def texts(docs: DataFrame) -> DataFrame:
+def texts(docs: DataFrame, *more) -> DataFrame:
     """``doc_id`` (long) and ``text`` (null as empty), whatever else ``docs`` has."""
     return docs.select(
         F.col("doc_id").cast("long").alias("doc_id"),
         F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"),
+        *more,
     )
 
 
