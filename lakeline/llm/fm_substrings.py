@@ -148,14 +148,14 @@ def _digest(width: int):
     def run(batches):
         for batch in batches:
             rows = []
-            windows, again, cuts = repeats.hit_windows(batch.column(2), np.uint8)
-            for i, text in enumerate(batch.column(1).to_pylist()):
+            windows, again, cuts = repeats.hit_windows(batch.column(3), np.uint8)
+            for i, (text, copy) in enumerate(zip(batch.column(1).to_pylist(), batch.column(2).to_pylist())):
                 data = text.encode()
                 _, starts, ends, _ = words.find([data], words.BLANKS)
                 own = slice(cuts[i], cuts[i + 1])
                 repeated = windows[own][again[own] > 0]
-                gone = np.zeros(len(starts), bool)
-                if len(repeated):
+                gone = np.full(len(starts), copy and len(starts) >= width)  # a copy's windows all repeat
+                if len(repeated) and not gone.any():
                     edge = np.bincount(repeated, minlength=len(starts) + 1)
                     edge[width:] -= edge[:-width].copy()
                     gone = np.cumsum(edge[:-1]) > 0
@@ -185,10 +185,14 @@ def remove_repeated_windows(docs: DataFrame, width: int = 35) -> DataFrame:
     """
     rows = repeats.with_key(texts(docs))
     amount = rows.agg(F.sum(F.octet_length("text")).alias("n")).first()["n"] or 0
-    gram = 16 if width >= 24 else 1 << max(0, (width // 2).bit_length() - 1)
-    anchors = repeats.shared_anchors(rows, _units, width, gram, amount // 8)
+    gram = max(1, width // 2 - 1)
+    texts_of = repeats.same_texts(rows)
+    anchors = repeats.shared_anchors(rows, texts_of, _units, width, gram, amount // 8)
     found = repeats.stretches(rows, anchors, _units, width, gram, _raw)
     judged = repeats.verdicts(found, judge(width), width, 8, np.uint8(0))
     hits = repeats.marks(found, judged)
-    return rows.join(hits, ["at", "same"], "left").select("doc_id", "text", "hits").mapInArrow(
+    copies = texts_of.filter("rows > 1").select("at", "same", F.lit(True).alias("copy")).distinct()
+    marked = copies.join(hits, ["at", "same"], "full")
+    return rows.join(marked, ["at", "same"], "left").select(
+        "doc_id", "text", F.coalesce("copy", F.lit(False)).alias("copy"), "hits").mapInArrow(
         _digest(width), "doc_id long, n_words long, n_removed long, kept_sha256 string, kept_text string")

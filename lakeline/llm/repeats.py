@@ -50,14 +50,19 @@ def mix(h: np.ndarray) -> np.ndarray:
 
 
 def _grams(units: np.ndarray, gram: int) -> np.ndarray:
-    h, span = units, 1
-    while span < gram:
-        h = h[:-span] * np.uint64(0x9E3779B97F4A7C15 + 2 * span) + h[span:]
-        h ^= h >> np.uint64(31)
+    """Hash of every ``gram`` units in a row, from hashes of 1, 2, 4, ... in a row."""
+    level, span, out, held = units, 1, None, 0
+    while span <= gram:
+        if gram & span:  # the next units of the gram are ``span`` many
+            n = len(units) - held - span + 1
+            part = level[held:held + n]
+            out = part if out is None else out[:n] * np.uint64(0xD6E8FEB86659FD93 + 2 * span) + part
+            held += span
+        if 2 * span <= gram:
+            level = level[:-span] * np.uint64(0x9E3779B97F4A7C15 + 2 * span) + level[span:]
+            level ^= level >> np.uint64(31)
         span *= 2
-    if span != gram:
-        raise ValueError("gram must be a power of two")
-    return mix(h)
+    return mix(out)
 
 
 def _least(x: np.ndarray, span: int) -> np.ndarray:
@@ -220,16 +225,28 @@ def with_key(docs: DataFrame) -> DataFrame:
     return docs.select("doc_id", "text", *key, *docs.columns[2:])
 
 
-def shared_anchors(docs: DataFrame, units_of: Units, width: int, gram: int, amount: int) -> DataFrame:
-    """at, anchors: of each document the anchors that occur elsewhere as well.
+def same_texts(docs: DataFrame) -> DataFrame:
+    """at, same, size, first, rows of every document: the least document with its text and how many rows have it.
+
+    Equal texts repeat all their windows, so one of them stands for all in what follows."""
+    key = [F.xxhash64("text").alias("same"), F.xxhash64(F.lit(1), "text").alias("other"), F.octet_length("text").alias("size")]
+    rows = store(docs.select("at", *key), "repeats-texts")
+    names = ["same", "other", "size"]
+    groups = rows.groupBy(*names).agg(F.min("at").alias("first"), F.count("*").alias("rows"))
+    return store(rows.join(groups, names).select("at", "same", "size", "first", "rows"), "repeats-same-texts")
+
+
+def shared_anchors(docs: DataFrame, texts: DataFrame, units_of: Units, width: int, gram: int, amount: int) -> DataFrame:
+    """at, anchors: of each document that stands for its text the anchors that occur elsewhere as well.
 
     ``amount``: bytes of text in all; it sets the number of buckets.
     """
     spark = docs.sparkSession
     buckets = groups_for(spark, amount // 10, ANCHORS_PER_BUCKET)
     asked = docs.select("at", "text").mapInArrow(_ask(units_of, width, gram, buckets), _ASKED)
-    told = asked.groupBy("bucket").applyInArrow(_tell, _TOLD)
-    return store(told.withColumnRenamed("doc_id", "at"), "repeats-anchors")
+    told = asked.groupBy("bucket").applyInArrow(_tell, _TOLD).withColumnRenamed("doc_id", "at")
+    standing = texts.filter(F.col("at") == F.col("first")).select("at").distinct()
+    return store(told.join(standing, "at", "left_semi"), "repeats-anchors")
 
 
 _STRETCH = "at long, same long, start long, windows int, anchor long, stretch binary"

@@ -115,9 +115,12 @@ def _digest(width: int):
     def run(batches):
         for batch in batches:
             rows = []
-            starts, first, cuts = repeats.hit_windows(batch.column(3), np.int64)
-            for i, (at, text) in enumerate(zip(batch.column(1).to_pylist(), batch.column(2).to_pylist())):
+            starts, first, cuts = repeats.hit_windows(batch.column(4), np.int64)
+            for i, (at, text, copy) in enumerate(zip(*(batch.column(c).to_pylist() for c in (1, 2, 3)))):
                 data = text.encode()
+                if copy:  # an earlier document has the whole text
+                    rows.append((len(data), len(data), 1, hashlib.sha256().hexdigest(), ""))
+                    continue
                 own = slice(cuts[i], cuts[i + 1])
                 later = starts[own][first[own] < at]
                 if not len(later):
@@ -132,8 +135,8 @@ def _digest(width: int):
                              kept.decode("utf-8", "ignore")))
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0), *(pa.array([r[i] for r in rows], pa.int64()) for i in range(3)),
-                 *(pa.array([r[i] for r in rows], pa.string()) for i in (3, 4)), *batch.columns[4:]],
-                names=["doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256", "kept_text", *batch.schema.names[4:]])
+                 *(pa.array([r[i] for r in rows], pa.string()) for i in (3, 4)), *batch.columns[5:]],
+                names=["doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256", "kept_text", *batch.schema.names[5:]])
 
     return run
 
@@ -155,12 +158,17 @@ def remove_later_copies(docs: DataFrame, width: int = 50, carry: bool = False) -
     rows = repeats.with_key(texts(docs))
     full = repeats.with_key(texts(docs, F.struct(*others).alias("row"))) if carry and others else rows
     amount = rows.agg(F.sum(F.octet_length("text")).alias("n")).first()["n"] or 0
-    gram = 32 if width >= 40 else 1 << max(0, (width // 2).bit_length() - 1)
-    anchors = repeats.shared_anchors(rows, _units, width, gram, amount)
+    gram = width // 2 - 1
+    texts_of = repeats.same_texts(rows)
+    anchors = repeats.shared_anchors(rows, texts_of, _units, width, gram, amount)
     found = repeats.stretches(rows, anchors, _units, width, gram, _raw)
     judged = repeats.verdicts(found, judge(width), width, 1, np.int64(_LATER))
     hits = repeats.marks(found, judged, F.col("value") < F.col("at"))
-    joined = full.join(hits, ["at", "same"], "left").select("doc_id", "at", "text", "hits", *full.columns[4:])
+    copies = texts_of.filter((F.col("at") > F.col("first")) & (F.col("size") >= width)) \
+        .select("at", "same", F.lit(True).alias("copy")).distinct()
+    marked = copies.join(hits, ["at", "same"], "full")
+    joined = full.join(marked, ["at", "same"], "left").select(
+        "doc_id", "at", "text", F.coalesce("copy", F.lit(False)).alias("copy"), "hits", *full.columns[4:])
     schema = StructType.fromDDL(
         "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string, kept_text string")
-    return joined.mapInArrow(_digest(width), StructType(schema.fields + joined.schema.fields[4:]))
+    return joined.mapInArrow(_digest(width), StructType(schema.fields + joined.schema.fields[5:]))
