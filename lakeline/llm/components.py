@@ -5,13 +5,19 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lakeline.llm.tables import store
+from lakeline.llm.tables import discard, store
 
 
 def _least(pairs: DataFrame) -> DataFrame:
     return pairs.groupBy("u").agg(F.min("v").alias("m"))
 
 
+def _stars(edges: DataFrame) -> tuple:
+    """Number and digest of the edges: equal when a round has moved nothing."""
+    digest = F.sum(F.xxhash64("u", "v").cast("decimal(38,0)")), F.sum(F.xxhash64("v", "u").cast("decimal(38,0)"))
+    return tuple(edges.agg(F.count("*"), *digest).first())
+
+
 def components(links: DataFrame) -> DataFrame:
     """node, component (its smallest node) of every node with a link.
 
@@ -23,17 +29,19 @@ def components(links: DataFrame) -> DataFrame:
     """
     edges = store(
         links.select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).filter("u != v").distinct(), "links")
-    while True:
+    seen = _stars(edges)
+    while seen[0]:
         both = edges.unionByName(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
         least = _least(both).select("u", F.least("u", "m").alias("m"))
         large = both.filter("v > u").join(least, "u").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct()
-        least = _least(large)
-        small = large.join(least, "u").select("u", "v", "m")
-        after = small.select(F.col("u"), F.col("m").alias("v")).unionByName(
-            small.filter("v != m").select(F.col("v").alias("u"), F.col("m").alias("v"))).distinct()
-        after = store(after, "links")
-        if after.count() == edges.count() and not after.join(edges, ["u", "v"], "left_anti").take(1):
-            break
+        small = large.join(_least(large), "u").select("u", "v", "m")
+        after = store(
+            small.select(F.col("u"), F.col("m").alias("v")).unionByName(
+                small.filter("v != m").select(F.col("v").alias("u"), F.col("m").alias("v"))).distinct(), "links")
+        before, seen = seen, _stars(after)
+        discard(edges)
         edges = after
+        if seen == before:
+            break
     return edges.select(F.col("u").alias("node"), F.col("v").alias("component")).unionByName(
         edges.select(F.col("v").alias("node"), F.col("v").alias("component"))).distinct()

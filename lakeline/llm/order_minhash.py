@@ -8,10 +8,11 @@ Documents with an equal sketch are candidates. An alignment of their words insid
 the band that the threshold allows decides.
 
 Candidates are not paired up. Every member of a bucket is first aligned with one
-of it (the pivot, another one in each quarter of the sketches); what has then
-met in one component needs no further pairs, as only the classes are asked for.
-The rest, members outside the pivot's component, is aligned with all members of
-other components, so no link between candidates is lost.
+of it (the pivot, another one in each quarter of the sketches; the first quarter
+goes ahead); what has met in one component needs no further pairs, as only the
+classes are asked for. The rest, members outside the pivot's component, is
+aligned with all members of other components, so no link between candidates is
+lost.
 """
 
 from __future__ import annotations
@@ -31,6 +32,8 @@ SKETCHES = 16
 SAMPLE = 4
 PIVOTS = 4
 SIMILARITY = 0.8
+_CELLS = 4_000_000  # hashes of a document ranked at a time
+_PLAIN_EDITS = 48  # edits up to which the few diagonals are followed one by one
 
 _SEEDS = np.random.default_rng(2).integers(1, 1 << 63, SKETCHES, dtype=np.uint64) | np.uint64(1)
 
@@ -60,19 +63,17 @@ def sketches(tokens: np.ndarray) -> np.ndarray:
     """One 64-bit number per sketch: the least k-mers' hashes in text order."""
     kmers = labelled_kmers(tokens)
     take = min(SAMPLE, len(kmers))
-    out = np.empty(SKETCHES, np.uint64)
-    for i, seed in enumerate(_SEEDS):
-        ranked = mix(kmers * seed)
-        if len(kmers) > take:
-            at = np.sort(np.argpartition(ranked, take - 1)[:take])
-        else:
-            at = np.arange(take)
-        h = np.uint64(i + 1)
-        for x in kmers[at].tolist():
-            h = np.uint64(((int(h) ^ x) * 0xBF58476D1CE4E5B9 + 0x9E3779B97F4A7C15) & 0xFFFFFFFFFFFFFFFF)
-            h ^= h >> np.uint64(29)
-        out[i] = h
-    return out
+    if len(kmers) > take:
+        per = max(1, _CELLS // len(kmers))  # sketches ranked at a time
+        at = np.concatenate([
+            np.argpartition(mix(kmers * _SEEDS[i:i + per, None]), take - 1, axis=1)[:, :take] for i in range(0, SKETCHES, per)])
+        at.sort(axis=1)
+    else:
+        at = np.broadcast_to(np.arange(take), (SKETCHES, take))
+    h = np.arange(1, SKETCHES + 1, dtype=np.uint64)
+    for column in kmers[at].T:
+        h = mix((h ^ column) * np.uint64(0x9E3779B97F4A7C15) + np.uint64(take))
+    return h
 
 
 _SKETCHED = "at long, same long, content long, content2 long, n_words int, tokens binary, sketches array<long>"
@@ -163,12 +164,47 @@ def edit_distance(a: np.ndarray, b: np.ndarray, most: int) -> int:
     surplus = np.bincount(which[:n], minlength=len(values)) - np.bincount(which[n:], minlength=len(values))
     if max(surplus[surplus > 0].sum(initial=0), -surplus[surplus < 0].sum(initial=0)) > most:
         return most + 1
-    extend = _mismatch_free(a, b)
-    far = -2 - np.zeros(2 * most + 3, np.int64)  # furthest i on diagonal d = j - i, at most + 1 + d
+    far = [-2] * (2 * most + 3)  # furthest i on diagonal d = j - i, at most + 1 + d
     mid = most + 1
     goal = mid + m - n
-    far[mid] = extend(np.zeros(1, np.int64), np.zeros(1, np.int64))[0]
-    for edits in range(most + 1):
+    left, right = a.tolist(), b.tolist()
+    raw_a, raw_b, item = a.tobytes(), b.tobytes(), a.itemsize
+
+    def run(i: int, d: int) -> int:
+        """End of the equal words from row i on along diagonal d."""
+        j, step = i + d, 1
+        if i >= n or j >= m or left[i] != right[j]:
+            return i
+        while True:  # gallop while whole blocks agree, then close in
+            size = min(step, n - i, m - i - d)
+            if size and raw_a[i * item:(i + size) * item] == raw_b[(i + d) * item:(i + d + size) * item]:
+                i += size
+                step *= 2
+                continue
+            step = 1 << (size - 1).bit_length() >> 1 if size > 1 else 0
+            while step:
+                if (i + step <= n and i + step + d <= m
+                        and raw_a[i * item:(i + step) * item] == raw_b[(i + d) * item:(i + d + step) * item]):
+                    i += step
+                step //= 2
+            return i
+
+    far[mid] = run(0, 0)
+    for edits in range(min(most, _PLAIN_EDITS) + 1):
+        if far[goal] >= n:
+            return edits
+        if edits == most:
+            return most + 1
+        old = far[:]
+        for d in range(max(-edits - 1, -n), min(edits + 1, m) + 1):
+            at = mid + d
+            i = max(old[at] + 1, old[at - 1] if at else -2, old[at + 1] + 1 if at + 1 < len(old) else -2)  # replace, take from b, drop from a
+            i = min(i, n, m - d)
+            if i >= 0 and i + d >= 0:
+                far[at] = run(i, d)
+    extend = _mismatch_free(a, b)
+    far = np.array(far)
+    for edits in range(_PLAIN_EDITS + 1, most + 1):
         if far[goal] >= n:
             return edits
         if edits == most:
@@ -177,7 +213,7 @@ def edit_distance(a: np.ndarray, b: np.ndarray, most: int) -> int:
         d = d[(d >= -n) & (d <= m)]
         at = d + mid
         prior = np.concatenate([[-2], far, [-2]])
-        i = np.maximum(np.maximum(prior[at + 1] + 1, prior[at + 2] + 1), prior[at])  # replace, drop from a, take from b
+        i = np.maximum(np.maximum(prior[at + 1] + 1, prior[at + 2] + 1), prior[at])
         i = np.minimum(i, np.minimum(n, m - d))
         ok = (i >= 0) & (i + d >= 0)
         i, at, d = i[ok], at[ok], d[ok]
@@ -237,22 +273,31 @@ def near_classes(docs: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
         .select("sketch", "bucket", F.col("p.rep").alias("pivot"), F.col("p.n_words").alias("pivot_words"))
     shared = store(member.join(buckets, ["sketch", "bucket"]), "order-minhash-buckets")
     near = lambda x, y: F.least(x, y) >= similarity * F.greatest(x, y) - 1e-9
-    first = shared.filter("rep != pivot").filter(near("n_words", "pivot_words")) \
-        .select(F.col("rep").alias("a"), F.col("pivot").alias("b")).distinct()
-    links = store(_verified(first, reps, similarity), "order-minhash-links")
+    stars = shared.filter("rep != pivot").filter(near("n_words", "pivot_words"))
+
+    def tried(pairs: DataFrame) -> DataFrame:
+        return store(_verified(pairs.distinct(), reps, similarity), "order-minhash-links")
+
+    def known(rows: DataFrame) -> DataFrame:
+        """``rows`` with the components that their members and pivots are in so far."""
+        return rows.join(found.withColumnRenamed("node", "rep"), "rep", "left") \
+            .join(found.select(F.col("node").alias("pivot"), F.col("component").alias("pivot_component")), "pivot", "left") \
+            .withColumn("component", F.coalesce("component", "rep")) \
+            .withColumn("pivot_component", F.coalesce("pivot_component", "pivot"))
+
+    pair = F.col("rep").alias("a"), F.col("pivot").alias("b")
+    links = tried(stars.filter(F.col("sketch") % PIVOTS == 0).select(*pair))  # a quarter joins most of what belongs together
+    found = components(links)
+    links = links.unionByName(tried(known(stars).filter("component != pivot_component").select(*pair)))
     found = components(links)
-    known = shared.join(found.withColumnRenamed("node", "rep"), "rep", "left") \
-        .join(found.select(F.col("node").alias("pivot"), F.col("component").alias("pivot_component")), "pivot", "left") \
-        .select("sketch", "bucket", "rep", "n_words", F.coalesce("component", "rep").alias("component"),
-                F.coalesce("pivot_component", "pivot").alias("pivot_component"), "pivot")
-    known = store(known, "order-minhash-known")
-    apart = known.filter("component != pivot_component").alias("y")
-    rest = apart.join(known.alias("x"), ["sketch", "bucket"]).filter(
+    placed = store(known(shared), "order-minhash-known")
+    apart = placed.filter("component != pivot_component").alias("y")
+    rest = apart.join(placed.alias("x"), ["sketch", "bucket"]).filter(
         (F.col("x.component") != F.col("y.component")) & near(F.col("x.n_words"), F.col("y.n_words"))
         & (F.col("x.rep") != F.col("y.pivot"))
         & ((F.col("x.component") == F.col("y.pivot_component")) | (F.col("x.rep") < F.col("y.rep")))
-    ).select(F.col("y.rep").alias("a"), F.col("x.rep").alias("b")).distinct()
-    more = store(_verified(rest, reps, similarity), "order-minhash-links")
+    ).select(F.col("y.rep").alias("a"), F.col("x.rep").alias("b"))
+    more = tried(rest)
     if more.take(1):
         found = components(links.unionByName(more))
     classes = reps.select(*same, "rep").join(found.withColumnRenamed("node", "rep"), "rep", "left") \

@@ -22,13 +22,14 @@ judgement compares whole windows.
 from __future__ import annotations
 
 from collections.abc import Callable
+from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lakeline.llm.tables import groups_for, slices, store
+from lakeline.llm.tables import discard, groups_for, slices, store
 
 _BITS = 20
 _BLOCK = 1 << _BITS
@@ -99,10 +100,8 @@ def runs(units: np.ndarray, bounds: np.ndarray, width: int, gram: int):
 def _binaries(data: np.ndarray, cuts: np.ndarray) -> pa.Array:
     """Binary values: the bytes of ``data`` between consecutive ``cuts`` (in items)."""
     raw = np.ascontiguousarray(data)
-    offsets = (np.asarray(cuts, np.int64) * raw.dtype.itemsize).astype(np.int64)
-    return pa.Array.from_buffers(
-        pa.large_binary(), len(offsets) - 1, [None, pa.py_buffer(offsets), pa.py_buffer(raw.tobytes())]
-    ).cast(pa.binary())
+    offsets = (np.asarray(cuts, np.int64) * raw.dtype.itemsize).astype(np.int32)
+    return pa.Array.from_buffers(pa.binary(), len(offsets) - 1, [None, pa.py_buffer(offsets), pa.py_buffer(raw)])
 
 
 def _joined(column, dtype) -> tuple[np.ndarray, np.ndarray]:
@@ -233,7 +232,9 @@ def same_texts(docs: DataFrame) -> DataFrame:
     rows = store(docs.select("at", *key), "repeats-texts")
     names = ["same", "other", "size"]
     groups = rows.groupBy(*names).agg(F.min("at").alias("first"), F.count("*").alias("rows"))
-    return store(rows.join(groups, names).select("at", "same", "size", "first", "rows"), "repeats-same-texts")
+    known = store(rows.join(groups, names).select("at", "same", "size", "first", "rows"), "repeats-same-texts")
+    discard(rows)
+    return known
 
 
 def shared_anchors(docs: DataFrame, texts: DataFrame, units_of: Units, width: int, gram: int, amount: int) -> DataFrame:
@@ -270,7 +271,8 @@ def _cut(units_of: Units, width: int, gram: int, raw_of):
                 raw = raw_of(texts[a:b], units)
                 span = count + width - 1
                 cuts = np.concatenate([[0], np.cumsum(span)])
-                index = np.arange(cuts[-1]) + np.repeat(first - cuts[:-1], span)
+                index = np.repeat((first - cuts[:-1]).astype(np.int32), span)  # a slice or document is under 2 GB
+                index += np.arange(cuts[-1], dtype=np.int32)
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(at[a:b][owner]), pa.array(same[a:b][owner]), pa.array(first - bounds[owner]),
                      pa.array(count.astype(np.int32)), pa.array(anchor.astype(np.int64)), _binaries(raw[index], cuts)],
@@ -280,14 +282,17 @@ def _cut(units_of: Units, width: int, gram: int, raw_of):
 
 
 def stretches(docs: DataFrame, anchors: DataFrame, units_of: Units, width: int, gram: int, raw_of) -> DataFrame:
-    """at, same, start, windows, anchor, stretch of every stretch with a shared anchor.
+    """at, same, start, windows, anchor, stretch of every stretch with a shared anchor
+    (``anchors`` is used up).
 
     ``raw_of``: the items (bytes, or hashes) that a stretch is written with.
     """
     by_doc = anchors.groupBy("at").agg(F.collect_list("anchors").alias("anchors"))
     cut = docs.join(by_doc, "at").select("at", "same", "text", "anchors").mapInArrow(
         _cut(units_of, width, gram, raw_of), _STRETCH)
-    return store(cut, "repeats-stretches")
+    found = store(cut, "repeats-stretches")
+    discard(anchors)
+    return found
 
 
 
@@ -310,18 +315,25 @@ def _windows_of(width: int, item: int):
     return run
 
 
-Judge = Callable[[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray], tuple]
+@dataclass(frozen=True)
+class Judge:
+    """What makes a window repeat.
+
+    ``alone(times, least, most)``: for stretches that are the only one of their
+    anchor, the verdict on all windows and whether one is needed. ``compare(bytes,
+    cuts, times, least, most)``: a verdict for each window of several stretches, one
+    stretch after another (cuts in units), and which stretches need one."""
+
+    alone: Callable
+    compare: Callable
 
 
 def verdicts(found: DataFrame, judge: Judge, width: int, item: int, none: np.generic) -> DataFrame:
     """anchor, mark, value, verdict of every stretch in which some window repeats.
 
-    ``mark`` is :func:`mark_of` a stretch. ``judge`` gets the merged stretches of
-    a group (their bytes one after another, the cuts between them in units, how
-    often each occurs, its least and its most document) and returns a verdict per
-    window, one stretch after another, and which stretches need one at all. ``value``
-    is the verdict of all windows, or null where they differ and ``verdict`` lists
-    them; a window without a verdict counts as ``none``. ``item``: bytes of a unit.
+    ``mark`` is :func:`mark_of` a stretch. ``value`` is the verdict of all windows, or
+    null where they differ and ``verdict`` lists them; a window without a verdict
+    counts as ``none``. ``item``: bytes of a unit.
     """
     kind = none.dtype
     merged = store(
@@ -332,10 +344,22 @@ def verdicts(found: DataFrame, judge: Judge, width: int, item: int, none: np.gen
     groups = groups_for(merged.sparkSession, size, STRETCH_BYTES_PER_GROUP)
 
     def judged(table: pa.Table) -> pa.Table:
+        """The only stretch of its anchor has windows that nothing else has; the others are indexed."""
+        times, least, most = (table.column(c).to_numpy() for c in ("times", "least", "most"))
+        _, which, size = np.unique(table.column("anchor").to_numpy(), return_inverse=True, return_counts=True)
+        only = size[which] == 1
+        value, needed = judge.alone(times, least, most)
+        kept = np.flatnonzero(only & needed)
+        taken = table.select(["anchor", "mark"]).take(pa.array(kept)) \
+            .append_column("value", pa.array(value[kept].astype(np.int64))).append_column("verdict", pa.nulls(len(kept), pa.binary()))
+        several = np.flatnonzero(~only)
+        if not len(several):
+            return taken
+        table = table.take(pa.array(several)).combine_chunks()
         raw, cuts = _spans(table.column("stretch"))
-        each, needed = judge(raw, cuts // item, *(table.column(c).to_numpy() for c in ("times", "least", "most")))
+        each, needed = judge.compare(raw, cuts // item, times[several], least[several], most[several])
         edges = np.concatenate([[0], np.cumsum(np.diff(cuts // item) - width + 1)])
-        return packed(table, each, edges, np.flatnonzero(needed))
+        return pa.concat_tables([taken, packed(table, each, edges, np.flatnonzero(needed))])
 
     def packed(table: pa.Table, each: np.ndarray, edges: np.ndarray, kept: np.ndarray) -> pa.Table:
         low = np.minimum.reduceat(each, edges[:-1]) if len(each) else each
@@ -353,7 +377,9 @@ def verdicts(found: DataFrame, judge: Judge, width: int, item: int, none: np.gen
 
     plain = by_group(merged.join(busy, "anchor", "left_anti"))
     if not busy.take(1):
-        return store(plain, "repeats-verdicts")
+        done = store(plain, "repeats-verdicts")
+        discard(merged)
+        return done
     each = store(
         merged.join(busy, "anchor", "left_semi").select("anchor", mark_of(), "stretch", "times", "least", "most")
         .mapInArrow(_windows_of(width, item),
@@ -379,7 +405,9 @@ def verdicts(found: DataFrame, judge: Judge, width: int, item: int, none: np.gen
                 names=["anchor", "mark", "value", "verdict"])
 
     judged_again = again.mapInArrow(assembled, "anchor long, mark long, value long, verdict binary")
-    return store(plain.unionByName(judged_again), "repeats-verdicts")
+    done = store(plain.unionByName(judged_again), "repeats-verdicts")
+    discard(merged, each, seen)
+    return done
 
 
 def mark_of():

@@ -108,7 +108,7 @@ def judge(width: int) -> repeats.Judge:
         several[order] = np.concatenate([same[1:], [False]]) | same
         return first, (least < most) | (np.add.reduceat(several.astype(np.int64), edges[:-1]) > 0)
 
-    return run
+    return repeats.Judge(lambda times, least, most: (least, least < most), run)
 
 
 def _digest(width: int):

@@ -8,7 +8,8 @@ from contextlib import contextmanager
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lakeline.session import scratch_path
+from lakeline.operators.sinks import delete
+from lakeline.session import checkpoint_root, scratch_path
 
 _CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 
@@ -35,7 +36,16 @@ def store(df: DataFrame, name: str) -> DataFrame:
     path = scratch_path(spark, name)
     with _shuffles_removed(spark):
         df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    table = spark.read.schema(df.schema).parquet(path)
+    table.stored_at = path  # for discard()
+    return table
+
+
+def discard(*tables: DataFrame) -> None:
+    """Delete the files of stored tables that nothing reads any more."""
+    for t in tables:
+        spark = t.sparkSession
+        delete(spark, t.stored_at, checkpoint_root(spark))
 
 
 def shuffle_partitions(spark: SparkSession) -> int:
