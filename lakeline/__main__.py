@@ -1,12 +1,12 @@
 """Command line: one pipeline run.
 
     python -m lakeline --landing 's3a://b/landing/*.parquet' --root s3a://b/lake \\
-        --zones s3a://b/reference/taxi_zone_lookup.csv [--full-refresh] [--publish trips] \\
+        --zones s3a://b/reference/taxi_zone_lookup.csv [--vendors s3a://b/reference/vendors.csv] [--full-refresh] [--publish trips] \\
         [--var max_fare_amount=2500] [--no-tests] [--strict-reference]
 
-Works the same under ``spark-submit lakeline/__main__.py ...``; the session
-comes from the submit configuration (a local one is built otherwise). Prints
-the run summary as JSON; exits non-zero when a data test fails.
+Works the same under ``spark-submit lakeline/__main__.py ...``; master, memory
+and shuffle partitions are those of the submit configuration. Prints the run
+summary as JSON; exits non-zero when a data test fails.
 """
 
 from __future__ import annotations
@@ -34,6 +34,8 @@ def main(argv: list[str] | None = None) -> int:
     ap.add_argument("--landing", required=True, help="glob of the landing Parquet files")
     ap.add_argument("--root", required=True, help="lakehouse root folder")
     ap.add_argument("--zones", required=True, help="taxi zone lookup CSV")
+    for name, what in (("vendors", "vendor"), ("rate-codes", "rate code"), ("payment-types", "payment type")):
+        ap.add_argument(f"--{name}", metavar="CSV", help=f"{what} list (id, name); the built-in one without")
     ap.add_argument("--full-refresh", action="store_true")
     ap.add_argument("--publish", metavar="PREFIX", help="register tables as PREFIX_<layer>.<table>")
     ap.add_argument("--var", action="append", default=[], metavar="NAME=VALUE", help="a cleaning threshold")
@@ -42,16 +44,15 @@ def main(argv: list[str] | None = None) -> int:
                     help="replace only keys present in the new rows (keeps stale rows of re-delivered files)")
     args = ap.parse_args(argv)
 
-    from pyspark.sql import SparkSession
-
     from lakeline.operators.checks import DataTestFailure
     from lakeline.plans.pipeline import Pipeline
-    from lakeline.session import build_session
+    from lakeline.session import submitted_session
 
-    spark = SparkSession.getActiveSession() or build_session()
+    spark = submitted_session()
     pipe = Pipeline(spark, args.landing, args.root, zones=args.zones, thresholds=parse_vars(args.var),
                     run_tests=not args.no_tests, strict_reference=args.strict_reference,
-                    publish_prefix=args.publish)
+                    publish_prefix=args.publish, vendors=args.vendors, rate_codes=args.rate_codes,
+                    payment_types=args.payment_types)
     try:
         summary = pipe.run(full_refresh=args.full_refresh)
     except DataTestFailure as e:

@@ -7,8 +7,9 @@ Four generic tests, counted the way the SQL tests count failures:
 * ``relationships``: child rows with a non-NULL key missing from the parent;
 * ``accepted_values``: distinct non-NULL values outside the list.
 
-All ``not_null`` tests of one table are fused into one aggregate, so a table
-is scanned once for them however many columns are checked.
+All ``not_null`` tests of one table are fused into one aggregate and all its
+``relationships`` into one anti join, so a table is scanned once for either
+however many columns are checked.
 """
 
 from __future__ import annotations
@@ -30,8 +31,6 @@ class DataTest:
     to_model: str | None = None
     to_field: str | None = None
     values: tuple[str, ...] = field(default_factory=tuple)
-    # parent tables that never grow with the data (calendar, hours, zones)
-    broadcast_parent: bool = False
 
     @property
     def name(self) -> str:
@@ -48,8 +47,8 @@ def unique(model: str, column: str) -> DataTest:
     return DataTest("unique", model, column)
 
 
-def relationship(model: str, column: str, to_model: str, to_field: str, bounded: bool = False) -> DataTest:
-    return DataTest("relationships", model, column, to_model, to_field, broadcast_parent=bounded)
+def relationship(model: str, column: str, to_model: str, to_field: str) -> DataTest:
+    return DataTest("relationships", model, column, to_model, to_field)
 
 
 def accepted_values(model: str, column: str, values: list[str]) -> DataTest:
@@ -80,21 +79,29 @@ def unique_result(model: str, df: DataFrame, column: str) -> DataFrame:
     return _rows("unique", model, column, dups.agg(F.count(F.lit(1)).alias("failures")))
 
 
-def relationship_result(model: str, child: DataFrame, column: str, to_model: str, parent: DataFrame,
-                        to_field: str, broadcast_parent: bool = False) -> DataFrame:
-    """Child rows whose non-NULL key is missing in the parent (anti join).
+def relationship_results(model: str, child: DataFrame, tests: list[DataTest], tables: dict[str, DataFrame]) -> DataFrame:
+    """Child rows whose non-NULL key is missing in the parent, for all keys of a table.
 
-    Only the key columns take part. A parent with a fixed bound (calendar,
-    hours, zones) is broadcast; any other parent is left to the planner and
-    AQE, which broadcast it at run time when it turns out small.
+    The child is scanned once: its keys are counted per column and value with a
+    map-side combine, and one anti join against the parents' keys leaves what
+    has no parent. Which side is small is left to the planner.
     """
-    keys = parent.select(F.col(to_field).alias("_parent_key"))
-    if broadcast_parent:
-        keys = F.broadcast(keys)
-    orphans = (child.select(column).where(F.col(column).isNotNull())
-               .join(keys, F.col(column) == F.col("_parent_key"), "left_anti"))
-    return _rows("relationships", model, f"{column}->{to_model}.{to_field}", orphans.agg(
-        F.count(F.lit(1)).alias("failures")))
+    keys = F.explode(F.array(*[
+        F.struct(F.lit(i).alias("test"), F.col(t.column).cast("string").alias("value")) for i, t in enumerate(tests)]))
+    counted = child.select(keys.alias("k")).select("k.*").where(F.col("value").isNotNull()).groupBy("test", "value") \
+        .agg(F.count(F.lit(1)).alias("n"))
+    parents = None
+    for i, t in enumerate(tests):
+        p = tables[t.to_model].select(F.lit(i).alias("test"), F.col(t.to_field).cast("string").alias("value"))
+        parents = p if parents is None else parents.unionByName(p)
+    orphans = counted.join(parents, ["test", "value"], "left_anti").agg(
+        *[F.coalesce(F.sum(F.when(F.col("test") == i, F.col("n"))), F.lit(0)).alias(f"c{i}") for i in range(len(tests))])
+    stacked = orphans.select(F.explode(F.array(*[
+        F.struct(F.lit(f"{t.column}->{t.to_model}.{t.to_field}").alias("column_name"), F.col(f"c{i}").alias("failures"))
+        for i, t in enumerate(tests)])).alias("r")).select("r.*")
+    return stacked.select(
+        F.lit("relationships").alias("test"), F.lit(model).alias("model"),
+        "column_name", F.col("failures").cast("long").alias("failures"))
 
 
 def accepted_values_result(model: str, df: DataFrame, column: str, values: tuple[str, ...]) -> DataFrame:
@@ -112,15 +119,18 @@ def run_tests(tables: dict[str, DataFrame], tests: list[DataTest]) -> DataFrame:
             nn[t.model].append(t.column)
     for model, cols in nn.items():
         parts.append(not_null_results(model, tables[model], cols))
+    foreign: dict[str, list[DataTest]] = defaultdict(list)
+    for t in tests:
+        if t.kind == "relationships":
+            foreign[t.model].append(t)
+    for model, keys in foreign.items():
+        parts.append(relationship_results(model, tables[model], keys, tables))
     for t in tests:
         if t.kind == "unique":
             parts.append(unique_result(t.model, tables[t.model], t.column))
-        elif t.kind == "relationships":
-            parts.append(relationship_result(t.model, tables[t.model], t.column, t.to_model,
-                                             tables[t.to_model], t.to_field, t.broadcast_parent))
         elif t.kind == "accepted_values":
             parts.append(accepted_values_result(t.model, tables[t.model], t.column, t.values))
-        elif t.kind != "not_null":
+        elif t.kind not in ("not_null", "relationships"):
             raise ValueError(f"unknown test kind {t.kind!r}")
     out = parts[0]
     for p in parts[1:]:

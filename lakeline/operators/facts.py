@@ -39,7 +39,7 @@ def fact_trips(silver: DataFrame) -> DataFrame:
         # the speed uses the rounded minutes, as the model does
         round2(F.try_divide(F.col("trip_distance_miles"), minutes / F.lit(60.0))).alias("avg_speed_mph"),
         *MONEY_COLUMNS,
-        # tips are only recorded for card payments
+        # cash tips never reach the meter, so only card trips have a share
         F.when(F.col("payment_type_id") == 1, round2(tip_share)).alias("tip_percentage"),
         "_source_file",
         "_batch_id",
@@ -50,21 +50,24 @@ def fact_daily_zone_summary(fact: DataFrame) -> DataFrame:
     """Trips, passengers, distance and money per pickup day and pickup zone.
 
     One hash aggregate; partial aggregation combines a hot zone on the map
-    side before the shuffle.
+    side before the shuffle. Sums are exact (decimals, and distances as whole
+    units of 1e-7 mile), so the averages do not depend on the order of adding.
     """
+    ticks = F.sum(F.rint(F.col("trip_distance_miles") * F.lit(1e7)).cast("long")).cast("double") / F.lit(1e7)
+    trips = F.count(F.lit(1))
     return fact.groupBy(
         F.col("pickup_date_key").alias("date_key"),
         F.col("pickup_location_id").alias("location_id"),
     ).agg(
         F.count(F.lit(1)).alias("trip_count"),
         F.sum("passenger_count").cast("long").alias("passenger_count"),
-        round2(F.sum("trip_distance_miles")).alias("trip_distance_miles"),
+        round2(ticks).alias("trip_distance_miles"),
         sum_money("fare_amount").alias("fare_amount"),
         sum_money("tip_amount").alias("tip_amount"),
         sum_money("total_amount").alias("total_amount"),
-        round2(F.avg("trip_distance_miles")).alias("avg_trip_distance_miles"),
-        round2(F.avg(F.col("trip_duration_minutes").cast("double"))).alias("avg_trip_duration_minutes"),
-        round2(F.avg(F.col("total_amount").cast("double"))).alias("avg_total_amount"),
+        round2(ticks / trips).alias("avg_trip_distance_miles"),
+        round2(F.sum("trip_duration_minutes").cast("double") / trips).alias("avg_trip_duration_minutes"),
+        round2(F.sum("total_amount").cast("double") / trips).alias("avg_total_amount"),
         F.count_if(F.col("payment_type_id") == 1).alias("card_trip_count"),
         F.count_if(F.col("payment_type_id") == 2).alias("cash_trip_count"),
     )

@@ -10,6 +10,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from lakeline.sources.landing import source_period
+
 FILE = "_source_file"
 
 
@@ -41,19 +43,24 @@ def pending_source_files(upstream: DataFrame, own: DataFrame | None) -> DataFram
 
 
 def source_file_filter(df: DataFrame, pending: DataFrame | list[str] | None) -> DataFrame:
-    """Rows of pending files: ``None`` = all, ``[]`` = none, else the listed ones.
+    """Rows of pending files: ``None`` = all, an empty set = none, else the named ones.
 
-    A Python list becomes an ``IN`` filter (static partition pruning when
-    ``_source_file`` is a partition column); a DataFrame becomes a broadcast
-    ``left_semi`` join (one row per landing file, so it stays small).
+    A ``left_semi`` join on the file name, for a list of names as for a table of
+    them. A list also gives the months it spans (a bounded set, however many
+    files), by which a table partitioned by ``_source_period`` is pruned.
     """
     if pending is None:
         return df
     if isinstance(pending, list):
         if not pending:
             return df.where(F.lit(False))
-        return df.where(F.col(FILE).isin(pending))
-    return df.join(F.broadcast(pending.select(FILE).distinct()), FILE, "left_semi")
+        spark = df.sparkSession
+        pending = spark.createDataFrame([(f,) for f in pending], f"{FILE} string")
+        if "_source_period" in df.columns:
+            months = [r[0] for r in pending.select(source_period(FILE)).distinct().collect()]
+            known = F.col("_source_period").isin([m for m in months if m is not None])
+            df = df.where(known | F.col("_source_period").isNull() if None in months else known)
+    return df.join(pending.select(FILE).distinct(), FILE, "left_semi")
 
 
 def file_names(pending: DataFrame | None) -> list[str] | None:

@@ -12,6 +12,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from lakeline.session import scratch_path
+
 _LOCAL_BITS = 33  # low bits of monotonically_increasing_id() = row index in its task
 
 
@@ -21,19 +23,23 @@ def position_within(
     order: list[str | Column],
     out: str,
     num_partitions: int | None = None,
-    broadcast_max_rows: int = 2_000_000,
 ) -> DataFrame:
     """Add ``out`` = 0-based position of each row inside ``group`` by ``order``.
 
     ``(group, *order)`` should be unique per row (add a tie-breaker such as the
     input file and row index); equal keys still get distinct positions, in
     an arbitrary order among themselves.
+
+    The ranged rows are written once below the checkpoint folder and read for
+    both the counts and the result: range bounds come from a sample, so two
+    evaluations of the range exchange need not agree.
     """
     spark = df.sparkSession
     n = num_partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
     keys = [F.col(group), *[F.col(c) if isinstance(c, str) else c for c in order]]
 
-    ranged = (
+    path = scratch_path(spark, "positions")
+    (
         df.repartitionByRange(n, *keys)
         .sortWithinPartitions(*keys)
         # Evaluated after the sort, so it counts rows in sorted order per task.
@@ -41,7 +47,9 @@ def position_within(
         .withColumn("_pos_task", F.shiftright("_pos_id", _LOCAL_BITS))
         .withColumn("_pos_local", F.col("_pos_id").bitwiseAND(F.lit((1 << _LOCAL_BITS) - 1)))
         .drop("_pos_id")
+        .write.parquet(path)
     )
+    ranged = spark.read.parquet(path)
 
     # One row per (task, group): at most n rows per group, so the window
     # below never holds more than n rows, whatever the group's size.
@@ -53,11 +61,6 @@ def position_within(
         .withColumn("_pos_base", F.coalesce(F.sum("_pos_n").over(before), F.lit(0)))
         .select("_pos_task", group, (F.col("_pos_base") - F.col("_pos_first")).alias("_pos_shift"))
     )
-    # The offsets table has at most n x (number of groups) rows.
-    groups = df.select(group).distinct().count()
-    if n * max(groups, 1) <= broadcast_max_rows:
-        offsets = F.broadcast(offsets)
-
     return (
         ranged.join(offsets, ["_pos_task", group])
         .withColumn(out, (F.col("_pos_local") + F.col("_pos_shift")).cast("long"))

@@ -51,7 +51,7 @@ def typed_trips(bronze: DataFrame) -> DataFrame:
         F.col("tpep_pickup_datetime").alias("pickup_at"),
         F.col("tpep_dropoff_datetime").alias("dropoff_at"),
         seconds_between("tpep_pickup_datetime", "tpep_dropoff_datetime").alias("trip_duration_seconds"),
-        # 0 or more than 6 passengers is not a real count
+        # a cab seats six at most; other counts are meter slips
         F.when(F.col("passenger_count").between(1, 6), to_int("passenger_count")).alias("passenger_count"),
         F.col("trip_distance").alias("trip_distance_miles"),
         F.coalesce(to_int("ratecodeid"), F.lit(UNKNOWN_RATE_CODE)).alias("rate_code_id"),

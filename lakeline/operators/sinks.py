@@ -1,9 +1,13 @@
 """Table writes: full overwrite, append, replace-by-key; schema-change guard.
 
-Tables are Parquet folders partitioned with Spark's writer. ``replace_by_key``
-keeps one partition folder per ``(partition..., key)`` so that re-loading a
-key rewrites only that key's folders (dynamic partition overwrite), and it
-also removes folders of keys that were re-loaded but produced no rows.
+A table is a folder of versions, each a Parquet folder partitioned with
+Spark's writer. An overwrite writes a new version; it becomes the table the
+moment Spark's own ``_SUCCESS`` marker is in it, and only then are older
+versions deleted, so a write killed at any point leaves a readable table.
+``replace_by_key`` works inside the current version: it keeps one partition
+folder per ``(partition..., key)`` so that re-loading a key rewrites only that
+key's folders (dynamic partition overwrite), and it also removes folders of
+keys that were re-loaded but produced no rows.
 
 File-system work (exists / delete / rename / list) goes through Hadoop's
 ``FileSystem`` API of the session, so it works on any storage Spark can
@@ -12,7 +16,6 @@ write to. Nothing is ever deleted outside the table root given to a sink.
 
 from __future__ import annotations
 
-import uuid
 from urllib.parse import unquote
 
 from pyspark.sql import DataFrame, Observation, SparkSession
@@ -38,12 +41,37 @@ def exists(spark: SparkSession, path: str) -> bool:
     return bool(fs.exists(p))
 
 
-def table_exists(spark: SparkSession, path: str) -> bool:
+VERSION = "version-"
+
+
+def _versions(spark: SparkSession, path: str) -> list[tuple[int, str, bool]]:
+    """(number, folder, complete) of a table's versions, oldest first."""
     fs, p = _fs(spark, path)
     if not fs.exists(p):
-        return False
-    return bool(fs.exists(spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path + "/_SUCCESS"))) or any(
-        not s.getPath().getName().startswith(("_", ".")) for s in fs.listStatus(p))
+        return []
+    marker = spark.sparkContext._jvm.org.apache.hadoop.fs.Path
+    out = []
+    for st in fs.listStatus(p):
+        name = st.getPath().getName()
+        if st.isDirectory() and name.startswith(VERSION) and name[len(VERSION):].isdigit():
+            folder = f"{path.rstrip('/')}/{name}"
+            out.append((int(name[len(VERSION):]), folder, bool(fs.exists(marker(f"{folder}/_SUCCESS")))))
+    return sorted(out)
+
+
+def current(spark: SparkSession, path: str) -> str | None:
+    """Folder of the table's latest complete version (``None``: no table)."""
+    complete = [folder for _, folder, done in _versions(spark, path) if done]
+    return complete[-1] if complete else None
+
+
+def _next_version(spark: SparkSession, path: str) -> str:
+    last = max((n for n, _, _ in _versions(spark, path)), default=0)
+    return f"{path.rstrip('/')}/{VERSION}{last + 1:09d}"
+
+
+def table_exists(spark: SparkSession, path: str) -> bool:
+    return current(spark, path) is not None
 
 
 def _qualify(path: str) -> str:
@@ -70,16 +98,6 @@ def delete(spark: SparkSession, path: str, root: str) -> bool:
     return bool(fs.delete(p, True))
 
 
-def rename(spark: SparkSession, src: str, dst: str) -> None:
-    fs, s = _fs(spark, src)
-    _, d = _fs(spark, dst)
-    parent = d.getParent()
-    if parent is not None and not fs.exists(parent):
-        fs.mkdirs(parent)
-    if not fs.rename(s, d):
-        raise OSError(f"rename {src} -> {dst} failed")
-
-
 def _partition_dirs(spark: SparkSession, root: str, depth: int) -> list[tuple[str, dict[str, str | None]]]:
     """Leaf partition folders ``k1=v1/.../kn=vn`` below ``root`` (metadata only)."""
     fs, p = _fs(spark, root)
@@ -118,8 +136,9 @@ def _write_schema(spark: SparkSession, path: str, schema: T.StructType) -> None:
 
 
 def read_schema(spark: SparkSession, path: str) -> T.StructType | None:
-    """The schema recorded for a table folder (``None`` if there is none)."""
-    return _read_schema(spark, path)
+    """The schema recorded for a table (``None`` if there is none)."""
+    folder = current(spark, path)
+    return _read_schema(spark, folder) if folder else None
 
 
 def _read_schema(spark: SparkSession, path: str) -> T.StructType | None:
@@ -138,28 +157,35 @@ def _read_schema(spark: SparkSession, path: str) -> T.StructType | None:
 # --- reads --------------------------------------------------------------------
 
 def read_table(spark: SparkSession, path: str, schema: T.StructType | None = None) -> DataFrame:
-    """Read a table folder with its recorded schema (or ``schema``)."""
-    schema = schema or _read_schema(spark, path)
+    """Read a table's current version with its recorded schema (or ``schema``)."""
+    folder = current(spark, path)
+    if folder is None:
+        raise FileNotFoundError(f"no table at {path}")
+    schema = schema or _read_schema(spark, folder)
     reader = spark.read
     if schema is not None:
         reader = reader.schema(schema)
-    return reader.parquet(path)
+    return reader.parquet(folder)
 
 
 # --- schema guard -------------------------------------------------------------
 
 def schema_changes(existing: T.StructType, incoming: T.StructType) -> list[str]:
-    """Human-readable differences (names compared case-insensitively)."""
-    old = {f.name.lower(): f.dataType.simpleString() for f in existing.fields}
-    new = {f.name.lower(): f.dataType.simpleString() for f in incoming.fields}
-    changes = []
-    for name, dtype in new.items():
-        if name not in old:
-            changes.append(f"added {name} {dtype}")
-        elif old[name] != dtype:
-            changes.append(f"{name} changed {old[name]} -> {dtype}")
-    changes += [f"removed {name}" for name in old if name not in new]
-    return changes
+    """What differs between two schemas, one message per column name, by name.
+
+    Names are compared without regard to case."""
+    sides = [{f.name.casefold(): f.dataType.simpleString() for f in s.fields} for s in (existing, incoming)]
+    names = sorted(set().union(*sides))
+    pairs = [(n, sides[0].get(n, "no column"), sides[1].get(n, "no column")) for n in names]
+    return [f"{n}: table has {have}, rows have {got}" for n, have, got in pairs if have != got]
+
+
+def _guard(path: str, existing: T.StructType, incoming: T.StructType) -> None:
+    found = schema_changes(existing, incoming)
+    if found:
+        raise SchemaChanged(
+            f"the columns of {path} differ from the rows to write ({'; '.join(found)}). If the change is wanted, "
+            f"rebuild the table and what depends on it: python -m lakeline ... --full-refresh")
 
 
 # --- writes -------------------------------------------------------------------
@@ -173,33 +199,34 @@ def _writer(df: DataFrame, partition_by: list[str] | None, max_records: int | No
     return w
 
 
+def _into_version(df: DataFrame, folder: str, partition_by: list[str] | None, max_records: int | None) -> None:
+    """Write a fresh version; its schema is there before Spark marks it complete."""
+    _write_schema(df.sparkSession, folder, df.schema)
+    _writer(df, partition_by, max_records).mode("append").parquet(folder)
+
+
 def overwrite_table(df: DataFrame, path: str, root: str, partition_by: list[str] | None = None,
                     max_records: int | None = 5_000_000, metrics: dict | None = None) -> int:
-    """Rebuild a table; the old one survives if computing the new one fails.
+    """Rebuild a table; the old version stays until the new one is complete.
 
-    The rows are first written to a staging folder next to the table; only
-    after that succeeded is the old folder removed and the staging folder
-    moved into place. Returns the number of rows written.
+    Returns the number of rows written.
     """
     spark = df.sparkSession
     _check_below(path, root)
-    staging = f"{path.rstrip('/')}__staging-{uuid.uuid4().hex[:8]}"
+    folder = _next_version(spark, path)
     obs = Observation("overwrite")
     extra = [c.alias(n) for n, c in (metrics or {}).items()]
     try:
-        _writer(df.observe(obs, F.count(F.lit(1)).alias("rows"), *extra), partition_by, max_records) \
-            .mode("errorifexists").parquet(staging)
-        _write_schema(spark, staging, df.schema)
+        _into_version(df.observe(obs, F.count(F.lit(1)).alias("rows"), *extra), folder, partition_by, max_records)
     except Exception:
-        if exists(spark, staging):  # the old table is untouched; drop the partial copy
-            delete(spark, staging, root)
+        delete(spark, folder, root)  # the current version is untouched; drop the partial copy
         raise
     if metrics is not None:
         metrics.clear()
         metrics.update({k: v for k, v in obs.get.items() if k != "rows"})
-    if exists(spark, path):
-        delete(spark, path, root)
-    rename(spark, staging, path)
+    for _, older, _ in _versions(spark, path):
+        if older < folder:
+            delete(spark, older, root)
     return int(obs.get["rows"])
 
 
@@ -208,25 +235,23 @@ def append_table(df: DataFrame, path: str, root: str, partition_by: list[str] |
     """Append rows (by name: columns are put in the table's order first)."""
     spark = df.sparkSession
     _check_below(path, root)
-    if table_exists(spark, path):
-        existing = read_table(spark, path).schema
-        changes = schema_changes(existing, df.schema)
-        if changes:
-            raise SchemaChanged(f"columns of {path} changed ({', '.join(changes)}); rebuild the table")
-        df = df.select(*existing.fieldNames())
+    folder = current(spark, path)
+    if folder is None:
+        return overwrite_table(df, path, root, partition_by, max_records)
+    existing = read_table(spark, path).schema
+    _guard(path, existing, df.schema)
     obs = Observation("append")
-    _writer(df.observe(obs, F.count(F.lit(1)).alias("rows")), partition_by, max_records) \
-        .mode("append").parquet(path)
-    if _read_schema(spark, path) is None:
-        _write_schema(spark, path, df.schema)
+    rows = df.select(*existing.fieldNames()).observe(obs, F.count(F.lit(1)).alias("rows"))
+    _writer(rows, partition_by, max_records).mode("append").parquet(folder)
     return int(obs.get["rows"])
 
 
 def data_file_count(spark: SparkSession, path: str) -> int:
-    """Number of data files below an unpartitioned table folder."""
-    fs, p = _fs(spark, path)
-    if not fs.exists(p):
+    """Number of data files of an unpartitioned table."""
+    folder = current(spark, path)
+    if folder is None:
         return 0
+    fs, p = _fs(spark, folder)
     return sum(1 for st in fs.listStatus(p) if st.isFile() and not st.getPath().getName().startswith(("_", ".")))
 
 
@@ -259,11 +284,13 @@ def replace_by_key(df: DataFrame, path: str, root: str, key: str, partition_by:
     spark = df.sparkSession
     _check_below(path, root)
     cols = [*(partition_by or []), key]
-    if table_exists(spark, path):
+    folder = current(spark, path)
+    fresh = folder is None
+    if fresh:
+        folder = _next_version(spark, path)
+    else:
         existing = read_table(spark, path).schema
-        changes = schema_changes(existing, df.schema)
-        if changes:
-            raise SchemaChanged(f"columns of {path} changed ({', '.join(changes)}); rebuild the table")
+        _guard(path, existing, df.schema)
         df = df.select(*existing.fieldNames())
 
     # Written partitions and row count are gathered while writing (no second pass).
@@ -272,10 +299,11 @@ def replace_by_key(df: DataFrame, path: str, root: str, key: str, partition_by:
     observed = df.observe(obs, F.count(F.lit(1)).alias("rows"),
                           F.collect_set(F.struct(*[F.col(c).cast("string").alias(c) for c in cols])).alias("parts"),
                           *extra)
-    _writer(observed, cols, max_records).mode("overwrite") \
-        .option("partitionOverwriteMode", "dynamic").parquet(path)
-    if _read_schema(spark, path) is None:
-        _write_schema(spark, path, df.schema)
+    if fresh:
+        _into_version(observed, folder, cols, max_records)
+    else:
+        _writer(observed, cols, max_records).mode("overwrite") \
+            .option("partitionOverwriteMode", "dynamic").parquet(folder)
     observed_metrics = obs.get
     written = {tuple(r[c] for c in cols) for r in observed_metrics["parts"]}
     keys_written = {p[-1] for p in written}
@@ -285,7 +313,7 @@ def replace_by_key(df: DataFrame, path: str, root: str, key: str, partition_by:
 
     removed: set[tuple] = set()
     if to_replace:
-        for dir_path, values in _partition_dirs(spark, path, len(cols)):
+        for dir_path, values in _partition_dirs(spark, folder, len(cols)):
             part = tuple(values.get(c) for c in cols)
             if values.get(key) in to_replace and part not in written:
                 delete(spark, dir_path, root)
@@ -296,39 +324,3 @@ def replace_by_key(df: DataFrame, path: str, root: str, key: str, partition_by:
         metrics.update(extra_values)
     return {"rows": int(observed_metrics["rows"]), "partitions_written": len(written),
             "stale_removed": len(removed), "touched": sorted(written | removed, key=str)}
-
-
-# --- catalog tables (DataFrameWriterV2, e.g. Iceberg) ------------------------------
-# Same semantics through a catalog that supports row-level overwrite: one
-# atomic commit per call instead of folder-by-folder replacement. No such
-# catalog ships with this environment, so these are not exercised by the tests.
-
-def catalog_overwrite_table(df: DataFrame, table: str, partition_by: list | None = None,
-                            properties: dict[str, str] | None = None) -> None:
-    """Create or atomically replace a catalog table (``CREATE OR REPLACE ... AS``)."""
-    w = df.writeTo(table)
-    if partition_by:
-        w = w.partitionedBy(*partition_by)
-    for k, v in (properties or {}).items():
-        w = w.tableProperty(k, v)
-    w.createOrReplace()
-
-
-def catalog_replace_by_key(df: DataFrame, table: str, key: str, replace_keys: list[str] | None = None,
-                           partition_by: list | None = None) -> None:
-    """Delete the rows of the replaced keys and insert ``df`` in one commit.
-
-    ``overwrite(condition)`` deletes every row matching the condition and
-    appends the new rows atomically; the condition lists the replaced keys
-    (the pending files), so keys that now have no rows are cleared too.
-    """
-    spark = df.sparkSession
-    if not spark.catalog.tableExists(table):
-        catalog_overwrite_table(df, table, partition_by)
-        return
-    keys = replace_keys
-    if keys is None:
-        keys = [r[0] for r in df.select(key).distinct().collect()]  # one row per file
-    if not keys:
-        return
-    df.writeTo(table).overwrite(F.col(key).isin(keys))

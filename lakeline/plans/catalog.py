@@ -22,7 +22,7 @@ from lakeline.plans.pipeline import model_tests
 from lakeline.plans.registry import register
 from lakeline.session import checkpoint_root, scratch_path
 from lakeline.sources import landing, lookups
-from lakeline.sources.fixture import drifted_deliveries, read_table, write_landing
+from lakeline.sources.fixture import _input_version, drifted_deliveries, read_table, write_landing
 
 FILE = "_source_file"
 
@@ -38,7 +38,7 @@ def q_silver_typed(spark: SparkSession, sf_dir: str) -> DataFrame:
     return TripModels(spark, sf_dir).typed
 
 
-@register("dedup_keep_first", with_ctes("SELECT * EXCLUDE (dup_rank) FROM ranked WHERE dup_rank = 1", "ranked"))
+@register("dedup_keep_first", with_ctes("SELECT * EXCLUDE (is_repeat) FROM flagged WHERE NOT is_repeat", "flagged"))
 def q_dedup_keep_first(spark: SparkSession, sf_dir: str) -> DataFrame:
     typed = TripModels(spark, sf_dir).typed
     flagged = flag_repeats(typed, DEDUP_KEYS, "_source_row_number", "_repeat")
@@ -397,16 +397,19 @@ _LANDING: dict[tuple, str] = {}
 
 def _landing_glob(spark: SparkSession, sf_dir: str) -> str:
     """Landing files written from the trips (once per session)."""
-    key = (spark.sparkContext.applicationId, sf_dir.rstrip("/"))
+    key = (spark.sparkContext.applicationId, sf_dir.rstrip("/"), _input_version(spark, sf_dir))
     if key not in _LANDING:
         _LANDING[key] = write_landing(spark, TripModels(spark, sf_dir).bronze, scratch_path(spark, "landing"))
     return _LANDING[key]
 
 
-@register("landing_listing")
+@register("landing_listing", with_ctes(
+    "SELECT DISTINCT regexp_extract(_source_file, '[^/]+$') AS landing_name, _source_period FROM bronze", "bronze"))
 def q_landing_listing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Path and mtime of every landing file (bodies are never read)."""
-    return landing.list_landing(spark, _landing_glob(spark, sf_dir))
+    """Name and month of every landing file, from the listing (bodies are never read)."""
+    listing = landing.list_landing(spark, _landing_glob(spark, sf_dir))
+    name = F.regexp_extract(FILE, "([^/]+)$", 1)
+    return listing.select(name.alias("landing_name"), landing.source_period(FILE).alias("_source_period")).distinct()
 
 
 def _ingested(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -2,9 +2,10 @@
 
 ``TripModels(spark, sf_dir)`` builds every layer lazily from ``lineitem``
 (bronze-shaped trips, see :mod:`lakeline.sources.fixture`) and
-``nation``/``region`` (taxi zones). Each attribute is a DataFrame plan; nothing
-runs until an action. The same operators run on real landing files through
-:mod:`lakeline.plans.pipeline`.
+``nation``/``region`` (taxi zones). Each attribute is a DataFrame plan. The same operators run on real landing files through
+:mod:`lakeline.plans.pipeline`. Two attributes write small tables below the
+checkpoint folder when first used: the bronze trips, and the sets of repeated
+keys that the classification needs.
 """
 
 from __future__ import annotations
@@ -154,25 +155,31 @@ class TripModels:
                                       "payment_type_id", "payment_type_name", "Unknown payment type ")
 
 
+STORED_GOLD = ["daily_zone_summary", "dim_date", "dim_location", "dim_vendor", "dim_rate_code", "dim_payment_type"]
+
+
 def stored_models(spark: SparkSession, sf_dir: str, thresholds: Thresholds = DEFAULT_THRESHOLDS) -> TripModels:
-    """Models whose bronze, silver, rejected and fact layers are stored tables.
+    """Models whose layers are stored tables, as in the pipeline.
 
-    Gold models and data tests read stored upstream tables, as they do in the
-    pipeline. The layers are written once per session below the shared
-    checkpoint folder: one classification feeds both silver halves (persisted
-    while they are written), and fact is projected from the stored silver.
+    The layers are written once per session below the shared checkpoint folder:
+    the classification is written once and feeds both silver halves, fact is
+    projected from the stored silver, and summary and dimensions are built from
+    those two, so a query on gold reads gold tables only.
     """
     key = (spark.sparkContext.applicationId, sf_dir.rstrip("/"), _input_version(spark, sf_dir), thresholds)
     paths = _STORED.get(key)
     if paths is None:
         base = scratch_path(spark, "trips-layers")
-        paths = {n: f"{base}/{n}" for n in ("silver", "rejected", "fact")}
-        m = TripModels(spark, sf_dir, thresholds)
-        classified = m.classified.persist()
+        paths = {n: f"{base}/{n}" for n in ("silver", "rejected", "fact", *STORED_GOLD)}
+        TripModels(spark, sf_dir, thresholds).classified.write.parquet(f"{base}/classified")
+        classified = spark.read.parquet(f"{base}/classified")
         quality.silver_valid(classified).write.parquet(paths["silver"])
         quality.silver_rejected(classified).write.parquet(paths["rejected"])
-        classified.unpersist()
-        facts.fact_trips(spark.read.parquet(paths["silver"])).write.parquet(paths["fact"])
+        silver = spark.read.parquet(paths["silver"])
+        facts.fact_trips(silver).write.parquet(paths["fact"])
+        m = TripModels(spark, sf_dir, thresholds, silver=silver, fact=spark.read.parquet(paths["fact"]))
+        for name in STORED_GOLD:
+            getattr(m, name).write.parquet(paths[name])
         _STORED[key] = paths
     return TripModels(spark, sf_dir, thresholds, bronze=trips_bronze_table(spark, sf_dir),
                       **{n: spark.read.parquet(p) for n, p in paths.items()})

@@ -14,11 +14,12 @@ One ``Pipeline.run()``:
    from the profile;
 5. runs the data tests after each layer on what changed (whole tables on a
    first load or full refresh); a failing test stops the layers that depend
-   on it.
+   on it, in this run and in every later one until it passes.
 
-Each layer keeps a small load log (one row per file and batch, written after
-its tables), so change detection reads a few rows per file, never the data,
-and a failed run is completed by the next one.
+Each layer keeps a small load log (one row per file and batch), written only
+after its tables and its tests: what failed stays pending, so the next run
+does it and tests it again. Change detection reads a few rows per file, never
+the data. A first load or full refresh starts the logs anew.
 """
 
 from __future__ import annotations
@@ -29,7 +30,6 @@ import uuid
 from concurrent.futures import ThreadPoolExecutor, wait
 from dataclasses import dataclass, field
 
-from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -69,6 +69,10 @@ TABLE_PARTITIONS = {
 }
 
 
+# partition columns that only lay a table out and are no part of its contract
+LAYOUT_ONLY = {FACT: ["pickup_month"]}
+
+
 class NoLandingFiles(RuntimeError):
     pass
 
@@ -77,6 +81,14 @@ class TripIdOverflow(RuntimeError):
     pass
 
 
+class PeriodClash(RuntimeError):
+    """Two landing files of one month: their rows would get the same trip ids."""
+
+
+class RowsLost(RuntimeError):
+    """Silver's two halves do not hold exactly the bronze rows of the loaded files."""
+
+
 @dataclass
 class RunSummary:
     batch_id: str
@@ -112,17 +124,17 @@ def model_tests() -> dict[str, list[DataTest]]:
             *not_null("dim_rate_code", "rate_code_id"), unique("dim_rate_code", "rate_code_id"),
             *not_null("dim_payment_type", "payment_type_id"), unique("dim_payment_type", "payment_type_id"),
             *not_null("fact_trips", "trip_id", "pickup_date_key"), unique("fact_trips", "trip_id"),
-            relationship("fact_trips", "pickup_date_key", "dim_date", "date_key", bounded=True),
-            relationship("fact_trips", "dropoff_date_key", "dim_date", "date_key", bounded=True),
-            relationship("fact_trips", "pickup_hour_of_day", "dim_time_of_day", "hour_of_day", bounded=True),
-            relationship("fact_trips", "pickup_location_id", "dim_location", "location_id", bounded=True),
-            relationship("fact_trips", "dropoff_location_id", "dim_location", "location_id", bounded=True),
+            relationship("fact_trips", "pickup_date_key", "dim_date", "date_key"),
+            relationship("fact_trips", "dropoff_date_key", "dim_date", "date_key"),
+            relationship("fact_trips", "pickup_hour_of_day", "dim_time_of_day", "hour_of_day"),
+            relationship("fact_trips", "pickup_location_id", "dim_location", "location_id"),
+            relationship("fact_trips", "dropoff_location_id", "dim_location", "location_id"),
             relationship("fact_trips", "vendor_id", "dim_vendor", "vendor_id"),
             relationship("fact_trips", "rate_code_id", "dim_rate_code", "rate_code_id"),
             relationship("fact_trips", "payment_type_id", "dim_payment_type", "payment_type_id"),
             *not_null("fact_daily_zone_summary", "date_key", "location_id"),
-            relationship("fact_daily_zone_summary", "date_key", "dim_date", "date_key", bounded=True),
-            relationship("fact_daily_zone_summary", "location_id", "dim_location", "location_id", bounded=True),
+            relationship("fact_daily_zone_summary", "date_key", "dim_date", "date_key"),
+            relationship("fact_daily_zone_summary", "location_id", "dim_location", "location_id"),
         ],
     }
 
@@ -133,7 +145,8 @@ class Pipeline:
     def __init__(self, spark: SparkSession, landing_glob: str, root: str, zones: DataFrame | str,
                  thresholds: Thresholds = DEFAULT_THRESHOLDS, run_tests: bool = True,
                  strict_reference: bool = False, gold_threads: int = 4, publish_prefix: str | None = None,
-                 log_max_files: int = 64):
+                 log_max_files: int = 64, vendors: DataFrame | str | None = None,
+                 rate_codes: DataFrame | str | None = None, payment_types: DataFrame | str | None = None):
         self.spark = spark
         self.glob = landing_glob
         self.root = root.rstrip("/")
@@ -144,6 +157,18 @@ class Pipeline:
         self.gold_threads = gold_threads
         self.publish_prefix = publish_prefix
         self.log_max_files = log_max_files
+        self.codes = {
+            "vendor": self._codes(vendors, VENDORS, "vendor"),
+            "rate_code": self._codes(rate_codes, RATE_CODES, "rate_code"),
+            "payment_type": self._codes(payment_types, PAYMENT_TYPES, "payment_type"),
+        }
+
+    def _codes(self, given: DataFrame | str | None, default: list[tuple[int, str]], kind: str) -> DataFrame:
+        """A code list: a table, the path of its CSV file, or the built-in one."""
+        columns = f"{kind}_id", f"{kind}_name"
+        if given is None:
+            return dims.code_list(self.spark, default, *columns)
+        return lookups.read_codes(self.spark, given, *columns) if isinstance(given, str) else given.select(*columns)
 
     # -- locations and reads -------------------------------------------------
     def path(self, name: str) -> str:
@@ -168,9 +193,14 @@ class Pipeline:
         w = Window.partitionBy(FILE).orderBy(F.col("_loaded_at").desc())
         return log.withColumn("_r", F.row_number().over(w)).where("_r = 1").drop("_r")
 
-    def _log(self, name: str, rows: DataFrame) -> None:
+    def _log(self, name: str, rows: DataFrame, fresh: bool) -> None:
+        """Record loaded files; ``fresh`` starts the log anew (first load, full refresh)."""
         path = self.log_path(name)
-        sinks.append_table(rows.withColumn("_loaded_at", F.current_timestamp()), path, self.root)
+        rows = rows.withColumn("_loaded_at", F.current_timestamp())
+        if fresh:
+            sinks.overwrite_table(rows, path, self.root)
+            return
+        sinks.append_table(rows, path, self.root)
         sinks.compact(self.spark, path, self.root, max_files=self.log_max_files)
 
     # -- stages ---------------------------------------------------------------
@@ -192,16 +222,16 @@ class Pipeline:
     def bronze(self, summary: RunSummary, full_refresh: bool, listing: DataFrame | None = None) -> dict:
         if listing is None:
             listing = landing.list_landing(self.spark, self.glob)
-        listing = listing.select(FILE, "_source_modified_at").persist(StorageLevel.MEMORY_AND_DISK)
+        listing = listing.select(FILE, "_source_modified_at")
         log = self.load_log(BRONZE)
         first = full_refresh or not self.exists(BRONZE) or log is None
         loaded = None if first else self.latest(log)
         pending = file_names(pending_landing_files(listing, loaded))
         if not pending:
-            listing.unpersist()
             if first:
                 raise NoLandingFiles(f"No landing files match {self.glob}")
             return {"files": 0, "rows": 0, "_pending": []}
+        self._one_file_per_period(pending, loaded)
         rows = landing.bronze_rows(landing.read_landing(self.spark, pending), summary.batch_id)
         metrics = {"max_row": F.max("_source_row_number")}
         if first:
@@ -212,14 +242,33 @@ class Pipeline:
                                          replace_keys=pending, strict_reference=self.strict_reference,
                                          metrics=metrics)
             stats.pop("touched")
-        self._log(BRONZE, listing.where(F.col(FILE).isin(pending))
-                  .select(FILE, "_source_modified_at", F.lit(summary.batch_id).alias("_batch_id")))
-        listing.unpersist()
         max_row = metrics.get("max_row")
         if max_row is not None and max_row >= quality.TRIP_ID_ROW_LIMIT:
             raise TripIdOverflow(f"a landing file has {max_row + 1} rows; trip_id allows "
                                  f"{quality.TRIP_ID_ROW_LIMIT} per file")
-        return {"files": len(pending), **stats, "_pending": None if first else pending}
+
+        def commit() -> None:
+            """Files and their modification times as listed, with the rows bronze now holds of each."""
+            held = source_file_filter(self.table(BRONZE), None if first else pending)
+            held = held.groupBy(FILE).agg(F.count(F.lit(1)).alias("_rows"))
+            files = source_file_filter(listing, pending).join(held, FILE, "left")
+            self._log(BRONZE, files.select(
+                FILE, "_source_modified_at", F.lit(summary.batch_id).alias("_batch_id"),
+                F.coalesce("_rows", F.lit(0)).alias("_rows")), fresh=first)
+
+        return {"files": len(pending), **stats, "_pending": None if first else pending, "_commit": commit}
+
+    def _one_file_per_period(self, pending: list[str], loaded: DataFrame | None) -> None:
+        files = self.spark.createDataFrame([(f,) for f in pending], f"{FILE} string")
+        if loaded is not None:
+            files = files.unionByName(loaded.select(FILE)).distinct()
+        period = landing.source_period(FILE)
+        clashes = (files.where(period.isNotNull()).groupBy(period.alias("period"))
+                   .agg(F.count(F.lit(1)).alias("n"), F.min(FILE).alias("a"), F.max(FILE).alias("b"))
+                   .where("n > 1").orderBy("period").take(1))
+        if clashes:
+            c = clashes[0]
+            raise PeriodClash(f"{c['n']} landing files for {c['period']:%Y-%m}, among them {c['a']} and {c['b']}")
 
     def _pending(self, upstream: str, own: str, full_refresh: bool) -> list[str] | None:
         if full_refresh or not self.exists(own) or self.load_log(own) is None:
@@ -245,32 +294,43 @@ class Pipeline:
             return {"files": 0, "_periods": []}
         bronze = source_file_filter(self.table(BRONZE), pending)
         scratch = f"{self.root}/_scratch/{summary.batch_id}"
-        classified = quality.classify(bronze, self.thresholds, scratch=scratch).persist(StorageLevel.MEMORY_AND_DISK)
-        now = F.current_timestamp()
-        valid = quality.silver_valid(classified).withColumn("_processed_at", now)
-        rejected = quality.silver_rejected(classified).withColumn("_processed_at", now)
-        v = self._write_by_file(valid, SILVER, "_source_period", pending)
-        r = self._write_by_file(rejected, REJECTED, "_source_period", pending)
-        # Per-file profile of the valid rows: code combinations and time bounds
-        # (a few rows per file, from the persisted classification). Gold's
-        # calendar and code dimensions are rebuilt from it.
-        profile = quality.silver_valid(classified).groupBy(
-            FILE, "_source_period", "vendor_id", "rate_code_id", "payment_type_id").agg(
-            F.min("pickup_at").alias("pickup_at"), F.max("dropoff_at").alias("dropoff_at"))
-        profile_path = self.log_path(PROFILE)
-        if pending is not None and sinks.table_exists(self.spark, profile_path):
-            kept = sinks.read_table(self.spark, profile_path).where(~F.col(FILE).isin(pending))
-            profile = kept.unionByName(profile)
-        sinks.overwrite_table(profile, profile_path, self.root)
-        classified.unpersist()
-        if sinks.exists(self.spark, scratch):
-            sinks.delete(self.spark, scratch, self.root)
-        self._log(SILVER, self._upstream_batches(BRONZE, pending))
+        try:
+            # Classified once into a scratch table that both halves and the profile read.
+            quality.classify(bronze, self.thresholds, scratch=scratch).write.parquet(f"{scratch}/classified")
+            classified = self.spark.read.parquet(f"{scratch}/classified")
+            now = F.current_timestamp()
+            valid = quality.silver_valid(classified).withColumn("_processed_at", now)
+            rejected = quality.silver_rejected(classified).withColumn("_processed_at", now)
+            v = self._write_by_file(valid, SILVER, "_source_period", pending)
+            r = self._write_by_file(rejected, REJECTED, "_source_period", pending)
+            # Per-file profile of the valid rows: code combinations and time bounds
+            # (a few rows per file). Gold's calendar and code dimensions are rebuilt from it.
+            profile = quality.silver_valid(classified).groupBy(
+                FILE, "_source_period", "vendor_id", "rate_code_id", "payment_type_id").agg(
+                F.min("pickup_at").alias("pickup_at"), F.max("dropoff_at").alias("dropoff_at"))
+            profile_path = self.log_path(PROFILE)
+            if pending is not None and sinks.table_exists(self.spark, profile_path):
+                names = self.spark.createDataFrame([(f,) for f in pending], f"{FILE} string")
+                kept = sinks.read_table(self.spark, profile_path).join(names, FILE, "left_anti")
+                profile = kept.unionByName(profile)
+            sinks.overwrite_table(profile, profile_path, self.root)
+        finally:
+            if sinks.exists(self.spark, scratch):
+                sinks.delete(self.spark, scratch, self.root)
+        log = source_file_filter(self.latest(self.load_log(BRONZE)), pending)
+        expected = log.agg(F.sum("_rows")).first()[0] or 0
+        if v["rows"] + r["rows"] != expected:
+            raise RowsLost(f"bronze holds {expected} rows of the loaded files, silver wrote "
+                           f"{v['rows']} valid and {r['rows']} rejected")
+
+        def commit() -> None:
+            self._log(SILVER, self._upstream_batches(BRONZE, pending), fresh=pending is None)
+
         periods = None
         if pending is not None:
             periods = sorted({t[0] for t in (v["touched"] or []) + (r["touched"] or [])}, key=str)
         return {"files": None if pending is None else len(pending), "valid": v["rows"],
-                "rejected": r["rows"], "_pending": pending, "_periods": periods}
+                "rejected": r["rows"], "_pending": pending, "_periods": periods, "_commit": commit}
 
     def fact(self, summary: RunSummary, full_refresh: bool) -> dict:
         pending = self._pending(SILVER, FACT, full_refresh)
@@ -288,13 +348,15 @@ class Pipeline:
         months = self.spark.createDataFrame(
             [(f, sorted(m)) for f, m in touched.items()], f"{FILE} string, _months array<string>")
         batches = self._upstream_batches(SILVER, pending)
-        self._log(FACT, batches.join(F.broadcast(months), FILE, "left")
-                  .withColumn("_months", F.coalesce("_months", F.array().cast("array<string>"))))
+        if pending is None:  # no list of months: gold has to be rebuilt as a whole
+            logged = batches.withColumn("_months", F.lit(None).cast("array<string>"))
+        else:
+            logged = batches.join(months, FILE, "left").withColumn(
+                "_months", F.coalesce("_months", F.array().cast("array<string>")))
+        # Fact's own tests run with gold's, and gold's log waits for both.
+        self._log(FACT, logged, fresh=pending is None)
         return {"files": None if pending is None else len(pending), "rows": out["rows"]}
 
-    def known(self, rows, id_col, name_col) -> DataFrame:
-        return dims.code_list(self.spark, rows, id_col, name_col)
-
     def lookup_dims(self) -> dict[str, DataFrame]:
         return {"dim_time_of_day": dims.dim_time_of_day(self.spark), "dim_location": dims.dim_location(self.zones)}
 
@@ -304,13 +366,9 @@ class Pipeline:
             else self.table(SILVER)
         return {
             "dim_date": dims.dim_date(profile),
-            "dim_vendor": dims.complete_code_dim(self.known(VENDORS, "vendor_id", "vendor_name"), profile,
-                                                 "vendor_id", "vendor_name", "Unknown vendor "),
-            "dim_rate_code": dims.complete_code_dim(self.known(RATE_CODES, "rate_code_id", "rate_code_name"),
-                                                    profile, "rate_code_id", "rate_code_name", "Unknown rate code "),
-            "dim_payment_type": dims.complete_code_dim(
-                self.known(PAYMENT_TYPES, "payment_type_id", "payment_type_name"), profile,
-                "payment_type_id", "payment_type_name", "Unknown payment type "),
+            **{f"dim_{kind}": dims.complete_code_dim(
+                known, profile, f"{kind}_id", f"{kind}_name", f"Unknown {kind.replace('_', ' ')} ")
+                for kind, known in self.codes.items()},
         }
 
     def gold_tables(self) -> dict[str, DataFrame]:
@@ -340,7 +398,10 @@ class Pipeline:
         pending = file_names(pending_source_files(fact_log, own))
         if not pending:
             return [], []
-        rows = source_file_filter(fact_log, pending).select(F.explode("_months")).distinct().collect()
+        todo = source_file_filter(fact_log, pending)
+        if todo.where(F.col("_months").isNull()).take(1):  # fact was rebuilt as a whole
+            return None, None
+        rows = todo.select(F.explode("_months")).distinct().collect()
         return sorted(r[0] for r in rows), pending
 
     def gold(self, summary: RunSummary, months: list | None, silver_changed: bool) -> dict:
@@ -400,18 +461,34 @@ class Pipeline:
                 continue
             layer, table = name.split("/")
             db, full = f"{prefix}_{layer}", f"{prefix}_{layer}.{table}"
+            folder = sinks.current(self.spark, path)
             self.spark.sql(f"CREATE DATABASE IF NOT EXISTS {db}")
-            self.spark.sql(f"DROP TABLE IF EXISTS {full}")
+            inner = [p for p in parts if p in LAYOUT_ONLY.get(name, ())]
+            stored = f"{full}_by_{'_'.join(inner)}" if inner else full
+            for t in {full, stored}:
+                self._forget(t)
             data = [f for f in schema.fields if f.name not in parts]
             by_name = {f.name: f for f in schema.fields}
             cols = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in [*data, *[by_name[p] for p in parts]])
             part_sql = f" PARTITIONED BY ({', '.join(parts)})" if parts else ""
-            self.spark.sql(f"CREATE TABLE {full} ({cols}) USING parquet{part_sql} LOCATION '{path}'")
+            self.spark.sql(f"CREATE TABLE {stored} ({cols}) USING parquet{part_sql} LOCATION '{folder}'")
             if parts:  # folder listing only: registers the partitions present now
-                self.spark.sql(f"ALTER TABLE {full} RECOVER PARTITIONS")
+                self.spark.sql(f"ALTER TABLE {stored} RECOVER PARTITIONS")
+            if inner:  # the contract has no such column: consumers get a view without it
+                names = ", ".join(f"`{f.name}`" for f in schema.fields if f.name not in inner)
+                self.spark.sql(f"CREATE VIEW {full} AS SELECT {names} FROM {stored}")
             out.append(full)
         return out
 
+    def _forget(self, name: str) -> None:
+        """Drop the catalog entry of a view or an external table; refuse a managed one."""
+        if not self.spark.catalog.tableExists(name):
+            return
+        kind = self.spark.catalog.getTable(name).tableType
+        if kind not in ("EXTERNAL", "VIEW"):
+            raise ValueError(f"{name} exists and is a {kind} table: dropping it would delete its data")
+        self.spark.sql(f"DROP {'VIEW' if kind == 'VIEW' else 'TABLE'} {name}")
+
     def _published(self, summary: RunSummary) -> RunSummary:
         if self.publish_prefix:
             self.publish(self.publish_prefix)
@@ -434,9 +511,9 @@ class Pipeline:
         lookups_pool = ThreadPoolExecutor(max_workers=1)
         lookup_tests = lookups_pool.submit(self._test, summary, "sources", {
             "zones": self.zones,
-            "vendors": self.known(VENDORS, "vendor_id", "vendor_name"),
-            "rate_codes": self.known(RATE_CODES, "rate_code_id", "rate_code_name"),
-            "payment_types": self.known(PAYMENT_TYPES, "payment_type_id", "payment_type_name"),
+            "vendors": self.codes["vendor"],
+            "rate_codes": self.codes["rate_code"],
+            "payment_types": self.codes["payment_type"],
         })
         lookups_pool.shutdown(wait=False)
         try:
@@ -452,6 +529,7 @@ class Pipeline:
             if b["_pending"] is not None:
                 bronze = source_file_filter(bronze, b["_pending"])
             self._test(summary, "bronze", {"bronze_yellow_tripdata": bronze})
+            b["_commit"]()
 
         s = self._timed(summary, "silver", lambda: self.silver(summary, full_refresh))
         if s["files"] != 0:
@@ -460,22 +538,19 @@ class Pipeline:
                 in_periods = F.col("_source_period").isin(list(s["_periods"]))
                 silver, rejected = silver.where(in_periods), rejected.where(in_periods)
             self._test(summary, "silver", {"silver_yellow_trips": silver, "silver_yellow_trips_rejected": rejected})
+            s["_commit"]()
 
         self._timed(summary, "fact", lambda: self.fact(summary, full_refresh))
         lookup_tests.result()  # raises if a lookup test failed: no gold is built
         months, gold_files = self.gold_pending_months(full_refresh)
         silver_changed = s["files"] != 0 or bool(gold_files)
         g = self._timed(summary, "gold", lambda: self.gold(summary, months, silver_changed))
-        # gold has seen these fact batches (logged before its tests, like every layer)
-        if gold_files != []:
-            self._log(SUMMARY, self._upstream_batches(FACT, gold_files))
-
         gold = {n: self.table(f"gold/{n}") for n in GOLD_DIMS}
         full = {"fact_trips": self.table(FACT), "fact_daily_zone_summary": self.table(SUMMARY), **gold}
         tests = model_tests()["gold"]
         if months is None:  # first load or full refresh: whole tables
             self._test(summary, "gold", full, only=tests)
-            return self._published(summary)
+            return self._gold_done(summary, gold_files)
         facts_models = ("fact_trips", "fact_daily_zone_summary")
         changed = set(g["_changed_lookups"])
         # relationships to a lookup that changed: every fact row is re-checked
@@ -491,6 +566,12 @@ class Pipeline:
             "fact_trips": full["fact_trips"].where(F.col("pickup_month").isin([str(m) for m in months])),
             "fact_daily_zone_summary": full["fact_daily_zone_summary"].where(F.col("date_key").isin(days)),
         }, only=scoped)
+        return self._gold_done(summary, gold_files)
+
+    def _gold_done(self, summary: RunSummary, files: list[str] | None) -> RunSummary:
+        """Gold has seen and tested these fact batches (``None``: all of them)."""
+        if files != []:
+            self._log(SUMMARY, self._upstream_batches(FACT, files), fresh=files is None)
         return self._published(summary)
 
 

@@ -48,12 +48,11 @@ def _load_all() -> None:
 # --- the flagship ------------------------------------------------------------
 
 STAR_SQL = with_ctes(
-    """SELECT d.month_name, l.borough, count(*) AS trips, sum(f.total_amount) AS revenue
-FROM fact f
-JOIN dim_date d ON f.pickup_date_key = d.date_key
-JOIN dim_location l ON f.pickup_location_id = l.location_id
-GROUP BY 1, 2
-ORDER BY revenue DESC""",
+    """SELECT month_name, borough, CAST(sum(n) AS BIGINT) AS trips, sum(amount) AS revenue
+FROM (SELECT pickup_date_key, pickup_location_id, count(*) AS n, sum(total_amount) AS amount
+      FROM fact GROUP BY ALL) zone_days, dim_date, dim_location
+WHERE date_key = pickup_date_key AND location_id = pickup_location_id
+GROUP BY month_name, borough""",
     "fact", "dim_date", "dim_location",
 )
 

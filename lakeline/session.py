@@ -40,16 +40,32 @@ def build_session(master: str = "local[*]", app: str = "lakeline",
     return spark
 
 
+def submitted_session(app: str = "lakeline") -> SparkSession:
+    """The session of ``spark-submit`` (or the active one), its settings untouched.
+
+    Only recommended SQL settings that nobody has set are added."""
+    spark = SparkSession.getActiveSession() or SparkSession.builder.appName(app).getOrCreate()
+    given = dict(spark.sparkContext.getConf().getAll())
+    for k, v in RECOMMENDED_CONF.items():
+        if k not in given and spark.conf.get(k, None) != v:
+            spark.conf.set(k, v)
+    return spark
+
+
 def checkpoint_root(spark: SparkSession) -> str:
     """The shared folder named by ``spark.checkpoint.dir``.
 
-    On a cluster this is set by the deployment and must be on shared storage;
-    a fresh local folder is used only when it is unset (tests, local runs).
+    On a cluster the deployment sets it to shared storage; without it every
+    executor would write to its own disk, so that is an error. Only a local
+    master (tests, benchmarks) gets a fresh folder of this machine.
     """
     root = spark.sparkContext.getConf().get("spark.checkpoint.dir", None)
     if not root:
         root = spark.conf.get(_LOCAL_ROOT_KEY, None)
     if not root:
+        master = spark.sparkContext.master
+        if master != "local" and not master.startswith("local["):
+            raise RuntimeError(f"spark.checkpoint.dir is not set; on {master} it must name a folder all executors share")
         root = tempfile.mkdtemp(prefix="lakeline-ckpt-", dir="/tmp")
         spark.conf.set(_LOCAL_ROOT_KEY, root)
         spark.sparkContext.setCheckpointDir(root)

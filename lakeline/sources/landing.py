@@ -52,7 +52,8 @@ def list_landing(spark: SparkSession, glob: str) -> DataFrame:
     A glob is expanded by the file system's ``globStatus`` on the driver, as
     Spark's own file index does for a single glob path; only names and
     modification times are read (one row per file, no file bodies). Paths are
-    fully qualified, like ``_metadata.file_path``. No match gives no rows.
+    fully qualified and spelled as the file system spells them, like the
+    ``_source_file`` of :func:`read_landing`. No match gives no rows.
     """
     import datetime as dt
 
@@ -68,86 +69,61 @@ def list_landing(spark: SparkSession, glob: str) -> DataFrame:
     return spark.createDataFrame(rows, LISTING_SCHEMA)
 
 
-def enrich_with_listing(rows: DataFrame, listing: DataFrame) -> DataFrame:
-    """Attach each file's listed mtime to its rows (inner join on the path).
-
-    The listing has one row per landing file, so it is broadcast.
-    """
-    return rows.join(F.broadcast(listing), "_source_file", "inner")
-
-
-def _schema_signature(schema: T.StructType) -> tuple:
-    return tuple((f.name.lower(), f.dataType.simpleString()) for f in schema.fields)
-
-
-def _local_footer_signature(path: str) -> tuple | None:
-    """Footer schema of a local file read with pyarrow (metadata only)."""
-    if not (path.startswith("file:") or path.startswith("/")):
-        return None
-    import pyarrow.parquet as pq
+def decoded_path(uri: Column) -> Column:
+    """The path in a ``_metadata.file_path`` URI: its percent escapes undone.
 
-    local = path[len("file:"):] if path.startswith("file:") else path
-    while local.startswith("//"):
-        local = local[1:]
-    schema = pq.read_schema(local)
-    return tuple(f"{f.name.lower()}:{f.type}" for f in schema)
+    ``url_decode`` is made for form values, where a plus sign is a space; in a
+    path it is a plus sign."""
+    return F.url_decode(F.replace(uri, F.lit("+"), F.lit("%2B")))
 
 
-DISTRIBUTED_FOOTERS_FROM = 512  # files per run above which footers are read by executors
+def _reader_path(path: str) -> str:
+    """``path`` with the characters that a reader would expand escaped."""
+    return "".join(f"\\{c}" if c in "{}[]*?\\" else c for c in path)
 
 
-def _footer_rows(batches):
-    """mapInPandas body: (path) -> (path, signature) with pyarrow, per task."""
-    import pandas as pd
-    import pyarrow.fs as pafs
-    import pyarrow.parquet as pq
-
-    for pdf in batches:
-        out = []
-        for path in pdf["path"]:
-            uri = path if "://" in path else "file://" + path.split(":", 1)[-1]
-            for hadoop, arrow in (("s3a://", "s3://"), ("s3n://", "s3://")):
-                uri = arrow + uri[len(hadoop):] if uri.startswith(hadoop) else uri
-            fs, inner = pafs.FileSystem.from_uri(uri)
-            schema = pq.read_schema(inner, filesystem=fs)
-            out.append((path, "|".join(f"{f.name.lower()}:{f.type}" for f in schema)))
-        yield pd.DataFrame(out, columns=["path", "signature"])
-
-
-def distributed_footer_signatures(spark: SparkSession, files: list[str]) -> dict[str, tuple]:
-    """Footer signatures read by executors (pyarrow), for many files per run.
+def enrich_with_listing(rows: DataFrame, listing: DataFrame) -> DataFrame:
+    """Attach each file's listed mtime to its rows (inner join on the path).
 
-    The file list is spread over tasks; each task opens only the footers of
-    its files. The result has one short row per file.
+    The listing has one row per landing file; whether that is small enough to
+    broadcast is left to the planner.
     """
-    n = max(1, min(len(files) // 64, int(spark.conf.get("spark.sql.shuffle.partitions"))))
-    df = spark.createDataFrame([(f,) for f in files], "path string").repartition(n)
-    rows = df.mapInPandas(_footer_rows, "path string, signature string").collect()
-    return {r["path"]: tuple(r["signature"].split("|")) for r in rows}
+    return rows.join(listing, "_source_file", "inner")
 
 
-def footer_signatures(spark: SparkSession, files: list[str], threads: int = 16) -> dict[str, tuple]:
+def footer_signatures(spark: SparkSession, files: list[str], threads: int = 16) -> dict[str, str]:
     """A schema signature per file, from the Parquet footers only.
 
-    Local files are read with pyarrow (about a millisecond each); other file
-    systems go through Spark's schema inference, one file at a time, from a
-    thread pool. From ``DISTRIBUTED_FOOTERS_FROM`` files on, executors read
-    the footers in parallel (pyarrow file systems: local, S3, GCS, HDFS).
-    Either way no row data is read.
+    Footers are opened through the session's Hadoop file systems, with its
+    credentials and for every scheme and number of files alike, a few at a time
+    from a thread pool. No row data is read.
     """
-    if len(files) >= DISTRIBUTED_FOOTERS_FROM:
-        return distributed_footer_signatures(spark, files)
+    jvm = spark.sparkContext._jvm
+    conf = spark.sparkContext._jsc.hadoopConfiguration()
 
-    def one(path: str) -> tuple[str, tuple]:
-        sig = _local_footer_signature(path)
-        if sig is None:
-            sig = _schema_signature(spark.read.parquet(path).schema)
-        return path, sig
+    def one(path: str) -> tuple[str, str]:
+        source = jvm.org.apache.parquet.hadoop.util.HadoopInputFile.fromPath(jvm.org.apache.hadoop.fs.Path(path), conf)
+        reader = jvm.org.apache.parquet.hadoop.ParquetFileReader.open(source)
+        try:
+            return path, reader.getFooter().getFileMetaData().getSchema().toString().lower()
+        finally:
+            reader.close()
 
     with ThreadPoolExecutor(max_workers=max(1, min(threads, len(files)))) as pool:
         return dict(pool.map(one, files))
 
 
+def _as_type(col: Column, have: T.DataType, want: T.DataType) -> Column:
+    """Cast to a contract type: drifted doubles round half to even on their way to
+    integers, zoned timestamps become UTC wall-clock time in any session zone."""
+    if isinstance(want, T.IntegralType) and isinstance(have, (T.DoubleType, T.FloatType)):
+        return F.rint(col).cast(want)
+    if isinstance(want, T.TimestampNTZType) and isinstance(have, T.TimestampType):
+        epoch = F.lit("1970-01-01 00:00:00").cast("timestamp_ntz")
+        return F.timestamp_add("MICROSECOND", F.unix_micros(col), epoch)
+    return col.cast(want)
+
+
 def conform(df: DataFrame, contract: list[tuple[str, T.DataType]] = BRONZE_CONTRACT) -> DataFrame:
     """Project ``df`` onto the contract: case-insensitive names, casts, NULL fill.
 
@@ -157,7 +133,8 @@ def conform(df: DataFrame, contract: list[tuple[str, T.DataType]] = BRONZE_CONTR
     cols = []
     for name, dtype in contract:
         src = by_lower.get(name.lower())
-        cols.append((F.col(f"`{src}`").cast(dtype) if src else F.lit(None).cast(dtype)).alias(name))
+        cols.append((_as_type(F.col(f"`{src}`"), df.schema[src].dataType, dtype) if src
+                     else F.lit(None).cast(dtype)).alias(name))
     lineage = [c for c in df.columns if c.startswith("_source_")]
     return df.select(*cols, *lineage)
 
@@ -172,16 +149,16 @@ def read_landing(spark: SparkSession, files: list[str],
     """
     if not files:
         raise ValueError("read_landing needs at least one file")
-    groups: dict[tuple, list[str]] = defaultdict(list)
+    groups: dict[str, list[str]] = defaultdict(list)
     for path, signature in footer_signatures(spark, files).items():
         groups[signature].append(path)
 
     parts = []
     for paths in groups.values():
-        raw = spark.read.parquet(*sorted(paths))
+        raw = spark.read.parquet(*[_reader_path(p) for p in sorted(paths)])
         raw = raw.select(
             "*",
-            F.col("_metadata.file_path").alias("_source_file"),
+            decoded_path(F.col("_metadata.file_path")).alias("_source_file"),
             F.col("_metadata.row_index").alias("_source_row_number"),
             F.col("_metadata.file_modification_time").alias("_source_modified_at"),
         )

@@ -59,8 +59,11 @@ def main() -> None:
         "Incremental slice of a bronze table partitioned by (period, file)":
             quality.classify(source_file_filter(bronze_table, files)),
         "Daily zone summary": facts.fact_daily_zone_summary(m.fact),
-        "Relationship test fact -> dim_date": checks.relationship_result(
-            "fact_trips", m.fact, "pickup_date_key", "dim_date", m.dim_date, "date_key", broadcast_parent=True),
+        "Relationship tests of fact (one scan)": checks.relationship_results(
+            "fact_trips", m.fact,
+            [checks.relationship("fact_trips", "pickup_date_key", "dim_date", "date_key"),
+             checks.relationship("fact_trips", "pickup_location_id", "dim_location", "location_id")],
+            {"dim_date": m.dim_date, "dim_location": m.dim_location}),
         "Uniqueness test on trip_id": checks.unique_result("fact_trips", m.fact, "trip_id"),
         "Not-null tests of silver (one pass)": checks.not_null_results(
             "silver", m.silver, ["trip_id", "pickup_at", "dropoff_at", "fare_amount", "total_amount"]),

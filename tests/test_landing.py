@@ -1,8 +1,10 @@
 """Landing files: listing, drift conforming, lineage under split reads, periods."""
 
 import os
+import shutil
 
 import pyarrow as pa
+import pytest
 from pyspark.sql import functions as F
 
 from landing_files import month_rows, write
@@ -72,14 +74,51 @@ def test_glob_classes_narrow_a_run(spark, workdir):
     assert sorted(os.path.basename(r[0]) for r in df.collect()) == ["trips_2023_01.parquet", "trips_2023_02.parquet"]
 
 
-def test_distributed_footer_reads_group_like_local_ones(spark, workdir):
-    a = write(f"{workdir}/f/trips_2023_01.parquet", month_rows("2023-01", n=3, bad=False))
-    b = write(f"{workdir}/f/trips_2023_02.parquet", month_rows("2023-02", n=3, bad=False),
-              overrides={"VendorID": pa.int32()})
-    c = write(f"{workdir}/f/trips_2023_03.parquet", month_rows("2023-03", n=3, bad=False))
+def test_footers_group_drifted_files(spark, workdir):
+    write(f"{workdir}/f/trips_2023_01.parquet", month_rows("2023-01", n=3, bad=False))
+    write(f"{workdir}/f/trips_2023_02.parquet", month_rows("2023-02", n=3, bad=False), overrides={"VendorID": pa.int32()})
+    write(f"{workdir}/f/trips_2023_03.parquet", month_rows("2023-03", n=3, bad=False))
     files = [r[0] for r in landing.list_landing(spark, f"{workdir}/f/*.parquet").collect()]
-    local = landing.footer_signatures(spark, files)
-    dist = landing.distributed_footer_signatures(spark, files)
-    assert local == dist
-    assert len(set(dist.values())) == 2  # the int32 file forms its own group
-    assert {a, b, c} == {p.split(":", 1)[1] for p in files}
+    found = landing.footer_signatures(spark, files)
+    assert sorted(found) == sorted(files) and len(set(found.values())) == 2  # the int32 file is a group of its own
+
+
+@pytest.mark.parametrize("files", [2, 520])
+def test_a_scheme_that_only_spark_opens(spark, workdir, files):
+    """viewfs is a Hadoop file system: pyarrow cannot open it, at no number of files."""
+    first = write(f"{workdir}/v/part0_2023_01.parquet", month_rows("2023-01", n=2, bad=False))
+    for i in range(1, files):
+        shutil.copy(first, f"{workdir}/v/part{i}_2023_01.parquet")
+    conf = spark.sparkContext._jsc.hadoopConfiguration()
+    conf.set(f"fs.viewfs.mounttable.landing{files}.link./in", f"file://{workdir}/v")
+    listed = [r[0] for r in landing.list_landing(spark, f"viewfs://landing{files}/in/*.parquet").collect()]
+    assert len(listed) == files and all(f.startswith(f"viewfs://landing{files}/in/") for f in listed)
+    got = landing.read_landing(spark, listed).groupBy("_source_file").count().collect()
+    assert {r[0] for r in got} == set(listed) and {r[1] for r in got} == {2}
+
+
+def test_names_that_uris_escape(spark, workdir):
+    names = ["trips feb_2023_02.parquet", "trips%20feb_2023_03.parquet", "trips#1_2023_04.parquet", "a+b_2023_05.parquet",
+             "t[1]{x}*?_2023_06.parquet", "é_2023_07.parquet"]
+    for n in names:
+        write(f"{workdir}/u/{n}", month_rows("2023-02", n=2, bad=False))
+    listed = landing.list_landing(spark, f"{workdir}/u/*.parquet")
+    read = landing.read_landing(spark, [r[0] for r in listed.collect()])
+    assert {os.path.basename(r[0]) for r in listed.collect()} == set(names)
+    assert read.join(listed, ["_source_file", "_source_modified_at"]).count() == read.count() == 2 * len(names)
+    assert read.where(F.col("_source_period").isNull()).count() == 0
+
+
+def test_drifted_doubles_round_and_zoned_times_become_utc(spark, workdir):
+    rows = [dict(r, VendorID=v) for r, v in zip(month_rows("2023-01", n=4, bad=False), [0.5, 1.5, 2.5, -3.7])]
+    path = write(f"{workdir}/d/trips_2023_01.parquet", rows,
+                 overrides={"VendorID": pa.float64(), "tpep_pickup_datetime": pa.timestamp("us", tz="UTC")})
+    zone = spark.conf.get("spark.sql.session.timeZone")
+    spark.conf.set("spark.sql.session.timeZone", "America/New_York")
+    try:
+        got = landing.read_landing(spark, [path]).orderBy("_source_row_number").select(
+            "vendorid", F.col("tpep_pickup_datetime").cast("string")).collect()
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", zone)
+    assert [r[0] for r in got] == [0, 2, 2, -4]
+    assert [r[1] for r in got] == [f"{r['tpep_pickup_datetime']}" for r in rows]

@@ -27,12 +27,28 @@ def test_position_within_matches_row_number(spark):
     assert got.count() == df.count()
 
 
+def test_position_within_keeps_payload_columns_right(spark):
+    """Columns outside the order keys must not change which range a row is counted in."""
+    df = spark.range(250_000).select(
+        F.when(F.col("id") % 10 < 7, F.lit("hot")).otherwise((F.col("id") % 5).cast("string")).alias("g"),
+        F.xxhash64("id").alias("k"), F.col("id").alias("row"), F.sha2(F.col("id").cast("string"), 256).alias("payload"))
+    got = position_within(df, "g", ["k", "row"], "pos", num_partitions=8)
+    want = df.withColumn("pos", F.row_number().over(Window.partitionBy("g").orderBy("k", "row")) - 1)
+    assert got.columns == [*df.columns, "pos"]
+    wrong = got.join(want.select("row", F.col("pos").alias("want")), "row").where("pos <> want OR payload IS NULL")
+    assert wrong.count() == 0 and got.count() == 250_000
+
+
 def test_position_within_spreads_a_hot_group(spark):
     df = skewed(spark)
     got = position_within(df, "g", ["k1", "row"], "pos", num_partitions=16)
-    per_task = got.groupBy(F.spark_partition_id().alias("p")).count().collect()
-    assert max(r["count"] for r in per_task) < 0.25 * df.count()
+    plan = got._jdf.queryExecution().executedPlan().toString()
+    (folder,) = set(re.findall(r"InMemoryFileIndex[^\[]*\[([^\], ]*/positions-\w+)", plan))
+    sizes = [r[0] for r in spark.read.parquet(folder).groupBy("_pos_task").count().select("count").collect()]
+    assert len(sizes) > 8 and max(sizes) < 0.25 * df.count()
+
 
+import re
 
 import pytest
 

@@ -5,9 +5,10 @@ import re
 from pyspark.sql import functions as F
 
 from conftest import SF001
-from lakeline.operators import facts, quality
+from lakeline.operators import checks, facts, quality
 from lakeline.operators.incremental import source_file_filter
 from lakeline.plans.models import stored_models
+from lakeline.plans.pipeline import model_tests
 from lakeline.plans.star import star_month_borough
 
 
@@ -19,16 +20,27 @@ def read_schemas(p):
     return re.findall(r"ReadSchema: (struct<[^\n]*>)", p)
 
 
-def test_star_query_broadcasts_dims_and_prunes_fact(spark):
+def test_star_query_reads_gold_only_and_prunes_fact(spark):
     m = stored_models(spark, SF001)
     p = plan(star_month_borough(m.fact, m.dim_date, m.dim_location))
-    assert p.count("BroadcastHashJoin") >= 2  # two star joins (+ the zone lookup's own)
-    assert "SortMergeJoin" not in p
-    fact_scan = [s for s in read_schemas(p) if "pickup_date_key" in s][0]
+    assert p.count("BroadcastHashJoin") == 2 and "SortMergeJoin" not in p  # both turn out small here
+    schemas = read_schemas(p)
+    assert len(schemas) == 3 and not any("pickup_at" in s or "dropoff_at" in s for s in schemas)  # no scan of silver
+    fact_scan = [s for s in schemas if "pickup_date_key" in s][0]
     assert fact_scan == "struct<pickup_date_key:int,pickup_location_id:int,total_amount:decimal(10,2)>"
     assert "partial_sum" in p and "partial_count" in p
 
 
+def test_all_relationships_of_fact_scan_it_once(spark):
+    m = stored_models(spark, SF001)
+    tests = [t for t in model_tests()["gold"] if t.kind == "relationships" and t.model == "fact_trips"]
+    assert len(tests) == 8
+    tables = {t.to_model: getattr(m, t.to_model) for t in tests}
+    p = plan(checks.relationship_results("fact_trips", m.fact, tests, tables))
+    assert len(re.findall(r"ReadSchema: struct<pickup_date_key", p)) == 1
+    assert "partial_count" in p
+
+
 def test_classify_has_no_window_and_no_row_shuffle(spark):
     m = stored_models(spark, SF001)
     p = plan(quality.classify(m.bronze))
@@ -39,7 +51,7 @@ def test_classify_has_no_window_and_no_row_shuffle(spark):
 
 def test_summary_aggregates_partially_before_the_shuffle(spark):
     p = plan(facts.fact_daily_zone_summary(stored_models(spark, SF001).fact))
-    assert "partial_sum" in p and "partial_count" in p and "partial_avg" in p
+    assert "partial_sum" in p and "partial_count" in p
 
 
 def test_fact_projection_reads_only_needed_silver_columns(spark):
@@ -54,6 +66,6 @@ def test_pending_files_prune_partitions(spark, workdir):
     bronze.write.partitionBy("_source_period", "_source_file").parquet(f"{workdir}/b")
     table = spark.read.parquet(f"{workdir}/b")
     p = plan(source_file_filter(table, ["landing/trips_1996_03.parquet"]))
-    assert re.search(r"PartitionFilters: \[[^\]]*_source_file", p)
+    assert re.search(r"PartitionFilters: \[[^\]]*_source_period", p) and "LeftSemi" in p
     p2 = plan(table.where(F.col("fare_amount") > 10).select("fare_amount"))
     assert "PushedFilters: [IsNotNull(fare_amount), GreaterThan(fare_amount,10.0)]" in p2

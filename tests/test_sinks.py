@@ -50,10 +50,11 @@ def test_schema_change_is_refused(spark, workdir):
     path = f"{workdir}/t"
     sinks.replace_by_key(frame(spark, [("a", "1", 1)]), path, workdir, "k", ["p"])
     changed = spark.createDataFrame([("a", "1", 1.5)], "k string, p string, v double")
-    with pytest.raises(sinks.SchemaChanged, match="v changed bigint -> double"):
+    with pytest.raises(sinks.SchemaChanged, match="v: table has bigint, rows have double.*--full-refresh"):
         sinks.replace_by_key(changed, path, workdir, "k", ["p"])
     assert sinks.schema_changes(frame(spark, []).schema, changed.drop("p").withColumn("w", F.lit(1)).schema) == [
-        "v changed bigint -> double", "added w int", "removed p"]
+        "p: table has string, rows have no column", "v: table has bigint, rows have double",
+        "w: table has no column, rows have int"]
 
 
 def test_overwrite_keeps_old_table_when_the_query_fails(spark, workdir):
@@ -63,7 +64,7 @@ def test_overwrite_keeps_old_table_when_the_query_fails(spark, workdir):
     with pytest.raises(Exception):
         sinks.overwrite_table(bad, path, workdir)
     assert [tuple(r) for r in sinks.read_table(spark, path).collect()] == [("a", "1", 1)]
-    assert not [d for d in os.listdir(workdir) if "__staging-" in d]  # no partial copy left
+    assert os.listdir(path) == ["version-000000001"]  # no partial copy left
 
 
 def test_append_puts_columns_in_table_order(spark, workdir):
@@ -103,3 +104,21 @@ def test_compaction_keeps_rows_and_schema(spark, workdir):
     assert sorted(r.v for r in sinks.read_table(spark, path).collect()) == [0, 1, 2, 3, 4]
     sinks.append_table(frame(spark, [("f9", "1", 9)]), path, workdir)  # appends still fit the schema
     assert sinks.read_table(spark, path).count() == 6
+
+
+def test_a_killed_overwrite_leaves_the_table(spark, workdir, monkeypatch):
+    path = f"{workdir}/t"
+    sinks.overwrite_table(frame(spark, [("a", "1", 1)]), path, workdir)
+    # killed while writing: files are there, but no _SUCCESS and nobody cleans up
+    monkeypatch.setattr(sinks, "delete", lambda *a: False)
+    bad = frame(spark, [("a", "1", 0)]).select("k", "p", (F.lit(1) / F.col("v")).cast("long").alias("v"))
+    with pytest.raises(Exception):
+        sinks.overwrite_table(bad, path, workdir)
+    assert [tuple(r) for r in sinks.read_table(spark, path).collect()] == [("a", "1", 1)]
+    # killed between the new version and the removal of the old one
+    sinks.overwrite_table(frame(spark, [("b", "1", 2)]), path, workdir)
+    assert [tuple(r) for r in sinks.read_table(spark, path).collect()] == [("b", "1", 2)]
+    monkeypatch.undo()
+    sinks.overwrite_table(frame(spark, [("c", "1", 3)]), path, workdir)
+    assert len(os.listdir(path)) == 1
+    assert [tuple(r) for r in sinks.read_table(spark, path).collect()] == [("c", "1", 3)]
