@@ -246,8 +246,9 @@ def shared_anchors(docs: DataFrame, texts: DataFrame, units_of: Units, width: in
     buckets = groups_for(spark, amount // 10, ANCHORS_PER_BUCKET)
     asked = docs.select("at", "text").mapInArrow(_ask(units_of, width, gram, buckets), _ASKED)
     told = asked.groupBy("bucket").applyInArrow(_tell, _TOLD).withColumnRenamed("doc_id", "at")
+    by_doc = told.groupBy("at").agg(F.collect_list("anchors").alias("anchors"))
     standing = texts.filter(F.col("at") == F.col("first")).select("at").distinct()
-    return store(told.join(standing, "at", "left_semi"), "repeats-anchors")
+    return store(by_doc.join(standing, "at", "left_semi"), "repeats-anchors")
 
 
 _STRETCH = "at long, same long, start long, windows int, anchor long, stretch binary"
@@ -287,8 +288,7 @@ def stretches(docs: DataFrame, anchors: DataFrame, units_of: Units, width: int,
 
     ``raw_of``: the items (bytes, or hashes) that a stretch is written with.
     """
-    by_doc = anchors.groupBy("at").agg(F.collect_list("anchors").alias("anchors"))
-    cut = docs.join(by_doc, "at").select("at", "same", "text", "anchors").mapInArrow(
+    cut = docs.join(anchors, "at").select("at", "same", "text", "anchors").mapInArrow(
         _cut(units_of, width, gram, raw_of), _STRETCH)
     found = store(cut, "repeats-stretches")
     discard(anchors)
@@ -416,13 +416,17 @@ def mark_of():
 
 
 def marks(found: DataFrame, judged: DataFrame, matters=None) -> DataFrame:
-    """at, same, hits: of each document the stretches with a verdict.
+    """at, same, hits: of each document the stretches with a verdict (both inputs are used up).
 
     ``matters``: condition on at and value; other verdicts for a whole stretch are dropped."""
     hits = found.select("at", "same", "start", "windows", "anchor", mark_of()).join(judged, ["anchor", "mark"])
     if matters is not None:
         hits = hits.filter(F.col("value").isNull() | matters)
-    return hits.groupBy("at", "same").agg(F.collect_list(F.struct("start", "windows", "value", "verdict")).alias("hits"))
+    by_doc = store(
+        hits.groupBy("at", "same").agg(F.collect_list(F.struct("start", "windows", "value", "verdict")).alias("hits")),
+        "repeats-hits")
+    discard(found, judged)
+    return by_doc
 
 
 def hit_windows(hits: pa.Array, kind) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
