@@ -33,7 +33,7 @@ def components(links: DataFrame) -> DataFrame:
     while seen[0]:
         both = edges.unionByName(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
         least = _least(both).select("u", F.least("u", "m").alias("m"))
-        large = both.filter("v > u").join(least, "u").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct()
+        large = both.filter("v > u").join(least, "u").select(F.col("v").alias("u"), F.col("m").alias("v"))
         small = large.join(_least(large), "u").select("u", "v", "m")
         after = store(
             small.select(F.col("u"), F.col("m").alias("v")).unionByName(

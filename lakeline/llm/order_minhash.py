@@ -33,6 +33,7 @@ SAMPLE = 4
 PIVOTS = 4
 SIMILARITY = 0.8
 _CELLS = 4_000_000  # hashes of a document ranked at a time
+_REMEMBERED = 500  # texts of a task whose word counts are kept
 _PLAIN_EDITS = 48  # edits up to which the few diagonals are followed one by one
 
 _SEEDS = np.random.default_rng(2).integers(1, 1 << 63, SKETCHES, dtype=np.uint64) | np.uint64(1)
@@ -150,6 +151,19 @@ def _equal(pa_, pb, power, i, j, s):
     return x * power[j - low] == y * power[i - low]
 
 
+def counted(tokens: np.ndarray) -> np.ndarray:
+    """A sequence as a set: every word with the number of its occurrence."""
+    s = np.sort(tokens).astype(np.uint64)
+    return s << np.uint64(32) | (np.arange(len(s)) - np.searchsorted(s, s)).astype(np.uint64)
+
+
+def least_edits(a: np.ndarray, b: np.ndarray) -> int:
+    """Edits that two sequences (as :func:`counted`) need at least: a word that one lacks needs one."""
+    both = np.concatenate([a, b])
+    both.sort()
+    return max(len(a), len(b)) - int(np.count_nonzero(both[1:] == both[:-1]))
+
+
 def edit_distance(a: np.ndarray, b: np.ndarray, most: int) -> int:
     """Edits between two sequences of words, or ``most + 1`` if there are more.
 
@@ -159,11 +173,6 @@ def edit_distance(a: np.ndarray, b: np.ndarray, most: int) -> int:
     n, m = len(a), len(b)
     if abs(n - m) > most:
         return most + 1
-    x, y = np.sort(a), np.sort(b)  # words that one of them lacks need an edit each
-    values, which = np.unique(np.concatenate([x, y]), return_inverse=True)
-    surplus = np.bincount(which[:n], minlength=len(values)) - np.bincount(which[n:], minlength=len(values))
-    if max(surplus[surplus > 0].sum(initial=0), -surplus[surplus < 0].sum(initial=0)) > most:
-        return most + 1
     far = [-2] * (2 * most + 3)  # furthest i on diagonal d = j - i, at most + 1 + d
     mid = most + 1
     goal = mid + m - n
@@ -228,13 +237,22 @@ def allowed(n: int, m: int, similarity: float) -> int:
 
 def _align(similarity: float):
     def run(batches):
+        known: dict[int, tuple[np.ndarray, np.ndarray]] = {}
+
+        def text(key: int, raw: bytes):
+            if key not in known:
+                if len(known) >= _REMEMBERED:
+                    known.clear()
+                tokens = np.frombuffer(raw, "<u4")
+                known[key] = tokens, counted(tokens)
+            return known[key]
+
         for batch in batches:
-            a, b = batch.column(2).to_pylist(), batch.column(3).to_pylist()
             ok = []
-            for x, y in zip(a, b):
-                x, y = np.frombuffer(x, "<u4"), np.frombuffer(y, "<u4")
-                most = allowed(len(x), len(y), similarity)
-                ok.append(edit_distance(x, y, most) <= most)
+            for a, b, x, y in zip(*(batch.column(i).to_pylist() for i in range(4))):
+                x, y = text(a, x), text(b, y)
+                most = allowed(len(x[0]), len(y[0]), similarity)
+                ok.append(least_edits(x[1], y[1]) <= most and edit_distance(x[0], y[0], most) <= most)
             yield pa.RecordBatch.from_arrays(batch.columns[:2], names=["a", "b"]).filter(pa.array(ok, pa.bool_()))
 
     return run
