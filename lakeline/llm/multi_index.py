@@ -137,6 +137,19 @@ def _search(codes: Codes, neighbours: int):
     return lambda key, rows, asked: run(rows, asked)
 
 
+def _merge(neighbours: int):
+    """The nearest of all blocks for one query: a short list from each."""
+    def run(table: pa.Table) -> pa.Table:
+        vec = table.column("vec_ids").combine_chunks().flatten().to_numpy()
+        value = table.column("scores").combine_chunks().flatten().to_numpy()
+        best = np.lexsort((vec, -value))[:neighbours + 1]
+        return table.select(["first", "same"]).slice(0, 1) \
+            .append_column("vec_ids", pa.array([vec[best]], pa.list_(pa.int64()))) \
+            .append_column("scores", pa.array([value[best]], pa.list_(pa.float64())))
+
+    return run
+
+
 def nearest(embeddings: DataFrame, every: int = 20, neighbours: int = 20, sample: int = SAMPLE) -> DataFrame:
     """query_id, rank, vec_id, score: the nearest found of each query.
 
@@ -172,15 +185,13 @@ def nearest(embeddings: DataFrame, every: int = 20, neighbours: int = 20, sample
     asked = different.filter("asked").select(
         F.explode(F.expr(f"sequence(0L, {blocks - 1}L)")).alias("block"),
         F.pmod(spot, F.lit(q_blocks)).cast("int").alias("part"), "first", "same", "vec")
-    found = index.groupBy("block", "part").cogroup(asked.groupBy("block", "part")).applyInArrow(
-        _search(codes, neighbours), "first long, same long, vec_ids array<long>, scores array<double>")
-    each = found.select("first", "same", F.explode(F.arrays_zip("vec_ids", "scores")).alias("z")) \
-        .select("first", "same", F.col("z.vec_ids").alias("vec_id"), F.col("z.scores").alias("score"))
-    nearest_first = Window.partitionBy("first", "same").orderBy(F.desc("score"), "vec_id")
-    best = each.withColumn("place", F.row_number().over(nearest_first)).filter(F.col("place") <= neighbours + 1)
+    found = store(index.groupBy("block", "part").cogroup(asked.groupBy("block", "part")).applyInArrow(
+        _search(codes, neighbours), "first long, same long, vec_ids array<long>, scores array<double>"), "multi-index-found")
+    lists = found.groupBy("first", "same").applyInArrow(
+        _merge(neighbours), "first long, same long, vec_ids array<long>, scores array<double>") \
+        .select("first", "same", F.arrays_zip("vec_ids", "scores").alias("list"))
     groups = rows.join(different.filter("asked").select("vec", "first"), "vec") \
         .filter(F.col("vec_id") % every == 0).select(F.col("vec_id").alias("query_id"), "first", "same")
-    lists = best.groupBy("first", "same").agg(F.sort_array(F.collect_list(F.struct("place", "vec_id", "score"))).alias("list"))
-    own = F.slice(F.filter("list", lambda x: x["vec_id"] != F.col("query_id")), 1, neighbours)
+    own = F.slice(F.filter("list", lambda x: x["vec_ids"] != F.col("query_id")), 1, neighbours)
     return groups.join(lists, ["first", "same"]).select("query_id", F.posexplode(own).alias("rank", "x")) \
-        .select("query_id", (F.col("rank") + 1).cast("int").alias("rank"), F.col("x.vec_id").alias("vec_id"), F.col("x.score").alias("score"))
+        .select("query_id", (F.col("rank") + 1).cast("int").alias("rank"), F.col("x.vec_ids").alias("vec_id"), F.col("x.scores").alias("score"))
