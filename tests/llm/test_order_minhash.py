@@ -39,6 +39,23 @@ def test_alignment_of_long_near_copies():
     assert om.edit_distance(a, a[::-1].copy(), 50) == 51
 
 
+@pytest.mark.parametrize("n, share, most_missed", [
+    (250, 0.05, 0.005), (250, 0.1, 0.005), (250, 0.15, 0.005), (250, 0.2, 0.02), (60, 0.05, 0.005), (60, 0.1, 0.005),
+    (60, 0.15, 0.005), (60, 0.2, 0.02), (40, 0.2, 0.02), (20, 0.1, 0.005), (20, 0.2, 0.04)])
+def test_accepted_pairs_become_candidates(n, share, most_missed):
+    """Recall per share of replaced words, up to the last share that still links."""
+    rng = np.random.default_rng(5)
+    missed = 0
+    for _ in range(400):
+        a = rng.integers(1, 1 << 62, n, dtype=np.uint64)
+        b = a.copy()
+        edits = int(share * n + 1e-9)
+        b[rng.choice(n, edits, replace=False)] = rng.integers(1, 1 << 62, edits, dtype=np.uint64)
+        assert om.edit_distance(a, b, n) <= om.allowed(n, n, om.SIMILARITY)
+        missed += not (om.sketches(a) == om.sketches(b)).any()
+    assert missed <= most_missed * 400
+
+
 def words(t):
     return re.findall(r"\w+", (t or "").lower())
 
