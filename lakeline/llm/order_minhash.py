@@ -17,6 +17,9 @@ lost.
 
 from __future__ import annotations
 
+from itertools import combinations
+from math import comb
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -31,6 +34,7 @@ K = 2
 SKETCHES = 64  # with K and SAMPLE, 0.1 % of pairs of 250 words with just SIMILARITY are missed (by formula), fewer above
 SAMPLE = 3
 PIVOTS = 4
+LEFT_OUT = 128  # keys of a short text at most: 14 words at a similarity of 0.8
 SIMILARITY = 0.8
 _CELLS = 4_000_000  # hashes of a document ranked at a time
 _REMEMBERED = 500  # texts of a task whose word counts are kept
@@ -77,31 +81,55 @@ def sketches(tokens: np.ndarray) -> np.ndarray:
     return h
 
 
+def left_out(tokens: np.ndarray, similarity: float) -> np.ndarray:
+    """One 64-bit number for each way to leave out as many words as may be edited, or
+    fewer; none for a text with over ``LEFT_OUT`` ways.
+
+    Texts of n and n + m words that link by d words dropped, d + m added and s replaced
+    agree when one leaves out s + d <= allowed(n), the other s + d + m <= allowed(n + m).
+    """
+    n = len(tokens)
+    most = allowed(n, n, similarity)
+    if sum(comb(n, e) for e in range(most + 1)) > LEFT_OUT:
+        return np.zeros(0, np.uint64)
+    keys = []
+    for e in range(most + 1):
+        stay = np.array(list(combinations(range(n), n - e)), np.int64)
+        h = np.full(len(stay), n - e, np.uint64)
+        for column in tokens[stay].T:
+            h = mix((h ^ column) * np.uint64(0x9E3779B97F4A7C15) + np.uint64(1))
+        keys.append(h)
+    return np.unique(np.concatenate(keys))
+
+
 _SKETCHED = "at long, same long, content long, content2 long, n_words int, tokens binary, sketches array<long>"
 
 
-def _sketch(batches):
-    for batch in batches:
-        at, same = batch.column(0), batch.column(1)
-        docs = [t.encode() for t in batch.column(2).to_pylist()]
-        rows: list[tuple] = []
-        for a, b in slices(map(len, docs), 4_000_000):
-            data, starts, ends, bounds = words.find(docs[a:b], words.LETTERS)
-            tokens = words.hashes(data, starts, ends)
-            for i in range(b - a):
-                own = tokens[bounds[i]:bounds[i + 1]]
-                if not len(own):
-                    rows.append((None, None, 0, None, None))
-                    continue
-                place = mix(np.arange(len(own), dtype=np.uint64) + np.uint64(1))
-                content = (mix(own) * (place | np.uint64(1))).sum(dtype=np.uint64).astype(np.int64)
-                content2 = (own * (mix(place) | np.uint64(1))).sum(dtype=np.uint64).astype(np.int64)
-                rows.append((int(content), int(content2), len(own), (own >> np.uint64(32)).astype("<u4").tobytes(),
-                             sketches(own).astype(np.int64)))
-        kinds = (pa.int64(), pa.int64(), pa.int32(), pa.binary(), pa.list_(pa.int64()))
-        yield pa.RecordBatch.from_arrays(
-            [at, same, *(pa.array([r[i] for r in rows], kind) for i, kind in enumerate(kinds))],
-            names=["at", "same", "content", "content2", "n_words", "tokens", "sketches"])
+def _sketch(similarity: float):
+    def run(batches):
+        for batch in batches:
+            at, same = batch.column(0), batch.column(1)
+            docs = [t.encode() for t in batch.column(2).to_pylist()]
+            rows: list[tuple] = []
+            for a, b in slices(map(len, docs), 4_000_000):
+                data, starts, ends, bounds = words.find(docs[a:b], words.LETTERS)
+                tokens = words.hashes(data, starts, ends)
+                for i in range(b - a):
+                    own = tokens[bounds[i]:bounds[i + 1]]
+                    if not len(own):
+                        rows.append((None, None, 0, None, None))
+                        continue
+                    place = mix(np.arange(len(own), dtype=np.uint64) + np.uint64(1))
+                    content = (mix(own) * (place | np.uint64(1))).sum(dtype=np.uint64).astype(np.int64)
+                    content2 = (own * (mix(place) | np.uint64(1))).sum(dtype=np.uint64).astype(np.int64)
+                    rows.append((int(content), int(content2), len(own), (own >> np.uint64(32)).astype("<u4").tobytes(),
+                                 np.concatenate([sketches(own), left_out(own, similarity)]).astype(np.int64)))
+            kinds = (pa.int64(), pa.int64(), pa.int32(), pa.binary(), pa.list_(pa.int64()))
+            yield pa.RecordBatch.from_arrays(
+                [at, same, *(pa.array([r[i] for r in rows], kind) for i, kind in enumerate(kinds))],
+                names=["at", "same", "content", "content2", "n_words", "tokens", "sketches"])
+
+    return run
 
 
 def _mismatch_free(a: np.ndarray, b: np.ndarray):
@@ -279,13 +307,14 @@ def near_classes(docs: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
     """
     rows = texts(docs).select(F.coalesce("doc_id", F.lit(NO_ID)).alias("at"), F.xxhash64("text").alias("same"),
                               F.lower("text").alias("text"))
-    sketched = store(rows.mapInArrow(_sketch, _SKETCHED), "order-minhash")
+    sketched = store(rows.mapInArrow(_sketch(similarity), _SKETCHED), "order-minhash")
     same = ["content", "content2", "n_words"]
     reps = store(
         sketched.filter("n_words > 0").groupBy(*same).agg(
             F.min("at").alias("rep"), F.min_by("tokens", "at").alias("tokens"), F.min_by("sketches", "at").alias("sketches")),
         "order-minhash-texts")
-    member = reps.select("rep", "n_words", F.posexplode("sketches").alias("sketch", "bucket"))
+    member = reps.select("rep", "n_words", F.posexplode("sketches").alias("sketch", "bucket")) \
+        .withColumn("sketch", F.least("sketch", F.lit(SKETCHES)))  # keys of short texts meet wherever they stand
     order = F.struct(F.xxhash64("rep", (F.col("sketch") % PIVOTS)), "rep", "n_words")
     buckets = member.groupBy("sketch", "bucket").agg(F.count("*").alias("n"), F.min(order).alias("p")).filter("n > 1") \
         .select("sketch", "bucket", F.col("p.rep").alias("pivot"), F.col("p.n_words").alias("pivot_words"))

@@ -130,6 +130,26 @@ def test_classes_against_all_pairs(spark):
     assert all(found[x] == found[y] for x, y in close)
 
 
+def test_short_texts_find_all_links(spark):
+    """Every pair of texts of at most 14 words that links shares a class."""
+    rng = random.Random(4)
+    texts, pairs = [], []
+    for i in range(400):
+        n = rng.randint(5, 14)
+        a = [f"w{rng.randrange(10**9)}" for _ in range(n)]
+        b = list(a)
+        for _ in range(rng.randint(1, n // 5)):
+            at = rng.randrange(len(b))
+            rng.choice([lambda: b.__setitem__(at, f"new{i}"), lambda: b.pop(at), lambda: b.insert(at, a[0])])()
+        if len(b) <= 14 and a != b and distance(a, b) <= om.allowed(len(a), len(b), 0.8):
+            pairs.append((len(texts), len(texts) + 1))
+            texts += [a, b]
+    rows = [(i, " ".join(t)) for i, t in enumerate(texts)]
+    found = {r["doc_id"]: r["class_id"] for r in om.near_classes(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert len(pairs) > 250
+    assert all(found[a] == found[b] == a for a, b in pairs)
+
+
 def test_keep_one_keeps_columns_and_rows(spark):
     rows = corpus()
     docs = spark.createDataFrame(rows, SCHEMA)
