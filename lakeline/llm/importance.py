@@ -103,17 +103,21 @@ def _lower():
     return F.lower(F.coalesce(F.col("text").cast("string"), F.lit("")))
 
 
-def _targets(labels: DataFrame, sample: int) -> DataFrame:
-    """doc_id, fit of up to ``sample`` documents labelled as target, by hash order;
-    every second one is held out. Bounded, so it may be broadcast."""
-    ids = labels.filter("quality = 1 AND doc_id IS NOT NULL").select(F.col("doc_id").cast("long").alias("doc_id")).distinct()
-    picked = ids.orderBy(F.xxhash64("doc_id", F.lit(SEED)), "doc_id").limit(sample)
-    return picked.select(F.col("doc_id").alias("target_id"), (F.pmod(F.xxhash64("doc_id"), F.lit(2)) == 0).alias("fit"))
+def _good(labels: DataFrame) -> DataFrame:
+    """target_id of every document labelled as target."""
+    return labels.filter("quality = 1 AND doc_id IS NOT NULL").select(F.col("doc_id").cast("long").alias("target_id")).distinct()
 
 
-def fit(docs: DataFrame, targets: DataFrame) -> Model:
-    """Corpus counts over all of ``docs``, target counts over the fitted half."""
-    chosen = F.broadcast(targets.filter("fit"))
+def _fitted(labels: DataFrame, sample: int) -> DataFrame:
+    """target_id of every second one of up to ``sample`` documents labelled as target, by
+    hash order. Bounded, so it may be broadcast."""
+    picked = _good(labels).orderBy(F.xxhash64("target_id", F.lit(SEED)), "target_id").limit(sample)
+    return picked.filter(F.pmod(F.xxhash64("target_id"), F.lit(2)) == 0)
+
+
+def fit(docs: DataFrame, fitted: DataFrame) -> Model:
+    """Corpus counts over all of ``docs``, target counts over those in ``fitted``."""
+    chosen = F.broadcast(fitted)
     marked = docs.select(F.col("doc_id").cast("long").alias("doc_id"), _lower().alias("text")) \
         .join(chosen, F.col("doc_id") == F.col("target_id"), "left") \
         .select("text", F.col("target_id").isNotNull().alias("target"))
@@ -160,6 +164,17 @@ def kth_largest(keys: DataFrame, k: int) -> float:
     return high
 
 
+def quantile(keys: DataFrame, share: float) -> float | None:
+    """The exact quantile of ``key``, between two rows in proportion; None of no rows."""
+    total = keys.count()
+    if not total:
+        return None
+    place = share * (total - 1)
+    below, above = int(np.floor(place)), int(np.ceil(place))
+    low, high = (kth_largest(keys, total - i) if i else keys.agg(F.min("key")).first()[0] for i in (below, above))
+    return low if below == above else (above - place) * low + (place - below) * high
+
+
 @dataclass(frozen=True)
 class Selection:
     model: Model
@@ -168,14 +183,17 @@ class Selection:
 
 
 def select(docs: DataFrame, labels: DataFrame, sample: int = TARGET_SAMPLE, keep: float = KEEP_OF_TARGET) -> Selection:
-    targets = store(_targets(labels, sample), "importance-targets")
-    model = fit(docs, targets)
+    fitted = store(_fitted(labels, sample), "importance-fitted")
+    model = fit(docs, fitted)
     scored = store(
         docs.select(F.col("doc_id").cast("long").alias("doc_id"), _lower().alias("text"))
         .select("doc_id", "text", model.column(F.col("text")).alias("log_weight"))
         .select("doc_id", "log_weight", (F.col("log_weight") + gumbel()).alias("key")), "importance-scored")
-    held = scored.join(F.broadcast(targets.filter("NOT fit")), F.col("doc_id") == F.col("target_id"))
-    floor = held.agg(F.percentile("log_weight", F.lit(1 - keep)).alias("w")).first()["w"]  # of the sample
+    is_target = F.col("doc_id") == F.col("target_id")
+    held = store(
+        scored.join(F.broadcast(fitted), is_target, "left_anti").join(_good(labels), is_target, "left_semi")
+        .select(F.col("log_weight").alias("key")), "importance-held-out")
+    floor = quantile(held, 1 - keep)
     k = scored.count() if floor is None else scored.filter(F.col("log_weight") >= floor).count()
     return Selection(model, kth_largest(scored, k), scored)
 
@@ -186,7 +204,7 @@ def resample(docs: DataFrame, labels: DataFrame, sample: int = TARGET_SAMPLE, ke
     ``docs``: doc_id, text; ``labels``: doc_id, quality; other columns are not read.
     The target model is fitted on one half of up to ``sample`` documents labelled
     quality 1 (chosen by hash), the corpus model on all documents. k is the number
-    of documents that weigh at least what a share ``keep`` of the other half does;
+    of documents that weigh at least what a share ``keep`` of all others labelled so does;
     the k largest keys (log weight plus Gumbel noise) are kept, ties at the last one
     included. Null and empty texts weigh 0. Without target documents everything
     is kept. Rows that repeat get equal results; a null doc_id stays null.

@@ -109,3 +109,27 @@ def test_kth_largest(spark, monkeypatch, k):
     cut = importance.kth_largest(keys, k)
     expected = np.inf if k == 0 else -np.inf if k >= len(values) else np.sort(values)[::-1][k - 1]
     assert cut == expected
+
+
+def test_threshold_over_all_targets_the_fit_left(spark):
+    """The bounded sample is for the fit alone; every other target has a say in k."""
+    rng = random.Random(8)
+    rows = [(i, " ".join(rng.choice(["good", "fine", "dull", "poor"]) for _ in range(rng.randint(5, 60)))) for i in range(600)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    labels = spark.createDataFrame([(i, int(i < 400)) for i, _ in rows], "doc_id long, quality int")
+    sample, keep = 40, 0.9
+    fitted = importance._good(labels).selectExpr(
+        "target_id", f"xxhash64(target_id, {importance.SEED}) AS h", "pmod(xxhash64(target_id), 2) = 0 AS fit").orderBy("h").limit(sample)
+    fitted = {r["target_id"] for r in fitted.collect() if r["fit"]}
+    scored = importance.resample(docs, labels, sample, keep).collect()
+    held = [r["log_weight"] for r in scored if r["doc_id"] < 400 and r["doc_id"] not in fitted]
+    assert 0 < len(fitted) <= sample and len(held) == 400 - len(fitted)
+    floor = np.quantile(held, 1 - keep)
+    assert sum(r["kept"] for r in scored) == sum(r["log_weight"] >= floor for r in scored)
+
+
+@pytest.mark.parametrize("share", [0.0, 0.002, 0.31, 1.0])
+def test_quantile(spark, share):
+    values = [float(i * i % 97) for i in range(150)]
+    got = importance.quantile(spark.createDataFrame([(v,) for v in values], "key double"), share)
+    assert got == pytest.approx(np.quantile(values, share))
