@@ -69,3 +69,12 @@ def test_pipeline_of_nothing(spark):
     for _, stage in corpus_pipeline.STAGES:
         docs = stage(spark, docs, SF001)
     assert docs.count() == 0
+
+
+def test_bench_times_every_query_by_default():
+    import bench
+
+    registered = entry.queries()
+    assert bench.chosen("", registered) == list(registered)
+    assert set(QUERIES) | {"pipeline"} <= set(bench.chosen("", registered))
+    assert bench.chosen("op9_url_filter,", registered) == ["op9_url_filter"]
