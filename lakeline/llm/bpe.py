@@ -42,7 +42,7 @@ def _classes() -> np.ndarray:
 _KIND = _classes()
 
 
-def _byte_of_character() -> dict[str, int]:
+def byte_of_character() -> dict[str, int]:
     """Byte-level vocabularies write printable bytes as themselves, the rest from U+0100 on."""
     shown = [*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)]
     hidden = [b for b in range(256) if b not in set(shown)]
@@ -73,7 +73,7 @@ class BatchEncoder:
         with open(path, encoding="utf-8") as f:
             model = json.load(f)
         special = {t["content"] for t in model.get("added_tokens", [])}
-        of = _byte_of_character()
+        of = byte_of_character()
         ranks = {bytes(of[c] for c in token): i
                  for token, i in model["model"]["vocab"].items() if token not in special}
         self.model = tiktoken.Encoding("byte_bpe", pat_str=PATTERN, mergeable_ranks=ranks, special_tokens={})

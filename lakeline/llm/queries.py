@@ -93,6 +93,30 @@ def op10_pstable(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_vectors(_read(spark, sf_dir, "embeddings"), 0.95)
 
 
+def op11_size_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from lakeline.llm.size_shards import assign
+
+    return assign(_read(spark, sf_dir, "documents"), 24).select(
+        "doc_id", "size", "text_crc32", F.lit("bytes").alias("law"), "shard", "slot", F.lit(None).cast("int").alias("grown_shard"))
+
+
+def op12_fill_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from lakeline.llm.fill_middle import fill_in_middle, restore
+
+    digest = lambda c: F.sha2(c.cast("binary"), 256)
+    return fill_in_middle(_read(spark, sf_dir, "documents")).select(
+        "doc_id", "n", "form", "prefix_chars", "middle_chars", digest(F.col("output")).alias("output_sha256"),
+        digest(restore(F.col("output"), F.col("form"))).alias("restored_sha256"))
+
+
+def op13_token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from lakeline.llm.token_alignment import align
+
+    digest = lambda groups: F.when(groups == "", "").otherwise(F.sha2(groups.cast("binary"), 256))
+    return align(_read(spark, sf_dir, "documents"), vocabulary("byte_bpe_50k.json"), vocabulary("piece_bpe_32k.model"), digest) \
+        .withColumnRenamed("groups", "groups_sha256")
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {k: f for k, f in globals().items() if k.startswith("op") and k[2].isdigit()}
 
@@ -119,5 +143,54 @@ SELECT page_id, host, path, hit.r AS rule, coalesce(hit.v, 'allow') AS verdict F
 """
 
 
+# CRC-32 byte by byte; its table follows from the polynomial
+_SHARD_SQL = """
+WITH crc AS (
+  SELECT list(list_reduce([i] || range(8), lambda c, k: CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END) ORDER BY i) AS t
+  FROM range(256) r(i)
+), sized AS (
+  SELECT doc_id, octet_length(encode(coalesce(text, ''))) + 8 AS size,
+    list_transform(regexp_extract_all(hex(encode(coalesce(text, ''))), '..'), lambda h: ('0x' || h)::BIGINT) AS bytes
+  FROM documents
+), summed AS (
+  SELECT doc_id, size,
+    xor(list_reduce([4294967295::BIGINT] || bytes, lambda c, b: xor(c >> 8, t[(xor(c, b) & 255) + 1])), 4294967295) AS text_crc32,
+    sum(size) OVER (ORDER BY doc_id ROWS UNBOUNDED PRECEDING) - size AS before, sum(size) OVER () AS total
+  FROM sized, crc
+), cut AS (
+  SELECT doc_id, size, text_crc32, ((2 * before + size) * 24 // (2 * total))::INT AS shard FROM summed
+)
+SELECT doc_id, size::BIGINT AS size, text_crc32::BIGINT AS text_crc32, 'bytes' AS law, shard,
+  row_number() OVER (PARTITION BY shard ORDER BY doc_id) - 1 AS slot, NULL::INT AS grown_shard
+FROM cut
+"""
+
+_MIDDLE_SQL = """
+WITH split AS (
+  SELECT doc_id, coalesce(text, '') AS text, sha256('42:' || coalesce(doc_id::VARCHAR, '')) AS h,
+    regexp_extract_all(coalesce(text, ''), '[\\x20\\x09-\\x0D]*[^\\x20\\x09-\\x0D]+|[\\x20\\x09-\\x0D]+') AS tokens
+  FROM documents
+), drawn AS (
+  SELECT *, len(tokens) AS n, ('0x' || h[1:8])::BIGINT AS h1, ('0x' || h[9:16])::BIGINT AS h2,
+    ('0x' || h[17:24])::BIGINT AS h3, ('0x' || h[25:32])::BIGINT AS h4
+  FROM split
+), parts AS (
+  SELECT doc_id, text, n,
+    CASE WHEN text = '' OR contains(text, '<P>') OR contains(text, '<S>') OR contains(text, '<M>') OR h3 % 100 >= 50 THEN 'plain'
+         WHEN h4 % 100 < 80 THEN 'spm' ELSE 'psm' END AS form,
+    array_to_string(tokens[:least(h1 % (n + 1), h2 % (n + 1))], '') AS prefix,
+    array_to_string(tokens[least(h1 % (n + 1), h2 % (n + 1)) + 1:greatest(h1 % (n + 1), h2 % (n + 1))], '') AS middle,
+    array_to_string(tokens[greatest(h1 % (n + 1), h2 % (n + 1)) + 1:], '') AS suffix
+  FROM drawn
+)
+SELECT doc_id, n::BIGINT AS n, form,
+  CASE WHEN form <> 'plain' THEN length(prefix) END AS prefix_chars, CASE WHEN form <> 'plain' THEN length(middle) END AS middle_chars,
+  sha256(CASE form WHEN 'plain' THEN text WHEN 'psm' THEN '<P>' || prefix || '<S>' || suffix || '<M>' || middle
+                   ELSE '<S>' || suffix || '<P>' || prefix || '<M>' || middle END) AS output_sha256,
+  sha256(CASE form WHEN 'plain' THEN text ELSE prefix || middle || suffix END) AS restored_sha256
+FROM parts
+"""
+
+
 def oracle_sql() -> dict[str, str]:
-    return {"op9_url_filter": _URL_SQL}
+    return {"op9_url_filter": _URL_SQL, "op11_size_shards": _SHARD_SQL, "op12_fill_middle": _MIDDLE_SQL}

@@ -14,7 +14,7 @@ QUERIES = [k for k in entry.queries() if k.startswith("op")]
 
 def test_names():
     numbers = [int(k[2:].split("_")[0]) for k in QUERIES]
-    assert sorted(numbers) == list(range(1, 11)) and "pipeline" in entry.queries()
+    assert sorted(numbers) == list(range(1, 14)) and "pipeline" in entry.queries()
 
 
 @pytest.mark.parametrize("name", QUERIES)
