@@ -79,11 +79,10 @@ def assign(docs: DataFrame, count: int = 24, carry: bool = False) -> DataFrame:
         .join(offsets, ["task", "block"]) \
         .withColumn("begin", F.col("own_bytes") + F.col("block_bytes")) \
         .withColumn("position", F.col("own_rows") + F.col("block_rows"))
-    total = tasks.agg(F.sum("bytes").cast("decimal(38,0)").alias("total"))  # one row
-    twice_middle = (2 * F.col("begin") + F.col("size")).cast("decimal(38,0)")
-    cut = placed.crossJoin(F.broadcast(total)).withColumn(
-        "shard", F.floor(twice_middle * F.lit(count) / (2 * F.col("total"))).cast("int"))
-    cut = store(cut.select(*payload, "shard", "position"), "shard-cuts")
+    total = tasks.agg(F.sum("bytes")).first()[0] or 1  # one number
+    middle = (2 * F.col("begin") + F.col("size")).cast("decimal(38,0)")  # twice its byte
+    shard = F.floor(middle * F.lit(count) / F.lit(2 * total).cast("decimal(38,0)")).cast("int")
+    cut = store(placed.select(*payload, shard.alias("shard"), "position"), "shard-cuts")
     first = cut.groupBy("shard").agg(F.min("position").alias("first"))  # at most ``count`` rows
     return cut.join(F.broadcast(first), "shard").select(
         "doc_id", "size", "text_crc32", "shard", (F.col("position") - F.col("first")).alias("slot"),
