@@ -26,7 +26,7 @@ from pyspark.sql import functions as F
 from lakeline.llm.bpe import byte_of_character, encoder
 from lakeline.llm.tables import slices, store
 
-SLICE = 4_000_000  # bytes of text handled, and asked for, together
+SLICE = 2_000_000  # bytes of text handled, and asked for, together
 _LOW = (1 << 32) - 1
 
 _TOKENS = ("slice long, doc_id long, n_a long, n_b long, n_groups long, n_links long, groups string, links array<int>, "
