@@ -46,25 +46,23 @@ def source_file_filter(df: DataFrame, pending: DataFrame | list[str] | None) ->
     """Rows of pending files: ``None`` = all, an empty set = none, else the named ones.
 
     A ``left_semi`` join on the file name, for a list of names as for a table of
-    them. A list also gives the months it spans (a bounded set, however many
-    files), by which a table partitioned by ``_source_period`` is pruned.
+    them. The months that the names span (a bounded set, however many files) prune
+    a table partitioned by ``_source_period``.
     """
     if pending is None:
         return df
     if isinstance(pending, list):
         if not pending:
             return df.where(F.lit(False))
-        spark = df.sparkSession
-        pending = spark.createDataFrame([(f,) for f in pending], f"{FILE} string")
-        if "_source_period" in df.columns:
-            months = [r[0] for r in pending.select(source_period(FILE)).distinct().collect()]
-            known = F.col("_source_period").isin([m for m in months if m is not None])
-            df = df.where(known | F.col("_source_period").isNull() if None in months else known)
-    return df.join(pending.select(FILE).distinct(), FILE, "left_semi")
+        pending = df.sparkSession.createDataFrame([(f,) for f in pending], f"{FILE} string")
+    pending = pending.select(FILE).distinct()
+    if "_source_period" in df.columns:
+        months = [r[0] for r in pending.select(source_period(FILE)).distinct().collect()]
+        known = F.col("_source_period").isin([m for m in months if m is not None])
+        df = df.where(known | F.col("_source_period").isNull() if None in months else known)
+    return df.join(pending, FILE, "left_semi")
 
 
-def file_names(pending: DataFrame | None) -> list[str] | None:
-    """Collect a pending-file set (one row per file) as a sorted list."""
-    if pending is None:
-        return None
+def file_names(pending: DataFrame) -> list[str]:
+    """A pending-file set (one row per file) as a sorted list, for a reader that takes paths."""
     return sorted(r[0] for r in pending.select(FILE).distinct().collect())

@@ -2,12 +2,17 @@
 
 A table is a folder of versions, each a Parquet folder partitioned with
 Spark's writer. An overwrite writes a new version; it becomes the table the
-moment Spark's own ``_SUCCESS`` marker is in it, and only then are older
-versions deleted, so a write killed at any point leaves a readable table.
+moment Spark's own ``_SUCCESS`` marker is in it, so a write killed at any point
+leaves a readable table. Older versions stay as long as a :class:`Retention`
+says, so a query that was opened on one, and a catalog entry that still points
+to it, go on answering while the table is replaced. A table has one writer at
+a time.
 ``replace_by_key`` works inside the current version: it keeps one partition
 folder per ``(partition..., key)`` so that re-loading a key rewrites only that
 key's folders (dynamic partition overwrite), and it also removes folders of
-keys that were re-loaded but produced no rows.
+keys that were re-loaded but produced no rows. Which folders a key has is known
+from an inventory kept as a small table in the version (``_partitions``), so
+nothing lists the whole table.
 
 File-system work (exists / delete / rename / list) goes through Hadoop's
 ``FileSystem`` API of the session, so it works on any storage Spark can
@@ -16,7 +21,8 @@ write to. Nothing is ever deleted outside the table root given to a sink.
 
 from __future__ import annotations
 
-from urllib.parse import unquote
+import time
+from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
@@ -27,6 +33,20 @@ class SchemaChanged(RuntimeError):
     pass
 
 
+@dataclass(frozen=True)
+class Retention:
+    """Which replaced versions of a table stay.
+
+    The newest ``versions`` complete ones before the current, and every one that
+    was written less than ``seconds`` ago."""
+
+    versions: int = 3
+    seconds: float = 0.0
+
+
+DEFAULT_RETENTION = Retention()
+
+
 # --- file system helpers (Hadoop FileSystem through the session) ------------
 
 def _fs(spark: SparkSession, path: str):
@@ -44,7 +64,7 @@ def exists(spark: SparkSession, path: str) -> bool:
 VERSION = "version-"
 
 
-def _versions(spark: SparkSession, path: str) -> list[tuple[int, str, bool]]:
+def versions(spark: SparkSession, path: str) -> list[tuple[int, str, bool]]:
     """(number, folder, complete) of a table's versions, oldest first."""
     fs, p = _fs(spark, path)
     if not fs.exists(p):
@@ -61,12 +81,12 @@ def _versions(spark: SparkSession, path: str) -> list[tuple[int, str, bool]]:
 
 def current(spark: SparkSession, path: str) -> str | None:
     """Folder of the table's latest complete version (``None``: no table)."""
-    complete = [folder for _, folder, done in _versions(spark, path) if done]
+    complete = [folder for _, folder, done in versions(spark, path) if done]
     return complete[-1] if complete else None
 
 
 def _next_version(spark: SparkSession, path: str) -> str:
-    last = max((n for n, _, _ in _versions(spark, path)), default=0)
+    last = max((n for n, _, _ in versions(spark, path)), default=0)
     return f"{path.rstrip('/')}/{VERSION}{last + 1:09d}"
 
 
@@ -98,26 +118,6 @@ def delete(spark: SparkSession, path: str, root: str) -> bool:
     return bool(fs.delete(p, True))
 
 
-def _partition_dirs(spark: SparkSession, root: str, depth: int) -> list[tuple[str, dict[str, str | None]]]:
-    """Leaf partition folders ``k1=v1/.../kn=vn`` below ``root`` (metadata only)."""
-    fs, p = _fs(spark, root)
-    if not fs.exists(p):
-        return []
-    pattern = root.rstrip("/") + "/" + "/".join(["*=*"] * depth)
-    statuses = fs.globStatus(spark.sparkContext._jvm.org.apache.hadoop.fs.Path(pattern)) or []
-    out = []
-    for s in statuses:
-        if not s.isDirectory():
-            continue
-        path = s.getPath().toString()
-        values = {}
-        for seg in path.rstrip("/").split("/")[-depth:]:
-            k, _, v = seg.partition("=")
-            values[unquote(k)] = None if v == "__HIVE_DEFAULT_PARTITION__" else unquote(v)
-        out.append((path, values))
-    return out
-
-
 # --- table schema file ----------------------------------------------------------
 # Every table folder keeps its schema in ``_schema.json`` (ignored by Parquet
 # readers, like ``_SUCCESS``). Reads use it, so an emptied table stays
@@ -205,9 +205,32 @@ def _into_version(df: DataFrame, folder: str, partition_by: list[str] | None, ma
     _writer(df, partition_by, max_records).mode("append").parquet(folder)
 
 
+def expire(spark: SparkSession, path: str, root: str, retention: Retention = DEFAULT_RETENTION) -> int:
+    """Delete the versions that ``retention`` no longer keeps; how many went.
+
+    Versions older than the current one that never got complete go at once."""
+    found = versions(spark, path)
+    complete = [folder for _, folder, done in found if done]
+    if not complete:
+        return 0
+    fs, _ = _fs(spark, path)
+    marker = spark.sparkContext._jvm.org.apache.hadoop.fs.Path
+    recent = (time.time() - retention.seconds) * 1000
+    spare = complete[:-1][-retention.versions:] if retention.versions else []
+    gone = 0
+    for _, folder, done in found:
+        if folder >= complete[-1] or folder in spare:
+            continue
+        if done and fs.getFileStatus(marker(f"{folder}/_SUCCESS")).getModificationTime() > recent:
+            continue
+        gone += delete(spark, folder, root)
+    return gone
+
+
 def overwrite_table(df: DataFrame, path: str, root: str, partition_by: list[str] | None = None,
-                    max_records: int | None = 5_000_000, metrics: dict | None = None) -> int:
-    """Rebuild a table; the old version stays until the new one is complete.
+                    max_records: int | None = 5_000_000, metrics: dict | None = None,
+                    retention: Retention = DEFAULT_RETENTION) -> int:
+    """Rebuild a table; older versions stay as ``retention`` says.
 
     Returns the number of rows written.
     """
@@ -224,9 +247,9 @@ def overwrite_table(df: DataFrame, path: str, root: str, partition_by: list[str]
     if metrics is not None:
         metrics.clear()
         metrics.update({k: v for k, v in obs.get.items() if k != "rows"})
-    for _, older, _ in _versions(spark, path):
-        if older < folder:
-            delete(spark, older, root)
+    if partition_by:
+        _take_inventory(spark, folder, root, partition_by)
+    expire(spark, path, root, retention)
     return int(obs.get["rows"])
 
 
@@ -240,6 +263,7 @@ def append_table(df: DataFrame, path: str, root: str, partition_by: list[str] |
         return overwrite_table(df, path, root, partition_by, max_records)
     existing = read_table(spark, path).schema
     _guard(path, existing, df.schema)
+    _forget_inventory(spark, folder, root)
     obs = Observation("append")
     rows = df.select(*existing.fieldNames()).observe(obs, F.count(F.lit(1)).alias("rows"))
     _writer(rows, partition_by, max_records).mode("append").parquet(folder)
@@ -264,8 +288,59 @@ def compact(spark: SparkSession, path: str, root: str, max_files: int = 64, targ
     return True
 
 
+# --- partition inventory ---------------------------------------------------------
+# ``_partitions`` in a version's folder: a small table with one row per partition
+# folder (its values as strings, and its rows). ``_touched`` holds the partitions that
+# the last replacement wrote; it is there before the data are, so what a killed
+# replacement wrote is still known to the next one.
+
+INVENTORY, TOUCHED = "_partitions", "_touched"
+ROWS = "_rows"
+
+
+def _pairs(df: DataFrame, cols: list[str]) -> DataFrame:
+    """Partitions that ``df`` falls into, with their rows; only ``cols`` are read."""
+    return df.select(*[F.col(c).cast("string").alias(c) for c in cols]).groupBy(*cols).agg(F.count(F.lit(1)).alias(ROWS))
+
+
+def _take_inventory(spark: SparkSession, folder: str, root: str, cols: list[str]) -> None:
+    """Count a version's partitions from its folders and footers (no column is read)."""
+    table = spark.read.schema(_read_schema(spark, folder)).parquet(folder)
+    overwrite_table(_pairs(table, cols), f"{folder}/{INVENTORY}", root, retention=Retention(1))
+
+
+def _forget_inventory(spark: SparkSession, folder: str, root: str) -> None:
+    for name in (INVENTORY, TOUCHED):
+        if exists(spark, f"{folder}/{name}"):
+            delete(spark, f"{folder}/{name}", root)
+
+
+def inventory(spark: SparkSession, path: str, root: str, cols: list[str]) -> DataFrame:
+    """Partition values (strings) and rows of a partitioned table's current version."""
+    folder = current(spark, path)
+    if folder is None:
+        raise FileNotFoundError(f"no table at {path}")
+    if not table_exists(spark, f"{folder}/{INVENTORY}"):
+        _take_inventory(spark, folder, root, cols)
+    return read_table(spark, f"{folder}/{INVENTORY}")
+
+
+def _same(cols: list[str]):
+    """Null-safe equality of the columns ``cols`` of the sides x and y."""
+    out = F.lit(True)
+    for c in cols:
+        out = out & F.col(f"x.{c}").eqNullSafe(F.col(f"y.{c}"))
+    return out
+
+
+def _partition_folder(spark: SparkSession, folder: str, cols: list[str], row) -> str:
+    """``folder/k1=v1/...`` as Spark's writer names it."""
+    name = spark.sparkContext._jvm.org.apache.spark.sql.catalyst.catalog.ExternalCatalogUtils.getPartitionPathString
+    return "/".join([folder, *[name(c, row[c]) for c in cols]])
+
+
 def replace_by_key(df: DataFrame, path: str, root: str, key: str, partition_by: list[str] | None = None,
-                   replace_keys: list[str] | None = None, strict_reference: bool = False,
+                   replace_keys: DataFrame | list[str] | None = None, strict_reference: bool = False,
                    max_records: int | None = 5_000_000, metrics: dict | None = None) -> dict:
     """Delete the rows of every replaced key, then insert ``df``.
 
@@ -273,54 +348,77 @@ def replace_by_key(df: DataFrame, path: str, root: str, key: str, partition_by:
     overwrite rewrites exactly the folders the new rows fall into; then any
     other folder of a replaced key is removed, so stale rows cannot survive,
     also for a key whose new version has no rows at all. ``replace_keys``
-    names the keys being re-loaded (the pending files); without it, only
-    keys present in ``df`` are replaced. ``strict_reference=True`` replaces
-    only keys present in ``df`` even when ``replace_keys`` is given.
+    names the keys being re-loaded (a table with the column ``key``, or a list);
+    without it, only keys present in ``df`` are replaced. ``strict_reference=True``
+    replaces only keys present in ``df`` even when ``replace_keys`` is given.
+
+    The stale folders are the inventory's partitions of replaced keys that the new
+    rows do not fall into: a semi and an anti join of small tables, whose few rows
+    are walked one after another. ``df`` is read twice, once for its partition
+    columns alone.
 
     Partitions are replaced one folder at a time, not in one commit; a crash
     in between leaves extra rows that the next run (which still sees the key
     as pending) replaces again.
+
+    Returns ``rows`` and ``partitions_written``, ``stale_removed``, and ``touched``:
+    the partitions written or removed, as a table.
     """
     spark = df.sparkSession
     _check_below(path, root)
     cols = [*(partition_by or []), key]
     folder = current(spark, path)
-    fresh = folder is None
-    if fresh:
-        folder = _next_version(spark, path)
-    else:
-        existing = read_table(spark, path).schema
-        _guard(path, existing, df.schema)
-        df = df.select(*existing.fieldNames())
-
-    # Written partitions and row count are gathered while writing (no second pass).
     obs = Observation("replace_by_key")
     extra = [c.alias(n) for n, c in (metrics or {}).items()]
-    observed = df.observe(obs, F.count(F.lit(1)).alias("rows"),
-                          F.collect_set(F.struct(*[F.col(c).cast("string").alias(c) for c in cols])).alias("parts"),
-                          *extra)
-    if fresh:
-        _into_version(observed, folder, cols, max_records)
-    else:
-        _writer(observed, cols, max_records).mode("overwrite") \
-            .option("partitionOverwriteMode", "dynamic").parquet(folder)
-    observed_metrics = obs.get
-    written = {tuple(r[c] for c in cols) for r in observed_metrics["parts"]}
-    keys_written = {p[-1] for p in written}
-    to_replace = set(keys_written)
+
+    def observed(rows: DataFrame) -> DataFrame:
+        return rows.observe(obs, F.count(F.lit(1)).alias("rows"), *extra)
+
+    def done(written: int, removed: int, touched: DataFrame) -> dict:
+        found = obs.get
+        if metrics is not None:
+            metrics.clear()
+            metrics.update({k: v for k, v in found.items() if k != "rows"})
+        return {"rows": int(found["rows"]), "partitions_written": written, "stale_removed": removed, "touched": touched}
+
+    if folder is None:
+        folder = _next_version(spark, path)
+        try:
+            _into_version(observed(df), folder, cols, max_records)
+        except Exception:
+            delete(spark, folder, root)
+            raise
+        _take_inventory(spark, folder, root, cols)
+        touched = read_table(spark, f"{folder}/{INVENTORY}").select(*cols)
+        return done(touched.count(), 0, touched)
+
+    existing = read_table(spark, path).schema
+    _guard(path, existing, df.schema)
+    df = df.select(*existing.fieldNames())
+    held = inventory(spark, path, root, cols)
+    if table_exists(spark, f"{folder}/{TOUCHED}"):  # a killed replacement may have got this far
+        held = held.unionByName(read_table(spark, f"{folder}/{TOUCHED}"))
+    held = held.groupBy(*cols).agg(F.max(ROWS).alias(ROWS))
+    keep = Retention(1)
+    n_written = overwrite_table(_pairs(df, cols), f"{folder}/{TOUCHED}", root, retention=keep)
+    written = read_table(spark, f"{folder}/{TOUCHED}")
+    _writer(observed(df), cols, max_records).mode("overwrite") \
+        .option("partitionOverwriteMode", "dynamic").parquet(folder)
+
+    keys = written.select(key)
     if replace_keys is not None and not strict_reference:
-        to_replace |= set(replace_keys)
-
-    removed: set[tuple] = set()
-    if to_replace:
-        for dir_path, values in _partition_dirs(spark, folder, len(cols)):
-            part = tuple(values.get(c) for c in cols)
-            if values.get(key) in to_replace and part not in written:
-                delete(spark, dir_path, root)
-                removed.add(part)
-    if metrics is not None:
-        extra_values = {k: v for k, v in observed_metrics.items() if k not in ("rows", "parts")}
-        metrics.clear()
-        metrics.update(extra_values)
-    return {"rows": int(observed_metrics["rows"]), "partitions_written": len(written),
-            "stale_removed": len(removed), "touched": sorted(written | removed, key=str)}
+        if isinstance(replace_keys, list):
+            replace_keys = spark.createDataFrame([(k,) for k in replace_keys], f"{key} string")
+        keys = keys.unionByName(replace_keys.select(F.col(key).cast("string").alias(key)))
+    keys = keys.distinct()
+    replaced = held.alias("x").join(keys.alias("y"), _same([key]), "left_semi")
+    stale = replaced.alias("x").join(written.alias("y"), _same(cols), "left_anti").select(*cols)
+    removed = [tuple(r) for r in stale.toLocalIterator()]
+    for values in removed:
+        delete(spark, _partition_folder(spark, folder, cols, dict(zip(cols, values))), root)
+    untouched = held.alias("x").join(keys.alias("y"), _same([key]), "left_anti")
+    overwrite_table(untouched.unionByName(written), f"{folder}/{INVENTORY}", root, retention=keep)
+    touched = written.select(*cols)
+    if removed:
+        touched = touched.unionByName(spark.createDataFrame(removed, ", ".join(f"`{c}` string" for c in cols)))
+    return done(n_written, len(removed), touched)

@@ -30,7 +30,7 @@ import uuid
 from concurrent.futures import ThreadPoolExecutor, wait
 from dataclasses import dataclass, field
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, Observation, SparkSession, Window
 from pyspark.sql import functions as F
 
 from lakeline.config import (
@@ -71,6 +71,24 @@ TABLE_PARTITIONS = {
 
 # partition columns that only lay a table out and are no part of its contract
 LAYOUT_ONLY = {FACT: ["pickup_month"]}
+# the partition column that holds the month of pickup_at (a valid trip starts in its file's month)
+MONTH_OF_PICKUP = {SILVER: "_source_period", FACT: "pickup_month"}
+
+# which model reads which, as (model, model that reads it)
+MODEL_EDGES = [
+    ("bronze_yellow_tripdata", "silver_yellow_trips"),
+    ("bronze_yellow_tripdata", "silver_yellow_trips_rejected"),
+    ("silver_yellow_trips", "fact_trips"),
+    ("silver_yellow_trips", "dim_date"),
+    ("silver_yellow_trips", "dim_vendor"),
+    ("silver_yellow_trips", "dim_rate_code"),
+    ("silver_yellow_trips", "dim_payment_type"),
+    ("fact_trips", "fact_daily_zone_summary"),
+    ("zones", "dim_location"),
+    ("vendors", "dim_vendor"),
+    ("rate_codes", "dim_rate_code"),
+    ("payment_types", "dim_payment_type"),
+]
 
 
 class NoLandingFiles(RuntimeError):
@@ -146,7 +164,8 @@ class Pipeline:
                  thresholds: Thresholds = DEFAULT_THRESHOLDS, run_tests: bool = True,
                  strict_reference: bool = False, gold_threads: int = 4, publish_prefix: str | None = None,
                  log_max_files: int = 64, vendors: DataFrame | str | None = None,
-                 rate_codes: DataFrame | str | None = None, payment_types: DataFrame | str | None = None):
+                 rate_codes: DataFrame | str | None = None, payment_types: DataFrame | str | None = None,
+                 retention: sinks.Retention = sinks.DEFAULT_RETENTION):
         self.spark = spark
         self.glob = landing_glob
         self.root = root.rstrip("/")
@@ -157,6 +176,8 @@ class Pipeline:
         self.gold_threads = gold_threads
         self.publish_prefix = publish_prefix
         self.log_max_files = log_max_files
+        self.retention = retention
+        self._known_prefixes: list[str] = []
         self.codes = {
             "vendor": self._codes(vendors, VENDORS, "vendor"),
             "rate_code": self._codes(rate_codes, RATE_CODES, "rate_code"),
@@ -180,8 +201,16 @@ class Pipeline:
     def exists(self, name: str) -> bool:
         return sinks.table_exists(self.spark, self.path(name))
 
-    def table(self, name: str) -> DataFrame:
-        return sinks.read_table(self.spark, self.path(name))
+    def table(self, name: str, since=None, until=None) -> DataFrame:
+        """A table, or of a table laid out by pickup month the rows picked up from
+        ``since`` on and before ``until`` (timestamps without zone, or text that casts
+        to one): the bounds also hold for the month, so other months are never read."""
+        df = sinks.read_table(self.spark, self.path(name))
+        if since is None and until is None:
+            return df
+        if name not in MONTH_OF_PICKUP:
+            raise ValueError(f"{name} is not laid out by pickup month")
+        return picked_up_between(df, MONTH_OF_PICKUP[name], since, until)
 
     def load_log(self, name: str) -> DataFrame | None:
         p = self.log_path(name)
@@ -203,6 +232,17 @@ class Pipeline:
         sinks.append_table(rows, path, self.root)
         sinks.compact(self.spark, path, self.root, max_files=self.log_max_files)
 
+    # -- pending files --------------------------------------------------------
+    def _scratch(self, summary: RunSummary) -> str:
+        return f"{self.root}/_scratch/{summary.batch_id}"
+
+    def _kept(self, summary: RunSummary, pending: DataFrame, layer: str) -> tuple[DataFrame, int]:
+        """A set of pending files as a table that the run's readers join, and its size."""
+        path = f"{self._scratch(summary)}/pending-{layer}"
+        n = Observation(f"pending-{layer}")
+        pending.select(FILE).observe(n, F.count(F.lit(1)).alias("n")).write.parquet(path)
+        return self.spark.read.schema(f"{FILE} string").parquet(path), int(n.get["n"])
+
     # -- stages ---------------------------------------------------------------
     def _timed(self, summary: RunSummary, stage: str, fn):
         t0 = time.time()
@@ -226,22 +266,28 @@ class Pipeline:
         log = self.load_log(BRONZE)
         first = full_refresh or not self.exists(BRONZE) or log is None
         loaded = None if first else self.latest(log)
-        pending = file_names(pending_landing_files(listing, loaded))
-        if not pending:
+        pending, n_files = self._kept(summary, pending_landing_files(listing, loaded), "bronze")
+        if not n_files:
             if first:
                 raise NoLandingFiles(f"No landing files match {self.glob}")
-            return {"files": 0, "rows": 0, "_pending": []}
+            return {"files": 0, "rows": 0, "_pending": None}
         self._one_file_per_period(pending, loaded)
-        rows = landing.bronze_rows(landing.read_landing(self.spark, pending), summary.batch_id)
+        # the one place that needs names in hand: the reader takes paths
+        rows = landing.bronze_rows(landing.read_landing(self.spark, file_names(pending)), summary.batch_id)
         metrics = {"max_row": F.max("_source_row_number")}
         if first:
-            n = sinks.overwrite_table(rows, self.path(BRONZE), self.root, ["_source_period", FILE], metrics=metrics)
+            if log is not None:  # until bronze is whole again nothing counts as loaded
+                sinks.overwrite_table(log.limit(0), self.log_path(BRONZE), self.root)
+            n = sinks.overwrite_table(rows, self.path(BRONZE), self.root, ["_source_period", FILE], metrics=metrics,
+                                      retention=self.retention)
             stats = {"rows": n}
+            self._move(BRONZE)
         else:
             stats = sinks.replace_by_key(rows, self.path(BRONZE), self.root, FILE, ["_source_period"],
                                          replace_keys=pending, strict_reference=self.strict_reference,
                                          metrics=metrics)
             stats.pop("touched")
+            self._move(BRONZE)
         max_row = metrics.get("max_row")
         if max_row is not None and max_row >= quality.TRIP_ID_ROW_LIMIT:
             raise TripIdOverflow(f"a landing file has {max_row + 1} rows; trip_id allows "
@@ -249,17 +295,17 @@ class Pipeline:
 
         def commit() -> None:
             """Files and their modification times as listed, with the rows bronze now holds of each."""
-            held = source_file_filter(self.table(BRONZE), None if first else pending)
-            held = held.groupBy(FILE).agg(F.count(F.lit(1)).alias("_rows"))
+            parts = sinks.inventory(self.spark, self.path(BRONZE), self.root, TABLE_PARTITIONS[BRONZE])
+            held = parts.groupBy(FILE).agg(F.sum(sinks.ROWS).alias("_rows"))
             files = source_file_filter(listing, pending).join(held, FILE, "left")
             self._log(BRONZE, files.select(
                 FILE, "_source_modified_at", F.lit(summary.batch_id).alias("_batch_id"),
                 F.coalesce("_rows", F.lit(0)).alias("_rows")), fresh=first)
 
-        return {"files": len(pending), **stats, "_pending": None if first else pending, "_commit": commit}
+        return {"files": n_files, **stats, "_pending": None if first else pending, "_commit": commit}
 
-    def _one_file_per_period(self, pending: list[str], loaded: DataFrame | None) -> None:
-        files = self.spark.createDataFrame([(f,) for f in pending], f"{FILE} string")
+    def _one_file_per_period(self, pending: DataFrame, loaded: DataFrame | None) -> None:
+        files = pending.select(FILE)
         if loaded is not None:
             files = files.unionByName(loaded.select(FILE)).distinct()
         period = landing.source_period(FILE)
@@ -270,30 +316,35 @@ class Pipeline:
             c = clashes[0]
             raise PeriodClash(f"{c['n']} landing files for {c['period']:%Y-%m}, among them {c['a']} and {c['b']}")
 
-    def _pending(self, upstream: str, own: str, full_refresh: bool) -> list[str] | None:
+    def _pending(self, summary: RunSummary, upstream: str, own: str,
+                 full_refresh: bool) -> tuple[DataFrame | None, int | None]:
+        """Upstream files that ``own`` has not seen and how many they are; ``None``: all."""
         if full_refresh or not self.exists(own) or self.load_log(own) is None:
-            return None
+            return None, None
         up = self.latest(self.load_log(upstream))
-        return file_names(pending_source_files(up, self.load_log(own)))
+        return self._kept(summary, pending_source_files(up, self.load_log(own)), own.split("/")[-1])
 
-    def _upstream_batches(self, upstream: str, pending: list[str] | None) -> DataFrame:
+    def _upstream_batches(self, upstream: str, pending: DataFrame | None) -> DataFrame:
         return source_file_filter(self.latest(self.load_log(upstream)), pending).select(FILE, "_batch_id")
 
-    def _write_by_file(self, df: DataFrame, name: str, partition: str, pending: list[str] | None) -> dict:
+    def _write_by_file(self, df: DataFrame, name: str, partition: str, pending: DataFrame | None) -> dict:
         """Overwrite (all files) or replace the pending files' partitions."""
-        path = self.path(name) if "/" in name else self.log_path(name)
+        path = self.path(name)
         if pending is None:
-            return {"rows": sinks.overwrite_table(df, path, self.root, [partition, FILE]), "touched": None}
-        out = sinks.replace_by_key(df, path, self.root, FILE, [partition], replace_keys=pending,
-                                   strict_reference=self.strict_reference)
+            out = {"rows": sinks.overwrite_table(df, path, self.root, [partition, FILE], retention=self.retention),
+                   "touched": None}
+        else:
+            out = sinks.replace_by_key(df, path, self.root, FILE, [partition], replace_keys=pending,
+                                       strict_reference=self.strict_reference)
+        self._move(name)
         return {"rows": out["rows"], "touched": out["touched"]}
 
     def silver(self, summary: RunSummary, full_refresh: bool) -> dict:
-        pending = self._pending(BRONZE, SILVER, full_refresh)
-        if pending == []:
+        pending, n_files = self._pending(summary, BRONZE, SILVER, full_refresh)
+        if n_files == 0:
             return {"files": 0, "_periods": []}
         bronze = source_file_filter(self.table(BRONZE), pending)
-        scratch = f"{self.root}/_scratch/{summary.batch_id}"
+        scratch = f"{self._scratch(summary)}/classify"
         try:
             # Classified once into a scratch table that both halves and the profile read.
             quality.classify(bronze, self.thresholds, scratch=scratch).write.parquet(f"{scratch}/classified")
@@ -310,8 +361,7 @@ class Pipeline:
                 F.min("pickup_at").alias("pickup_at"), F.max("dropoff_at").alias("dropoff_at"))
             profile_path = self.log_path(PROFILE)
             if pending is not None and sinks.table_exists(self.spark, profile_path):
-                names = self.spark.createDataFrame([(f,) for f in pending], f"{FILE} string")
-                kept = sinks.read_table(self.spark, profile_path).join(names, FILE, "left_anti")
+                kept = sinks.read_table(self.spark, profile_path).join(pending, FILE, "left_anti")
                 profile = kept.unionByName(profile)
             sinks.overwrite_table(profile, profile_path, self.root)
         finally:
@@ -327,14 +377,14 @@ class Pipeline:
             self._log(SILVER, self._upstream_batches(BRONZE, pending), fresh=pending is None)
 
         periods = None
-        if pending is not None:
-            periods = sorted({t[0] for t in (v["touched"] or []) + (r["touched"] or [])}, key=str)
-        return {"files": None if pending is None else len(pending), "valid": v["rows"],
-                "rejected": r["rows"], "_pending": pending, "_periods": periods, "_commit": commit}
+        if pending is not None:  # months: few, however many files were touched
+            touched = v["touched"].unionByName(r["touched"]).select("_source_period").distinct().collect()
+            periods = sorted({t[0] for t in touched}, key=str)
+        return {"files": n_files, "valid": v["rows"], "rejected": r["rows"], "_periods": periods, "_commit": commit}
 
     def fact(self, summary: RunSummary, full_refresh: bool) -> dict:
-        pending = self._pending(SILVER, FACT, full_refresh)
-        if pending == []:
+        pending, n_files = self._pending(summary, SILVER, FACT, full_refresh)
+        if n_files == 0:
             return {"files": 0, "_months": []}
         silver = source_file_filter(self.table(SILVER), pending)
         rows = (facts.fact_trips(silver).withColumn("_processed_at", F.current_timestamp())
@@ -342,20 +392,16 @@ class Pipeline:
         out = self._write_by_file(rows, FACT, "pickup_month", pending)
         # Which pickup months each re-loaded file touched (written or removed):
         # gold recomputes those months, also after a failed run.
-        touched: dict[str, set] = {}
-        for month, file in out["touched"] or []:
-            touched.setdefault(file, set()).add(month)
-        months = self.spark.createDataFrame(
-            [(f, sorted(m)) for f, m in touched.items()], f"{FILE} string, _months array<string>")
         batches = self._upstream_batches(SILVER, pending)
         if pending is None:  # no list of months: gold has to be rebuilt as a whole
             logged = batches.withColumn("_months", F.lit(None).cast("array<string>"))
         else:
+            months = out["touched"].groupBy(FILE).agg(F.sort_array(F.collect_set("pickup_month")).alias("_months"))
             logged = batches.join(months, FILE, "left").withColumn(
                 "_months", F.coalesce("_months", F.array().cast("array<string>")))
         # Fact's own tests run with gold's, and gold's log waits for both.
         self._log(FACT, logged, fresh=pending is None)
-        return {"files": None if pending is None else len(pending), "rows": out["rows"]}
+        return {"files": n_files, "rows": out["rows"]}
 
     def lookup_dims(self) -> dict[str, DataFrame]:
         return {"dim_time_of_day": dims.dim_time_of_day(self.spark), "dim_location": dims.dim_location(self.zones)}
@@ -379,12 +425,14 @@ class Pipeline:
     def _overwrite_all(self, tables: dict[str, DataFrame]) -> dict:
         def build(item):
             name, df = item
-            return name, sinks.overwrite_table(df, self.path(f"gold/{name}"), self.root)
+            rows = sinks.overwrite_table(df, self.path(f"gold/{name}"), self.root, retention=self.retention)
+            self._move(f"gold/{name}")
+            return name, rows
 
         with ThreadPoolExecutor(max_workers=self.gold_threads) as pool:
             return dict(pool.map(build, tables.items()))
 
-    def gold_pending_months(self, full_refresh: bool) -> tuple[list | None, list[str] | None]:
+    def gold_pending_months(self, summary: RunSummary, full_refresh: bool) -> tuple[list | None, DataFrame | None]:
         """Pickup months whose fact rows changed since gold was last built.
 
         Gold keeps its own load log; the fact files gold has not seen yet
@@ -395,9 +443,9 @@ class Pipeline:
         if full_refresh or own is None or not self.exists(SUMMARY):
             return None, None
         fact_log = self.latest(self.load_log(FACT))
-        pending = file_names(pending_source_files(fact_log, own))
-        if not pending:
-            return [], []
+        pending, n = self._kept(summary, pending_source_files(fact_log, own), "gold")
+        if not n:
+            return [], pending
         todo = source_file_filter(fact_log, pending)
         if todo.where(F.col("_months").isNull()).take(1):  # fact was rebuilt as a whole
             return None, None
@@ -446,45 +494,109 @@ class Pipeline:
 
     # -- catalog ------------------------------------------------------------------
     def publish(self, prefix: str = "lake") -> list[str]:
-        """Register every table as an external Parquet table ``<prefix>_<layer>.<name>``.
-
-        Declared columns come from the table's recorded schema and the
-        partition columns from its layout, so SQL such as the consumer star
-        query runs by table name. Only catalog metadata is written; dropping a
-        published table leaves its files alone.
+        """Register every table as ``<prefix>_<layer>.<name>``; returns the names.
+
+        Unpartitioned tables are external Parquet tables. A partitioned one is a view
+        over an external table of its current version (``<name>__v<number>``), so that
+        moving to another version is one replacement of the view and no reader ever
+        sees half of the partitions; layout columns that are no part of the contract
+        stay behind it. Every entry carries a comment and properties (see
+        :meth:`table_properties`). For tables laid out by pickup month the function
+        ``<name>_between(since, until)`` returns the rows picked up from ``since`` on
+        and before ``until`` and reads only their months.
+
+        Only catalog metadata is written; dropping an entry leaves the files alone.
+        The prefix is remembered below the root: whenever a run replaces a table, its
+        entries are moved to the new version at once, with or without ``publish_prefix``.
         """
-        out = []
-        for name, parts in TABLE_PARTITIONS.items():
-            path = self.path(name)
-            schema = sinks.read_schema(self.spark, path)
-            if schema is None:
-                continue
-            layer, table = name.split("/")
-            db, full = f"{prefix}_{layer}", f"{prefix}_{layer}.{table}"
-            folder = sinks.current(self.spark, path)
-            self.spark.sql(f"CREATE DATABASE IF NOT EXISTS {db}")
-            inner = [p for p in parts if p in LAYOUT_ONLY.get(name, ())]
-            stored = f"{full}_by_{'_'.join(inner)}" if inner else full
-            for t in {full, stored}:
-                self._forget(t)
-            data = [f for f in schema.fields if f.name not in parts]
-            by_name = {f.name: f for f in schema.fields}
-            cols = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in [*data, *[by_name[p] for p in parts]])
-            part_sql = f" PARTITIONED BY ({', '.join(parts)})" if parts else ""
-            self.spark.sql(f"CREATE TABLE {stored} ({cols}) USING parquet{part_sql} LOCATION '{folder}'")
-            if parts:  # folder listing only: registers the partitions present now
-                self.spark.sql(f"ALTER TABLE {stored} RECOVER PARTITIONS")
-            if inner:  # the contract has no such column: consumers get a view without it
-                names = ", ".join(f"`{f.name}`" for f in schema.fields if f.name not in inner)
-                self.spark.sql(f"CREATE VIEW {full} AS SELECT {names} FROM {stored}")
-            out.append(full)
-        return out
+        self._remember(prefix)
+        return [name for table in TABLE_PARTITIONS if (name := self._register(prefix, table))]
+
+    def table_properties(self, name: str) -> dict[str, str]:
+        """What the catalog says about a published table."""
+        rows = sinks.read_table(self.spark, self.path(name)).count()  # footers only
+        return {
+            "lakeline.layer": name.split("/")[0],
+            "lakeline.version": sinks.current(self.spark, self.path(name)).rsplit("-", 1)[1],
+            "lakeline.partitioned_by": ",".join(TABLE_PARTITIONS[name]),
+            "lakeline.rows": str(rows),
+        }
+
+    def _register(self, prefix: str, name: str) -> str | None:
+        schema = sinks.read_schema(self.spark, self.path(name))
+        if schema is None:
+            return None
+        parts = TABLE_PARTITIONS[name]
+        layer, table = name.split("/")
+        full = f"{prefix}_{layer}.{table}"
+        folder = sinks.current(self.spark, self.path(name))
+        self.spark.sql(f"CREATE DATABASE IF NOT EXISTS {prefix}_{layer}")
+        properties = self.table_properties(name)
+        told = ", ".join(f"'{k}' = '{v}'" for k, v in properties.items())
+        comment = f"{table} of the {layer} layer, version {int(properties['lakeline.version'])}"
+        columns = {f.name: f"`{f.name}` {f.dataType.simpleString()}" for f in schema.fields}
+        ordered = ", ".join(columns[c] for c in [*[c for c in columns if c not in parts], *parts])
+        if not parts:
+            if self._kind(full) == "EXTERNAL" and self.spark.table(full).schema.simpleString() == schema.simpleString():
+                self.spark.sql(f"ALTER TABLE {full} SET LOCATION '{folder}'")
+                self.spark.sql(f"ALTER TABLE {full} SET TBLPROPERTIES ({told})")
+                self.spark.sql(f"COMMENT ON TABLE {full} IS '{comment}'")
+                self.spark.catalog.refreshTable(full)
+                return full
+            self._forget(full)
+            self.spark.sql(f"CREATE TABLE {full} ({ordered}) USING parquet LOCATION '{folder}' COMMENT '{comment}' TBLPROPERTIES ({told})")
+            return full
+        stored = f"{full}__v{int(properties['lakeline.version'])}"
+        if self._kind(full) not in (None, "VIEW"):
+            self._forget(full)
+        if self._kind(stored) is None:
+            self.spark.sql(f"CREATE TABLE {stored} ({ordered}) USING parquet PARTITIONED BY ({', '.join(parts)}) LOCATION '{folder}'")
+        # folder listing only: registers partitions that came and forgets those that went
+        self.spark.sql(f"MSCK REPAIR TABLE {stored} SYNC PARTITIONS")
+        self.spark.catalog.refreshTable(stored)
+        names = ", ".join(f"`{c}`" for c in columns if c not in LAYOUT_ONLY.get(name, ()))
+        self.spark.sql(f"CREATE OR REPLACE VIEW {full} COMMENT '{comment}' TBLPROPERTIES ({told}) AS SELECT {names} FROM {stored}")
+        if name in MONTH_OF_PICKUP:
+            month = MONTH_OF_PICKUP[name]
+            returned = ", ".join(columns[c] for c in columns if c not in LAYOUT_ONLY.get(name, ()))
+            self.spark.sql(
+                f"CREATE OR REPLACE FUNCTION {full}_between(since TIMESTAMP_NTZ, until TIMESTAMP_NTZ) RETURNS TABLE ({returned}) "
+                f"RETURN SELECT {names} FROM {stored} WHERE pickup_at >= since AND pickup_at < until "
+                f"AND {month} >= trunc(since, 'MM') AND {month} <= trunc(until, 'MM')")
+        self._drop_versions(full, keep=stored)
+        return full
+
+    def _drop_versions(self, full: str, keep: str) -> None:
+        """Forget the entries of versions whose folders are gone."""
+        database, table = full.split(".")
+        held = {f"{table}__v{n}" for n, _, done in sinks.versions(self.spark, self.path(f"{database.rsplit('_', 1)[1]}/{table}")) if done}
+        for t in self.spark.catalog.listTables(database, f"{table}__v*"):
+            if t.name not in held and f"{database}.{t.name}" != keep:
+                self.spark.sql(f"DROP TABLE {database}.{t.name}")
+
+    def _prefixes(self) -> list[str]:
+        path = f"{self.root}/_loads/published"
+        return [r[0] for r in sinks.read_table(self.spark, path).collect()] if sinks.table_exists(self.spark, path) else []
+
+    def _remember(self, prefix: str) -> None:
+        known = self._prefixes()
+        if prefix not in known:
+            rows = self.spark.createDataFrame([(p,) for p in sorted({*known, prefix})], "prefix string")
+            sinks.overwrite_table(rows.coalesce(1), f"{self.root}/_loads/published", self.root)
+
+    def _move(self, name: str) -> None:
+        """Move a table's catalog entries to what is current now, where it is published."""
+        for prefix in self._known_prefixes:
+            self._register(prefix, name)
+
+    def _kind(self, name: str) -> str | None:
+        return self.spark.catalog.getTable(name).tableType if self.spark.catalog.tableExists(name) else None
 
     def _forget(self, name: str) -> None:
         """Drop the catalog entry of a view or an external table; refuse a managed one."""
-        if not self.spark.catalog.tableExists(name):
+        kind = self._kind(name)
+        if kind is None:
             return
-        kind = self.spark.catalog.getTable(name).tableType
         if kind not in ("EXTERNAL", "VIEW"):
             raise ValueError(f"{name} exists and is a {kind} table: dropping it would delete its data")
         self.spark.sql(f"DROP {'VIEW' if kind == 'VIEW' else 'TABLE'} {name}")
@@ -506,6 +618,7 @@ class Pipeline:
         First loads and full refreshes test whole tables.
         """
         summary = RunSummary(batch_id=uuid.uuid4().hex)
+        self._known_prefixes = self._prefixes()
         # The lookup tests only gate the gold dimensions: they run alongside
         # bronze / silver / fact and are awaited before gold.
         lookups_pool = ThreadPoolExecutor(max_workers=1)
@@ -520,6 +633,8 @@ class Pipeline:
             return self._run_layers(summary, full_refresh, listing, lookup_tests)
         finally:
             wait([lookup_tests])  # never leave test jobs running after the run
+            if sinks.exists(self.spark, self._scratch(summary)):
+                sinks.delete(self.spark, self._scratch(summary), self.root)
 
     def _run_layers(self, summary: RunSummary, full_refresh: bool, listing: DataFrame | None,
                     lookup_tests) -> RunSummary:
@@ -542,15 +657,16 @@ class Pipeline:
 
         self._timed(summary, "fact", lambda: self.fact(summary, full_refresh))
         lookup_tests.result()  # raises if a lookup test failed: no gold is built
-        months, gold_files = self.gold_pending_months(full_refresh)
-        silver_changed = s["files"] != 0 or bool(gold_files)
+        months, gold_files = self.gold_pending_months(summary, full_refresh)
+        owed = months is None or not gold_files.isEmpty()  # fact batches that gold has not seen
+        silver_changed = s["files"] != 0 or owed
         g = self._timed(summary, "gold", lambda: self.gold(summary, months, silver_changed))
         gold = {n: self.table(f"gold/{n}") for n in GOLD_DIMS}
         full = {"fact_trips": self.table(FACT), "fact_daily_zone_summary": self.table(SUMMARY), **gold}
         tests = model_tests()["gold"]
         if months is None:  # first load or full refresh: whole tables
             self._test(summary, "gold", full, only=tests)
-            return self._gold_done(summary, gold_files)
+            return self._gold_done(summary, gold_files, owed)
         facts_models = ("fact_trips", "fact_daily_zone_summary")
         changed = set(g["_changed_lookups"])
         # relationships to a lookup that changed: every fact row is re-checked
@@ -566,15 +682,26 @@ class Pipeline:
             "fact_trips": full["fact_trips"].where(F.col("pickup_month").isin([str(m) for m in months])),
             "fact_daily_zone_summary": full["fact_daily_zone_summary"].where(F.col("date_key").isin(days)),
         }, only=scoped)
-        return self._gold_done(summary, gold_files)
+        return self._gold_done(summary, gold_files, owed)
 
-    def _gold_done(self, summary: RunSummary, files: list[str] | None) -> RunSummary:
+    def _gold_done(self, summary: RunSummary, files: DataFrame | None, owed: bool) -> RunSummary:
         """Gold has seen and tested these fact batches (``None``: all of them)."""
-        if files != []:
+        if owed:
             self._log(SUMMARY, self._upstream_batches(FACT, files), fresh=files is None)
         return self._published(summary)
 
 
+def picked_up_between(df: DataFrame, month: str, since=None, until=None, column: str = "pickup_at") -> DataFrame:
+    """Rows with ``since <= column < until``; the bounds also hold for ``month``, a
+    partition column with the first day of the column's month, which prunes the scan."""
+    stamp = lambda v: F.lit(v).cast("timestamp_ntz")
+    if since is not None:
+        df = df.where((F.col(column) >= stamp(since)) & (F.col(month) >= F.trunc(stamp(since), "MM")))
+    if until is not None:
+        df = df.where((F.col(column) < stamp(until)) & (F.col(month) <= F.trunc(stamp(until), "MM")))
+    return df
+
+
 def _days_of_month(month) -> list:
     import calendar
     import datetime as dt

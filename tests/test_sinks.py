@@ -119,6 +119,82 @@ def test_a_killed_overwrite_leaves_the_table(spark, workdir, monkeypatch):
     sinks.overwrite_table(frame(spark, [("b", "1", 2)]), path, workdir)
     assert [tuple(r) for r in sinks.read_table(spark, path).collect()] == [("b", "1", 2)]
     monkeypatch.undo()
-    sinks.overwrite_table(frame(spark, [("c", "1", 3)]), path, workdir)
+    sinks.overwrite_table(frame(spark, [("c", "1", 3)]), path, workdir, retention=sinks.Retention(0))
     assert len(os.listdir(path)) == 1
     assert [tuple(r) for r in sinks.read_table(spark, path).collect()] == [("c", "1", 3)]
+
+
+def test_overwrites_keep_open_readers_and_stay_bounded(spark, workdir):
+    path = f"{workdir}/t"
+    sinks.overwrite_table(frame(spark, [("a", "1", 0)]), path, workdir)
+    opened = sinks.read_table(spark, path)
+    for i in range(1, 4):
+        sinks.overwrite_table(frame(spark, [("a", "1", i)]), path, workdir)
+        assert opened.first().v == 0  # opened before three overwrites
+        assert sinks.read_table(spark, path).first().v == i
+    for i in range(4, 8):
+        sinks.overwrite_table(frame(spark, [("a", "1", i)]), path, workdir)
+    assert len(os.listdir(path)) == 4  # the current version and three before it
+    assert sinks.expire(spark, path, workdir, sinks.Retention(0, seconds=3600)) == 0  # all written within the hour
+    assert sinks.expire(spark, path, workdir, sinks.Retention(1)) == 2
+    assert sinks.read_table(spark, path).first().v == 7
+
+
+def test_a_failed_first_replacement_leaves_nothing(spark, workdir):
+    path = f"{workdir}/t"
+    bad = frame(spark, [("a", "1", 0)]).select("k", "p", (F.lit(1) / F.col("v")).cast("long").alias("v"))
+    with pytest.raises(Exception):
+        sinks.replace_by_key(bad, path, workdir, "k", ["p"])
+    assert not os.path.exists(path) or os.listdir(path) == []
+    sinks.replace_by_key(frame(spark, [("a", "1", 1)]), path, workdir, "k", ["p"])
+    assert sinks.read_table(spark, path).count() == 1
+
+
+def test_what_a_killed_replacement_wrote_is_replaced_by_the_next(spark, workdir, monkeypatch):
+    path = f"{workdir}/t"
+    sinks.replace_by_key(frame(spark, [("a", "1", 1), ("b", "1", 2)]), path, workdir, "k", ["p"])
+
+    def killed(*args):
+        raise RuntimeError("killed")
+
+    monkeypatch.setattr(sinks, "delete", killed)  # after the rows are written, before stale folders go
+    with pytest.raises(RuntimeError, match="killed"):
+        sinks.replace_by_key(frame(spark, [("a", "2", 3)]), path, workdir, "k", ["p"])
+    monkeypatch.undo()
+    sinks.replace_by_key(frame(spark, [("a", "3", 4)]), path, workdir, "k", ["p"])
+    assert sorted(tuple(r) for r in sinks.read_table(spark, path).select("k", "p", "v").collect()) == [("a", "3", 4), ("b", "1", 2)]
+
+
+def test_null_and_escaped_partition_values_are_replaced(spark, workdir):
+    path = f"{workdir}/t"
+    rows = [("a/x y%=1", None, 1), ("a/x y%=1", "p:1", 2), ("b", None, 3), (None, "q", 4)]
+    sinks.replace_by_key(frame(spark, rows), path, workdir, "k", ["p"])
+    out = sinks.replace_by_key(frame(spark, [(None, "r", 5)]), path, workdir, "k", ["p"], replace_keys=["a/x y%=1"])
+    assert out["stale_removed"] == 3 and out["touched"].count() == 4
+    got = sinks.read_table(spark, path).select("k", "p", "v").collect()
+    assert sorted(map(str, map(tuple, got))) == sorted(map(str, [("b", None, 3), (None, "r", 5)]))
+
+
+def test_only_replaced_keys_are_listed_in_a_table_of_many_partitions(spark, workdir, monkeypatch):
+    path = f"{workdir}/t"
+    many = spark.range(5000).select((F.col("id") % 2500).cast("string").alias("k"), F.floor(F.col("id") / 2500).cast("string").alias("p"), F.col("id").alias("v"))
+    sinks.overwrite_table(many.coalesce(4), path, workdir, ["p", "k"])
+    keys = spark.createDataFrame([(str(k),) for k in range(10)], "k string")
+    deleted = []
+    real = sinks.delete
+    monkeypatch.setattr(sinks, "delete", lambda s, p, r: deleted.append(p) or real(s, p, r))
+    monkeypatch.setattr(sinks, "_take_inventory", lambda *a: pytest.fail("listed the whole table"))
+    out = sinks.replace_by_key(many.where("v < 5").withColumn("p", F.lit("9")), path, workdir, "k", ["p"], replace_keys=keys)
+    folders = [d for d in deleted if "/p=" in d]
+    assert len(folders) == out["stale_removed"] == 20 and out["partitions_written"] == 5
+    assert sinks.inventory(spark, path, workdir, ["p", "k"]).count() == 5000 - 20 + 5
+
+
+def test_an_append_makes_the_inventory_anew(spark, workdir):
+    path = f"{workdir}/t"
+    sinks.overwrite_table(frame(spark, [("a", "1", 1)]), path, workdir, ["p", "k"])
+    sinks.append_table(frame(spark, [("b", "2", 2)]), path, workdir, ["p", "k"])
+    held = sinks.inventory(spark, path, workdir, ["p", "k"]).collect()
+    assert sorted((r["k"], r["p"], r[sinks.ROWS]) for r in held) == [("a", "1", 1), ("b", "2", 1)]
+    sinks.replace_by_key(frame(spark, [("b", "3", 9)]), path, workdir, "k", ["p"])
+    assert sorted(r.v for r in sinks.read_table(spark, path).collect()) == [1, 9]
