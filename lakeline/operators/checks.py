@@ -138,6 +138,28 @@ def run_tests(tables: dict[str, DataFrame], tests: list[DataTest]) -> DataFrame:
     return out
 
 
+def blocked_models(results: DataFrame, edges: DataFrame) -> DataFrame:
+    """The models that failing tests stop: ``model, failing_model, steps, failing_tests, failures``.
+
+    ``results``: as :func:`run_tests` returns them; ``edges``: ``parent, child``, which
+    model reads which (without cycles). A failing test of a model stops every model that
+    reads it, directly (``steps`` 1) or through others; a model that fails a test is
+    itself built (``steps`` 0). No failures give no rows.
+    """
+    failed = results.where("failures > 0").groupBy("model").agg(
+        F.count(F.lit(1)).alias("failing_tests"), F.sum("failures").alias("failures"))
+    return results.sparkSession.sql("""
+        WITH RECURSIVE reach(failing_model, model, steps) AS (
+            SELECT model, model, 0 FROM {failed}
+            UNION ALL
+            SELECT r.failing_model, e.child, r.steps + 1 FROM reach r JOIN {edges} e ON e.parent = r.model
+        )
+        SELECT r.model, r.failing_model, min(r.steps) AS steps, any_value(f.failing_tests) AS failing_tests,
+               any_value(f.failures) AS failures
+        FROM reach r JOIN {failed} f ON f.model = r.failing_model
+        GROUP BY r.model, r.failing_model""", failed=failed, edges=edges)
+
+
 class DataTestFailure(RuntimeError):
     """Raised by :func:`gate` when a test has failures."""
 

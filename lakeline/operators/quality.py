@@ -8,6 +8,7 @@ row lands in exactly one of them.
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, Observation
@@ -69,6 +70,12 @@ def typed_trips(bronze: DataFrame) -> DataFrame:
     )
 
 
+FILTER_BYTES = 32 << 20  # of the Bloom filter that every executor gets
+_WORD_BYTES = 32  # of a word in a broadcast table
+_BITS = 4  # bits of a hash in its word
+_BITS_PER_HASH = 16  # of the filter
+
+
 def repeat_groups(df: DataFrame, keys: list[str], order: str) -> DataFrame:
     """Groups of ``keys`` that occur more than once, with their first ``order``.
 
@@ -99,6 +106,29 @@ def repeat_hashes(df: DataFrame, keys: list[str]) -> DataFrame:
     )
 
 
+def _words(hashes: DataFrame, n_hashes: int, filter_bytes: int) -> tuple[DataFrame, Callable[[Column], tuple[Column, Column]]]:
+    """A Bloom filter over the hashes ``_rh``, as a table of 64-bit words, and how to look a hash up.
+
+    A hash sets ``_BITS`` bits of one word, so a lookup is one join on the word's number.
+    The table is built by a map-side-combined ``bit_or`` and has at most as many words
+    as ``filter_bytes`` hold: with more hashes than that suits, more rows that do not
+    repeat look as if they did, and the filter never outgrows its bound.
+    """
+    most = max(1, filter_bytes // _WORD_BYTES)
+    words = max(1, min(most, n_hashes * _BITS_PER_HASH // 64 + 1))
+
+    def place(h: Column) -> tuple[Column, Column]:
+        mask = F.lit(0).cast("long")
+        for i in range(_BITS):  # six bits of the hash for each of its bits in the word
+            bit = F.shiftrightunsigned(h, 6 * i).bitwiseAND(F.lit(63)).cast("int")
+            mask = mask.bitwiseOR(F.call_function("shiftleft", F.lit(1).cast("long"), bit))
+        return F.pmod(F.shiftright(h, 6 * _BITS), F.lit(words)).alias("_word"), mask.alias("_mask")
+
+    word, mask = place(F.col("_rh"))
+    table = hashes.select(word, mask).groupBy("_word").agg(F.bit_or("_mask").alias("_set"))
+    return table, place
+
+
 def _broadcast_limit_bytes(df: DataFrame) -> int:
     """``spark.sql.autoBroadcastJoinThreshold`` in bytes (-1 disables: 0)."""
     raw = str(df.sparkSession.conf.get("spark.sql.autoBroadcastJoinThreshold", "10485760")).strip().lower()
@@ -122,7 +152,8 @@ def _row_width(schema) -> int:
 
 
 def flag_repeats(df: DataFrame, keys: list[str], order: str, out: str,
-                 broadcast_bytes: int | None = None, scratch: str | None = None) -> DataFrame:
+                 broadcast_bytes: int | None = None, scratch: str | None = None,
+                 filter_bytes: int = FILTER_BYTES) -> DataFrame:
     """``out`` = row is not the first of its ``keys`` group (by ``order``).
 
     Same result as ``row_number() over (partition by keys order by order) > 1``
@@ -132,8 +163,10 @@ def flag_repeats(df: DataFrame, keys: list[str], order: str, out: str,
     the keys, then exactly on the rows whose hash repeats) and stored in the
     shared checkpoint folder; their size is then known. When that set fits the broadcast limit
     it is broadcast and the rows are never shuffled, so the output keeps the
-    input's file-aligned partitioning; otherwise it is a shuffle join where AQE
-    splits a hot group over several tasks. Keys match NULL to NULL, as
+    input's file-aligned partitioning; otherwise a Bloom filter over the repeated
+    hashes, of at most ``filter_bytes``, is broadcast in its place: rows that it
+    rules out stay where they are, and only the others, the copies and a few percent
+    besides, are shuffled and joined on their keys. Keys match NULL to NULL, as
     ``partition by`` does.
     """
     spark = df.sparkSession
@@ -156,31 +189,46 @@ def flag_repeats(df: DataFrame, keys: list[str], order: str, out: str,
         # Phase 2 on the candidates only (copies, plus rare hash collisions):
         # exact groups, so collisions never flag a row.
         candidates = df.join(F.broadcast(hashes), key_hash == F.col("_rh"), "left_semi")
-        groups, n = stored(repeat_groups(candidates, keys, order), "repeat-groups")
     else:
-        groups, n = stored(repeat_groups(df, keys, order), "repeat-groups")
+        table, place = _words(hashes, n_hashes, filter_bytes)
+        word, mask = place(key_hash)
+        candidates = df.withColumns({"_word": word, "_mask": mask}).join(F.broadcast(table), "_word") \
+            .where(F.col("_set").bitwiseAND(F.col("_mask")) == F.col("_mask"))
+    groups, n = stored(repeat_groups(candidates, keys, order), "repeat-groups")
     width = _row_width(groups.schema)
     right = groups.select(*[F.col(k).alias(f"_g_{k}") for k in keys], "_first_order")
-    small = n * width <= limit
-    if small:
-        right = F.broadcast(right)
-    cond = None
+    if n * width <= limit:
+        cond = F.lit(True)
+        for k in keys:
+            cond = cond & F.col(k).eqNullSafe(F.col(f"_g_{k}"))
+        return _flagged(df.join(F.broadcast(right), cond, "left"), keys, order, out)
+
+    # Phase 3, too many groups to broadcast: only candidate rows are shuffled. A filter of
+    # bounded size over the repeated hashes tells, row by row and in place, which rows may
+    # repeat; the others are first of their keys and stay in the tasks that read them.
+    table, place = _words(hashes, n_hashes, filter_bytes)
+    word, mask = place(key_hash)
+    tested = df.withColumns({"_word": word, "_mask": mask}).join(F.broadcast(table.withColumnRenamed("_word", "_w")),
+                                                                 F.col("_word") == F.col("_w"), "left")
+    may_repeat = F.coalesce(F.col("_set").bitwiseAND(F.col("_mask")) == F.col("_mask"), F.lit(False))
+    single = tested.where(~may_repeat).select(*df.columns, F.lit(False).alias(out))
+    rows, _ = stored(tested.where(may_repeat).select(*df.columns), "repeat-candidates")
+    cond = F.lit(True)
     for k in keys:
-        c = F.col(k).eqNullSafe(F.col(f"_g_{k}"))
-        cond = c if cond is None else cond & c
-    flagged = (
-        df.join(right, cond, "left")
-        .withColumn(out, F.coalesce(F.col(order) > F.col("_first_order"), F.lit(False)))
+        cond = cond & F.col(k).eqNullSafe(F.col(f"_g_{k}"))
+    # a hot group of copies is split by AQE over several tasks
+    repeats = _flagged(rows.join(right, cond, "left"), keys, order, out)
+    # The join scattered each unit (the first key, e.g. a file) over all tasks; ranges of
+    # (first key, order) put contiguous slices of one or two units per task again, so
+    # partitioned writes stay few large files, and a hot unit still spans many tasks.
+    n_parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    return single.unionByName(repeats.repartitionByRange(n_parts, keys[0], order))
+
+
+def _flagged(joined: DataFrame, keys: list[str], order: str, out: str) -> DataFrame:
+    """``out`` of rows joined with their group, if it has copies."""
+    return joined.withColumn(out, F.coalesce(F.col(order) > F.col("_first_order"), F.lit(False))) \
         .drop(*[f"_g_{k}" for k in keys], "_first_order")
-    )
-    if not small:
-        # The shuffle join scattered each unit (the first key, e.g. a file)
-        # over all tasks; ranges of (first key, order) put contiguous slices of
-        # one or two units per task again, so partitioned writes stay few large
-        # files, and a hot unit still spans many tasks.
-        n_parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
-        flagged = flagged.repartitionByRange(n_parts, keys[0], order)
-    return flagged
 
 
 @dataclass(frozen=True)

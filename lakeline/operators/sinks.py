@@ -180,6 +180,25 @@ def schema_changes(existing: T.StructType, incoming: T.StructType) -> list[str]:
     return [f"{n}: table has {have}, rows have {got}" for n, have, got in pairs if have != got]
 
 
+def schema_rows(spark: SparkSession, schemas: dict[str, T.StructType]) -> DataFrame:
+    """``(owner, column_name, type)`` of several schemas; names in lower case."""
+    rows = [(owner, f.name.casefold(), f.dataType.simpleString()) for owner, s in schemas.items() for f in s.fields]
+    return spark.createDataFrame(rows, "owner string, column_name string, type string")
+
+
+def schema_differences(table: T.StructType, incoming: DataFrame) -> DataFrame:
+    """What differs between a table's schema and each owner's in ``incoming``
+    (:func:`schema_rows`): ``owner, column_name, table_type, rows_type, change``,
+    the change being added, removed or changed; no row for equal columns."""
+    declared = F.array(*[F.struct(F.lit(f.name.casefold()).alias("column_name"), F.lit(f.dataType.simpleString()).alias("table_type"))
+                         for f in table.fields])
+    have = incoming.select("owner").distinct().select("owner", F.inline(declared))
+    got = incoming.withColumnRenamed("type", "rows_type")
+    change = F.when(F.col("table_type").isNull(), "added").when(F.col("rows_type").isNull(), "removed").otherwise("changed")
+    return have.join(got, ["owner", "column_name"], "full").where(~F.col("table_type").eqNullSafe(F.col("rows_type"))) \
+        .select("owner", "column_name", "table_type", "rows_type", change.alias("change"))
+
+
 def _guard(path: str, existing: T.StructType, incoming: T.StructType) -> None:
     found = schema_changes(existing, incoming)
     if found:

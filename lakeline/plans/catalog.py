@@ -18,7 +18,8 @@ from lakeline.operators import checks, dims, incremental, sinks
 from lakeline.operators.quality import flag_repeats
 from lakeline.plans.models import TripModels, stored_models, zones_from_customers
 from lakeline.plans.oracle import with_ctes
-from lakeline.plans.pipeline import model_tests
+from lakeline.functions.compat import month_start
+from lakeline.plans.pipeline import FACT, MODEL_EDGES, SUMMARY, Pipeline, model_tests, picked_up_between
 from lakeline.plans.registry import register
 from lakeline.session import checkpoint_root, scratch_path
 from lakeline.sources import landing, lookups
@@ -449,3 +450,144 @@ def q_lookup_csv(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = scratch_path(spark, "zones-csv")
     zones.write.option("header", True).option("quoteAll", True).csv(path)
     return lookups.read_zones(spark, path)
+
+
+# --- schema guard, globs, counters, months, the gate, table properties -----------------
+
+@register("schema_changes", with_ctes("""
+SELECT DISTINCT regexp_extract(_source_file, '[^/]+$') AS landing_name, d.column_name, d.table_type, d.rows_type, d.change
+FROM bronze JOIN (VALUES
+    (0, 'vendorid', 'bigint', 'int', 'changed'), (0, 'pulocationid', 'bigint', 'int', 'changed'),
+    (1, 'passenger_count', 'double', 'bigint', 'changed'), (1, 'airport_fee', 'double', NULL, 'removed'),
+    (2, 'unexpected_column', NULL, 'string', 'added')
+) d(kind, column_name, table_type, rows_type, change) ON d.kind = coalesce(month(_source_period) % 2, 2)""", "bronze"))
+def q_schema_changes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """How every drifted landing file differs from the bronze contract."""
+    files = incremental.file_names(landing.list_landing(spark, _landing_glob(spark, sf_dir)))
+    changes = sinks.schema_differences(landing.typed_empty(spark).schema, landing.file_schemas(spark, files))
+    name = F.regexp_extract("owner", "([^/]+)$", 1)
+    return changes.select(name.alias("landing_name"), "column_name", "table_type", "rows_type", "change").distinct()
+
+
+@register("landing_glob", with_ctes("""
+SELECT DISTINCT regexp_extract(_source_file, '[^/]+$') AS landing_name, _source_period,
+       regexp_extract(_source_file, '[^/]+$') SIMILAR TO 'trips_199[5-8]_[01][12][.]parquet|misc[.]parquet' AS in_run
+FROM bronze""", "bronze"))
+def q_landing_glob(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Which landing files a run narrowed by a glob with classes takes; a glob that
+    matches nothing adds no rows and keeps the listing's types."""
+    glob = _landing_glob(spark, sf_dir)
+    listing = landing.list_landing(spark, glob)
+    nothing = landing.list_landing(spark, glob.replace("*.parquet", "none_[0-9].parquet"))
+    taken = landing.matching(listing, "{trips_199[5-8]_[01][12],misc}.parquet").unionByName(nothing)
+    name = F.regexp_extract(FILE, "([^/]+)$", 1)
+    both = listing.join(taken.select(FILE, F.lit(True).alias("taken")), FILE, "left")
+    return both.select(name.alias("landing_name"), landing.source_period(FILE).alias("_source_period"),
+                       F.coalesce("taken", F.lit(False)).alias("in_run")).distinct()
+
+
+@register("run_counters", with_ctes("""
+SELECT 'overwrite' AS step, count(*) AS rows_reported, max(_source_row_number) AS max_row, count(*) AS rows_stored
+FROM bronze WHERE month(_source_period) % 2 = 1
+UNION ALL
+SELECT 'append', count(*) FILTER (WHERE coalesce(month(_source_period) % 2, 0) = 0), NULL, count(*) FROM bronze
+UNION ALL
+SELECT 'replace', count(*) FILTER (WHERE month(_source_period) IN (4, 8) AND _source_row_number % 10 <> 0),
+       max(_source_row_number) FILTER (WHERE month(_source_period) IN (4, 8) AND _source_row_number % 10 <> 0),
+       count(*) FILTER (WHERE NOT coalesce(month(_source_period) % 4 = 0, false)
+                        OR (month(_source_period) IN (4, 8) AND _source_row_number % 10 <> 0))
+FROM bronze""", "bronze"))
+def q_run_counters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What three writes report (counted while writing) beside what the table then holds."""
+    bronze = TripModels(spark, sf_dir).bronze.drop("_source_modified_at")
+    root, path, parts = checkpoint_root(spark), scratch_path(spark, "run_counters"), ["_source_period", FILE]
+    odd = F.coalesce(_month() % 2 == 1, F.lit(False))
+    steps, top = [], F.max("_source_row_number")
+
+    def held() -> int:
+        return sinks.inventory(spark, path, root, parts).agg(F.sum(sinks.ROWS)).first()[0]
+
+    seen = {"max_row": top}
+    steps.append(("overwrite", sinks.overwrite_table(bronze.where(odd), path, root, parts, metrics=seen), seen["max_row"], held()))
+    steps.append(("append", sinks.append_table(bronze.where(~odd), path, root, parts), None, held()))
+    seen = {"max_row": top}
+    again = bronze.where(_month().isin(4, 8) & (F.col("_source_row_number") % 10 != 0))
+    out = sinks.replace_by_key(again, path, root, FILE, parts[:1], replace_keys=bronze.where(_month() % 4 == 0).select(FILE).distinct(),
+                               metrics=seen)
+    steps.append(("replace", out["rows"], seen["max_row"], held()))
+    return spark.createDataFrame(steps, "step string, rows_reported long, max_row long, rows_stored long")
+
+
+_PIVOT = "1998-03-17 12:00:00"
+
+
+@register("month_partitioning", with_ctes(f"""
+SELECT CASE WHEN pickup_at < TIMESTAMP '{_PIVOT}' THEN 'before' ELSE 'since' END AS side,
+       CAST(date_trunc('month', pickup_at) AS DATE) AS pickup_month, count(*) AS trips,
+       CAST(sum(fare_amount) AS DECIMAL(18, 2)) AS fares
+FROM fact GROUP BY ALL""", "fact"))
+def q_month_partitioning(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Trips before and since a moment in the middle of a month, each from the months
+    that the bound on pickup_at leaves of a table laid out by month."""
+    fact = stored_models(spark, sf_dir).fact.withColumn("pickup_month", month_start("pickup_at"))
+    path = scratch_path(spark, "month_partitioning")
+    sinks.overwrite_table(fact, path, checkpoint_root(spark), ["pickup_month"])
+    table = sinks.read_table(spark, path)
+    before = picked_up_between(table, "pickup_month", until=_PIVOT).withColumn("side", F.lit("before"))
+    since = picked_up_between(table, "pickup_month", since=_PIVOT).withColumn("side", F.lit("since"))
+    return before.unionByName(since).groupBy("side", "pickup_month").agg(
+        F.count(F.lit(1)).alias("trips"), F.sum("fare_amount").cast("decimal(18,2)").alias("fares"))
+
+
+_BAD_SILVER = """
+    SELECT trip_id, pickup_at, dropoff_at, CASE WHEN trip_id % 100 <> 7 THEN pickup_location_id END AS pickup_location_id,
+           dropoff_location_id, fare_amount, total_amount
+    FROM silver, (SELECT unnest([0, 1]) AS copy) WHERE copy = 0 OR trip_id % 50 = 3"""
+_EDGES_SQL = ", ".join(f"('{a}', '{b}')" for a, b in MODEL_EDGES)
+
+
+@register("gate_blocked", with_ctes("""
+SELECT model, failing_model, min(steps) AS steps, any_value(failing_tests) AS failing_tests, any_value(failures)::BIGINT AS failures
+FROM reach JOIN failed USING (failing_model) GROUP BY ALL""", "silver", extra=[
+    ("bad_silver", _BAD_SILVER),
+    ("bad_tests", "\nUNION ALL\n".join([
+        *[f"SELECT count(*) FILTER (WHERE {c} IS NULL) AS failures FROM bad_silver" for c in
+          ("trip_id", "pickup_at", "dropoff_at", "pickup_location_id", "dropoff_location_id", "fare_amount", "total_amount")],
+        "SELECT count(*) FROM (SELECT trip_id FROM bad_silver GROUP BY 1 HAVING count(*) > 1)"])),
+    ("failed", "SELECT 'silver_yellow_trips' AS failing_model, count(*) AS failing_tests, sum(failures) AS failures "
+               "FROM bad_tests WHERE failures > 0 HAVING count(*) > 0"),
+    ("edges(parent, child)", f"VALUES {_EDGES_SQL}"),
+    ("reach(failing_model, model, steps)", "SELECT failing_model, failing_model, 0 FROM failed UNION ALL "
+     "SELECT r.failing_model, e.child, r.steps + 1 FROM reach r JOIN edges e ON e.parent = r.model"),
+]).replace("WITH ", "WITH RECURSIVE ", 1))
+def q_gate_blocked(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Which models the data tests stop when silver is corrupted (locations lost, trips doubled)."""
+    m = stored_models(spark, sf_dir)
+    copies = F.when(F.col("trip_id") % 50 == 3, F.array(F.lit(0), F.lit(1))).otherwise(F.array(F.lit(0)))
+    bad = m.silver.withColumn("copy", F.explode(copies)).drop("copy").withColumn(
+        "pickup_location_id", F.when(F.col("trip_id") % 100 != 7, F.col("pickup_location_id")))
+    results = checks.run_tests(_test_tables(m) | {"silver_yellow_trips": bad},
+                               [t for layer in ("bronze", "silver") for t in model_tests()[layer]])
+    return checks.blocked_models(results, spark.createDataFrame(MODEL_EDGES, "parent string, child string"))
+
+
+@register("table_properties", with_ctes("""
+SELECT 'fact_trips' AS table_name, 'gold' AS layer, 'pickup_month,_source_file' AS partitioned_by, count(*) AS row_count FROM fact
+UNION ALL SELECT 'fact_daily_zone_summary', 'gold', '', count(*) FROM daily_zone_summary""", "fact", "daily_zone_summary"))
+def q_table_properties(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Properties of two published tables, as the catalog shows them."""
+    m = stored_models(spark, sf_dir)
+    pipe = Pipeline(spark, "unused", scratch_path(spark, "table_properties"), zones=m.zones)
+    sinks.overwrite_table(m.fact.withColumn("pickup_month", month_start("pickup_at")), pipe.path(FACT), pipe.root, ["pickup_month", FILE])
+    sinks.overwrite_table(m.daily_zone_summary, pipe.path(SUMMARY), pipe.root)
+    prefix = "shown_" + pipe.root[-12:]
+    out = None
+    for name in pipe.publish(prefix):
+        shown = spark.sql(f"SHOW TBLPROPERTIES {name}").groupBy().pivot(
+            "key", ["lakeline.layer", "lakeline.partitioned_by", "lakeline.rows"]).agg(F.first("value"))
+        row = shown.select(F.lit(name.split(".")[1]).alias("table_name"), F.col("`lakeline.layer`").alias("layer"),
+                           F.col("`lakeline.partitioned_by`").alias("partitioned_by"),
+                           F.col("`lakeline.rows`").cast("long").alias("row_count"))
+        out = row if out is None else out.unionByName(row)
+    spark.sql(f"DROP DATABASE {prefix}_gold CASCADE")  # entries only: the tables are external
+    return out

@@ -502,8 +502,9 @@ class Pipeline:
         sees half of the partitions; layout columns that are no part of the contract
         stay behind it. Every entry carries a comment and properties (see
         :meth:`table_properties`). For tables laid out by pickup month the function
-        ``<name>_between(since, until)`` returns the rows picked up from ``since`` on
-        and before ``until`` and reads only their months.
+        ``<name>_between(since, until)`` of the same database returns the rows picked up
+        from ``since`` on and before ``until`` and reads only their months (Spark takes
+        such a function without a database, so ``USE`` it first).
 
         Only catalog metadata is written; dropping an entry leaves the files alone.
         The prefix is remembered below the root: whenever a run replaces a table, its

@@ -18,9 +18,11 @@ the plan has one scan per distinct schema, not one per file.
 
 from __future__ import annotations
 
+import re
 from collections import defaultdict
 from concurrent.futures import ThreadPoolExecutor
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -49,24 +51,60 @@ LISTING_SCHEMA = T.StructType([
 def list_landing(spark: SparkSession, glob: str) -> DataFrame:
     """``(_source_file, _source_modified_at)`` of every file matching ``glob``.
 
-    A glob is expanded by the file system's ``globStatus`` on the driver, as
-    Spark's own file index does for a single glob path; only names and
-    modification times are read (one row per file, no file bodies). Paths are
-    fully qualified and spelled as the file system spells them, like the
-    ``_source_file`` of :func:`read_landing`. No match gives no rows.
+    A scan of Spark's ``binaryFile`` source with the bodies pruned: the file index
+    lists the matches (with a Spark job where they are many), tasks turn them into
+    rows, and nothing is gathered on the driver. Paths are fully qualified and spelled
+    as the file system spells them, like the ``_source_file`` of :func:`read_landing`.
+    Files inside folders that match are not landing files, nor are hidden ones (names
+    that begin with ``_`` or ``.``) and files of no bytes, which no Spark reader would
+    read. No match gives no rows.
     """
-    import datetime as dt
-
-    jvm = spark.sparkContext._jvm
-    path = jvm.org.apache.hadoop.fs.Path(glob)
+    try:
+        found = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(glob)
+    except AnalysisException as e:
+        if e.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return spark.createDataFrame([], LISTING_SCHEMA)
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(glob)
     fs = path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    found = fs.globStatus(path) or []
-    rows = [
-        (st.getPath().toString(),
-         dt.datetime.fromtimestamp(st.getModificationTime() / 1000, tz=dt.timezone.utc))
-        for st in found if st.isFile()
-    ]
-    return spark.createDataFrame(rows, LISTING_SCHEMA)
+    depth = _segments(fs.makeQualified(path).toString())
+    return found.where(F.size(F.split("path", "/")) == depth).select(
+        F.col("path").alias("_source_file"), F.col("modificationTime").alias("_source_modified_at"))
+
+
+def _segments(glob: str) -> int:
+    """Parts of a path that ``glob`` matches; slashes in ``{a,b}`` are not supported."""
+    return len(glob.split("/"))
+
+
+def matching(listing: DataFrame, glob: str) -> DataFrame:
+    """The listed files whose name (the path's last part) matches ``glob``.
+
+    ``*`` and ``?`` stand for any characters, ``[12]``, ``[a-c]`` and ``[^x]`` for one of a
+    class, ``{a,b}`` for one of several texts, a backslash takes the next character as
+    it is. The filter narrows a listing that is at hand; the columns stay as they are.
+    """
+    out, i, depth = "", 0, 0
+    while i < len(glob):
+        c = glob[i]
+        close = glob.find("]", i + 2) if c == "[" else -1
+        if c == "\\" and i + 1 < len(glob):
+            out += re.escape(glob[i + 1])
+            i += 1
+        elif close > 0:
+            body = glob[i + 1:close]
+            negated = body[0] in "!^"
+            out += "[" + ("^" if negated else "") + re.sub(r"([\\\[\]&~|])", r"\\\1", body[negated:]) + "]"
+            i = close
+        elif c in "{}" and (c == "{" or depth):
+            depth += 1 if c == "{" else -1
+            out += "(?:" if c == "{" else ")"
+        elif c == "," and depth:
+            out += "|"
+        else:
+            out += {"*": "[^/]*", "?": "[^/]"}.get(c, re.escape(c))
+        i += 1
+    return listing.where(F.regexp_extract("_source_file", "([^/]+)$", 1).rlike(f"^(?:{out})$"))
 
 
 def decoded_path(uri: Column) -> Column:
@@ -113,6 +151,26 @@ def footer_signatures(spark: SparkSession, files: list[str], threads: int = 16)
         return dict(pool.map(one, files))
 
 
+def schema_groups(spark: SparkSession, files: list[str]) -> list[list[str]]:
+    """``files`` by footer schema."""
+    groups: dict[str, list[str]] = defaultdict(list)
+    for path, signature in footer_signatures(spark, files).items():
+        groups[signature].append(path)
+    return list(groups.values())
+
+
+def file_schemas(spark: SparkSession, files: list[str]) -> DataFrame:
+    """``(owner, column_name, type)`` of every file, the file being the owner.
+
+    One file of each footer schema is opened by a reader; the others share its types."""
+    rows = []
+    for group in schema_groups(spark, files):
+        schema = spark.read.parquet(_reader_path(group[0])).schema
+        rows.append((group, [(f.name.casefold(), f.dataType.simpleString()) for f in schema.fields]))
+    table = spark.createDataFrame(rows, "files array<string>, columns array<struct<column_name: string, type: string>>")
+    return table.select(F.explode("files").alias("owner"), "columns").select("owner", F.inline("columns"))
+
+
 def _as_type(col: Column, have: T.DataType, want: T.DataType) -> Column:
     """Cast to a contract type: drifted doubles round half to even on their way to
     integers, zoned timestamps become UTC wall-clock time in any session zone."""
@@ -149,12 +207,8 @@ def read_landing(spark: SparkSession, files: list[str],
     """
     if not files:
         raise ValueError("read_landing needs at least one file")
-    groups: dict[str, list[str]] = defaultdict(list)
-    for path, signature in footer_signatures(spark, files).items():
-        groups[signature].append(path)
-
     parts = []
-    for paths in groups.values():
+    for paths in schema_groups(spark, files):
         raw = spark.read.parquet(*[_reader_path(p) for p in sorted(paths)])
         raw = raw.select(
             "*",

@@ -27,3 +27,13 @@ def test_not_null_is_one_pass_per_table(spark):
     df = spark.range(10).selectExpr("id", "id AS a", "id AS b")
     plan = checks.not_null_results("t", df, ["id", "a", "b"])._jdf.queryExecution().executedPlan().toString()
     assert plan.count("Range (") == 1 and plan.count("HashAggregate") <= 2
+
+
+def test_blocked_models(spark):
+    results = spark.createDataFrame([("not_null", "a", "x", 3), ("unique", "a", "x", 1), ("not_null", "b", "y", 0), ("unique", "e", "z", 5)],
+                                    "test string, model string, column_name string, failures long")
+    edges = spark.createDataFrame([("a", "b"), ("b", "c"), ("a", "c"), ("d", "c"), ("c", "f")], "parent string, child string")
+    got = checks.blocked_models(results, edges)
+    assert sorted(map(tuple, got.collect())) == [
+        ("a", "a", 0, 2, 4), ("b", "a", 1, 2, 4), ("c", "a", 1, 2, 4), ("e", "e", 0, 1, 5), ("f", "a", 2, 2, 4)]
+    assert checks.blocked_models(results.where("failures = 0"), edges).collect() == []

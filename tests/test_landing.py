@@ -122,3 +122,33 @@ def test_drifted_doubles_round_and_zoned_times_become_utc(spark, workdir):
         spark.conf.set("spark.sql.session.timeZone", zone)
     assert [r[0] for r in got] == [0, 2, 2, -4]
     assert [r[1] for r in got] == [f"{r['tpep_pickup_datetime']}" for r in rows]
+
+
+def test_listing_is_a_scan_without_bodies(spark, workdir):
+    for m in ("01", "02"):
+        write(f"{workdir}/s/trips_2023_{m}.parquet", month_rows(f"2023-{m}", n=2, bad=False))
+    write(f"{workdir}/s/folder.parquet/part-0.parquet", month_rows("2023-03", n=2, bad=False))  # a folder that matches
+    write(f"{workdir}/s/_hidden_2023_04.parquet", month_rows("2023-04", n=2, bad=False))
+    listed = landing.list_landing(spark, f"{workdir}/s/*.parquet")
+    assert sorted(os.path.basename(r[0]) for r in listed.collect()) == ["trips_2023_01.parquet", "trips_2023_02.parquet"]
+    plan = listed._jdf.queryExecution().executedPlan().toString()
+    assert "FileScan binaryFile" in plan and "content" not in plan.split("ReadSchema")[1]
+    empty = landing.list_landing(spark, f"{workdir}/s/none_[0-9].parquet")
+    assert empty.schema == landing.LISTING_SCHEMA and empty.isEmpty()
+
+
+@pytest.mark.parametrize("glob, names", [
+    ("*.parquet", ["a_1.parquet", "a_2.parquet", "b_1.parquet", "a[1].parquet", "x+y.parquet"]),
+    ("a_[12].parquet", ["a_1.parquet", "a_2.parquet"]), ("a_[^1].parquet", ["a_2.parquet"]),
+    ("{a_2,b_?}.parquet", ["a_2.parquet", "b_1.parquet"]), ("a\\[1\\].parquet", ["a[1].parquet"]),
+    ("x+y.parquet", ["x+y.parquet"]), ("[b-z]*.parquet", ["b_1.parquet", "x+y.parquet"]), ("a_1", []),
+])
+def test_globs_as_a_filter(spark, workdir, glob, names):
+    every = ["a_1.parquet", "a_2.parquet", "b_1.parquet", "a[1].parquet", "x+y.parquet"]
+    listing = spark.createDataFrame([(f"file:/l/{n}", None) for n in every], landing.LISTING_SCHEMA)
+    assert sorted(os.path.basename(r[0]) for r in landing.matching(listing, glob).collect()) == sorted(names)
+    for n in every:
+        with open(f"{workdir}/{n}", "w") as f:
+            f.write("x")
+    listed = landing.list_landing(spark, f"{workdir}/{glob}")  # the file system's own reading of the glob
+    assert sorted(os.path.basename(r[0]) for r in listed.collect()) == sorted(names)

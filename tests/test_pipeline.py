@@ -398,3 +398,36 @@ def test_failing_lookup_test_stops_gold_only(spark, workdir):
         p.run()
     assert p.table(FACT).count() == 20  # the layers that do not use lookups were built
     assert not os.path.exists(os.path.join(p.root, "gold", "dim_location"))
+
+
+def test_published_tables_follow_every_run(spark, workdir):
+    """A table published once and a DataFrame opened once answer across three more runs."""
+    p, landing = make(spark, workdir, run_tests=False)
+    jan = write(f"{landing}/trips_2023_01.parquet", month_rows("2023-01", bad=False), mtime=time.time() - 100)
+    p.run()
+    p.publish("moved")
+    opened = p.table("gold/fact_daily_zone_summary")
+    total = F.sum("total_amount")
+    first = opened.agg(F.sum("trip_count")).first()[0]
+    write(jan, month_rows("2023-01", bad=False, fare_scale=2.0), mtime=time.time())
+    p.run()
+    again = Pipeline(spark, p.glob, p.root, zones=p.zones, run_tests=False)  # knows the prefix from the lake
+    write(f"{landing}/trips_2023_02.parquet", month_rows("2023-02", bad=False))
+    again.run()
+    again.run(full_refresh=True)
+    assert opened.agg(F.sum("trip_count")).first()[0] == first == 20
+    for name, published in ((BRONZE, "moved_bronze.bronze_yellow_tripdata"), (SILVER, "moved_silver.silver_yellow_trips"),
+                            (FACT, "moved_gold.fact_trips"), ("gold/fact_daily_zone_summary", "moved_gold.fact_daily_zone_summary")):
+        assert spark.table(published).count() == p.table(name).count() > 20
+    assert spark.table("moved_gold.fact_trips").agg(total).first()[0] == p.table(FACT).agg(total).first()[0]
+    # the bounds of the published function reach the partitions
+    spark.sql("USE moved_gold")
+    feb = spark.sql("SELECT * FROM fact_trips_between(TIMESTAMP_NTZ'2023-02-01', TIMESTAMP_NTZ'2023-03-01')")
+    spark.sql("USE default")
+    assert feb.count() == 20 and "pickup_month" not in feb.columns
+    assert "pickup_month" in feb._jdf.queryExecution().executedPlan().toString().split("PartitionFilters: [")[1].split("]")[0]
+    assert p.table(FACT, since="2023-02-01", until="2023-03-01").count() == 20
+    with pytest.raises(ValueError):
+        p.table(BRONZE, since="2023-02-01")
+    shown = {r[0]: r[1] for r in spark.sql("SHOW TBLPROPERTIES moved_gold.fact_daily_zone_summary").collect()}
+    assert shown["lakeline.layer"] == "gold" and int(shown["lakeline.rows"]) == spark.table("moved_gold.fact_daily_zone_summary").count()

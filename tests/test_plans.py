@@ -69,3 +69,49 @@ def test_pending_files_prune_partitions(spark, workdir):
     assert re.search(r"PartitionFilters: \[[^\]]*_source_period", p) and "LeftSemi" in p
     p2 = plan(table.where(F.col("fare_amount") > 10).select("fare_amount"))
     assert "PushedFilters: [IsNotNull(fare_amount), GreaterThan(fare_amount,10.0)]" in p2
+
+
+def _below(p: str, node: str) -> str:
+    """All lines of plan text that stand below a line with ``node``."""
+    out, inside = [], None
+    for line in p.splitlines():
+        depth = len(line) - len(line.lstrip(" :+-"))
+        if inside is not None and depth > inside:
+            out.append(line)
+            continue
+        inside = depth if node in line else None
+    return "\n".join(out)
+
+
+def test_keep_first_beyond_the_broadcast_limit_shuffles_candidates_only(spark):
+    from lakeline.config import DEDUP_KEYS
+
+    m = stored_models(spark, SF001)
+    old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        flagged = quality.flag_repeats(quality.typed_trips(m.bronze), DEDUP_KEYS, "_source_row_number", "_repeat")
+        p = plan(flagged)
+        assert "Union" in p and "repeat-candidates" in p
+        for exchange in ("Exchange hashpartitioning", "Exchange rangepartitioning"):
+            assert "trips-bronze" not in _below(p, exchange)  # the rows of the input are never shuffled
+        n = spark.read.parquet(re.search(r"InMemoryFileIndex\(1 paths\)\[(\S*repeat-candidates[^\]]*)\]", p).group(1)).count()
+        total, repeats = flagged.count(), flagged.where("_repeat").count()
+        assert total == m.bronze.count() and 2 * repeats <= n <= 2 * repeats + 0.1 * total
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
+
+
+def test_pickup_bounds_prune_months(spark, workdir):
+    from lakeline.plans.pipeline import picked_up_between
+
+    fact = stored_models(spark, SF001).fact.withColumn("pickup_month", F.trunc("pickup_at", "MM"))
+    fact.write.partitionBy("pickup_month").parquet(f"{workdir}/fact")
+    table = spark.read.parquet(f"{workdir}/fact")
+    since, until = "1996-02-10 00:00:00", "1996-04-02 08:00:00"
+    got = picked_up_between(table, "pickup_month", since, until)
+    p = plan(got)
+    assert re.search(r"PartitionFilters: \[[^\]]*pickup_month#\d+ >= 1996-02-01[^\]]*pickup_month#\d+ <= 1996-04-01", p)
+    want = fact.where(f"pickup_at >= timestamp_ntz'{since}' and pickup_at < timestamp_ntz'{until}'")
+    assert got.count() == want.count() > 0
+    assert len(got.inputFiles()) <= len(table.inputFiles())
