@@ -158,7 +158,31 @@ class BatchEncoder:
         return flat, cuts
 
 
+class LibraryEncoder:
+    """Any other vocabulary, run by ``tokenizers`` as its file says."""
+
+    def __init__(self, path: str):
+        from tokenizers import Tokenizer
+
+        self.model = Tokenizer.from_file(path)
+        self.model.encode_special_tokens = True
+
+    def encode(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        ids = [e.ids for e in self.model.encode_batch(texts, add_special_tokens=False)]
+        n = np.fromiter(map(len, ids), np.int64, len(ids))
+        return np.concatenate([np.zeros(0, np.uint32), *[np.asarray(x, np.uint32) for x in ids]]), n
+
+
+def splits_by_pattern(path: str) -> bool:
+    """Whether a file's texts are split by ``PATTERN`` alone: byte-level, nothing rewritten before."""
+    with open(path, encoding="utf-8") as f:
+        model = json.load(f)
+    split = model.get("pre_tokenizer") or {}
+    return (model.get("normalizer") is None and model["model"].get("type", "BPE") == "BPE" and split.get("type") == "ByteLevel"
+            and not split.get("add_prefix_space", True) and split.get("use_regex", True))
+
+
 @lru_cache(maxsize=2)
-def encoder(path: str) -> BatchEncoder:
+def encoder(path: str) -> BatchEncoder | LibraryEncoder:
     """One encoder per worker process and vocabulary file."""
-    return BatchEncoder(path)
+    return BatchEncoder(path) if splits_by_pattern(path) else LibraryEncoder(path)

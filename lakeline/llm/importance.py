@@ -206,7 +206,9 @@ def resample(docs: DataFrame, labels: DataFrame, sample: int = TARGET_SAMPLE, ke
     quality 1 (chosen by hash), the corpus model on all documents. k is the number
     of documents that weigh at least what a share ``keep`` of all others labelled so does;
     the k largest keys (log weight plus Gumbel noise) are kept, ties at the last one
-    included. Null and empty texts weigh 0. Without target documents everything
+    included. Of a text of more than ``FULL_WEIGHT`` n-grams the log ratio is scaled to
+    that many, so that a long text's weight tells how it is written, not how long it is;
+    shorter texts have the plain sum. Null and empty texts weigh 0. Without target documents everything
     is kept. Rows that repeat get equal results; a null doc_id stays null.
     """
     chosen = select(docs, labels, sample, keep)
@@ -219,6 +221,7 @@ def keep_target_like(docs: DataFrame, labels: DataFrame, sample: int = TARGET_SA
     Weights are computed again where the documents are read, so that no text is
     shuffled to meet a decision."""
     chosen = select(docs, labels, sample, keep)
-    low = docs.select("*", F.struct(F.col("doc_id").cast("long").alias("doc_id"), _lower().alias("text")).alias("_own"))
-    weighed = low.withColumn("_weight", chosen.model.column(F.col("_own.text")))
-    return weighed.filter(F.col("_weight") + gumbel("_own.doc_id", "_own.text") >= F.lit(chosen.cut)).select(*[F.col(f"`{c}`") for c in docs.columns])
+    rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"),
+                       F.col("doc_id").cast("long").alias("doc_id"), _lower().alias("text"))
+    weighed = rows.withColumn("weight", chosen.model.column(F.col("text")))
+    return weighed.filter(F.col("weight") + gumbel() >= F.lit(chosen.cut)).select("row.*")

@@ -103,12 +103,12 @@ def _cut(tokenizer_path: str, capacity: int):
         task = TaskContext.get().partitionId()
         ranks = np.zeros(capacity + 1, np.int64)
         for batch in batches:
-            ids, text = batch.column(0).to_numpy(zero_copy_only=False), batch.column(1).to_pylist()
+            ids, text = batch.column(0), batch.column(1).to_pylist()  # ids stay Arrow: null or any long
             for a, b in slices(map(len, text), 3_000_000):
                 flat, n = model.encode(text[a:b])
                 out = []
                 at = 0
-                for doc, count in zip(ids[a:b], n):
+                for doc, count in zip(range(a, b), n):
                     tokens = np.append(flat[at:at + count], np.uint32(END_ID)).astype("<u4")
                     at += count
                     for start in range(0, len(tokens), capacity):
@@ -122,7 +122,7 @@ def _cut(tokenizer_path: str, capacity: int):
                 ranks[sizes] += times
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(np.full(len(out), task, np.int32)),
-                     pa.array([None if r[0] != r[0] else int(r[0]) for r in out], pa.int64()),
+                     ids.take(pa.array([r[0] for r in out], pa.int64())),
                      *map(pa.array, (cols[0], cols[1], cols[2], cols[3], rank))],
                     names=["task", "doc_id", "start", "length", "ids_crc32", "doc_tokens", "rank"])
 

@@ -45,7 +45,10 @@ def _write(path: str, end: int, block: int, kind: str):
             names, text = batch.column(0).to_pylist(), batch.column(1).to_pylist()
             for a, b in slices(map(len, text), 3_000_000):
                 flat, n = model.encode(text[a:b])
-                closed = np.insert(flat, np.cumsum(n), end).astype(kind)
+                closed = np.insert(flat, np.cumsum(n), end)
+                if len(closed) and closed.max() > np.iinfo(kind).max:
+                    raise ValueError(f"identifier {closed.max()} does not fit {kind}")
+                closed = closed.astype(kind)
                 held = np.concatenate([held, closed])
                 ids += names[a:b]
                 full = len(held) // block * block
@@ -61,7 +64,8 @@ def _write(path: str, end: int, block: int, kind: str):
 def flat_blocks(docs: DataFrame, tokenizer_path: str, end: int = END_OF_DOCUMENT, block: int = BLOCK_TOKENS) -> DataFrame:
     """file, block, payload, doc_ids: the documents as flat files of 16-bit
     identifiers, one file per task, in blocks; doc_ids names the documents that end
-    in a block. A null text is an empty document."""
+    in a block. A null text is an empty document. A vocabulary whose identifiers do not
+    fit 16 bits raises."""
     return store(texts(docs).mapInArrow(_write(tokenizer_path, end, block, "<u2"), _BLOCKS), "token-files")
 
 

@@ -228,3 +228,33 @@ def test_transfer_matrices_are_associative():
 
 def test_encoding_nothing(spark):
     assert sps.encode(spark.createDataFrame([], SCHEMA), PIECES).count() == 0
+
+
+def test_ids_that_doubles_cannot_hold(spark):
+    big = 2**53 + 1
+    rows = rows_of(["a b c", None, "d"])
+    docs = spark.createDataFrame([(r[0], i, *r[2:]) for r, i in zip(rows, (big, None, -big))], SCHEMA).coalesce(1)
+    got = packing.pack(docs, BPE, 8).collect()
+    assert {r["doc_id"] for r in got} == {big, None, -big}
+
+
+def test_foreign_vocabularies_run_as_their_file_says():
+    from tokenizers import Tokenizer
+
+    path = public_tokenizers.path("word_bpe_49k.json")
+    assert bpe.splits_by_pattern(BPE) and not bpe.splits_by_pattern(path)
+    flat, n = bpe.encoder(path).encode(["Hello  World", "", "<|endoftext|>"])
+    model = Tokenizer.from_file(path)
+    model.encode_special_tokens = True
+    want = [model.encode(t, add_special_tokens=False).ids for t in ("Hello  World", "", "<|endoftext|>")]
+    assert n.tolist() == list(map(len, want)) and flat.tolist() == sum(want, [])
+
+
+def test_identifiers_must_fit_a_token_file():
+    import pyarrow as pa
+
+    write = token_files._write(BPE, 70_000, 16, "<u2")
+    batch = pa.RecordBatch.from_arrays([pa.array([1]), pa.array(["a b"])], names=["doc_id", "text"])
+    from unittest import mock
+    with mock.patch.object(token_files, "TaskContext"), pytest.raises(ValueError, match="does not fit"):
+        list(write(iter([batch])))
