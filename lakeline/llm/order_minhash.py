@@ -22,12 +22,12 @@ from math import comb
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from lakeline.llm import words
 from lakeline.llm.components import components
-from lakeline.llm.repeats import NO_ID, mix
+from lakeline.llm.repeats import mix
 from lakeline.llm.tables import slices, store, texts
 
 K = 2
@@ -90,8 +90,11 @@ def left_out(tokens: np.ndarray, similarity: float) -> np.ndarray:
     """
     n = len(tokens)
     most = allowed(n, n, similarity)
-    if sum(comb(n, e) for e in range(most + 1)) > LEFT_OUT:
-        return np.zeros(0, np.uint64)
+    ways = 0
+    for e in range(most + 1):
+        ways += comb(n, e)
+        if ways > LEFT_OUT:  # at once for all but short texts
+            return np.zeros(0, np.uint64)
     keys = []
     for e in range(most + 1):
         stay = np.array(list(combinations(range(n), n - e)), np.int64)
@@ -293,26 +296,29 @@ def _verified(pairs: DataFrame, reps: DataFrame, similarity: float) -> DataFrame
     return pairs.join(b, "b").join(a, "a").select("a", "b", "tokens_a", "tokens_b").mapInArrow(_align(similarity), "a long, b long")
 
 
-def near_classes(docs: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
-    """doc_id, class_id (smallest doc_id of the near-duplicates), n_words of every row.
+# scripts that are written without spaces: each of their characters is a word
+_UNSPACED = r"([\p{IsHan}\p{IsHiragana}\p{IsKatakana}\p{IsThai}\p{IsLao}\p{IsKhmer}\p{IsMyanmar}])"
+_MARKS = r"[\p{Z}\p{P}\p{S}&&[^\x00-\x7F]]"  # spaces, punctuation and symbols beyond ASCII
 
-    ``docs``: doc_id, text; other columns are not read. Words are runs of letters,
-    digits and underscores in lower case. Two documents link when an alignment of
-    their words needs at most (1 - similarity) of the longer one's length in edits;
-    linked documents, and those linked through others, form a class. A null, empty
-    or wordless text is in a class of its own. Texts with equal words always share
-    a class, however short. Rows that repeat a doc_id get equal results if their
-    texts are equal. Documents with a null doc_id have a null doc_id here and, if
-    theirs is the smallest, a null class_id. No rows give no rows.
-    """
-    rows = texts(docs).select(F.coalesce("doc_id", F.lit(NO_ID)).alias("at"), F.xxhash64("text").alias("same"),
-                              F.lower("text").alias("text"))
+
+def _worded(text: Column) -> Column:
+    """Lower case, with blanks wherever a word ends that :data:`words.LETTERS` would not see."""
+    low = F.lower(text)
+    spaced = F.regexp_replace(F.regexp_replace(low, _MARKS, " "), _UNSPACED, " $1 ")
+    return F.when(F.octet_length(low) == F.char_length(low), low).otherwise(spaced)
+
+
+def _classed(docs: DataFrame, similarity: float) -> DataFrame:
+    """at (doc_id), same (hash of the text), n_words, component and class of every row;
+    the last two are null for wordless texts."""
+    rows = texts(docs).select(F.col("doc_id").alias("at"), F.xxhash64("text").alias("same"), _worded(F.col("text")).alias("text"))
     sketched = store(rows.mapInArrow(_sketch(similarity), _SKETCHED), "order-minhash")
     same = ["content", "content2", "n_words"]
+    # one node per different text, numbered as the table is written
     reps = store(
         sketched.filter("n_words > 0").groupBy(*same).agg(
-            F.min("at").alias("rep"), F.min_by("tokens", "at").alias("tokens"), F.min_by("sketches", "at").alias("sketches")),
-        "order-minhash-texts")
+            F.min("at").alias("first"), F.any_value("tokens").alias("tokens"), F.any_value("sketches").alias("sketches"))
+        .withColumn("rep", F.monotonically_increasing_id()), "order-minhash-texts")
     member = reps.select("rep", "n_words", F.posexplode("sketches").alias("sketch", "bucket")) \
         .withColumn("sketch", F.least("sketch", F.lit(SKETCHES)))  # keys of short texts meet wherever they stand
     order = F.struct(F.xxhash64("rep", (F.col("sketch") % PIVOTS)), "rep", "n_words")
@@ -347,19 +353,58 @@ def near_classes(docs: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
     more = tried(rest)
     if more.take(1):
         found = components(links.unionByName(more))
-    classes = reps.select(*same, "rep").join(found.withColumnRenamed("node", "rep"), "rep", "left") \
-        .select(*same, F.coalesce("component", "rep").alias("class"))
-    null = F.when
-    return sketched.join(classes, same, "left").select(
-        null(F.col("at") != NO_ID, F.col("at")).alias("doc_id"),
-        null(F.coalesce("class", "at") != NO_ID, F.coalesce("class", "at")).alias("class_id"), "n_words")
+    placed = reps.select(*same, "first", "rep").join(found.withColumnRenamed("node", "rep"), "rep", "left") \
+        .select(*same, "first", F.coalesce("component", "rep").alias("component"))
+    least = placed.groupBy("component").agg(F.min("first").alias("class"))
+    classes = placed.join(least, "component").select(*same, "component", "class")
+    return sketched.select("at", "same", *same).join(classes, same, "left")
+
+
+def near_classes(docs: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
+    """doc_id, class_id (smallest doc_id of the near-duplicates), n_words of every row.
+
+    ``docs``: doc_id, text; other columns are not read, whatever their names. Words are
+    runs of letters, digits and underscores in lower case; each character of a script
+    without spaces is a word. Two documents link when an
+    alignment of their words needs at most (1 - similarity) of the longer one's length
+    in edits; linked documents, and those linked through others, form a class. A null,
+    empty or wordless text is in a class of its own, whose class_id is its doc_id. Texts
+    with equal words always share a class, however short. Different texts are compared
+    each on its own, also where they share a doc_id or have none: rows that repeat a
+    doc_id with another text can be in another class. A null doc_id stays null and is
+    no class_id unless the class has no other. No rows give no rows.
+    """
+    return _classed(docs, similarity).select(
+        F.col("at").alias("doc_id"), F.when(F.col("n_words") > 0, F.col("class")).otherwise(F.col("at")).alias("class_id"), "n_words")
 
 
 def keep_one(docs: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
-    """The rows of ``docs`` that stand for their class: those whose doc_id is its
-    class_id, one row where a doc_id repeats; all columns as they were. A row
-    without a doc_id stays."""
-    classes = near_classes(docs, similarity).filter("doc_id != class_id").select("doc_id").distinct()
-    later = docs.columns
-    kept = docs.join(classes.withColumnRenamed("doc_id", "_later"), F.col("doc_id") == F.col("_later"), "left_anti")
-    return kept.select(*later)
+    """One row of ``docs`` for each class, all columns as they were.
+
+    It is one with the smallest doc_id (a row without one only if no other is there).
+    Rows go by doc_id and text together, so of two texts under one doc_id each is judged
+    by its own class, and a row that repeats both is there once, whichever of them.
+    Rows with a null, empty or wordless text stay, but once where both repeat.
+    """
+    rows = store(_classed(docs, similarity), "order-minhash-classes")
+    key = F.struct(F.col("at").isNull(), F.col("at"), F.col("same"))
+    best = rows.filter("component is not null").groupBy("component").agg(F.min(key).alias("best"))
+    # ids that go: keys that are not their class's best, and all keys that repeat (one row of those comes back)
+    later = rows.join(best, "component").filter(key != F.col("best")).select("at", "same")
+    repeated = store(rows.groupBy("at", "same").agg(F.count("*").alias("n")).filter("n > 1").select("at", "same"), "order-minhash-repeated")
+    text = F.coalesce(F.col("text").cast("string"), F.lit(""))
+    source = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"),
+                         F.col("doc_id").cast("long").alias("at"), F.xxhash64(text).alias("same"))
+
+    def equal(x: str, y: str):
+        return F.col(f"{x}.at").eqNullSafe(F.col(f"{y}.at")) & (F.col(f"{x}.same") == F.col(f"{y}.same"))
+
+    def without(left: DataFrame, right: DataFrame) -> DataFrame:
+        return left.alias("x").join(right.distinct().alias("y"), equal("x", "y"), "left_anti")
+
+    kept = without(source, later.unionByName(repeated)).select("row.*")
+    if not repeated.isEmpty():
+        chosen = without(repeated, later)
+        again = source.alias("x").join(chosen.alias("y"), equal("x", "y"), "left_semi")
+        kept = kept.unionByName(again.groupBy("at", "same").agg(F.any_value("row").alias("row")).select("row.*"))
+    return kept

@@ -10,7 +10,7 @@ _BASE = np.uint64(0x9E3779B97F4A7C15)
 BLANKS = np.ones(256, bool)
 BLANKS[[0x20, *range(0x09, 0x0E)]] = False  # words of [^\x20\x09-\x0D]+
 
-LETTERS = np.zeros(256, bool)  # words of ASCII letters, digits, underscores and bytes of other characters
+LETTERS = np.zeros(256, bool)  # words of ASCII letters, digits, underscores and bytes of other characters (callers blank out marks among those)
 LETTERS[[*range(0x30, 0x3A), *range(0x41, 0x5B), 0x5F, *range(0x61, 0x7B), *range(0x80, 0x100)]] = True
 
 
