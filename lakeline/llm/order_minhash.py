@@ -11,8 +11,10 @@ Candidates are not paired up. Every member of a bucket is first aligned with one
 of it (the pivot, another one in each quarter of the sketches; the first quarter
 goes ahead); what has met in one component needs no further pairs, as only the
 classes are asked for. The rest, members outside the pivot's component, is
-aligned with all members of other components, so no link between candidates is
-lost.
+aligned with the members of other components; in buckets where that would be many
+pairs (texts that share a passage and little else), with those of them that share
+one of their rarest k-mers, as all that can link do. So no link between candidates
+is lost.
 """
 
 from __future__ import annotations
@@ -34,6 +36,8 @@ K = 2
 SKETCHES = 64  # with K and SAMPLE, 0.1 % of pairs of 250 words with just SIMILARITY are missed (by formula), fewer above
 SAMPLE = 3
 PIVOTS = 4
+CROWDED = 1_024  # pairs that a bucket may leave to be aligned; beyond, they must share a rare k-mer
+SLOTS = 1 << 18  # of the k-mer frequencies by which a crowded bucket's members order their k-mers
 LEFT_OUT = 128  # keys of a short text at most: 14 words at a similarity of 0.8
 SIMILARITY = 0.8
 _CELLS = 4_000_000  # hashes of a document ranked at a time
@@ -61,7 +65,9 @@ def labelled_kmers(tokens: np.ndarray, k: int = K) -> np.ndarray:
         return h
     label = np.empty(n, np.uint64)
     label[order] = np.arange(n) - np.repeat(first, times)
-    return mix(h + label * np.uint64(0xC2B2AE3D27D4EB4F))
+    again = label > 0  # a first occurrence has the hash it has in a text without repeats
+    h[again] = mix(h[again] + label[again] * np.uint64(0xC2B2AE3D27D4EB4F))
+    return h
 
 
 def sketches(tokens: np.ndarray) -> np.ndarray:
@@ -296,6 +302,63 @@ def _verified(pairs: DataFrame, reps: DataFrame, similarity: float) -> DataFrame
     return pairs.join(b, "b").join(a, "a").select("a", "b", "tokens_a", "tokens_b").mapInArrow(_align(similarity), "a long, b long")
 
 
+def _kmers_of(tokens: bytes) -> np.ndarray:
+    return labelled_kmers(np.frombuffer(tokens, "<u4").astype(np.uint64))
+
+
+def _frequencies(batches):
+    held = np.zeros(SLOTS, np.int64)
+    for batch in batches:
+        for tokens in batch.column("tokens").to_pylist():
+            held += np.bincount((_kmers_of(tokens) % np.uint64(SLOTS)).astype(np.int64), minlength=SLOTS)
+    at = np.flatnonzero(held)
+    yield pa.RecordBatch.from_arrays([pa.array(at), pa.array(held[at])], names=["slot", "n"])
+
+
+def needed(n: int, similarity: float) -> int:
+    """How many of its k-mers, the rarest first, a text of ``n`` words has to show.
+
+    Texts that link by e edits share all but K * e of the longer one's k-mers, so if all
+    order k-mers alike, each has one of the shared ones among so many."""
+    return max(1, n - K + 1) - max(1, int((1 - K * (1 - similarity)) * n - 1e-9) - K) + 1
+
+
+def _rarest(frequency: np.ndarray, similarity: float):
+    def run(batches):
+        for batch in batches:
+            for i, tokens in enumerate(batch.column("tokens").to_pylist()):
+                kmers = _kmers_of(tokens)
+                order = np.lexsort((kmers, frequency[(kmers % np.uint64(SLOTS)).astype(np.int64)]))
+                first = kmers[order[:needed(len(tokens) // 4, similarity)]].astype(np.int64)
+                row = batch.slice(i, 1).select(["rep", "n_words", "component"])
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(first), *[row.column(c).take(pa.array(np.zeros(len(first), np.int64))) for c in range(3)]],
+                    names=["kmer", "rep", "n_words", "component"])
+
+    return run
+
+
+def _sharing_rare_kmers(crowd: DataFrame, similarity: float, near) -> DataFrame:
+    """Pairs (a, b) of texts of different components that share a k-mer among each one's
+    rarest; all that can link are among them.
+
+    ``crowd``: rep, n_words, component, tokens. A passage that many texts share is common
+    to all of them and so is not what they meet by. Components meet before their members
+    do, so copies of one text are one row a k-mer.
+    """
+    counted = crowd.mapInArrow(_frequencies, "slot long, n long").groupBy("slot").agg(F.sum("n").alias("n")).collect()
+    frequency = np.zeros(SLOTS, np.int64)  # at most SLOTS rows are collected
+    for r in counted:
+        frequency[r["slot"]] = r["n"]
+    keys = store(crowd.mapInArrow(_rarest(frequency, similarity), "kmer long, rep long, n_words int, component long"), "order-minhash-rare")
+    held = keys.select("kmer", "component").distinct()
+    other = held.select("kmer", F.col("component").alias("other"))
+    met = store(held.join(other, "kmer").filter("component < other"), "order-minhash-met")
+    x = keys.select("kmer", "component", F.col("rep").alias("a"), F.col("n_words").alias("n_a"))
+    y = keys.select("kmer", F.col("component").alias("other"), F.col("rep").alias("b"), F.col("n_words").alias("n_b"))
+    return met.join(x, ["kmer", "component"]).join(y, ["kmer", "other"]).filter(near(F.col("n_a"), F.col("n_b"))).select("a", "b")
+
+
 # scripts that are written without spaces: each of their characters is a word
 _UNSPACED = r"([\p{IsHan}\p{IsHiragana}\p{IsKatakana}\p{IsThai}\p{IsLao}\p{IsKhmer}\p{IsMyanmar}])"
 _MARKS = r"[\p{Z}\p{P}\p{S}&&[^\x00-\x7F]]"  # spaces, punctuation and symbols beyond ASCII
@@ -344,12 +407,21 @@ def _classed(docs: DataFrame, similarity: float) -> DataFrame:
     links = links.unionByName(tried(known(stars).filter("component != pivot_component").select(*pair)))
     found = components(links)
     placed = store(known(shared), "order-minhash-known")
-    apart = placed.filter("component != pivot_component").alias("y")
-    rest = apart.join(placed.alias("x"), ["sketch", "bucket"]).filter(
+    sizes = placed.groupBy("sketch", "bucket").agg(
+        F.count("*").alias("members"), F.count_if(F.col("component") != F.col("pivot_component")).alias("apart")).filter("apart > 0")
+    open_ = store(placed.join(sizes, ["sketch", "bucket"]).withColumn("crowded", F.col("members") * F.col("apart") > CROWDED),
+                  "order-minhash-open")
+    few = open_.filter("not crowded")
+    apart = few.filter("component != pivot_component").alias("y")
+    rest = apart.join(few.alias("x"), ["sketch", "bucket"]).filter(
         (F.col("x.component") != F.col("y.component")) & near(F.col("x.n_words"), F.col("y.n_words"))
         & (F.col("x.rep") != F.col("y.pivot"))
         & ((F.col("x.component") == F.col("y.pivot_component")) | (F.col("x.rep") < F.col("y.rep")))
     ).select(F.col("y.rep").alias("a"), F.col("x.rep").alias("b"))
+    crowd = open_.filter("crowded").select("rep", "n_words", "component").distinct()
+    if not crowd.isEmpty():
+        rest = rest.unionByName(_sharing_rare_kmers(store(
+            crowd.join(reps.select("rep", "tokens"), "rep"), "order-minhash-crowd"), similarity, near))
     more = tried(rest)
     if more.take(1):
         found = components(links.unionByName(more))

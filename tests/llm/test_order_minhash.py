@@ -241,3 +241,42 @@ def test_marks_beyond_ascii_end_words(spark, change):
     rows = [(1, " ".join(w)), (2, change(w)), (3, "\u65e5\u672c\u8a9e\u306e\u6587\u7ae0\u3067\u3059\u3002" * 3), (4, "\u65e5\u672c\u8a9e\u306e\u6587\u7ae0\u3067\u3059" * 3)]
     got = {r["doc_id"]: (r["class_id"], r["n_words"]) for r in om.near_classes(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
     assert got[1] == (1, 60) and got[2] == (1, 60) and got[3] == got[4] == (3, 24)
+
+
+def test_texts_that_link_share_a_rare_kmer():
+    rng = random.Random(12)
+    for n in (2, 3, 5, 8, 20, 60, 250):
+        for _ in range(60):
+            a = np.array([rng.randrange(1, 40) for _ in range(n)], "<u4")  # few words, so many repeats
+            b = a.tolist()
+            for _ in range(rng.randint(0, om.allowed(n, n, 0.8))):
+                at = rng.randrange(len(b))
+                rng.choice([lambda: b.__setitem__(at, 77), lambda: len(b) > 1 and b.pop(at), lambda: b.insert(at, 78)])()
+            b = np.array(b, "<u4")
+            if distance(list(a), list(b)) > om.allowed(len(a), len(b), 0.8) or min(len(a), len(b)) < om.K:
+                continue
+            frequency = np.array([rng.randrange(5) for _ in range(om.SLOTS // 1024)])
+            rank = lambda k: (frequency[int(k) % len(frequency)], int(k))
+            first = [set(sorted(om._kmers_of(t.tobytes()).tolist(), key=rank)[:om.needed(len(t), 0.8)]) for t in (a, b)]
+            assert first[0] & first[1]
+
+
+def test_a_shared_passage_makes_no_pairs_and_loses_no_link(spark, monkeypatch):
+    monkeypatch.setattr(om, "CROWDED", 4)  # every bucket counts as crowded
+    passage = prose(99, 40)
+    texts = [passage + prose(i, 60) for i in range(60)]
+    texts += [near_copy(t, (50, 70)) for t in texts[:20]] + [near_copy(passage, (3,)) + t[40:] for t in texts[20:30]]
+    aligned = []
+    real = om._verified
+    monkeypatch.setattr(om, "_verified", lambda pairs, *a: aligned.append(pairs.count()) or real(pairs, *a))
+    docs = spark.createDataFrame([(i, " ".join(t)) for i, t in enumerate(texts)], "doc_id long, text string")
+    got = {r["doc_id"]: r["class_id"] for r in om.near_classes(docs).collect()}
+    assert all(got[i] == i for i in range(60)) and all(got[60 + i] == i for i in range(30))
+    assert aligned[-1] <= 40
+
+
+def test_a_repeat_changes_no_other_kmer():
+    a = np.arange(1, 30, dtype=np.uint64)
+    b = np.concatenate([a, a[:2]])
+    assert set(om.labelled_kmers(a).tolist()) < set(om.labelled_kmers(b).tolist())
+    assert len(set(om.labelled_kmers(b).tolist())) == len(b) - om.K + 1
