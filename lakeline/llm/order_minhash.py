@@ -13,8 +13,8 @@ goes ahead); what has met in one component needs no further pairs, as only the
 classes are asked for. The rest, members outside the pivot's component, is
 aligned with the members of other components; in buckets where that would be many
 pairs (texts that share a passage and little else), with those of them that share
-one of their rarest k-mers, as all that can link do. So no link between candidates
-is lost.
+one of their rarest k-mers, as all that can link do, unless that makes more pairs.
+So no link between candidates is lost.
 """
 
 from __future__ import annotations
@@ -338,9 +338,10 @@ def _rarest(frequency: np.ndarray, similarity: float):
     return run
 
 
-def _sharing_rare_kmers(crowd: DataFrame, similarity: float, near) -> DataFrame:
+def _sharing_rare_kmers(crowd: DataFrame, similarity: float, near, most: int) -> DataFrame | None:
     """Pairs (a, b) of texts of different components that share a k-mer among each one's
-    rarest; all that can link are among them.
+    rarest; all that can link are among them. None if they meet more than ``most`` times,
+    as they do where few words make up all texts.
 
     ``crowd``: rep, n_words, component, tokens. A passage that many texts share is common
     to all of them and so is not what they meet by. Components meet before their members
@@ -352,6 +353,10 @@ def _sharing_rare_kmers(crowd: DataFrame, similarity: float, near) -> DataFrame:
         frequency[r["slot"]] = r["n"]
     keys = store(crowd.mapInArrow(_rarest(frequency, similarity), "kmer long, rep long, n_words int, component long"), "order-minhash-rare")
     held = keys.select("kmer", "component").distinct()
+    sizes = keys.groupBy("kmer", "component").agg(F.count("*").alias("n")).groupBy("kmer").agg(
+        F.sum("n").alias("n"), F.sum(F.col("n") * F.col("n")).alias("own"))
+    if (sizes.agg(F.sum(F.col("n") * F.col("n") - F.col("own"))).first()[0] or 0) > 2 * most:
+        return None
     other = held.select("kmer", F.col("component").alias("other"))
     met = store(held.join(other, "kmer").filter("component < other"), "order-minhash-met")
     x = keys.select("kmer", "component", F.col("rep").alias("a"), F.col("n_words").alias("n_a"))
@@ -368,7 +373,8 @@ def _worded(text: Column) -> Column:
     """Lower case, with blanks wherever a word ends that :data:`words.LETTERS` would not see."""
     low = F.lower(text)
     spaced = F.regexp_replace(F.regexp_replace(low, _MARKS, " "), _UNSPACED, " $1 ")
-    return F.when(F.octet_length(low) == F.char_length(low), low).otherwise(spaced)
+    # most texts hold ASCII and accented Latin letters only: one cheap look tells
+    return F.when((F.octet_length(low) != F.char_length(low)) & low.rlike(r"[\x{80}-\x{BF}\x{250}-\x{10FFFF}]"), spaced).otherwise(low)
 
 
 def _classed(docs: DataFrame, similarity: float) -> DataFrame:
@@ -411,17 +417,20 @@ def _classed(docs: DataFrame, similarity: float) -> DataFrame:
         F.count("*").alias("members"), F.count_if(F.col("component") != F.col("pivot_component")).alias("apart")).filter("apart > 0")
     open_ = store(placed.join(sizes, ["sketch", "bucket"]).withColumn("crowded", F.col("members") * F.col("apart") > CROWDED),
                   "order-minhash-open")
-    few = open_.filter("not crowded")
+    crowd = open_.filter("crowded").select("rep", "n_words", "component").distinct()
+    met = None
+    if not crowd.isEmpty():
+        pairs = open_.filter("crowded and component != pivot_component").agg(F.sum("members")).first()[0] or 0
+        met = _sharing_rare_kmers(store(crowd.join(reps.select("rep", "tokens"), "rep"), "order-minhash-crowd"), similarity, near, pairs)
+    few = open_.filter("not crowded") if met is not None else open_
     apart = few.filter("component != pivot_component").alias("y")
     rest = apart.join(few.alias("x"), ["sketch", "bucket"]).filter(
         (F.col("x.component") != F.col("y.component")) & near(F.col("x.n_words"), F.col("y.n_words"))
         & (F.col("x.rep") != F.col("y.pivot"))
         & ((F.col("x.component") == F.col("y.pivot_component")) | (F.col("x.rep") < F.col("y.rep")))
     ).select(F.col("y.rep").alias("a"), F.col("x.rep").alias("b"))
-    crowd = open_.filter("crowded").select("rep", "n_words", "component").distinct()
-    if not crowd.isEmpty():
-        rest = rest.unionByName(_sharing_rare_kmers(store(
-            crowd.join(reps.select("rep", "tokens"), "rep"), "order-minhash-crowd"), similarity, near))
+    if met is not None:
+        rest = rest.unionByName(met)
     more = tried(rest)
     if more.take(1):
         found = components(links.unionByName(more))
