@@ -187,8 +187,8 @@ def remove_repeated_windows(docs: DataFrame, width: int = 35) -> DataFrame:
     amount = rows.agg(F.sum(F.octet_length("text")).alias("n")).first()["n"] or 0
     gram = max(1, width // 2 - 1)
     texts_of = repeats.same_texts(rows)
-    anchors = repeats.shared_anchors(rows, texts_of, _units, width, gram, amount // 8)
-    found = repeats.stretches(rows, anchors, _units, width, gram, _raw)
+    anchors = repeats.shared_anchors(rows, _units, width, gram, amount // 8)
+    found = repeats.stretches(rows, texts_of, anchors, _units, width, gram, _raw)
     judged = repeats.verdicts(found, judge(width), width, 8, np.uint8(0))
     hits = repeats.marks(found, judged)
     copies = texts_of.filter("rows > 1").select("at", "same", F.lit(True).alias("copy")).distinct()

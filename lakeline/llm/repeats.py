@@ -35,6 +35,8 @@ _BITS = 20
 _BLOCK = 1 << _BITS
 _KEY_BITS = 64 - _BITS
 NO_ID = -(1 << 63)  # stands for a null doc_id
+HOMES = 1_024  # the answers of a bucket are packed in so many rows at most, by hash of the document
+GATHERED = 4_000_000  # anchors that a task holds while it puts a home's answers in order
 COMMON_IN_SLICE = 32  # documents of one slice; such an anchor is announced once
 DISTINCT_PER_ANCHOR = 2_000  # different stretches of an anchor that one group takes
 SLICE = 4_000_000  # bytes of text handled at a time
@@ -125,7 +127,7 @@ def _spans(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
 
 
 _ASKED = "bucket int, doc_id long, low binary, high binary, owners binary"
-_TOLD = "doc_id long, anchors binary"
+_TOLD = "home int, keys binary, counts binary, low binary, high binary"
 
 
 def _ask(units_of: Units, width: int, gram: int, buckets: int):
@@ -184,7 +186,7 @@ def _packed(anchor, mark, owners, buckets):
 
 
 def _tell(table: pa.Table) -> pa.Table:
-    """One bucket: which anchors several askers sent, by document."""
+    """One bucket: which anchors several askers sent, packed for each home of documents."""
     asked = table.filter(table.column("owners").is_valid())
     passed = table.filter(table.column("owners").is_null())
     who, what = [], []
@@ -212,10 +214,52 @@ def _tell(table: pa.Table) -> pa.Table:
         what.append(high.astype(np.uint64) << np.uint64(32) | low.astype(np.uint64))
     owner = np.concatenate(who) if who else np.zeros(0, np.int64)
     anchor = np.concatenate(what) if what else np.zeros(0, np.uint64)
-    order = np.argsort(owner, kind="stable")
-    owner, anchor = owner[order], anchor[order]
-    cuts = np.flatnonzero(np.concatenate([[True], owner[1:] != owner[:-1], [True]])) if len(owner) else np.zeros(1, np.int64)
-    return pa.table({"doc_id": pa.array(owner[cuts[:-1]]), "anchors": _binaries(anchor, cuts)})
+    home = (mix(owner.astype(np.uint64)) % np.uint64(HOMES)).astype(np.int32)
+    order = np.lexsort((owner, home))
+    owner, anchor, home = owner[order], anchor[order], home[order]
+    first = np.flatnonzero(_changes(home) | _changes(owner))  # where the answer of a document begins
+    cuts = np.append(np.flatnonzero(_changes(home)), len(home))
+    docs = np.searchsorted(first, cuts)
+    return pa.table({
+        "home": pa.array(home[cuts[:-1]]), "keys": _binaries(owner[first], docs),
+        "counts": _binaries(np.diff(np.append(first, len(owner))).astype("<u4"), docs),
+        "low": _binaries((anchor & np.uint64(0xFFFFFFFF)).astype("<u4"), cuts),
+        "high": _binaries((anchor >> np.uint64(32)).astype("<u2"), cuts)})
+
+
+def _changes(x: np.ndarray) -> np.ndarray:
+    new = np.ones(len(x), bool)
+    new[1:] = x[1:] != x[:-1]
+    return new
+
+
+def _by_document(batches):
+    """Answers of many buckets as one row per document, at most ``GATHERED`` anchors at a time."""
+    held, count = [], 0
+
+    def gathered():
+        key, n, anchor = (np.concatenate(x) for x in zip(*held))
+        owner = np.repeat(key, n)
+        order = np.argsort(owner, kind="stable")
+        owner = owner[order]
+        cuts = np.append(np.flatnonzero(_changes(owner)), len(owner))
+        return pa.RecordBatch.from_arrays([pa.array(owner[cuts[:-1]]), _binaries(anchor[order], cuts)], names=["key", "anchors"])
+
+    for batch in batches:
+        for keys, counts, low, high in zip(*(batch.column(i).to_pylist() for i in range(1, 5))):
+            anchor = np.frombuffer(high, "<u2").astype(np.uint64) << np.uint64(32) | np.frombuffer(low, "<u4").astype(np.uint64)
+            held.append((np.frombuffer(keys, "<i8"), np.frombuffer(counts, "<u4"), anchor))
+            count += len(anchor)
+            if count >= GATHERED:
+                yield gathered()
+                held, count = [], 0
+    if held:
+        yield gathered()
+
+
+def key_of():
+    """What a document is known by while anchors are exchanged: its doc_id, without one its text's hash."""
+    return F.when(F.col("at") == NO_ID, F.col("same")).otherwise(F.col("at")).alias("key")
 
 
 def with_key(docs: DataFrame) -> DataFrame:
@@ -237,18 +281,18 @@ def same_texts(docs: DataFrame) -> DataFrame:
     return known
 
 
-def shared_anchors(docs: DataFrame, texts: DataFrame, units_of: Units, width: int, gram: int, amount: int) -> DataFrame:
-    """at, anchors: of each document that stands for its text the anchors that occur elsewhere as well.
+def shared_anchors(docs: DataFrame, units_of: Units, width: int, gram: int, amount: int) -> DataFrame:
+    """key, anchors: of each document the anchors that occur elsewhere as well, in one row or several.
 
-    ``amount``: bytes of text in all; it sets the number of buckets.
+    ``amount``: bytes of text in all; it sets the number of buckets. Both ways are packed:
+    questions per slice of text and bucket, answers per bucket and home, a hash class of
+    documents. So what a bucket sends does not depend on how many documents there are.
     """
     spark = docs.sparkSession
     buckets = groups_for(spark, amount // 10, ANCHORS_PER_BUCKET)
-    asked = docs.select("at", "text").mapInArrow(_ask(units_of, width, gram, buckets), _ASKED)
-    told = asked.groupBy("bucket").applyInArrow(_tell, _TOLD).withColumnRenamed("doc_id", "at")
-    by_doc = told.groupBy("at").agg(F.collect_list("anchors").alias("anchors"))
-    standing = texts.filter(F.col("at") == F.col("first")).select("at").distinct()
-    return store(by_doc.join(standing, "at", "left_semi"), "repeats-anchors")
+    asked = docs.select(key_of(), "text").mapInArrow(_ask(units_of, width, gram, buckets), _ASKED)
+    told = asked.groupBy("bucket").applyInArrow(_tell, _TOLD)
+    return store(told.repartition("home").mapInArrow(_by_document, "key long, anchors binary"), "repeats-anchors")
 
 
 _STRETCH = "at long, same long, start long, windows int, anchor long, stretch binary"
@@ -282,13 +326,15 @@ def _cut(units_of: Units, width: int, gram: int, raw_of):
     return run
 
 
-def stretches(docs: DataFrame, anchors: DataFrame, units_of: Units, width: int, gram: int, raw_of) -> DataFrame:
-    """at, same, start, windows, anchor, stretch of every stretch with a shared anchor
-    (``anchors`` is used up).
+def stretches(docs: DataFrame, texts: DataFrame, anchors: DataFrame, units_of: Units, width: int, gram: int, raw_of) -> DataFrame:
+    """at, same, start, windows, anchor, stretch of every stretch with a shared anchor, from
+    documents that stand for their text (``anchors`` is used up).
 
     ``raw_of``: the items (bytes, or hashes) that a stretch is written with.
     """
-    cut = docs.join(anchors, "at").select("at", "same", "text", "anchors").mapInArrow(
+    standing = texts.filter(F.col("at") == F.col("first")).select(key_of()).distinct()
+    by_doc = anchors.groupBy("key").agg(F.collect_list("anchors").alias("anchors")).join(standing, "key", "left_semi")
+    cut = docs.select(key_of(), "at", "same", "text").join(by_doc, "key").select("at", "same", "text", "anchors").mapInArrow(
         _cut(units_of, width, gram, raw_of), _STRETCH)
     found = store(cut, "repeats-stretches")
     discard(anchors)

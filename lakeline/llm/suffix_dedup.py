@@ -160,8 +160,8 @@ def remove_later_copies(docs: DataFrame, width: int = 50, carry: bool = False) -
     amount = rows.agg(F.sum(F.octet_length("text")).alias("n")).first()["n"] or 0
     gram = width // 2 - 1
     texts_of = repeats.same_texts(rows)
-    anchors = repeats.shared_anchors(rows, texts_of, _units, width, gram, amount)
-    found = repeats.stretches(rows, anchors, _units, width, gram, _raw)
+    anchors = repeats.shared_anchors(rows, _units, width, gram, amount)
+    found = repeats.stretches(rows, texts_of, anchors, _units, width, gram, _raw)
     judged = repeats.verdicts(found, judge(width), width, 1, np.int64(_LATER))
     hits = repeats.marks(found, judged, F.col("value") < F.col("at"))
     copies = texts_of.filter((F.col("at") > F.col("first")) & (F.col("size") >= width)) \

@@ -6,6 +6,7 @@ import re
 from collections import Counter, defaultdict
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from lakeline.llm import repeats
@@ -129,3 +130,26 @@ def test_anchors_do_not_depend_on_blocks(monkeypatch):
     for at, key in whole.items():
         by_content[units[at:at + 50].tobytes()].add(key)
     assert all(len(k) == 1 for k in by_content.values())
+
+
+def test_rows_without_id_go_by_their_text(spark):
+    rows = [(t, None if i % 2 else d, *rest) for i, (t, d, *rest) in enumerate(awkward(7))]
+    frame = spark.createDataFrame(rows, SCHEMA)
+    assert Counter(tuple(r)[:5] for r in remove_later_copies(frame).collect()) == bytes_brute(rows)
+    assert Counter(tuple(r)[:4] for r in remove_repeated_windows(frame).collect()) == words_brute(rows)
+
+
+def test_answers_arrive_whole_however_few_are_gathered_at_a_time(monkeypatch):
+    rng = np.random.default_rng(3)
+    owner = rng.integers(-1 << 63, 1 << 62, 300)
+    sent = {(int(o), int(a)) for o, a in zip(rng.choice(owner, 4_000), rng.integers(1 << 36, (1 << 36) + 900, 4_000))}
+    by_anchor = Counter(a for _, a in sent)
+    pairs = np.array(sorted(sent, key=lambda p: p[1]), np.int64)
+    asked = repeats._packed(pairs[:, 1].astype(np.uint64), np.zeros(len(pairs), np.uint16), pairs[:, 0], 1)
+    told = repeats._tell(pa.Table.from_batches([asked]))
+    assert len(set(told.column("home").to_pylist())) == told.num_rows <= repeats.HOMES
+    for gathered in (repeats.GATHERED, 7):
+        monkeypatch.setattr(repeats, "GATHERED", gathered)
+        got = [(k, a) for b in repeats._by_document(told.to_batches()) for k, raw in zip(*(c.to_pylist() for c in b.columns))
+               for a in np.frombuffer(raw, np.uint64).tolist()]
+        assert sorted(got) == sorted(p for p in sent if by_anchor[p[1]] > 1)
