@@ -35,7 +35,7 @@ def store(df: DataFrame, name: str) -> DataFrame:
     spark = df.sparkSession
     path = scratch_path(spark, name)
     with _shuffles_removed(spark):
-        df.write.parquet(path)
+        df.write.option("compression", "zstd").parquet(path)  # most of what is stored are texts and hashes
     table = spark.read.schema(df.schema).parquet(path)
     table.stored_at = path  # for discard()
     return table
