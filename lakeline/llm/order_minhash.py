@@ -30,7 +30,7 @@ from pyspark.sql import functions as F
 from lakeline.llm import words
 from lakeline.llm.components import components
 from lakeline.llm.repeats import mix
-from lakeline.llm.tables import slices, store, texts
+from lakeline.llm.tables import discard, slices, store, texts
 
 K = 2
 SKETCHES = 64  # with K and SAMPLE, 0.1 % of pairs of 250 words with just SIMILARITY are missed (by formula), fewer above
@@ -346,9 +346,11 @@ def _rarest(frequency: np.ndarray, similarity: float):
                 order = np.lexsort((kmers, frequency[(kmers % np.uint64(SLOTS)).astype(np.int64)]))
                 first = kmers[order[:needed(len(tokens) // 4, similarity)]].astype(np.int64)
                 row = batch.slice(i, 1).select(["rep", "n_words", "component"])
+                own = mix(np.array(row.column(0).to_pylist(), np.int64).astype(np.uint64) + np.uint64(1)).astype(np.int64)
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(first), *[row.column(c).take(pa.array(np.zeros(len(first), np.int64))) for c in range(3)]],
-                    names=["kmer", "rep", "n_words", "component"])
+                    [pa.array(first), pa.array(np.concatenate([own, first[:-1]])),
+                     *[row.column(c).take(pa.array(np.zeros(len(first), np.int64))) for c in range(3)]],
+                    names=["kmer", "before", "rep", "n_words", "component"])
 
     return run
 
@@ -359,24 +361,32 @@ def _sharing_rare_kmers(crowd: DataFrame, similarity: float, near, most: int) ->
     as they do where few words make up all texts.
 
     ``crowd``: rep, n_words, component, tokens. A passage that many texts share is common
-    to all of them and so is not what they meet by. Components meet before their members
-    do, so copies of one text are one row a k-mer.
+    to all of them and so is mostly not what they meet by. Where it is, texts that hold the
+    same k-mer next before (``before``, in the order by rarity; a number of its own for
+    the first) share that one too, so only texts with different ones need to meet here:
+    they have no earlier k-mer in common, or meet there again.
     """
     counted = crowd.mapInArrow(_frequencies, "slot long, n long").groupBy("slot").agg(F.sum("n").alias("n")).collect()
     frequency = np.zeros(SLOTS, np.int64)  # at most SLOTS rows are collected
     for r in counted:
         frequency[r["slot"]] = r["n"]
-    keys = store(crowd.mapInArrow(_rarest(frequency, similarity), "kmer long, rep long, n_words int, component long"), "order-minhash-rare")
-    held = keys.select("kmer", "component").distinct()
-    sizes = keys.groupBy("kmer", "component").agg(F.count("*").alias("n")).groupBy("kmer").agg(
-        F.sum("n").alias("n"), F.sum(F.col("n") * F.col("n")).alias("own"))
+    keys = store(crowd.mapInArrow(
+        _rarest(frequency, similarity), "kmer long, before long, rep long, n_words int, component long"), "order-minhash-rare")
+    sides = keys.groupBy("kmer", "before").agg(F.count("*").alias("n"))
+    sizes = sides.groupBy("kmer").agg(F.sum("n").alias("n"), F.sum(F.col("n") * F.col("n")).alias("own"))
     if (sizes.agg(F.sum(F.col("n") * F.col("n") - F.col("own"))).first()[0] or 0) > 2 * most:
+        discard(keys)
         return None
-    other = held.select("kmer", F.col("component").alias("other"))
-    met = store(held.join(other, "kmer").filter("component < other"), "order-minhash-met")
-    x = keys.select("kmer", "component", F.col("rep").alias("a"), F.col("n_words").alias("n_a"))
-    y = keys.select("kmer", F.col("component").alias("other"), F.col("rep").alias("b"), F.col("n_words").alias("n_b"))
-    return met.join(x, ["kmer", "component"]).join(y, ["kmer", "other"]).filter(near(F.col("n_a"), F.col("n_b"))).select("a", "b")
+    side = sides.select("kmer", "before")
+    met = side.join(side.withColumnRenamed("before", "other"), "kmer").filter("before < other")
+    x = keys.select("kmer", "before", F.col("rep").alias("a"), F.col("n_words").alias("n_a"), F.col("component").alias("c_a"))
+    y = keys.select("kmer", F.col("before").alias("other"), F.col("rep").alias("b"), F.col("n_words").alias("n_b"), F.col("component").alias("c_b"))
+    pairs = met.join(x, ["kmer", "before"]).join(y, ["kmer", "other"]) \
+        .filter((F.col("c_a") != F.col("c_b")) & near(F.col("n_a"), F.col("n_b"))) \
+        .select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
+    found = store(pairs, "order-minhash-met")
+    discard(keys)
+    return found
 
 
 # scripts that are written without spaces: each of their characters is a word
@@ -432,6 +442,7 @@ def _classed(docs: DataFrame, similarity: float) -> DataFrame:
         F.count("*").alias("members"), F.count_if(F.col("component") != F.col("pivot_component")).alias("apart")).filter("apart > 0")
     open_ = store(placed.join(sizes, ["sketch", "bucket"]).withColumn("crowded", F.col("members") * F.col("apart") > CROWDED),
                   "order-minhash-open")
+    discard(shared, placed)
     crowd = open_.filter("crowded").select("rep", "n_words", "component").distinct()
     met = None
     if not crowd.isEmpty():

@@ -5,6 +5,7 @@ import re
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 from hypothesis import given, settings
 from hypothesis import strategies as st
 
@@ -280,3 +281,30 @@ def test_a_repeat_changes_no_other_kmer():
     b = np.concatenate([a, a[:2]])
     assert set(om.labelled_kmers(a).tolist()) < set(om.labelled_kmers(b).tolist())
     assert len(set(om.labelled_kmers(b).tolist())) == len(b) - om.K + 1
+
+
+def test_pairs_by_rare_kmers_are_those_that_share_one(spark):
+    rng = np.random.default_rng(11)
+    passage = rng.integers(1, 1 << 32, 70, dtype=np.uint64)
+    texts = [np.concatenate([rng.integers(1, 60, int(rng.integers(0, 40)), dtype=np.uint64), passage[int(rng.integers(0, 20)):]])
+             for _ in range(70)]
+    texts += [np.where(rng.random(len(t)) < 0.08, np.uint64(5), t) for t in texts[:20]] + [texts[3], texts[3]]
+    rows = [(i, len(t), i // 2, t.astype("<u4").tobytes()) for i, t in enumerate(texts)]
+    crowd = spark.createDataFrame(rows, "rep long, n_words int, component long, tokens binary")
+    near = lambda x, y: F.least(x, y) >= 0.8 * F.greatest(x, y) - 1e-9
+    got = om._sharing_rare_kmers(crowd, 0.8, near, 10**9).collect()
+
+    kmers = [om._kmers_of(r[3]) for r in rows]
+    slots = np.bincount(np.concatenate(kmers).astype(np.uint64) % np.uint64(om.SLOTS), minlength=om.SLOTS)
+    first = []
+    for k, r in zip(kmers, rows):
+        order = sorted(k.tolist(), key=lambda x: (slots[x % om.SLOTS], x))
+        first.append(set(order[:om.needed(r[1], 0.8)]))
+    apart = [(a, b) for a in range(len(rows)) for b in range(a + 1, len(rows))
+             if a // 2 != b // 2 and min(rows[a][1], rows[b][1]) >= 0.8 * max(rows[a][1], rows[b][1]) - 1e-9]
+    assert len(got) == len({tuple(r) for r in got})
+    assert {tuple(r) for r in got} == {p for p in apart if first[p[0]] & first[p[1]]}
+    links = {(a, b) for a, b in apart
+             if om.edit_distance(texts[a].astype(np.uint32), texts[b].astype(np.uint32), len(passage)) <= om.allowed(rows[a][1], rows[b][1], 0.8)}
+    assert len(links) > 100 and links <= {tuple(r) for r in got}
+    assert om._sharing_rare_kmers(crowd, 0.8, near, 0) is None
