@@ -28,7 +28,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from lakeline.llm import words
-from lakeline.llm.components import components
+from lakeline.llm.components import hooked, labels, oriented, settled
 from lakeline.llm.repeats import mix
 from lakeline.llm.tables import discard, slices, store, texts
 
@@ -38,10 +38,14 @@ SAMPLE = 3
 PIVOTS = 4
 CROWDED = 1_024  # pairs that a bucket may leave to be aligned; beyond, they must share a rare k-mer
 SLOTS = 1 << 18  # of the k-mer frequencies by which a crowded bucket's members order their k-mers
+SEEN_BITS = 1 << 23  # of the filter that tells which rare k-mers other texts show too
+BLOCK = 256  # texts of one k-mer that a task compares with as many others at a time
 LEFT_OUT = 128  # keys of a short text at most: 14 words at a similarity of 0.8
 SIMILARITY = 0.8
 _CELLS = 4_000_000  # hashes of a document ranked at a time
 _REMEMBERED = 500  # texts of a task whose word counts are kept
+_FEW_EDITS = 8  # edits after which texts of at most _COLUMN_WORDS go on by columns
+_COLUMN_WORDS = 16_384
 _PLAIN_EDITS = 48  # edits up to which the few diagonals are followed one by one
 
 _SEEDS = np.random.default_rng(2).integers(1, 1 << 63, SKETCHES, dtype=np.uint64) | np.uint64(1)
@@ -216,11 +220,37 @@ def least_edits(a: np.ndarray, b: np.ndarray) -> int:
     return max(len(a), len(b)) - int(np.count_nonzero(both[1:] == both[:-1]))
 
 
+def _band_distance(a: list, b: list, most: int) -> int:
+    """Edits between two sequences, or ``most + 1``: the band of ``most`` diagonals either
+    side as bits of one number, moved down a row with every column."""
+    d = len(a) - len(b)
+    held: dict[int, int] = {}
+    for i, word in enumerate(a):
+        held[word] = held.get(word, 0) | 1 << (i + most)
+    mask = (1 << (2 * most + 1)) - 1
+    top = 1 << (2 * most)
+    less = (1 << (most + 1)) - 1  # rows one less than the row above; before the first row distances grow upwards
+    more = mask ^ less
+    edits, at = abs(d), most + d  # on the diagonal that ends in the last cell
+    for j, word in enumerate(b):
+        more, less = more >> 1 | top, less >> 1
+        equal = held.get(word, 0) >> j & mask
+        same = (((equal & more) + more) ^ more | equal | less) & mask  # as the cell up and left
+        right, left = (less | mask & ~(same | more)) << 1 & mask | 1, (more & same) << 1 & mask
+        more, less = left | mask & ~(same | right), right & same
+        if not same >> at & 1:
+            edits += 1
+            if edits > most:
+                break
+    return edits
+
+
 def edit_distance(a: np.ndarray, b: np.ndarray, most: int) -> int:
     """Edits between two sequences of words, or ``most + 1`` if there are more.
 
     Only the band of ``most`` diagonals either side is followed: per number of
-    edits, the furthest row each diagonal reaches, extended over equal words.
+    edits, the furthest row each diagonal reaches, extended over equal words; where
+    more than a few edits are needed and the texts are not huge, column by column.
     """
     n, m = len(a), len(b)
     if abs(n - m) > most:
@@ -251,11 +281,14 @@ def edit_distance(a: np.ndarray, b: np.ndarray, most: int) -> int:
             return i
 
     far[mid] = run(0, 0)
+    columns = most > _FEW_EDITS and max(n, m) <= _COLUMN_WORDS
     for edits in range(min(most, _PLAIN_EDITS) + 1):
         if far[goal] >= n:
             return edits
         if edits == most:
             return most + 1
+        if columns and edits == _FEW_EDITS:
+            return _band_distance(left, right, most)
         old = far[:]
         for d in range(max(-edits - 1, -n), min(edits + 1, m) + 1):
             at = mid + d
@@ -338,55 +371,122 @@ def needed(n: int, similarity: float) -> int:
     return max(1, n - K + 1) - max(1, int((1 - K * (1 - similarity)) * n - 1e-9) - K) + 1
 
 
-def _rarest(frequency: np.ndarray, similarity: float):
+def _rarest(frequency: np.ndarray, similarity: float, seen: np.ndarray | None = None):
+    """Rows (kmer, before) of each text's rarest k-mers, ``before`` being the next rarer one
+    (a number of the text's own for the first). With ``seen``, a bit set of k-mers, only of
+    those in it, and with the text's own columns."""
     def run(batches):
         for batch in batches:
             for i, tokens in enumerate(batch.column("tokens").to_pylist()):
                 kmers = _kmers_of(tokens)
                 order = np.lexsort((kmers, frequency[(kmers % np.uint64(SLOTS)).astype(np.int64)]))
-                first = kmers[order[:needed(len(tokens) // 4, similarity)]].astype(np.int64)
-                row = batch.slice(i, 1).select(["rep", "n_words", "component"])
-                own = mix(np.array(row.column(0).to_pylist(), np.int64).astype(np.uint64) + np.uint64(1)).astype(np.int64)
+                first = kmers[order[:needed(len(tokens) // 4, similarity)]]
+                row = batch.slice(i, 1)
+                own = mix(np.array(row.column("rep").to_pylist(), np.int64).astype(np.uint64) + np.uint64(1))
+                pair = np.stack([first, np.concatenate([own, first[:-1]])]).astype(np.int64)
+                if seen is None:
+                    yield pa.RecordBatch.from_arrays([pa.array(x) for x in pair], names=["kmer", "before"])
+                    continue
+                bit = first % np.uint64(SEEN_BITS)
+                pair = pair[:, (seen[(bit >> np.uint64(6)).astype(np.int64)] >> (bit & np.uint64(63)) & np.uint64(1)).astype(bool)]
+                again = pa.array(np.zeros(pair.shape[1], np.int64))
+                own_columns = ["rep", "n_words", "component", "tokens"]
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(first), pa.array(np.concatenate([own, first[:-1]])),
-                     *[row.column(c).take(pa.array(np.zeros(len(first), np.int64))) for c in range(3)]],
-                    names=["kmer", "before", "rep", "n_words", "component"])
+                    [*(pa.array(x) for x in pair), *(row.column(c).take(again) for c in own_columns)],
+                    names=["kmer", "before", *own_columns])
+
+    return run
+
+
+def _bits_of(kmers: DataFrame) -> np.ndarray:
+    """The bit set of the k-mers by their last bits; SEEN_BITS / 64 rows are collected at most."""
+    bit = F.pmod(F.col("kmer"), F.lit(SEEN_BITS))  # as the unsigned remainder: SEEN_BITS divides 2 ** 64
+    one = F.call_function("shiftleft", F.lit(1).cast("long"), (bit % 64).cast("int"))
+    held = kmers.select(F.shiftright(bit, 6).alias("word"), one.alias("b")).groupBy("word").agg(F.bit_or("b").alias("b")).collect()
+    seen = np.zeros(SEEN_BITS // 64, np.uint64)
+    for r in held:
+        seen[r["word"]] = np.int64(r["b"]).astype(np.uint64)
+    return seen
+
+
+def _linked_within(similarity: float):
+    """Links (a, b) between the texts of block x and of block y of one k-mer; of texts that
+    links found here connect already, no more are looked for."""
+    def run(key, table):
+        x, y = key[1].as_py(), key[2].as_py()
+        rep, before, block, size = (table.column(c).to_numpy() for c in ("rep", "before", "block", "n_words"))
+        group = table.column("component").to_numpy().copy()
+        tokens = [np.frombuffer(t, "<u4") for t in table.column("tokens").to_pylist()]
+        sets: dict[int, np.ndarray] = {}
+
+        def words_of(i: int) -> np.ndarray:
+            if i not in sets:
+                sets[i] = counted(tokens[i])
+            return sets[i]
+
+        links = []
+        at = np.arange(len(rep))
+        for i in np.flatnonzero(block == x):
+            open_ = (block == y) & (before != before[i])
+            open_ &= np.minimum(size, size[i]) >= similarity * np.maximum(size, size[i]) - 1e-9
+            if x == y:
+                open_ &= at > i
+            for j in np.flatnonzero(open_ & (group != group[i])):
+                if group[j] == group[i]:
+                    continue
+                most = allowed(int(size[i]), int(size[j]), similarity)
+                if least_edits(words_of(i), words_of(j)) <= most and edit_distance(tokens[i], tokens[j], most) <= most:
+                    links.append((min(rep[i], rep[j]), max(rep[i], rep[j])))
+                    group[group == group[j]] = group[i]
+        found = np.array(links, np.int64).reshape(-1, 2)
+        return pa.table({"a": found[:, 0], "b": found[:, 1]})
 
     return run
 
 
-def _sharing_rare_kmers(crowd: DataFrame, similarity: float, near, most: int) -> DataFrame | None:
-    """Pairs (a, b) of texts of different components that share a k-mer among each one's
-    rarest; all that can link are among them. None if they meet more than ``most`` times,
-    as they do where few words make up all texts.
+def _links_by_rare_kmers(crowd: DataFrame, similarity: float, most: int) -> DataFrame | None:
+    """Links (a, b) that join all texts of different components that link, found among those
+    that share a k-mer among each one's rarest; all that can link do. None if they meet more
+    than ``most`` times, as they do where few words make up all texts.
 
     ``crowd``: rep, n_words, component, tokens. A passage that many texts share is common
     to all of them and so is mostly not what they meet by. Where it is, texts that hold the
-    same k-mer next before (``before``, in the order by rarity; a number of its own for
-    the first) share that one too, so only texts with different ones need to meet here:
-    they have no earlier k-mer in common, or meet there again.
+    same k-mer next before (in the order by rarity) share that one too, so only texts with
+    different ones need to meet here: they have no earlier k-mer in common, or meet there again.
+
+    The texts of a k-mer with over ``BLOCK`` of them are dealt into blocks, those with the
+    commonest ``before`` (which need no comparison among themselves) apart from the others,
+    and each pair of blocks is one group. Pairs are compared where they meet: only links leave the task.
     """
-    counted = crowd.mapInArrow(_frequencies, "slot long, n long").groupBy("slot").agg(F.sum("n").alias("n")).collect()
+    spread = crowd.repartition("rep")  # read from files it would lie in few tasks
+    totals = spread.mapInArrow(_frequencies, "slot long, n long").groupBy("slot").agg(F.sum("n").alias("n")).collect()
     frequency = np.zeros(SLOTS, np.int64)  # at most SLOTS rows are collected
-    for r in counted:
+    for r in totals:
         frequency[r["slot"]] = r["n"]
-    keys = store(crowd.mapInArrow(
-        _rarest(frequency, similarity), "kmer long, before long, rep long, n_words int, component long"), "order-minhash-rare")
-    sides = keys.groupBy("kmer", "before").agg(F.count("*").alias("n"))
-    sizes = sides.groupBy("kmer").agg(F.sum("n").alias("n"), F.sum(F.col("n") * F.col("n")).alias("own"))
-    if (sizes.agg(F.sum(F.col("n") * F.col("n") - F.col("own"))).first()[0] or 0) > 2 * most:
-        discard(keys)
+    sides = spread.mapInArrow(_rarest(frequency, similarity), "kmer long, before long") \
+        .groupBy("kmer", "before").agg(F.count("*").alias("n"))
+    shared = store(
+        sides.groupBy("kmer").agg(F.sum("n").alias("n"), F.sum(F.col("n") * F.col("n")).alias("own"), F.count("*").alias("sides"),
+                                  F.max(F.struct("n", "before")).alias("major")).filter("sides > 1")
+        .select("kmer", "n", "own", F.col("major.n").alias("n_major"), F.col("major.before").alias("major")), "order-minhash-shared")
+    if (shared.agg(F.sum(F.col("n") * F.col("n") - F.col("own"))).first()[0] or 0) > 2 * most:
+        discard(shared)
         return None
-    side = sides.select("kmer", "before")
-    met = side.join(side.withColumnRenamed("before", "other"), "kmer").filter("before < other")
-    x = keys.select("kmer", "before", F.col("rep").alias("a"), F.col("n_words").alias("n_a"), F.col("component").alias("c_a"))
-    y = keys.select("kmer", F.col("before").alias("other"), F.col("rep").alias("b"), F.col("n_words").alias("n_b"), F.col("component").alias("c_b"))
-    pairs = met.join(x, ["kmer", "before"]).join(y, ["kmer", "other"]) \
-        .filter((F.col("c_a") != F.col("c_b")) & near(F.col("n_a"), F.col("n_b"))) \
-        .select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
-    found = store(pairs, "order-minhash-met")
-    discard(keys)
-    return found
+    rows = spread.mapInArrow(_rarest(frequency, similarity, _bits_of(shared.select("kmer"))),
+                             "kmer long, before long, rep long, n_words int, component long, tokens binary").join(shared, "kmer")
+    whole = F.col("n") <= BLOCK
+    majors = F.ceil(F.col("n_major") / BLOCK).cast("int")
+    minors = F.ceil((F.col("n") - F.col("n_major")) / BLOCK).cast("int")
+    dealt = F.xxhash64("rep")
+    of_major = ~whole & (F.col("before") == F.col("major"))
+    block = F.when(whole, 0).when(of_major, minors + F.pmod(dealt, majors)).otherwise(F.pmod(dealt, minors)).cast("int")
+    others = F.when(whole, F.array(F.lit(0))).when(of_major, F.sequence(F.lit(0), minors - 1)).otherwise(F.sequence(F.lit(0), minors + majors - 1))
+    meetings = rows.withColumn("block", block).withColumn("other", F.explode(others)) \
+        .select("kmer", F.least("block", "other").alias("x"), F.greatest("block", "other").alias("y"),
+                "block", "before", "rep", "n_words", "component", "tokens")
+    links = store(meetings.groupBy("kmer", "x", "y").applyInArrow(_linked_within(similarity), "a long, b long"), "order-minhash-met")
+    discard(shared)
+    return links
 
 
 # scripts that are written without spaces: each of their characters is a word
@@ -425,6 +525,9 @@ def _classed(docs: DataFrame, similarity: float) -> DataFrame:
     def tried(pairs: DataFrame) -> DataFrame:
         return store(_verified(pairs.distinct(), reps, similarity), "order-minhash-links")
 
+    def joined(edges: DataFrame, links: DataFrame) -> DataFrame:
+        return oriented(edges.toDF("a", "b").unionByName(links))
+
     def known(rows: DataFrame) -> DataFrame:
         """``rows`` with the components that their members and pivots are in so far."""
         return rows.join(found.withColumnRenamed("node", "rep"), "rep", "left") \
@@ -433,10 +536,11 @@ def _classed(docs: DataFrame, similarity: float) -> DataFrame:
             .withColumn("pivot_component", F.coalesce("pivot_component", "pivot"))
 
     pair = F.col("rep").alias("a"), F.col("pivot").alias("b")
-    links = tried(stars.filter(F.col("sketch") % PIVOTS == 0).select(*pair))  # a quarter joins most of what belongs together
-    found = components(links)
-    links = links.unionByName(tried(known(stars).filter("component != pivot_component").select(*pair)))
-    found = components(links)
+    # a quarter joins most of what belongs together; what two rounds of hooking do not see as joined is only compared once more
+    edges = hooked(hooked(oriented(tried(stars.filter(F.col("sketch") % PIVOTS == 0).select(*pair)))))
+    found = labels(edges)
+    edges = hooked(joined(edges, tried(known(stars).filter("component != pivot_component").select(*pair))))
+    found = labels(edges)
     placed = store(known(shared), "order-minhash-known")
     sizes = placed.groupBy("sketch", "bucket").agg(
         F.count("*").alias("members"), F.count_if(F.col("component") != F.col("pivot_component")).alias("apart")).filter("apart > 0")
@@ -447,7 +551,7 @@ def _classed(docs: DataFrame, similarity: float) -> DataFrame:
     met = None
     if not crowd.isEmpty():
         pairs = open_.filter("crowded and component != pivot_component").agg(F.sum("members")).first()[0] or 0
-        met = _sharing_rare_kmers(store(crowd.join(reps.select("rep", "tokens"), "rep"), "order-minhash-crowd"), similarity, near, pairs)
+        met = _links_by_rare_kmers(store(crowd.join(reps.select("rep", "tokens"), "rep"), "order-minhash-crowd"), similarity, pairs)
     few = open_.filter("not crowded") if met is not None else open_
     apart = few.filter("component != pivot_component").alias("y")
     rest = apart.join(few.alias("x"), ["sketch", "bucket"]).filter(
@@ -455,11 +559,8 @@ def _classed(docs: DataFrame, similarity: float) -> DataFrame:
         & (F.col("x.rep") != F.col("y.pivot"))
         & ((F.col("x.component") == F.col("y.pivot_component")) | (F.col("x.rep") < F.col("y.rep")))
     ).select(F.col("y.rep").alias("a"), F.col("x.rep").alias("b"))
-    if met is not None:
-        rest = rest.unionByName(met)
-    more = tried(rest)
-    if more.take(1):
-        found = components(links.unionByName(more))
+    more = tried(rest) if met is None else tried(rest).unionByName(met)
+    found = settled(joined(edges, more))
     placed = reps.select(*same, "first", "rep").join(found.withColumnRenamed("node", "rep"), "rep", "left") \
         .select(*same, "first", F.coalesce("component", "rep").alias("component"))
     least = placed.groupBy("component").agg(F.min("first").alias("class"))

@@ -283,28 +283,40 @@ def test_a_repeat_changes_no_other_kmer():
     assert len(set(om.labelled_kmers(b).tolist())) == len(b) - om.K + 1
 
 
-def test_pairs_by_rare_kmers_are_those_that_share_one(spark):
+def joined(pairs, n):
+    label = list(range(n))
+    for a, b in pairs:
+        label = [label[a] if x == label[b] else x for x in label]
+    return {frozenset(i for i in range(n) if label[i] == x) for x in label}
+
+
+@pytest.mark.parametrize("block", [4, 16, 256])
+def test_links_by_rare_kmers_join_all_that_link(spark, monkeypatch, block):
+    monkeypatch.setattr(om, "BLOCK", block)  # down to groups of several blocks a k-mer
     rng = np.random.default_rng(11)
     passage = rng.integers(1, 1 << 32, 70, dtype=np.uint64)
     texts = [np.concatenate([rng.integers(1, 60, int(rng.integers(0, 40)), dtype=np.uint64), passage[int(rng.integers(0, 20)):]])
              for _ in range(70)]
     texts += [np.where(rng.random(len(t)) < 0.08, np.uint64(5), t) for t in texts[:20]] + [texts[3], texts[3]]
+    texts += [rng.integers(1, 1 << 32, 90, dtype=np.uint64) for _ in range(20)]
+    texts += [np.where(rng.random(len(t)) < 0.05, np.uint64(6), t) for t in texts[-20:-10]]
     rows = [(i, len(t), i // 2, t.astype("<u4").tobytes()) for i, t in enumerate(texts)]
     crowd = spark.createDataFrame(rows, "rep long, n_words int, component long, tokens binary")
-    near = lambda x, y: F.least(x, y) >= 0.8 * F.greatest(x, y) - 1e-9
-    got = om._sharing_rare_kmers(crowd, 0.8, near, 10**9).collect()
-
-    kmers = [om._kmers_of(r[3]) for r in rows]
-    slots = np.bincount(np.concatenate(kmers).astype(np.uint64) % np.uint64(om.SLOTS), minlength=om.SLOTS)
-    first = []
-    for k, r in zip(kmers, rows):
-        order = sorted(k.tolist(), key=lambda x: (slots[x % om.SLOTS], x))
-        first.append(set(order[:om.needed(r[1], 0.8)]))
-    apart = [(a, b) for a in range(len(rows)) for b in range(a + 1, len(rows))
-             if a // 2 != b // 2 and min(rows[a][1], rows[b][1]) >= 0.8 * max(rows[a][1], rows[b][1]) - 1e-9]
-    assert len(got) == len({tuple(r) for r in got})
-    assert {tuple(r) for r in got} == {p for p in apart if first[p[0]] & first[p[1]]}
-    links = {(a, b) for a, b in apart
-             if om.edit_distance(texts[a].astype(np.uint32), texts[b].astype(np.uint32), len(passage)) <= om.allowed(rows[a][1], rows[b][1], 0.8)}
-    assert len(links) > 100 and links <= {tuple(r) for r in got}
-    assert om._sharing_rare_kmers(crowd, 0.8, near, 0) is None
+    got = [tuple(r) for r in om._links_by_rare_kmers(crowd, 0.8, 10**9).collect()]
+
+    def link(a, b):
+        most = om.allowed(len(a), len(b), 0.8)
+        return om.edit_distance(a.astype(np.uint32), b.astype(np.uint32), most) <= most
+
+    links = {(a, b) for a in range(len(rows)) for b in range(a + 1, len(rows)) if link(texts[a], texts[b])}
+    known = [(i, i + 1) for i in range(0, len(rows) - 1, 2)]
+    assert len(links) > 100 and set(got) <= links
+    assert joined(got + known, len(rows)) == joined([*links, *known], len(rows)) != joined(known, len(rows))
+    assert om._links_by_rare_kmers(crowd, 0.8, 0) is None
+
+
+def test_kmers_that_other_texts_show_pass_the_bit_set(spark):
+    kmers = [0, 1, -1, 63, 64, -(1 << 63), (1 << 63) - 1, om.SEEN_BITS, -om.SEEN_BITS - 7]
+    seen = om._bits_of(spark.createDataFrame([(k,) for k in kmers], "kmer long"))
+    bits = {(k % (1 << 64)) % om.SEEN_BITS for k in kmers}
+    assert {64 * int(w) + b for w in np.flatnonzero(seen) for b in range(64) if int(seen[w]) >> b & 1} == bits
