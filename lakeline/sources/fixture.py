@@ -7,8 +7,8 @@ becomes a trip; line items of every 50th order appear twice, which gives
 exact duplicates; a few formulas push rows into each rejection rule.
 
 Row positions inside a "file" follow a fixed total order and are computed
-with :func:`position_within`, so a file that holds most rows is still spread
-over many tasks.
+by ranges (:mod:`lakeline.operators.positions`), so a file that holds most rows is
+still spread over many tasks.
 """
 
 from __future__ import annotations
@@ -16,12 +16,14 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lakeline.operators.positions import position_within
-from lakeline.session import scratch_path
+from lakeline.config import BRONZE_CONTRACT
+from lakeline.operators.positions import Ranged, store_ranged
 from lakeline.sources.landing import source_period
 
-# (application id, sf_dir, lineitem mtime) -> folder of the written bronze rows
-_MATERIALIZED: dict[tuple, str] = {}
+# (application id, sf_dir, lineitem mtime) -> the written bronze rows
+_MATERIALIZED: dict[tuple, Ranged] = {}
+
+ROWS_PER_RANGE = 1 << 18  # sorted in memory by one task
 
 LINEITEM_ORDER = [
     "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_shipdate", "l_quantity",
@@ -42,18 +44,15 @@ def _landing_name() -> F.Column:
     )
 
 
-def trips_bronze(spark: SparkSession, sf_dir: str, num_partitions: int | None = None) -> DataFrame:
-    """Bronze-shaped trips (contract columns + deterministic lineage)."""
-    li = read_table(spark, sf_dir, "lineitem").select(
-        *LINEITEM_ORDER,
-        # physical position in the table: a tie-breaker for identical line items
-        F.col("_metadata.file_path").alias("_li_file"),
-        F.col("_metadata.row_index").alias("_li_row"),
-    )
+def _store_trips(spark: SparkSession, sf_dir: str, num_partitions: int | None = None) -> Ranged:
+    """The trips' rows in file order, shuffled once as line items and stored as trips."""
+    table = read_table(spark, sf_dir, "lineitem")
+    n = num_partitions or max(spark.sparkContext.defaultParallelism, -(-table.count() // ROWS_PER_RANGE))
+    # the physical row spreads many identical line items over ranges; any order among them
+    # gives the same trips
+    li = table.select(*LINEITEM_ORDER, F.col("_metadata.row_index").alias("_li_row"))
     copies = F.when(F.col("l_orderkey") % 50 == 0, F.array(F.lit(0), F.lit(1))).otherwise(F.array(F.lit(0)))
     li = li.withColumn("copy", F.explode(copies)).withColumn("_source_file", _landing_name())
-    li = position_within(li, "_source_file", [*LINEITEM_ORDER, "copy", "_li_file", "_li_row"],
-                         "_source_row_number", num_partitions=num_partitions)
 
     ship = F.col("l_shipdate")
     pk, ok = F.col("l_partkey"), F.col("l_orderkey")
@@ -62,8 +61,7 @@ def trips_bronze(spark: SparkSession, sf_dir: str, num_partitions: int | None =
     ride_secs = ((F.col("l_quantity") - 1) * 75 * F.col("l_linenumber")).cast("long")
     fare = price / F.lit(50.0)
     tip = disc * F.lit(10.0)
-    period = source_period("_source_file")
-    return li.select(
+    trips = [
         (F.col("l_suppkey") % 8).alias("vendorid"),
         F.when(pk % 89 == 0, F.lit(None)).otherwise(F.timestamp_add("SECOND", start_secs, ship))
         .cast("timestamp_ntz").alias("tpep_pickup_datetime"),
@@ -85,12 +83,24 @@ def trips_bronze(spark: SparkSession, sf_dir: str, num_partitions: int | None =
         F.lit(None).cast("double").alias("congestion_surcharge"),
         F.lit(None).cast("double").alias("airport_fee"),
         F.col("_source_file"),
-        F.col("_source_row_number"),
-        F.coalesce(F.add_months(period, 1), F.lit("2002-01-01").cast("date"))
-        .cast("timestamp_ntz").alias("_source_modified_at"),
-        period.alias("_source_period"),
-        F.concat(F.lit("batch-"), (F.coalesce(F.month(period), F.lit(0)) % 3).cast("string")).alias("_batch_id"),
-    )
+    ]
+    return store_ranged(li, "_source_file", [*LINEITEM_ORDER, "copy", "_li_row"], n, trips, "trips-bronze")
+
+
+def _stored_trips(spark: SparkSession, stored: Ranged) -> DataFrame:
+    """The contract columns as stored, lineage from the file's name once for each file and range."""
+    period = source_period("_source_file")
+    return stored.numbered(spark, "_source_row_number", {
+        "_source_modified_at": F.coalesce(F.add_months(period, 1), F.lit("2002-01-01").cast("date")).cast("timestamp_ntz"),
+        "_source_period": period,
+        "_batch_id": F.concat(F.lit("batch-"), (F.coalesce(F.month(period), F.lit(0)) % 3).cast("string")),
+    }).select(*[n for n, _ in BRONZE_CONTRACT],
+              "_source_file", "_source_row_number", "_source_modified_at", "_source_period", "_batch_id")
+
+
+def trips_bronze(spark: SparkSession, sf_dir: str, num_partitions: int | None = None) -> DataFrame:
+    """Bronze-shaped trips (contract columns + deterministic lineage)."""
+    return _stored_trips(spark, _store_trips(spark, sf_dir, num_partitions))
 
 
 def _input_version(spark: SparkSession, sf_dir: str) -> str:
@@ -110,12 +120,9 @@ def trips_bronze_table(spark: SparkSession, sf_dir: str) -> DataFrame:
     changes or the application restarts.
     """
     key = (spark.sparkContext.applicationId, sf_dir.rstrip("/"), _input_version(spark, sf_dir))
-    path = _MATERIALIZED.get(key)
-    if path is None:
-        path = scratch_path(spark, "trips-bronze")
-        trips_bronze(spark, sf_dir).write.parquet(path)
-        _MATERIALIZED[key] = path
-    return spark.read.parquet(path)
+    if key not in _MATERIALIZED:
+        _MATERIALIZED[key] = _store_trips(spark, sf_dir)
+    return _stored_trips(spark, _MATERIALIZED[key])
 
 
 def drifted_deliveries(bronze: DataFrame, lineage: bool = True) -> list[DataFrame]:
