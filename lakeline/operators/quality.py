@@ -72,6 +72,7 @@ def typed_trips(bronze: DataFrame) -> DataFrame:
 
 FILTER_BYTES = 32 << 20  # of the Bloom filter that every executor gets
 _WORD_BYTES = 32  # of a word in a broadcast table
+_ROWS_PER_RANGE = 1 << 16  # of the rows that may repeat, put in order again
 _BITS = 4  # bits of a hash in its word
 _BITS_PER_HASH = 16  # of the filter
 
@@ -176,7 +177,7 @@ def flag_repeats(df: DataFrame, keys: list[str], order: str, out: str,
         """Write ``frame`` to the shared scratch folder; return it and its row count."""
         path = scratch_path(spark, name) if scratch is None else f"{scratch}/{name}-{id(frame):x}"
         written = Observation(name)  # counted while writing: no second job
-        frame.observe(written, F.count(F.lit(1)).alias("n")).write.parquet(path)
+        frame.observe(written, F.count(F.lit(1)).alias("n")).write.option("compression", "zstd").parquet(path)
         return spark.read.parquet(path), int(written.get["n"])
 
     limit = _broadcast_limit_bytes(df) if broadcast_bytes is None else broadcast_bytes
@@ -185,43 +186,40 @@ def flag_repeats(df: DataFrame, keys: list[str], order: str, out: str,
     # hash is unique has unique keys, so it cannot repeat.
     key_hash = _key_hash(df, keys)
     hashes, n_hashes = stored(repeat_hashes(df, keys), "repeat-hashes")
-    if n_hashes * 24 <= limit:
+    cond = F.lit(True)
+    for k in keys:
+        cond = cond & F.col(k).eqNullSafe(F.col(f"_g_{k}"))
+
+    def grouped(candidates: DataFrame) -> DataFrame:
+        return repeat_groups(candidates, keys, order).select(*[F.col(k).alias(f"_g_{k}") for k in keys], "_first_order")
+
+    # There are hardly more groups than hashes, so the hashes tell whether they fit.
+    width = _row_width(df.select(*keys, order).schema)
+    if n_hashes * width <= limit:
         # Phase 2 on the candidates only (copies, plus rare hash collisions):
         # exact groups, so collisions never flag a row.
-        candidates = df.join(F.broadcast(hashes), key_hash == F.col("_rh"), "left_semi")
-    else:
-        table, place = _words(hashes, n_hashes, filter_bytes)
-        word, mask = place(key_hash)
-        candidates = df.withColumns({"_word": word, "_mask": mask}).join(F.broadcast(table), "_word") \
-            .where(F.col("_set").bitwiseAND(F.col("_mask")) == F.col("_mask"))
-    groups, n = stored(repeat_groups(candidates, keys, order), "repeat-groups")
-    width = _row_width(groups.schema)
-    right = groups.select(*[F.col(k).alias(f"_g_{k}") for k in keys], "_first_order")
-    if n * width <= limit:
-        cond = F.lit(True)
-        for k in keys:
-            cond = cond & F.col(k).eqNullSafe(F.col(f"_g_{k}"))
-        return _flagged(df.join(F.broadcast(right), cond, "left"), keys, order, out)
+        groups, n = stored(grouped(df.join(F.broadcast(hashes), key_hash == F.col("_rh"), "left_semi")), "repeat-groups")
+        if n * width <= limit:
+            return _flagged(df.join(F.broadcast(groups), cond, "left"), keys, order, out)
 
     # Phase 3, too many groups to broadcast: only candidate rows are shuffled. A filter of
     # bounded size over the repeated hashes tells, row by row and in place, which rows may
     # repeat; the others are first of their keys and stay in the tasks that read them.
     table, place = _words(hashes, n_hashes, filter_bytes)
+    words, _ = stored(table, "repeat-words")
     word, mask = place(key_hash)
-    tested = df.withColumns({"_word": word, "_mask": mask}).join(F.broadcast(table.withColumnRenamed("_word", "_w")),
+    tested = df.withColumns({"_word": word, "_mask": mask}).join(F.broadcast(words.withColumnRenamed("_word", "_w")),
                                                                  F.col("_word") == F.col("_w"), "left")
     may_repeat = F.coalesce(F.col("_set").bitwiseAND(F.col("_mask")) == F.col("_mask"), F.lit(False))
     single = tested.where(~may_repeat).select(*df.columns, F.lit(False).alias(out))
-    rows, _ = stored(tested.where(may_repeat).select(*df.columns), "repeat-candidates")
-    cond = F.lit(True)
-    for k in keys:
-        cond = cond & F.col(k).eqNullSafe(F.col(f"_g_{k}"))
+    rows, n_rows = stored(tested.where(may_repeat).select(*df.columns), "repeat-candidates")
+    # the groups come from the stored candidates: the input is not read for them;
     # a hot group of copies is split by AQE over several tasks
-    repeats = _flagged(rows.join(right, cond, "left"), keys, order, out)
+    repeats = _flagged(rows.join(grouped(rows), cond, "left"), keys, order, out)
     # The join scattered each unit (the first key, e.g. a file) over all tasks; ranges of
     # (first key, order) put contiguous slices of one or two units per task again, so
     # partitioned writes stay few large files, and a hot unit still spans many tasks.
-    n_parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    n_parts = min(int(spark.conf.get("spark.sql.shuffle.partitions")), n_rows // _ROWS_PER_RANGE + 1)
     return single.unionByName(repeats.repartitionByRange(n_parts, keys[0], order))
 
 
@@ -296,12 +294,34 @@ SILVER_COLUMNS = [
 ]
 
 
-def silver_valid(classified: DataFrame) -> DataFrame:
-    """Rows that pass every rule, in the silver layout."""
-    derived = {
+REJECTED_COLUMNS = [
+    "_reject_reason", "trip_id", "vendor_id", "pickup_at", "dropoff_at", "trip_duration_seconds",
+    "passenger_count", "trip_distance_miles", "rate_code_id", "is_store_and_forward",
+    "pickup_location_id", "dropoff_location_id", "payment_type_id", "fare_amount", "extra_amount",
+    "mta_tax_amount", "tip_amount", "tolls_amount", "improvement_surcharge_amount",
+    "congestion_surcharge_amount", "airport_fee_amount", "total_amount",
+    "_source_file", "_source_row_number", "_source_period", "_batch_id",
+]
+
+
+def _derived() -> dict[str, Column]:
+    return {
         "pickup_date": F.to_date("pickup_at"),
         "trip_duration_minutes": round2_decimal(F.col("trip_duration_seconds") / F.lit(60.0)),
     }
+
+
+def both_halves(classified: DataFrame) -> DataFrame:
+    """The classified rows for one table with both halves: ``half`` is ``valid`` or
+    ``rejected``, and valid rows have the columns that silver adds."""
+    valid = F.col("_reject_reason").isNull()
+    return classified.withColumns({c: F.when(valid, e) for c, e in _derived().items()} | {
+        "half": F.when(valid, F.lit("valid")).otherwise(F.lit("rejected"))})
+
+
+def silver_valid(classified: DataFrame) -> DataFrame:
+    """Rows that pass every rule, in the silver layout."""
+    derived = _derived()
     return classified.where(F.col("_reject_reason").isNull()).select(
         *[derived[c].alias(c) if c in derived else F.col(c) for c in SILVER_COLUMNS]
     )
