@@ -10,10 +10,13 @@ keys that the classification needs.
 
 from __future__ import annotations
 
+from collections.abc import Callable, Iterator
+from contextlib import contextmanager
 from functools import cached_property
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from lakeline.config import (
     AIRPORT_LOCATION_IDS,
@@ -26,11 +29,11 @@ from lakeline.config import (
     Thresholds,
 )
 from lakeline.operators import dims, facts, quality
-from lakeline.session import scratch_path
+from lakeline.session import compile_wide_rows, scratch_path
 from lakeline.sources.fixture import _input_version, read_table, trips_bronze_table
 
-# (application id, sf_dir, lineitem version, thresholds) -> stored layer folders
-_STORED: dict[tuple, dict[str, str]] = {}
+# (application id, sf_dir, lineitem version, thresholds) -> folder and schema of each stored layer
+_STORED: dict[tuple, dict[str, tuple[str, StructType]]] = {}
 
 
 def zones_from_tables(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -79,6 +82,7 @@ class TripModels:
                  **tables: DataFrame):
         """``tables`` replaces layers by already built ones (e.g. written
         tables read back: ``bronze=..., silver=..., fact=...``)."""
+        compile_wide_rows(spark)
         self.spark = spark
         self.sf_dir = sf_dir
         self.thresholds = thresholds
@@ -139,47 +143,108 @@ class TripModels:
         }[which]
         return dims.code_list(self.spark, rows, id_col, name_col)
 
+    def _code_dim(self, which: str) -> DataFrame:
+        return dims.complete_code_dim(self.known_codes(which), self.silver, f"{which}_id", f"{which}_name",
+                                      f"Unknown {which.replace('_', ' ')} ")
+
+    @cached_property
+    def dim_vendor(self) -> DataFrame:
+        return self._code_dim("vendor")
+
+    @cached_property
+    def dim_rate_code(self) -> DataFrame:
+        return self._code_dim("rate_code")
+
+    @cached_property
+    def dim_payment_type(self) -> DataFrame:
+        return self._code_dim("payment_type")
+
+
+class StoredTripModels(TripModels):
+    """Models whose layers are stored tables, each written when it is first used.
+
+    The classification is written once as one table with both silver halves, fact is
+    projected from the stored silver, and summary and dimensions are stored tables built
+    from those two, so a query on gold reads gold tables only, and a query on silver
+    does not wait for gold.
+    """
+
+    def __init__(self, spark: SparkSession, sf_dir: str, thresholds: Thresholds, schemas: dict[str, tuple[str, StructType]]):
+        super().__init__(spark, sf_dir, thresholds)
+        self._schemas = schemas  # layer -> folder and schema
+
+    def _stored(self, name: str, build: Callable[[], DataFrame], partition_by: str | None = None) -> DataFrame:
+        if name not in self._schemas:
+            layer, path = build(), scratch_path(self.spark, f"trips-{name}")
+            out = layer.write.option("compression", "zstd")
+            (out.partitionBy(partition_by) if partition_by else out).parquet(path)
+            self._schemas[name] = path, layer.schema
+        path, schema = self._schemas[name]
+        return self.spark.read.schema(schema).parquet(path)
+
+    @cached_property
+    def _halves(self) -> DataFrame:
+        with _open_halves(self.spark):
+            return self._stored("halves", lambda: quality.both_halves(self.classified), "half")
+
+    @cached_property
+    def silver(self) -> DataFrame:
+        return self._halves.where(F.col("half") == "valid").select(*quality.SILVER_COLUMNS)
+
+    @cached_property
+    def rejected(self) -> DataFrame:
+        return self._halves.where(F.col("half") == "rejected").select(*quality.REJECTED_COLUMNS)
+
+    @cached_property
+    def fact(self) -> DataFrame:
+        return self._stored("fact", lambda: facts.fact_trips(self.silver))
+
+    @cached_property
+    def daily_zone_summary(self) -> DataFrame:
+        return self._stored("daily_zone_summary", lambda: facts.fact_daily_zone_summary(self.fact))
+
+    @cached_property
+    def dim_date(self) -> DataFrame:
+        return self._stored("dim_date", lambda: dims.dim_date(self.silver))
+
+    @cached_property
+    def dim_location(self) -> DataFrame:
+        return self._stored("dim_location", lambda: dims.dim_location(self.zones))
+
+    def _stored_code_dim(self, which: str) -> DataFrame:
+        return self._stored(f"dim_{which}", lambda: self._code_dim(which))
+
     @cached_property
     def dim_vendor(self) -> DataFrame:
-        return dims.complete_code_dim(self.known_codes("vendor"), self.silver,
-                                      "vendor_id", "vendor_name", "Unknown vendor ")
+        return self._stored_code_dim("vendor")
 
     @cached_property
     def dim_rate_code(self) -> DataFrame:
-        return dims.complete_code_dim(self.known_codes("rate_code"), self.silver,
-                                      "rate_code_id", "rate_code_name", "Unknown rate code ")
+        return self._stored_code_dim("rate_code")
 
     @cached_property
     def dim_payment_type(self) -> DataFrame:
-        return dims.complete_code_dim(self.known_codes("payment_type"), self.silver,
-                                      "payment_type_id", "payment_type_name", "Unknown payment type ")
+        return self._stored_code_dim("payment_type")
 
 
-STORED_GOLD = ["daily_zone_summary", "dim_date", "dim_location", "dim_vendor", "dim_rate_code", "dim_payment_type"]
+@contextmanager
+def _open_halves(spark: SparkSession) -> Iterator[None]:
+    """Tasks keep a file open for each half instead of sorting their rows by it (as they
+    would from as many open files on as the setting says)."""
+    key = "spark.sql.maxConcurrentOutputFileWriters"
+    before = spark.conf.get(key, None)
+    spark.conf.set(key, "4")
+    try:
+        yield
+    finally:
+        spark.conf.set(key, before) if before is not None else spark.conf.unset(key)
 
 
 def stored_models(spark: SparkSession, sf_dir: str, thresholds: Thresholds = DEFAULT_THRESHOLDS) -> TripModels:
     """Models whose layers are stored tables, as in the pipeline.
 
-    The layers are written once per session below the shared checkpoint folder:
-    the classification is written once and feeds both silver halves, fact is
-    projected from the stored silver, and summary and dimensions are built from
-    those two, so a query on gold reads gold tables only.
+    A layer is written below the shared checkpoint folder when it is first used and
+    read by all later models of the session over the same input.
     """
     key = (spark.sparkContext.applicationId, sf_dir.rstrip("/"), _input_version(spark, sf_dir), thresholds)
-    paths = _STORED.get(key)
-    if paths is None:
-        base = scratch_path(spark, "trips-layers")
-        paths = {n: f"{base}/{n}" for n in ("silver", "rejected", "fact", *STORED_GOLD)}
-        TripModels(spark, sf_dir, thresholds).classified.write.parquet(f"{base}/classified")
-        classified = spark.read.parquet(f"{base}/classified")
-        quality.silver_valid(classified).write.parquet(paths["silver"])
-        quality.silver_rejected(classified).write.parquet(paths["rejected"])
-        silver = spark.read.parquet(paths["silver"])
-        facts.fact_trips(silver).write.parquet(paths["fact"])
-        m = TripModels(spark, sf_dir, thresholds, silver=silver, fact=spark.read.parquet(paths["fact"]))
-        for name in STORED_GOLD:
-            getattr(m, name).write.parquet(paths[name])
-        _STORED[key] = paths
-    return TripModels(spark, sf_dir, thresholds, bronze=trips_bronze_table(spark, sf_dir),
-                      **{n: spark.read.parquet(p) for n, p in paths.items()})
+    return StoredTripModels(spark, sf_dir, thresholds, _STORED.setdefault(key, {}))

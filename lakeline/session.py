@@ -11,12 +11,17 @@ from pyspark.sql import SparkSession
 # session has no value yet, so a cluster's own configuration wins.
 _LOCAL_ROOT_KEY = "lakeline.local.checkpointRoot"
 
+# HotSpot never compiles a method of more bytes than this, and the generated loop over rows
+# as wide as trips is longer; beyond the limit Spark runs the stage by smaller methods.
+_CODEGEN_LIMIT = ("spark.sql.codegen.hugeMethodLimit", "8000")
+
 RECOMMENDED_CONF = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.sources.partitionOverwriteMode": "dynamic",
     "spark.sql.parquet.inferTimestampNTZ.enabled": "true",
+    _CODEGEN_LIMIT[0]: _CODEGEN_LIMIT[1],
 }
 
 
@@ -32,6 +37,7 @@ def build_session(master: str = "local[*]", app: str = "lakeline",
         .config("spark.driver.memory", "8g")
         .config("spark.sql.execution.arrow.pyspark.enabled", "true")
         .config("spark.ui.showConsoleProgress", "false")
+        .config("spark.sql.maxMetadataStringLength", "1000")  # plans show whole filters
     )
     for k, v in {**RECOMMENDED_CONF, **(extra or {})}.items():
         builder = builder.config(k, v)
@@ -52,6 +58,14 @@ def submitted_session(app: str = "lakeline") -> SparkSession:
     return spark
 
 
+def compile_wide_rows(spark: SparkSession) -> None:
+    """Let the session's generated code stay within what the JVM compiles, unless its
+    configuration says otherwise. This changes no result, only how long rows take."""
+    key, value = _CODEGEN_LIMIT
+    if spark.sparkContext.getConf().get(key, None) is None:
+        spark.conf.set(key, value)
+
+
 def checkpoint_root(spark: SparkSession) -> str:
     """The shared folder named by ``spark.checkpoint.dir``.
 

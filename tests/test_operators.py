@@ -155,3 +155,29 @@ def test_position_within_matches_row_number_on_random_tables(spark):
             sorted(tuple(r) for r in want.select("row", "pos").collect())
 
     check()
+
+
+def test_ranged_rows_are_stored_once_and_not_shuffled_again(spark):
+    from lakeline.operators.positions import store_ranged
+
+    df = skewed(spark)
+    stored = store_ranged(df, "g", ["k1", "row"], 16, ["g", "row", (F.col("k1") + 1).alias("later")])
+    got = stored.numbered(spark, "pos", {"of_group": F.upper("g")})
+    p = got._jdf.queryExecution().executedPlan().toString()
+    assert "BroadcastHashJoin" in p and "Exchange hashpartitioning" not in p
+    assert got.columns == ["g", "row", "later", "of_group", "pos"]
+    want = df.select("g", "row", (F.col("k1") + 1).alias("later"), F.upper("g").alias("of_group"),
+                     (F.row_number().over(Window.partitionBy("g").orderBy("k1", "row")) - 1).cast("long").alias("pos"))
+    assert got.exceptAll(want).count() == 0 and got.count() == want.count()
+
+
+def test_many_repeats_are_grouped_from_the_stored_candidates(spark):
+    """The input is read for the hashes, for the candidates and for the result, not a fourth time."""
+    from lakeline.session import scratch_path
+
+    path = scratch_path(spark, "repeats-input")
+    skewed(spark).write.parquet(path)
+    got = flag_repeats(spark.read.parquet(path), ["g", "k1", "k2"], "row", "rep", broadcast_bytes=0)
+    p = got._jdf.queryExecution().executedPlan().toString()
+    assert p.count("repeats-input") == 1 and p.count("repeat-candidates") == 2 and "repeat-groups" not in p
+    assert "rangepartitioning(g" not in p  # few rows need one range
