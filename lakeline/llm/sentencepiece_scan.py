@@ -18,6 +18,7 @@ and a chunk's matrix is its first and last, cut, word with a number in between.
 from __future__ import annotations
 
 import re
+import struct
 from collections.abc import Iterator
 from functools import lru_cache
 
@@ -58,8 +59,14 @@ class Pieces:
                 self.score[piece], self.id[piece] = model.get_score(i), i
                 self.text[i] = piece.replace(SPACE, " ").encode()
         self.unknown = min(self.score.values()) - _UNKNOWN_PENALTY
-        # proper beginnings of pieces: after anything else no longer piece fits
-        self.begins = {p[:n] for p in self.score for n in range(1, len(p))}
+        # by character, the score of the piece up to here (-inf: only the beginning of one) and
+        # what may follow; a single character without a piece is unknown
+        self.first: dict[str, tuple[float, dict]] = {}
+        below: dict[str, dict] = {"": self.first}
+        for begun in sorted({p[:n] for p in self.score for n in range(1, len(p) + 1)}):
+            below[begun] = {}
+            missing = self.unknown if len(begun) == 1 else -np.inf
+            below[begun[:-1]][begun[-1]] = self.score.get(begun, missing), below[begun]
         self.reach = max(map(len, self.score))
         if any(SPACE in p.lstrip(SPACE) for p in self.score):
             raise ValueError("a piece goes on past a word's end; such a model cannot be split at words")
@@ -100,20 +107,22 @@ class Pieces:
 
     def word(self, w: str) -> tuple[float, bytes]:
         """Score and ids of one word; the loop of :meth:`forward` on lists, as most time goes here."""
-        n, begins, score, unknown = len(w), self.begins, self.score.get, self.unknown
+        n, first, unknown = len(w), self.first, self.unknown
         best, back = [-np.inf] * (n + 1), [0] * (n + 1)
         best[0] = 0.0
         for at in range(n):
-            here = best[at]
-            total = here + score(w[at:at + 1], unknown)
-            if total > best[at + 1]:
-                best[at + 1], back[at + 1] = total, at
-            end = at + 2
-            while end <= n and w[at:end - 1] in begins:
-                v = score(w[at:end])
-                if v is not None and here + v > best[end]:
-                    best[end], back[end] = here + v, at
+            here, follow, end = best[at], first, at
+            for c in w[at:at + self.reach]:
+                step = follow.get(c)
+                if step is None:
+                    break
+                v, follow = step
+                v += here
                 end += 1
+                if v > best[end]:
+                    best[end], back[end] = v, at
+            if end == at and here + unknown > best[at + 1]:  # no piece begins with this character
+                best[at + 1], back[at + 1] = here + unknown, at
         out: list[int] = []
         end = n
         while end:
@@ -121,7 +130,7 @@ class Pieces:
             i = self.id.get(piece)
             out += [i] if i is not None else [self.byte[b] for b in reversed(piece.encode("utf-8", "replace"))]
             end = back[end]
-        return best[n], np.array(out[::-1], "<i4").tobytes()
+        return best[n], struct.pack(f"<{len(out)}i", *out[::-1])
 
     def encode(self, s: str) -> tuple[float, bytes]:
         """Score and ids of escaped text that begins and ends at a word's boundary."""

@@ -258,3 +258,14 @@ def test_identifiers_must_fit_a_token_file():
     from unittest import mock
     with mock.patch.object(token_files, "TaskContext"), pytest.raises(ValueError, match="does not fit"):
         list(write(iter([batch])))
+
+
+def test_pieces_follow_by_character():
+    """One step a character instead of two slices: every piece, and nothing else, is met on the way."""
+    model = sps.pieces(public_tokenizers.path("piece_bpe_32k.model"))
+    for piece, score in [*model.score.items()][::97]:
+        follow = model.first
+        for c in piece:
+            value, follow = follow[c]
+        assert value == score
+    assert not hasattr(model, "begins") and model.first["▁"][1]
