@@ -33,7 +33,7 @@ from lakeline.llm.tables import store, texts
 SPACE = "▁"
 CHUNK = 65_536  # characters; a longer document is a giant one
 GROUP = 64  # chunks whose matrices are multiplied together
-REMEMBERED = 400_000  # words held by a worker
+REMEMBERED = 100_000  # words held by a worker, and as many older ones
 _UNKNOWN_PENALTY = 10.0
 _WORD = re.compile(f"{SPACE}*[^{SPACE}]+|{SPACE}+")
 
@@ -71,6 +71,7 @@ class Pieces:
         if any(SPACE in p.lstrip(SPACE) for p in self.score):
             raise ValueError("a piece goes on past a word's end; such a model cannot be split at words")
         self.words: dict[str, tuple[float, bytes]] = {}
+        self.older: dict[str, tuple[float, bytes]] = {}
 
     def arcs(self, s: str, at: int):
         """(length, score) of the pieces that begin at ``at``, shortest first."""
@@ -134,14 +135,14 @@ class Pieces:
 
     def encode(self, s: str) -> tuple[float, bytes]:
         """Score and ids of escaped text that begins and ends at a word's boundary."""
-        known = self.words
-        if len(known) > REMEMBERED:
-            known.clear()
+        if len(self.words) > REMEMBERED:  # frequent words come back from the older ones
+            self.words, self.older = {}, self.words
+        known, older = self.words, self.older
         total, parts = 0.0, []
         for w in _WORD.findall(s):
             r = known.get(w)
             if r is None:
-                r = self.word(w)
+                r = older.get(w) or self.word(w)
                 if len(w) <= 64:
                     known[w] = r
             total += r[0]

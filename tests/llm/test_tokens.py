@@ -260,12 +260,15 @@ def test_identifiers_must_fit_a_token_file():
         list(write(iter([batch])))
 
 
-def test_pieces_follow_by_character():
-    """One step a character instead of two slices: every piece, and nothing else, is met on the way."""
-    model = sps.pieces(public_tokenizers.path("piece_bpe_32k.model"))
-    for piece, score in [*model.score.items()][::97]:
-        follow = model.first
-        for c in piece:
-            value, follow = follow[c]
-        assert value == score
-    assert not hasattr(model, "begins") and model.first["▁"][1]
+def test_words_outlive_one_change_of_generation(monkeypatch):
+    """Full memory does not forget the words in use: they are not segmented again."""
+    monkeypatch.setattr(sps, "REMEMBERED", 4)
+    model = sps.Pieces(public_tokenizers.path("piece_bpe_32k.model"))
+    seen, word = [], model.word
+    monkeypatch.setattr(model, "word", lambda w: seen.append(w) or word(w))
+    want = model.encode(sps.escaped("often"))
+    for i in range(40):
+        assert model.encode(sps.escaped("often")) == want
+        model.encode(sps.escaped(f"once{i}"))
+    assert seen.count("▁often") == 1 and len(seen) == 41
+    assert len(model.words) <= 6 and len(model.older) <= 6
