@@ -11,8 +11,8 @@ from leaving to entering states are composed backwards, and then every chunk is
 traced back on its own.
 
 No piece goes on past a word's end (checked when the model is read), so within a
-chunk all paths meet at word boundaries: words are segmented once and remembered,
-and a chunk's matrix is its first and last, cut, word with a number in between.
+chunk all paths meet at word boundaries: words are segmented many at a time, the latest
+remembered, and a chunk's matrix is its first and last, cut, word with a number in between.
 """
 
 from __future__ import annotations
@@ -20,20 +20,23 @@ from __future__ import annotations
 import re
 import struct
 from collections.abc import Iterator
-from functools import lru_cache
+from functools import cached_property, lru_cache
 
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lakeline.llm.tables import store, texts
+from lakeline.llm.tables import slices, store, texts
 
 SPACE = "▁"
 CHUNK = 65_536  # characters; a longer document is a giant one
 GROUP = 64  # chunks whose matrices are multiplied together
-REMEMBERED = 100_000  # words held by a worker, and as many older ones
+REMEMBERED = 50_000  # words held by a worker, and as many older ones, besides those of a slice
+SLICE = 500_000  # characters of text whose words are held at a time
+_FEW = 32  # times the longest word; words of fewer characters together are segmented one by one
 _UNKNOWN_PENALTY = 10.0
 _WORD = re.compile(f"{SPACE}*[^{SPACE}]+|{SPACE}+")
 
@@ -59,20 +62,31 @@ class Pieces:
                 self.score[piece], self.id[piece] = model.get_score(i), i
                 self.text[i] = piece.replace(SPACE, " ").encode()
         self.unknown = min(self.score.values()) - _UNKNOWN_PENALTY
-        # by character, the score of the piece up to here (-inf: only the beginning of one) and
-        # what may follow; a single character without a piece is unknown
-        self.first: dict[str, tuple[float, dict]] = {}
-        below: dict[str, dict] = {"": self.first}
-        for begun in sorted({p[:n] for p in self.score for n in range(1, len(p) + 1)}):
-            below[begun] = {}
-            missing = self.unknown if len(begun) == 1 else -np.inf
-            below[begun[:-1]][begun[-1]] = self.score.get(begun, missing), below[begun]
         self.reach = max(map(len, self.score))
         if any(SPACE in p.lstrip(SPACE) for p in self.score):
             raise ValueError("a piece goes on past a word's end; such a model cannot be split at words")
         self.words: dict[str, tuple[float, bytes]] = {}
         self.older: dict[str, tuple[float, bytes]] = {}
 
+    @cached_property
+    def tree(self) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+        """The pieces as a tree, numbered level by level from the root, 0.
+
+        (letter, step, score, id): the number of every code point (0: in no piece); sorted,
+        node * number of letters + letter of each step, the k-th leading to node k + 1; by
+        node, the score of the piece that ends there (-inf: only the beginning of one) and its id."""
+        letters = sorted(set().union(*self.score))
+        letter = np.zeros(0x110000, np.int32)
+        letter[[ord(c) for c in letters]] = np.arange(1, len(letters) + 1)
+        node, step = {"": 0}, []
+        for n in range(1, self.reach + 1):
+            level = sorted((node[p[:-1]] * (len(letters) + 1) + int(letter[ord(p[-1])]), p) for p in {q[:n] for q in self.score if len(q) >= n})
+            for k, p in level:
+                node[p] = len(node)
+                step.append(k)
+        score = np.array([self.score.get(p, -np.inf) for p in node])
+        return letter, np.array(step, np.int64), score, np.array([self.id.get(p, -1) for p in node], np.int32)
+
     def arcs(self, s: str, at: int):
         """(length, score) of the pieces that begin at ``at``, shortest first."""
         get = self.score.get
@@ -107,47 +121,104 @@ class Pieces:
         return out[::-1], end
 
     def word(self, w: str) -> tuple[float, bytes]:
-        """Score and ids of one word; the loop of :meth:`forward` on lists, as most time goes here."""
-        n, first, unknown = len(w), self.first, self.unknown
-        best, back = [-np.inf] * (n + 1), [0] * (n + 1)
-        best[0] = 0.0
-        for at in range(n):
-            here, follow, end = best[at], first, at
-            for c in w[at:at + self.reach]:
-                step = follow.get(c)
-                if step is None:
-                    break
-                v, follow = step
-                v += here
-                end += 1
-                if v > best[end]:
-                    best[end], back[end] = v, at
-            if end == at and here + unknown > best[at + 1]:  # no piece begins with this character
-                best[at + 1], back[at + 1] = here + unknown, at
-        out: list[int] = []
-        end = n
-        while end:
-            piece = w[back[end]:end]
-            i = self.id.get(piece)
-            out += [i] if i is not None else [self.byte[b] for b in reversed(piece.encode("utf-8", "replace"))]
-            end = back[end]
-        return best[n], struct.pack(f"<{len(out)}i", *out[::-1])
-
-    def encode(self, s: str) -> tuple[float, bytes]:
-        """Score and ids of escaped text that begins and ends at a word's boundary."""
+        """Score and ids of one word."""
+        best, back = self.forward(w, {0: 0.0}, len(w))
+        out = self.ids(w, back, len(w))[0]
+        return best[len(w)], struct.pack(f"<{len(out)}i", *out)
+
+    def segmented(self, words: list[str]) -> list[tuple[float, bytes]]:
+        """:meth:`word` of many words, none empty: a step of all their positions down the
+        tree at a time, then the pieces that begin at one offset of all words at a time."""
+        letter, step, score, piece = self.tree
+        points = np.frombuffer("".join(words).encode("utf-32-le", "surrogatepass"), "<u4")
+        code = letter[points]
+        size = np.fromiter(map(len, words), np.int64, len(words))
+        end = np.cumsum(size)
+        own = np.repeat(np.arange(len(words)), size)  # the word of each character
+        width = int(letter.max()) + 1
+
+        at, node = np.arange(len(code)), np.zeros(len(code), np.int64)
+        begin, length, value, which = [], [], [], []
+        for n in range(1, self.reach + 1):
+            key = node * width + code[at + n - 1]
+            k = np.minimum(np.searchsorted(step, key), len(step) - 1)
+            found = step[k] == key
+            if n == 1:  # a single character without a piece is unknown, and its number below 0
+                lone = np.flatnonzero(~found | (score[k + 1] == -np.inf))
+                begin.append(lone)
+                value.append(np.full(len(lone), self.unknown))
+                which.append(-1 - points[lone].astype(np.int64))
+                length.append(np.ones(len(lone), np.int64))
+            at, node = at[found], k[found] + 1
+            hit = score[node] > -np.inf
+            begin.append(at[hit])
+            value.append(score[node[hit]])
+            which.append(piece[node[hit]].astype(np.int64))
+            length.append(np.full(len(begin[-1]), n))
+            on = at + n < end[own[at]]
+            at, node = at[on], node[on]
+        begin, length, value, which = (np.concatenate(x) for x in (begin, length, value, which))
+
+        offset = begin - (end - size)[own[begin]]
+        order = np.argsort(offset, kind="stable")
+        places = np.concatenate([[0], np.cumsum(np.bincount(offset))])
+        source = (begin + own[begin])[order]  # each word has a place more than characters
+        target, value = source + length[order], value[order]
+        last = end + np.arange(len(words))
+        best, back = np.full(len(code) + len(words), -np.inf), np.zeros(len(code) + len(words), np.int64)
+        best[last - size] = 0.0
+        for a, b in zip(places[:-1].tolist(), places[1:].tolist()):  # targets differ within an offset
+            reached = best[source[a:b]] + value[a:b]
+            better = np.flatnonzero(reached > best[target[a:b]])
+            best[target[a + better]] = reached[better]
+            back[target[a + better]] = a + better
+
+        which = which[order]
+        path, now, still = [], last, np.arange(len(words))
+        while len(still):  # one piece back in every word
+            arc = back[now]
+            path.append((still, which[arc]))
+            now = source[arc]
+            on = now > (last - size)[still]
+            now, still = now[on], still[on]
+        whose = np.concatenate([p[0] for p in path[::-1]])
+        ids = np.concatenate([p[1] for p in path[::-1]])[np.argsort(whose, kind="stable")]
+        counts = np.bincount(whose, minlength=len(words))
+        unknown = np.flatnonzero(ids < 0)
+        if len(unknown):
+            spelt = [[self.byte[b] for b in chr(-1 - i).encode("utf-8", "replace")] for i in ids[unknown].tolist()]
+            times = np.ones(len(ids), np.int64)
+            times[unknown] = list(map(len, spelt))
+            counts = np.bincount(np.repeat(np.arange(len(words)), counts), times, len(words)).astype(np.int64)
+            ids = np.repeat(ids, times)
+            ids[ids < 0] = np.concatenate(spelt)
+        raw = ids.astype("<i4").tobytes()
+        stop = 4 * np.cumsum(counts)
+        return [(v, raw[a:b]) for v, a, b in zip(best[last].tolist(), (stop - 4 * counts).tolist(), stop.tolist())]
+
+    def encode_all(self, escaped: list[str]) -> list[tuple[float, bytes]]:
+        """Score and ids of escaped texts that begin and end at a word's boundary."""
         if len(self.words) > REMEMBERED:  # frequent words come back from the older ones
             self.words, self.older = {}, self.words
         known, older = self.words, self.older
-        total, parts = 0.0, []
-        for w in _WORD.findall(s):
-            r = known.get(w)
-            if r is None:
-                r = older.get(w) or self.word(w)
-                if len(w) <= 64:
-                    known[w] = r
-            total += r[0]
-            parts.append(r[1])
-        return total, b"".join(parts)
+        split = [_WORD.findall(s) for s in escaped]
+        new = set().union(*split).difference(known)
+        again = new.intersection(older)
+        known.update((w, older[w]) for w in again)
+        new = list(new - again)
+        few = sum(map(len, new)) <= _FEW * max(map(len, new), default=0)
+        known.update(zip(new, map(self.word, new) if few else self.segmented(new)))
+        out = []
+        for words in split:
+            scores, ids = zip(*map(known.__getitem__, words)) if words else ((0.0,), ())
+            out.append((0.0 + float(np.cumsum(scores)[-1]), b"".join(ids)))  # added from left to right
+        for w in new:
+            if len(w) > 64:
+                del known[w]
+        return out
+
+    def encode(self, s: str) -> tuple[float, bytes]:
+        return self.encode_all([s])[0]
 
     def decode(self, ids: np.ndarray) -> str:
         text = b"".join([self.text[i] for i in ids.tolist()]).decode("utf-8", "replace")
@@ -227,10 +298,11 @@ def _short(path: str):
     def run(batches):
         model = pieces(path)
         for batch in batches:
-            done = [model.encode(escaped(t)) for t in batch.column(1).to_pylist()]
-            yield pa.RecordBatch.from_arrays(
-                [batch.column(0), pa.array([d[0] for d in done], pa.float64()), pa.array([d[1] for d in done], pa.binary())],
-                names=["doc_id", "score", "ids"])
+            for a, b in slices(pc.binary_length(batch.column(1)).to_pylist(), SLICE):
+                done = model.encode_all([escaped(t) for t in batch.column(1).slice(a, b - a).to_pylist()])
+                yield pa.RecordBatch.from_arrays(
+                    [batch.column(0).slice(a, b - a), pa.array([d[0] for d in done], pa.float64()), pa.array([d[1] for d in done], pa.binary())],
+                    names=["doc_id", "score", "ids"])
 
     return run
 
@@ -378,12 +450,17 @@ def encode(docs: DataFrame, path: str, chunk: int = CHUNK) -> DataFrame:
     return short.unionByName(_giants(long.select("doc_id", "row", "text"), path, chunk))
 
 
-def decode(encoded: DataFrame, path: str) -> DataFrame:
-    """The columns of ``encoded`` and ``decoded``, the text of its ids."""
+def _decoded(path: str):
     def run(series):
         model = pieces(path)
         for ids in series:
-            yield ids.map(lambda x: model.decode(np.frombuffer(x, "<i4")) if x is not None else None)
+            for a, b in slices((len(x or b"") for x in ids), SLICE):
+                yield ids.iloc[a:b].map(lambda x: model.decode(np.frombuffer(x, "<i4")) if x is not None else None)
 
     run.__annotations__ = {"series": Iterator[pd.Series], "return": Iterator[pd.Series]}
-    return encoded.withColumn("decoded", F.pandas_udf(run, "string")(F.col("ids")))
+    return run
+
+
+def decode(encoded: DataFrame, path: str) -> DataFrame:
+    """The columns of ``encoded`` and ``decoded``, the text of its ids."""
+    return encoded.withColumn("decoded", F.pandas_udf(_decoded(path), "string")(F.col("ids")))

@@ -272,3 +272,30 @@ def test_words_outlive_one_change_of_generation(monkeypatch):
         model.encode(sps.escaped(f"once{i}"))
     assert seen.count("▁often") == 1 and len(seen) == 41
     assert len(model.words) <= 6 and len(model.older) <= 6
+
+
+def test_many_words_at_once_are_segmented_as_one_by_one():
+    import random
+
+    rng = random.Random(3)
+    model = sps.Pieces(PIECES)
+    words = ["".join(rng.choice("▁▁aeénstrhd日x😀́ïß") for _ in range(rng.randint(1, 40))) for _ in range(3_000)]
+    words += ["▁", "日" * 200, "▁" + "than" * 100]
+    assert model.segmented(words) == [model.word(w) for w in words]
+
+
+def test_a_batch_is_encoded_and_decoded_in_slices():
+    """What a worker holds besides its batch does not grow with the batch."""
+    import pandas as pd
+    import pyarrow as pa
+
+    texts = ["some words " * 20_000] * 9 + ["", "b c"]
+    batch = pa.RecordBatch.from_arrays([pa.array(range(len(texts))), pa.array(texts)], names=["doc_id", "text"])
+    got = list(sps._short(PIECES)(iter([batch])))
+    assert len(got) > 3 and max(sum(map(len, texts[:b.num_rows])) for b in got) <= 2 * sps.SLICE
+    model = sps.pieces(PIECES)
+    assert [i for b in got for i in b["doc_id"].to_pylist()] == list(range(len(texts)))
+    assert [i for b in got for i in b["ids"].to_pylist()] == [model.encode(sps.escaped(t))[1] for t in texts]
+    ids = pd.Series([i for b in got for i in b["ids"].to_pylist()] * 3 + [None])
+    decoded = list(sps._decoded(PIECES)(iter([ids])))
+    assert len(decoded) > 1 and [t for s in decoded for t in s] == texts * 3 + [None]
