@@ -19,6 +19,7 @@ So no link between candidates is lost.
 
 from __future__ import annotations
 
+import zlib
 from itertools import combinations
 from math import comb
 
@@ -30,7 +31,7 @@ from pyspark.sql import functions as F
 from lakeline.llm import words
 from lakeline.llm.components import hooked, labels, oriented, settled
 from lakeline.llm.repeats import mix
-from lakeline.llm.tables import discard, slices, store, texts
+from lakeline.llm.tables import discard, shuffle_partitions, slices, store, texts
 
 K = 2
 SKETCHES = 64  # with K and SAMPLE, 0.1 % of pairs of 250 words with just SIMILARITY are missed (by formula), fewer above
@@ -38,6 +39,7 @@ SAMPLE = 3
 PIVOTS = 4
 CROWDED = 1_024  # pairs that a bucket may leave to be aligned; beyond, they must share a rare k-mer
 SLOTS = 1 << 18  # of the k-mer frequencies by which a crowded bucket's members order their k-mers
+PARTS = 64  # in which the tasks' frequencies are added up
 SEEN_BITS = 1 << 23  # of the filter that tells which rare k-mers other texts show too
 BLOCK = 256  # texts of one k-mer that a task compares with as many others at a time
 LEFT_OUT = 128  # keys of a short text at most: 14 words at a similarity of 0.8
@@ -355,12 +357,18 @@ def _kmers_of(tokens: bytes) -> np.ndarray:
 
 
 def _frequencies(batches):
+    """How many k-mers of the task's texts each slot has, a row for each of the ``PARTS``."""
     held = np.zeros(SLOTS, np.int64)
     for batch in batches:
         for tokens in batch.column("tokens").to_pylist():
             held += np.bincount((_kmers_of(tokens) % np.uint64(SLOTS)).astype(np.int64), minlength=SLOTS)
-    at = np.flatnonzero(held)
-    yield pa.RecordBatch.from_arrays([pa.array(at), pa.array(held[at])], names=["slot", "n"])
+    packed = [zlib.compress(part.tobytes(), 1) for part in np.split(held, PARTS)]  # mostly zeros
+    yield pa.RecordBatch.from_arrays([pa.array(range(PARTS), pa.int32()), pa.array(packed, pa.binary())], names=["part", "held"])
+
+
+def _summed(table: pa.Table) -> pa.Table:
+    held = sum(np.frombuffer(zlib.decompress(p), np.int64) for p in table.column("held").to_pylist())
+    return pa.table({"part": table.column("part").slice(0, 1), "held": pa.array([held.tobytes()], pa.binary())})
 
 
 def needed(n: int, similarity: float) -> int:
@@ -372,9 +380,9 @@ def needed(n: int, similarity: float) -> int:
 
 
 def _rarest(frequency: np.ndarray, similarity: float, seen: np.ndarray | None = None):
-    """Rows (kmer, before) of each text's rarest k-mers, ``before`` being the next rarer one
-    (a number of the text's own for the first). With ``seen``, a bit set of k-mers, only of
-    those in it, and with the text's own columns."""
+    """Rows (kmer, before, component) of each text's rarest k-mers, ``before`` being the next
+    rarer one (a number of the text's own for the first). With ``seen``, a bit set of k-mers,
+    only of those in it, and with the text's own columns."""
     def run(batches):
         for batch in batches:
             for i, tokens in enumerate(batch.column("tokens").to_pylist()):
@@ -385,7 +393,8 @@ def _rarest(frequency: np.ndarray, similarity: float, seen: np.ndarray | None =
                 own = mix(np.array(row.column("rep").to_pylist(), np.int64).astype(np.uint64) + np.uint64(1))
                 pair = np.stack([first, np.concatenate([own, first[:-1]])]).astype(np.int64)
                 if seen is None:
-                    yield pa.RecordBatch.from_arrays([pa.array(x) for x in pair], names=["kmer", "before"])
+                    component = row.column("component").take(pa.array(np.zeros(pair.shape[1], np.int64)))
+                    yield pa.RecordBatch.from_arrays([*(pa.array(x) for x in pair), component], names=["kmer", "before", "component"])
                     continue
                 bit = first % np.uint64(SEEN_BITS)
                 pair = pair[:, (seen[(bit >> np.uint64(6)).astype(np.int64)] >> (bit & np.uint64(63)) & np.uint64(1)).astype(bool)]
@@ -453,21 +462,25 @@ def _links_by_rare_kmers(crowd: DataFrame, similarity: float, most: int) -> Data
     to all of them and so is mostly not what they meet by. Where it is, texts that hold the
     same k-mer next before (in the order by rarity) share that one too, so only texts with
     different ones need to meet here: they have no earlier k-mer in common, or meet there again.
+    K-mers that only one component's texts show (copies that are joined already) join nothing.
 
     The texts of a k-mer with over ``BLOCK`` of them are dealt into blocks, those with the
     commonest ``before`` (which need no comparison among themselves) apart from the others,
     and each pair of blocks is one group. Pairs are compared where they meet: only links leave the task.
     """
-    spread = crowd.repartition("rep")  # read from files it would lie in few tasks
-    totals = spread.mapInArrow(_frequencies, "slot long, n long").groupBy("slot").agg(F.sum("n").alias("n")).collect()
-    frequency = np.zeros(SLOTS, np.int64)  # at most SLOTS rows are collected
-    for r in totals:
-        frequency[r["slot"]] = r["n"]
-    sides = spread.mapInArrow(_rarest(frequency, similarity), "kmer long, before long") \
-        .groupBy("kmer", "before").agg(F.count("*").alias("n"))
+    # in turn, as by hash some tasks have twice as many; read from files it would lie in few tasks
+    spread = crowd.repartition(shuffle_partitions(crowd.sparkSession))
+    totals = spread.mapInArrow(_frequencies, "part int, held binary").groupBy("part").applyInArrow(_summed, "part int, held binary")
+    frequency = np.zeros((PARTS, SLOTS // PARTS), np.int64)
+    for r in totals.collect():
+        frequency[r["part"]] = np.frombuffer(r["held"], np.int64)
+    frequency = frequency.reshape(-1)
+    sides = spread.mapInArrow(_rarest(frequency, similarity), "kmer long, before long, component long") \
+        .groupBy("kmer", "before").agg(F.count("*").alias("n"), F.min("component").alias("low"), F.max("component").alias("high"))
     shared = store(
         sides.groupBy("kmer").agg(F.sum("n").alias("n"), F.sum(F.col("n") * F.col("n")).alias("own"), F.count("*").alias("sides"),
-                                  F.max(F.struct("n", "before")).alias("major")).filter("sides > 1")
+                                  F.max(F.struct("n", "before")).alias("major"), F.min("low").alias("low"), F.max("high").alias("high"))
+        .filter("sides > 1 and low < high")
         .select("kmer", "n", "own", F.col("major.n").alias("n_major"), F.col("major.before").alias("major")), "order-minhash-shared")
     if (shared.agg(F.sum(F.col("n") * F.col("n") - F.col("own"))).first()[0] or 0) > 2 * most:
         discard(shared)
@@ -502,19 +515,32 @@ def _worded(text: Column) -> Column:
     return F.when((F.octet_length(low) != F.char_length(low)) & low.rlike(r"[\x{80}-\x{BF}\x{250}-\x{10FFFF}]"), spaced).otherwise(low)
 
 
+def _only(texts_: DataFrame, wanted: DataFrame) -> DataFrame:
+    """The texts whose ``rep`` is in ``wanted``, found where they lie: a bit for each text
+    is broadcast, 64 in a row, as the words need not be shuffled for that."""
+    word, place = F.shiftright("rep", 6).alias("word"), (F.col("rep") % 64).cast("int")
+    one = F.call_function("shiftleft", F.lit(1).cast("long"), place)
+    held = wanted.select(word, one.alias("bit")).groupBy("word").agg(F.bit_or("bit").alias("bits"))
+    return texts_.withColumn("word", word).join(F.broadcast(held), "word").filter(F.col("bits").bitwiseAND(one) != 0).drop("word", "bits")
+
+
 def _classed(docs: DataFrame, similarity: float) -> DataFrame:
     """at (doc_id), same (hash of the text), n_words, component and class of every row;
     the last two are null for wordless texts."""
-    rows = texts(docs).select(F.col("doc_id").alias("at"), F.xxhash64("text").alias("same"), _worded(F.col("text")).alias("text"))
-    sketched = store(rows.mapInArrow(_sketch(similarity), _SKETCHED), "order-minhash")
+    worded = texts(docs).select(F.col("doc_id").alias("at"), F.xxhash64("text").alias("same"), _worded(F.col("text")).alias("text"))
+    sketched = store(worded.mapInArrow(_sketch(similarity), _SKETCHED), "order-minhash")
     same = ["content", "content2", "n_words"]
     # one node per different text, numbered as the table is written
     reps = store(
         sketched.filter("n_words > 0").groupBy(*same).agg(
             F.min("at").alias("first"), F.any_value("tokens").alias("tokens"), F.any_value("sketches").alias("sketches"))
         .withColumn("rep", F.monotonically_increasing_id()), "order-minhash-texts")
+    rows = store(sketched.select("at", "same", *same), "order-minhash-rows")  # all that is needed of each row from here on
+    discard(sketched)
+    # dealt out by bucket once, for the bucket's pivot and for the members that join it
     member = reps.select("rep", "n_words", F.posexplode("sketches").alias("sketch", "bucket")) \
-        .withColumn("sketch", F.least("sketch", F.lit(SKETCHES)))  # keys of short texts meet wherever they stand
+        .withColumn("sketch", F.least("sketch", F.lit(SKETCHES))) \
+        .repartition("sketch", "bucket")  # keys of short texts meet wherever they stand
     order = F.struct(F.xxhash64("rep", (F.col("sketch") % PIVOTS)), "rep", "n_words")
     buckets = member.groupBy("sketch", "bucket").agg(F.count("*").alias("n"), F.min(order).alias("p")).filter("n > 1") \
         .select("sketch", "bucket", F.col("p.rep").alias("pivot"), F.col("p.n_words").alias("pivot_words"))
@@ -522,7 +548,7 @@ def _classed(docs: DataFrame, similarity: float) -> DataFrame:
     near = lambda x, y: F.least(x, y) >= similarity * F.greatest(x, y) - 1e-9
     stars = shared.filter("rep != pivot").filter(near("n_words", "pivot_words"))
 
-    def tried(pairs: DataFrame) -> DataFrame:
+    def tried(pairs: DataFrame, reps: DataFrame) -> DataFrame:
         return store(_verified(pairs.distinct(), reps, similarity), "order-minhash-links")
 
     def joined(edges: DataFrame, links: DataFrame) -> DataFrame:
@@ -537,9 +563,9 @@ def _classed(docs: DataFrame, similarity: float) -> DataFrame:
 
     pair = F.col("rep").alias("a"), F.col("pivot").alias("b")
     # a quarter joins most of what belongs together; what two rounds of hooking do not see as joined is only compared once more
-    edges = hooked(hooked(oriented(tried(stars.filter(F.col("sketch") % PIVOTS == 0).select(*pair)))))
+    edges = hooked(hooked(oriented(tried(stars.filter(F.col("sketch") % PIVOTS == 0).select(*pair), reps))))
     found = labels(edges)
-    edges = hooked(joined(edges, tried(known(stars).filter("component != pivot_component").select(*pair))))
+    edges = hooked(joined(edges, tried(known(stars).filter("component != pivot_component").select(*pair), reps)))
     found = labels(edges)
     placed = store(known(shared), "order-minhash-known")
     sizes = placed.groupBy("sketch", "bucket").agg(
@@ -547,11 +573,12 @@ def _classed(docs: DataFrame, similarity: float) -> DataFrame:
     open_ = store(placed.join(sizes, ["sketch", "bucket"]).withColumn("crowded", F.col("members") * F.col("apart") > CROWDED),
                   "order-minhash-open")
     discard(shared, placed)
+    left = store(_only(reps.select("rep", "tokens"), open_), "order-minhash-left")  # mostly few
     crowd = open_.filter("crowded").select("rep", "n_words", "component").distinct()
     met = None
     if not crowd.isEmpty():
         pairs = open_.filter("crowded and component != pivot_component").agg(F.sum("members")).first()[0] or 0
-        met = _links_by_rare_kmers(store(crowd.join(reps.select("rep", "tokens"), "rep"), "order-minhash-crowd"), similarity, pairs)
+        met = _links_by_rare_kmers(store(crowd.join(left, "rep"), "order-minhash-crowd"), similarity, pairs)
     few = open_.filter("not crowded") if met is not None else open_
     apart = few.filter("component != pivot_component").alias("y")
     rest = apart.join(few.alias("x"), ["sketch", "bucket"]).filter(
@@ -559,13 +586,14 @@ def _classed(docs: DataFrame, similarity: float) -> DataFrame:
         & (F.col("x.rep") != F.col("y.pivot"))
         & ((F.col("x.component") == F.col("y.pivot_component")) | (F.col("x.rep") < F.col("y.rep")))
     ).select(F.col("y.rep").alias("a"), F.col("x.rep").alias("b"))
-    more = tried(rest) if met is None else tried(rest).unionByName(met)
+    more = tried(rest, left) if met is None else tried(rest, left).unionByName(met)
+    discard(left)
     found = settled(joined(edges, more))
     placed = reps.select(*same, "first", "rep").join(found.withColumnRenamed("node", "rep"), "rep", "left") \
         .select(*same, "first", F.coalesce("component", "rep").alias("component"))
     least = placed.groupBy("component").agg(F.min("first").alias("class"))
     classes = placed.join(least, "component").select(*same, "component", "class")
-    return sketched.select("at", "same", *same).join(classes, same, "left")
+    return rows.join(classes, same, "left")
 
 
 def near_classes(docs: DataFrame, similarity: float = SIMILARITY) -> DataFrame:

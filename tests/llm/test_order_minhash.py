@@ -1,5 +1,6 @@
 """Order MinHash near-duplicates: alignment against dynamic programming, classes against all pairs."""
 
+import os
 import random
 import re
 
@@ -320,3 +321,70 @@ def test_kmers_that_other_texts_show_pass_the_bit_set(spark):
     seen = om._bits_of(spark.createDataFrame([(k,) for k in kmers], "kmer long"))
     bits = {(k % (1 << 64)) % om.SEEN_BITS for k in kmers}
     assert {64 * int(w) + b for w in np.flatnonzero(seen) for b in range(64) if int(seen[w]) >> b & 1} == bits
+
+
+def test_kmers_of_one_component_meet_nowhere(spark, monkeypatch):
+    """Near copies that are joined already share most rare k-mers; only those that others show too are kept."""
+    rng = np.random.default_rng(4)
+    bases = [rng.integers(1, 1 << 32, 60, dtype=np.uint64) for _ in range(6)]
+    texts = [np.where(rng.random(60) < 0.05, rng.integers(1, 1 << 32, 60, dtype=np.uint64), b) for b in bases for _ in range(12)]
+    texts += [np.where(np.arange(60) % 20 == 0, np.uint64(99), texts[0])]  # links to the first, in a component of its own
+    rows = [(i, len(t), i // 12, t.astype("<u4").tobytes()) for i, t in enumerate(texts)]
+    crowd = spark.createDataFrame(rows, "rep long, n_words int, component long, tokens binary")
+    kept, real = [], om.store
+
+    def store(df, name):
+        table = real(df, name)
+        kept.extend(r["kmer"] for r in table.collect()) if name == "order-minhash-shared" else None
+        return table
+
+    monkeypatch.setattr(om, "store", store)
+    got = [tuple(r) for r in om._links_by_rare_kmers(crowd, 0.8, 10**9).collect()]
+    assert {(a // 12, b // 12) for a, b in got} == {(0, 6)}
+    first = {int(k) for t in texts[:12] for k in om._kmers_of(t.astype("<u4").tobytes()).astype(np.int64)}
+    assert kept and set(kept) <= first
+
+
+def test_texts_are_dealt_out_once_and_their_sketches_go(spark, monkeypatch):
+    plans, paths, real = {}, [], om.store
+
+    def store(df, name):
+        table = real(df, name)
+        paths.append((name, table.stored_at))
+        if name == "order-minhash-buckets":
+            df.collect()
+            plans[name] = df._jdf.queryExecution().executedPlan().toString()
+        return table
+
+    monkeypatch.setattr(om, "store", store)
+    docs = spark.createDataFrame([(i, " ".join(prose(i // 2, 40) + ["more"] * (i % 2))) for i in range(40)], "doc_id long, text string")
+    got = {r["doc_id"]: r["class_id"] for r in om.near_classes(docs).collect()}
+    assert got == {i: i // 2 * 2 for i in range(40)}
+    final = plans["order-minhash-buckets"].split("Initial Plan")[0]
+    assert "ReusedExchange" in final and final.count("- Exchange hashpartitioning") == 1
+    assert not any(os.path.exists(p.removeprefix("file://").removeprefix("file:")) for n, p in paths if n == "order-minhash")
+
+
+def test_wanted_texts_are_found_without_a_shuffle(spark):
+    wanted = [0, 1, 63, 64, 65, 8_000, (3 << 33) + 63, (3 << 33) + 127]
+    rows = [(r, b"x") for r in [*wanted, 2, 62, 66, 127, 8_001, 3 << 33, (3 << 33) + 126, (4 << 33) + 63]]
+    texts = spark.createDataFrame(rows, "rep long, tokens binary")
+    got = om._only(texts, spark.createDataFrame([(r,) for r in wanted * 2], "rep long"))
+    assert got.columns == ["rep", "tokens"] and sorted(r["rep"] for r in got.collect()) == sorted(wanted)
+    assert "SortMergeJoin" not in got._jdf.queryExecution().executedPlan().toString()
+    assert om._only(texts, texts.limit(0)).count() == 0
+
+
+def test_frequencies_are_added_up_in_few_rows(spark):
+    """The rows that leave a task do not grow with its texts."""
+    import pyarrow as pa
+
+    rng = np.random.default_rng(8)
+    texts = [rng.integers(1, 1 << 32, 300).astype("<u4").tobytes() for _ in range(20)]
+    batches = [pa.RecordBatch.from_arrays([pa.array(texts[i:i + 5])], names=["tokens"]) for i in range(0, 20, 5)]
+    rows = [r for b in batches for out in om._frequencies(iter([b])) for r in out.to_pylist()]
+    assert len(rows) == 4 * om.PARTS
+    got = np.concatenate([np.frombuffer(om._summed(pa.Table.from_pylist([r for r in rows if r["part"] == p]))["held"][0].as_py(), np.int64)
+                          for p in range(om.PARTS)])
+    want = np.bincount(np.concatenate([om._kmers_of(t) % np.uint64(om.SLOTS) for t in texts]).astype(np.int64), minlength=om.SLOTS)
+    assert got.tolist() == want.tolist()
