@@ -25,7 +25,7 @@ from math import comb
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from lakeline.llm import words
@@ -42,6 +42,7 @@ SLOTS = 1 << 18  # of the k-mer frequencies by which a crowded bucket's members
 PARTS = 64  # in which the tasks' frequencies are added up
 SEEN_BITS = 1 << 23  # of the filter that tells which rare k-mers other texts show too
 BLOCK = 256  # texts of one k-mer that a task compares with as many others at a time
+CARRIED = 1_024  # words up to which a text goes along with each of its rare k-mers
 LEFT_OUT = 128  # keys of a short text at most: 14 words at a similarity of 0.8
 SIMILARITY = 0.8
 _CELLS = 4_000_000  # hashes of a document ranked at a time
@@ -382,7 +383,8 @@ def needed(n: int, similarity: float) -> int:
 def _rarest(frequency: np.ndarray, similarity: float, seen: np.ndarray | None = None):
     """Rows (kmer, before, component) of each text's rarest k-mers, ``before`` being the next
     rarer one (a number of the text's own for the first). With ``seen``, a bit set of k-mers,
-    only of those in it, and with the text's own columns."""
+    only of those in it, and with the text's own columns; its tokens only up to ``CARRIED``
+    words, as a longer text has as many more k-mers to go with."""
     def run(batches):
         for batch in batches:
             for i, tokens in enumerate(batch.column("tokens").to_pylist()):
@@ -399,10 +401,11 @@ def _rarest(frequency: np.ndarray, similarity: float, seen: np.ndarray | None =
                 bit = first % np.uint64(SEEN_BITS)
                 pair = pair[:, (seen[(bit >> np.uint64(6)).astype(np.int64)] >> (bit & np.uint64(63)) & np.uint64(1)).astype(bool)]
                 again = pa.array(np.zeros(pair.shape[1], np.int64))
-                own_columns = ["rep", "n_words", "component", "tokens"]
+                own_columns = ["rep", "n_words", "component"]
+                carried = pa.nulls(pair.shape[1], pa.binary()) if len(tokens) > 4 * CARRIED else row.column("tokens").take(again)
                 yield pa.RecordBatch.from_arrays(
-                    [*(pa.array(x) for x in pair), *(row.column(c).take(again) for c in own_columns)],
-                    names=["kmer", "before", *own_columns])
+                    [*(pa.array(x) for x in pair), *(row.column(c).take(again) for c in own_columns), carried],
+                    names=["kmer", "before", *own_columns, "tokens"])
 
     return run
 
@@ -420,12 +423,13 @@ def _bits_of(kmers: DataFrame) -> np.ndarray:
 
 def _linked_within(similarity: float):
     """Links (a, b) between the texts of block x and of block y of one k-mer; of texts that
-    links found here connect already, no more are looked for."""
+    links found here connect already, no more are looked for. Pairs with a text whose tokens
+    did not come along are not ``aligned`` yet."""
     def run(key, table):
         x, y = key[1].as_py(), key[2].as_py()
         rep, before, block, size = (table.column(c).to_numpy() for c in ("rep", "before", "block", "n_words"))
         group = table.column("component").to_numpy().copy()
-        tokens = [np.frombuffer(t, "<u4") for t in table.column("tokens").to_pylist()]
+        tokens = [None if t is None else np.frombuffer(t, "<u4") for t in table.column("tokens").to_pylist()]
         sets: dict[int, np.ndarray] = {}
 
         def words_of(i: int) -> np.ndarray:
@@ -443,12 +447,15 @@ def _linked_within(similarity: float):
             for j in np.flatnonzero(open_ & (group != group[i])):
                 if group[j] == group[i]:
                     continue
+                if tokens[i] is None or tokens[j] is None:
+                    links.append((min(rep[i], rep[j]), max(rep[i], rep[j]), 0))
+                    continue
                 most = allowed(int(size[i]), int(size[j]), similarity)
                 if least_edits(words_of(i), words_of(j)) <= most and edit_distance(tokens[i], tokens[j], most) <= most:
-                    links.append((min(rep[i], rep[j]), max(rep[i], rep[j])))
+                    links.append((min(rep[i], rep[j]), max(rep[i], rep[j]), 1))
                     group[group == group[j]] = group[i]
-        found = np.array(links, np.int64).reshape(-1, 2)
-        return pa.table({"a": found[:, 0], "b": found[:, 1]})
+        found = np.array(links, np.int64).reshape(-1, 3)
+        return pa.table({"a": found[:, 0], "b": found[:, 1], "aligned": found[:, 2].astype(bool)})
 
     return run
 
@@ -467,6 +474,7 @@ def _links_by_rare_kmers(crowd: DataFrame, similarity: float, most: int) -> Data
     The texts of a k-mer with over ``BLOCK`` of them are dealt into blocks, those with the
     commonest ``before`` (which need no comparison among themselves) apart from the others,
     and each pair of blocks is one group. Pairs are compared where they meet: only links leave the task.
+    Texts of over ``CARRIED`` words do not go there themselves; each pair that they meet in is aligned once, after.
     """
     # in turn, as by hash some tasks have twice as many; read from files it would lie in few tasks
     spread = crowd.repartition(shuffle_partitions(crowd.sparkSession))
@@ -497,9 +505,11 @@ def _links_by_rare_kmers(crowd: DataFrame, similarity: float, most: int) -> Data
     meetings = rows.withColumn("block", block).withColumn("other", F.explode(others)) \
         .select("kmer", F.least("block", "other").alias("x"), F.greatest("block", "other").alias("y"),
                 "block", "before", "rep", "n_words", "component", "tokens")
-    links = store(meetings.groupBy("kmer", "x", "y").applyInArrow(_linked_within(similarity), "a long, b long"), "order-minhash-met")
+    met = store(meetings.groupBy("kmer", "x", "y").applyInArrow(_linked_within(similarity), "a long, b long, aligned boolean"),
+                "order-minhash-met")
     discard(shared)
-    return links
+    links, unread = met.filter("aligned").select("a", "b"), met.filter("not aligned").select("a", "b")
+    return links if unread.isEmpty() else links.unionByName(_verified(unread.distinct(), crowd, similarity))
 
 
 # scripts that are written without spaces: each of their characters is a word
@@ -515,28 +525,40 @@ def _worded(text: Column) -> Column:
     return F.when((F.octet_length(low) != F.char_length(low)) & low.rlike(r"[\x{80}-\x{BF}\x{250}-\x{10FFFF}]"), spaced).otherwise(low)
 
 
+def _word_and_bit() -> tuple[Column, Column]:
+    return F.shiftright("rep", 6).alias("word"), F.call_function("shiftleft", F.lit(1).cast("long"), (F.col("rep") % 64).cast("int"))
+
+
+def _bits(wanted: DataFrame) -> DataFrame:
+    """word, bits: a bit for each ``rep`` in ``wanted``, 64 in a row."""
+    word, one = _word_and_bit()
+    return wanted.select(word, one.alias("bit")).groupBy("word").agg(F.bit_or("bit").alias("bits"))
+
+
+def _marked(texts_: DataFrame, bits: DataFrame) -> DataFrame:
+    """The texts whose ``rep`` has its bit in ``bits``, which are broadcast."""
+    word, one = _word_and_bit()
+    return texts_.withColumn("word", word).join(F.broadcast(bits), "word").filter(F.col("bits").bitwiseAND(one) != 0).drop("word", "bits")
+
+
 def _only(texts_: DataFrame, wanted: DataFrame) -> DataFrame:
     """The texts whose ``rep`` is in ``wanted``, found where they lie: a bit for each text
-    is broadcast, 64 in a row, as the words need not be shuffled for that."""
-    word, place = F.shiftright("rep", 6).alias("word"), (F.col("rep") % 64).cast("int")
-    one = F.call_function("shiftleft", F.lit(1).cast("long"), place)
-    held = wanted.select(word, one.alias("bit")).groupBy("word").agg(F.bit_or("bit").alias("bits"))
-    return texts_.withColumn("word", word).join(F.broadcast(held), "word").filter(F.col("bits").bitwiseAND(one) != 0).drop("word", "bits")
+    is broadcast, as the words need not be shuffled for that."""
+    return _marked(texts_, _bits(wanted))
 
 
 def _classed(docs: DataFrame, similarity: float) -> DataFrame:
     """at (doc_id), same (hash of the text), n_words, component and class of every row;
     the last two are null for wordless texts."""
     worded = texts(docs).select(F.col("doc_id").alias("at"), F.xxhash64("text").alias("same"), _worded(F.col("text")).alias("text"))
-    sketched = store(worded.mapInArrow(_sketch(similarity), _SKETCHED), "order-minhash")
+    sketched = store(worded.mapInArrow(_sketch(similarity), _SKETCHED).withColumn("rep", F.monotonically_increasing_id()), "order-minhash")
     same = ["content", "content2", "n_words"]
-    # one node per different text, numbered as the table is written
-    reps = store(
-        sketched.filter("n_words > 0").groupBy(*same).agg(
-            F.min("at").alias("first"), F.any_value("tokens").alias("tokens"), F.any_value("sketches").alias("sketches"))
-        .withColumn("rep", F.monotonically_increasing_id()), "order-minhash-texts")
-    rows = store(sketched.select("at", "same", *same), "order-minhash-rows")  # all that is needed of each row from here on
-    discard(sketched)
+    rows = store(sketched.select("at", "same", *same), "order-minhash-rows")  # all that is needed of each row in the end
+    # one node per different text: the first of its rows, told by numbers alone and read where it lies
+    firsts = store(
+        sketched.filter("n_words > 0").groupBy(*same).agg(F.min("at").alias("first"), F.min("rep").alias("rep")), "order-minhash-texts")
+    chosen = store(_bits(firsts), "order-minhash-chosen")
+    reps = _marked(sketched.select("rep", "n_words", "tokens", "sketches"), chosen)
     # dealt out by bucket once, for the bucket's pivot and for the members that join it
     member = reps.select("rep", "n_words", F.posexplode("sketches").alias("sketch", "bucket")) \
         .withColumn("sketch", F.least("sketch", F.lit(SKETCHES))) \
@@ -567,18 +589,20 @@ def _classed(docs: DataFrame, similarity: float) -> DataFrame:
     found = labels(edges)
     edges = hooked(joined(edges, tried(known(stars).filter("component != pivot_component").select(*pair), reps)))
     found = labels(edges)
-    placed = store(known(shared), "order-minhash-known")
-    sizes = placed.groupBy("sketch", "bucket").agg(
-        F.count("*").alias("members"), F.count_if(F.col("component") != F.col("pivot_component")).alias("apart")).filter("apart > 0")
-    open_ = store(placed.join(sizes, ["sketch", "bucket"]).withColumn("crowded", F.col("members") * F.col("apart") > CROWDED),
-                  "order-minhash-open")
-    discard(shared, placed)
-    left = store(_only(reps.select("rep", "tokens"), open_), "order-minhash-left")  # mostly few
+    whole = Window.partitionBy("sketch", "bucket")  # it holds its pivot, whose component needs no join of its own
+    open_ = store(
+        shared.join(found.withColumnRenamed("node", "rep"), "rep", "left").withColumn("component", F.coalesce("component", "rep"))
+        .withColumn("pivot_component", F.max(F.when(F.col("rep") == F.col("pivot"), F.col("component"))).over(whole))
+        .withColumn("members", F.count("*").over(whole))
+        .withColumn("apart", F.count_if(F.col("component") != F.col("pivot_component")).over(whole)).filter("apart > 0")
+        .withColumn("crowded", F.col("members") * F.col("apart") > CROWDED), "order-minhash-open")
+    left = store(_only(sketched.select("rep", "tokens"), open_), "order-minhash-left")  # mostly few
+    discard(shared, sketched, chosen)
     crowd = open_.filter("crowded").select("rep", "n_words", "component").distinct()
     met = None
     if not crowd.isEmpty():
         pairs = open_.filter("crowded and component != pivot_component").agg(F.sum("members")).first()[0] or 0
-        met = _links_by_rare_kmers(store(crowd.join(left, "rep"), "order-minhash-crowd"), similarity, pairs)
+        met = _links_by_rare_kmers(store(crowd.join(_only(left, crowd), "rep"), "order-minhash-crowd"), similarity, pairs)
     few = open_.filter("not crowded") if met is not None else open_
     apart = few.filter("component != pivot_component").alias("y")
     rest = apart.join(few.alias("x"), ["sketch", "bucket"]).filter(
@@ -589,7 +613,7 @@ def _classed(docs: DataFrame, similarity: float) -> DataFrame:
     more = tried(rest, left) if met is None else tried(rest, left).unionByName(met)
     discard(left)
     found = settled(joined(edges, more))
-    placed = reps.select(*same, "first", "rep").join(found.withColumnRenamed("node", "rep"), "rep", "left") \
+    placed = firsts.join(found.withColumnRenamed("node", "rep"), "rep", "left") \
         .select(*same, "first", F.coalesce("component", "rep").alias("component"))
     least = placed.groupBy("component").agg(F.min("first").alias("class"))
     classes = placed.join(least, "component").select(*same, "component", "class")

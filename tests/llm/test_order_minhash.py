@@ -5,6 +5,7 @@ import random
 import re
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 from hypothesis import given, settings
@@ -388,3 +389,53 @@ def test_frequencies_are_added_up_in_few_rows(spark):
                           for p in range(om.PARTS)])
     want = np.bincount(np.concatenate([om._kmers_of(t) % np.uint64(om.SLOTS) for t in texts]).astype(np.int64), minlength=om.SLOTS)
     assert got.tolist() == want.tolist()
+
+
+def test_words_are_not_dealt_out_to_find_equal_texts(spark, monkeypatch):
+    """The texts are stored once and read where they lie: rows of words cross no shuffle and are not written again."""
+    columns, plans, real = {}, {}, om.store
+
+    def store(df, name):
+        table = real(df, name)
+        columns.setdefault(name, df.columns)
+        df.collect()
+        plans.setdefault(name, df._jdf.queryExecution().executedPlan().toString())
+        return table
+
+    monkeypatch.setattr(om, "store", store)
+    docs = spark.createDataFrame([(i, " ".join(prose(i // 3, 40) + ["more"] * (i % 3 // 2))) for i in range(30)], "doc_id long, text string")
+    got = {r["doc_id"]: r["class_id"] for r in om.near_classes(docs).collect()}
+    assert got == {i: i // 3 * 3 for i in range(30)}
+    assert "tokens" in columns["order-minhash"] and not {"tokens", "sketches"} & {*columns["order-minhash-texts"]}
+    assert "tokens" not in plans["order-minhash-texts"] and "tokens" not in plans["order-minhash-buckets"]
+
+
+def _carried(n):
+    """Bytes that go with the rare k-mers of a text of ``n`` different words."""
+    tokens = np.random.default_rng(3).integers(1, 1 << 32, n, dtype=np.uint64).astype("<u4").tobytes()
+    batch = pa.RecordBatch.from_pydict({"rep": [1], "n_words": pa.array([n], pa.int32()), "component": [1], "tokens": [tokens]})
+    seen = np.full(om.SEEN_BITS // 64, np.iinfo(np.uint64).max, np.uint64)
+    return sum(b.nbytes for b in om._rarest(np.zeros(om.SLOTS, np.int64), 0.8, seen)([batch]))
+
+
+def test_a_long_text_does_not_go_with_each_of_its_kmers():
+    assert _carried(16_000) < 6 * _carried(4_000) < 1_000_000
+
+
+@pytest.mark.parametrize("words", [0, 40, 80])
+def test_long_texts_link_as_those_that_are_carried(spark, monkeypatch, words):
+    rng = np.random.default_rng(5)
+    passage = rng.integers(1, 1 << 32, 50, dtype=np.uint64)
+    texts = [np.concatenate([rng.integers(1, 60, int(rng.integers(0, 40)), dtype=np.uint64), passage[int(rng.integers(0, 20)):]])
+             for _ in range(50)]
+    texts += [np.where(rng.random(len(t)) < 0.08, np.uint64(5), t) for t in texts[:20]]
+    rows = [(i, len(t), i // 2, t.astype("<u4").tobytes()) for i, t in enumerate(texts)]
+    crowd = spark.createDataFrame(rows, "rep long, n_words int, component long, tokens binary")
+    known = [(i, i + 1) for i in range(0, len(rows) - 1, 2)]
+    carried = {tuple(r) for r in om._links_by_rare_kmers(crowd, 0.8, 10**9).collect()}
+    monkeypatch.setattr(om, "CARRIED", words)
+    got = {tuple(r) for r in om._links_by_rare_kmers(crowd, 0.8, 10**9).collect()}
+    assert len(carried) > 20 and joined([*got, *known], len(rows)) == joined([*carried, *known], len(rows)) != joined(known, len(rows))
+    for a, b in got:
+        most = om.allowed(len(texts[a]), len(texts[b]), 0.8)
+        assert om.edit_distance(texts[a].astype(np.uint32), texts[b].astype(np.uint32), most) <= most
